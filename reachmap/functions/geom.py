@@ -16,6 +16,11 @@ def point(x: Column, y: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
+def let(value: Column, fn) -> Column:
+    """fn(value) with `value` evaluated once, however often `fn` refers to it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def map_points(geom: Column, fn) -> Column:
     """Apply a point -> point expression to every vertex."""
     return F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(ring, fn)))
@@ -40,12 +45,16 @@ def bounds(geom: Column) -> list[Column]:
 
 def segments(ring: Column) -> Column:
     """Array of (a, b) vertex pairs of a closed ring."""
-    n = F.greatest(F.size(ring) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(ring, F.lit(1), n),
-        F.slice(ring, F.lit(2), n),
-        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
-    )
+
+    def pairs(r):
+        n = F.greatest(F.size(r) - 1, F.lit(0))
+        return F.zip_with(
+            F.slice(r, F.lit(1), n),
+            F.slice(r, F.lit(2), n),
+            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+        )
+
+    return let(ring, pairs)
 
 
 def signed_area(ring: Column) -> Column:
@@ -54,15 +63,19 @@ def signed_area(ring: Column) -> Column:
     Coordinates are taken relative to the first vertex: far from the origin the
     products of full coordinates would lose the small differences.
     """
-    o = F.element_at(ring, 1)
 
-    def cross(s):
-        ax, ay = s["a"]["x"] - o["x"], s["a"]["y"] - o["y"]
-        bx, by = s["b"]["x"] - o["x"], s["b"]["y"] - o["y"]
-        return ax * by - bx * ay
+    def shoelace(r):
+        o = F.element_at(r, 1)
+
+        def cross(s):
+            ax, ay = s["a"]["x"] - o["x"], s["a"]["y"] - o["y"]
+            bx, by = s["b"]["x"] - o["x"], s["b"]["y"] - o["y"]
+            return ax * by - bx * ay
+
+        terms = F.transform(segments(r), lambda s: cross(s).cast("double"))
+        return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t) / 2
 
-    terms = F.transform(segments(ring), lambda s: cross(s).cast("double"))
-    return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t) / 2
+    return let(ring, shoelace)
 
 
 def area(geom: Column) -> Column:

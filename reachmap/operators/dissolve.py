@@ -21,7 +21,7 @@ from ..sources.schemas import GEOM
 
 # grid units per coordinate unit: seven decimals of a degree
 GRID = 10_000_000
-EDGE = ["ax", "ay", "bx", "by"]
+EDGE = ["x1", "y1", "x2", "y2"]
 # outlines up to this many edges are packed in one task (about 50 MB)
 PACK_EDGES = 500_000
 
@@ -49,10 +49,10 @@ def feature_edges(features: DataFrame, *keys: str, grid: int = GRID, geom: str =
     a, b, keep = F.col("a"), F.col("b"), F.col("keep")
     return turned.filter(a != b).select(
         *keys,
-        F.when(keep, a["x"]).otherwise(b["x"]).alias("ax"),
-        F.when(keep, a["y"]).otherwise(b["y"]).alias("ay"),
-        F.when(keep, b["x"]).otherwise(a["x"]).alias("bx"),
-        F.when(keep, b["y"]).otherwise(a["y"]).alias("by"),
+        F.when(keep, a["x"]).otherwise(b["x"]).alias("x1"),
+        F.when(keep, a["y"]).otherwise(b["y"]).alias("y1"),
+        F.when(keep, b["x"]).otherwise(a["x"]).alias("x2"),
+        F.when(keep, b["y"]).otherwise(a["y"]).alias("y2"),
     )
 
 
@@ -61,12 +61,12 @@ def outline_edges(edges: DataFrame, *keys: str) -> DataFrame:
 
     `mult` is 1 wherever the polygons of a key do not overlap.
     """
-    up = (F.col("ax") < F.col("bx")) | ((F.col("ax") == F.col("bx")) & (F.col("ay") < F.col("by")))
-    lo, hi = ["ax", "ay"], ["bx", "by"]
+    up = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
+    lo, hi = ["x1", "y1"], ["x2", "y2"]
     canonical = edges.select(
         *keys,
-        *[F.when(up, F.col(p)).otherwise(F.col(q)).alias(f"l{p[1]}") for p, q in zip(lo, hi)],
-        *[F.when(up, F.col(q)).otherwise(F.col(p)).alias(f"h{p[1]}") for p, q in zip(lo, hi)],
+        *[F.when(up, F.col(p)).otherwise(F.col(q)).alias(f"l{p[0]}") for p, q in zip(lo, hi)],
+        *[F.when(up, F.col(q)).otherwise(F.col(p)).alias(f"h{p[0]}") for p, q in zip(lo, hi)],
         F.when(up, 1).otherwise(-1).alias("way"),
     )
     net = (
@@ -77,10 +77,10 @@ def outline_edges(edges: DataFrame, *keys: str) -> DataFrame:
     fwd = F.col("net") > 0
     return net.select(
         *keys,
-        F.when(fwd, F.col("lx")).otherwise(F.col("hx")).alias("ax"),
-        F.when(fwd, F.col("ly")).otherwise(F.col("hy")).alias("ay"),
-        F.when(fwd, F.col("hx")).otherwise(F.col("lx")).alias("bx"),
-        F.when(fwd, F.col("hy")).otherwise(F.col("ly")).alias("by"),
+        F.when(fwd, F.col("lx")).otherwise(F.col("hx")).alias("x1"),
+        F.when(fwd, F.col("ly")).otherwise(F.col("hy")).alias("y1"),
+        F.when(fwd, F.col("hx")).otherwise(F.col("lx")).alias("x2"),
+        F.when(fwd, F.col("hy")).otherwise(F.col("ly")).alias("y2"),
         F.abs("net").alias("mult"),
     )
 
@@ -92,7 +92,7 @@ def dissolve_edges(features: DataFrame, *keys: str, grid: int = GRID) -> DataFra
 def outline_area2(outline: DataFrame, *keys: str) -> DataFrame:
     """Twice the enclosed area in grid units, exact."""
     d = {c: F.col(c).cast("decimal(18,0)") for c in EDGE}
-    cross = (d["ax"] * d["by"] - d["bx"] * d["ay"]) * F.col("mult")
+    cross = (d["x1"] * d["y2"] - d["x2"] * d["y1"]) * F.col("mult")
     return outline.groupBy(*keys).agg(F.sum(cross).cast("decimal(38,0)").alias("area2"))
 
 
@@ -119,8 +119,8 @@ def previous_edges(outline: DataFrame, *keys: str) -> DataFrame:
         *keys,
         F.inline(
             F.array(
-                _end(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), "out"),
-                _end(F.col("bx"), F.col("by"), F.col("ax"), F.col("ay"), "in"),
+                _end(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), "out"),
+                _end(F.col("x2"), F.col("y2"), F.col("x1"), F.col("y1"), "in"),
             )
         ),
         "e",
@@ -197,8 +197,8 @@ def ring_points(outline: DataFrame, *keys: str) -> DataFrame:
         *keys,
         ring.alias("ring"),
         F.col("off").alias("seq"),
-        F.col("e.ax").alias("x"),
-        F.col("e.ay").alias("y"),
+        F.col("e.x1").alias("x"),
+        F.col("e.y1").alias("y"),
     )
 
 
@@ -261,7 +261,7 @@ def rings_as_features(points: DataFrame, *keys: str, grid: int = GRID) -> DataFr
 
 
 def trace_rings(edges: np.ndarray) -> list[np.ndarray]:
-    """Closed rings (n, 2) from directed outline edges (ax, ay, bx, by)."""
+    """Closed rings (n, 2) from directed outline edges (x1, y1, x2, y2)."""
     e = edges[np.lexsort(edges.T[::-1])]
     n = len(e)
     d = (e[:, 2:] - e[:, :2]).astype(float)

@@ -133,14 +133,21 @@ def tile_quantise(cover: DataFrame, keys: list[str], detail: int = BASE_DETAIL)
 
 def _neighbours(open_ring: Column) -> Column:
     """Array of (a, b, c): each point b of an open ring between its neighbours."""
-    n = F.size(open_ring)
-    rest = F.greatest(n - 1, F.lit(0))
-    before = F.concat(F.slice(open_ring, n, F.lit(1)), F.slice(open_ring, F.lit(1), rest))
-    after = F.concat(F.slice(open_ring, F.lit(2), rest), F.slice(open_ring, F.lit(1), F.lit(1)))
-    pairs = F.zip_with(before, open_ring, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return F.zip_with(
-        pairs, after, lambda ab, c: F.struct(ab["a"].alias("a"), ab["b"].alias("b"), c.alias("c"))
-    )
+
+    def triples(r):
+        n = F.size(r)
+        rest = F.greatest(n - 1, F.lit(0))
+        before = F.concat(F.slice(r, n, F.lit(1)), F.slice(r, F.lit(1), rest))
+        after = F.concat(F.slice(r, F.lit(2), rest), F.slice(r, F.lit(1), F.lit(1)))
+        pairs = F.zip_with(before, r, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        return F.zip_with(
+            pairs,
+            after,
+            lambda ab, c: F.struct(ab["a"].alias("a"), ab["b"].alias("b"), c.alias("c")),
+        )
+
+    # a ring that has shrunk to nothing has no neighbours to slice
+    return F.when(F.size(open_ring) > 0, G.let(open_ring, triples))
 
 
 def _without_repeats(open_ring: Column) -> Column:
@@ -158,6 +165,19 @@ def _corners(open_ring: Column) -> Column:
     return F.transform(F.filter(_neighbours(open_ring), turns), lambda t: t["b"])
 
 
+def _simple_ring(closed_ring: Column) -> Column:
+    """Closed ring without repeated and collinear points, empty below a triangle."""
+    out = G.let(
+        closed_ring,
+        lambda r: F.slice(r, F.lit(1), F.greatest(F.size(r) - 1, F.lit(0))),
+    )
+    for step in (_without_repeats, _corners, _without_repeats):
+        out = G.let(out, step)
+    return G.let(
+        out, lambda r: F.when(F.size(r) >= 3, F.concat(r, F.slice(r, 1, 1)))
+    )
+
+
 def simplify_features(features: DataFrame, keys: list[str]) -> DataFrame:
     """Geometry snapped to the grid of its zoom, without points that add nothing.
 
@@ -179,15 +199,9 @@ def simplify_features(features: DataFrame, keys: list[str]) -> DataFrame:
         .select(*keys, "z", "cells", F.posexplode("geom").alias("poly", "rings"))
         .select(*keys, "z", "cells", "poly", F.posexplode("rings").alias("ring", "pts"))
     )
-    # one step per column: each array is built once and read by the next step
-    out = rings.withColumn("pts", F.transform("pts", snap)).withColumn(
-        "pts", F.slice("pts", F.lit(1), F.greatest(F.size("pts") - 1, F.lit(0)))
-    )
-    for step in (_without_repeats, _corners, _without_repeats):
-        out = out.filter(F.size("pts") >= 3).withColumn("pts", step(F.col("pts")))
     return (
-        out.filter(F.size("pts") >= 3)
-        .withColumn("pts", F.concat("pts", F.slice("pts", 1, 1)))
+        rings.withColumn("pts", _simple_ring(F.transform("pts", snap)))
+        .filter(F.col("pts").isNotNull())
         .drop("cells")
     )
 
@@ -201,10 +215,10 @@ def coalesced_outline(rings: DataFrame, group: list[str]) -> DataFrame:
     seg = F.inline(G.segments(F.col("pts")))
     edges = rings.select(*group, seg).select(
         *group,
-        F.col("a.x").alias("ax"),
-        F.col("a.y").alias("ay"),
-        F.col("b.x").alias("bx"),
-        F.col("b.y").alias("by"),
+        F.col("a.x").alias("x1"),
+        F.col("a.y").alias("y1"),
+        F.col("b.x").alias("x2"),
+        F.col("b.y").alias("y2"),
     )
     return outline_edges(edges, *group)
 
