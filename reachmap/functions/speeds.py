@@ -1,6 +1,8 @@
-"""Technology classes, tiers and labels as column expressions."""
+"""Technology classes, tiers and labels as expressions on a named column.
 
-from functools import reduce
+They are written as SQL text: one parsed expression instead of a long chain of
+column calls, each of which costs a round trip to the JVM.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -8,55 +10,42 @@ from pyspark.sql import functions as F
 from ..constants import TECH_CLASSES, TIERS, class_bits
 
 
-def _when_chain(pairs, default: Column) -> Column:
-    """CASE over (condition, value) pairs."""
-    pairs = list(pairs)
-    head = F.when(*pairs[0])
-    return reduce(lambda acc, p: acc.when(*p), pairs[1:], head).otherwise(default)
+def _case(column: str, pairs, default: str = "null") -> Column:
+    """CASE with (values, result) pairs of SQL literals."""
+    whens = " ".join(
+        f"when `{column}` in ({', '.join(str(v) for v in values)}) then {result}"
+        for values, result in pairs
+    )
+    return F.expr(f"case {whens} else {default} end")
 
 
-def tech_class(col: Column, classes=TECH_CLASSES) -> Column:
+def tech_class(column: str, classes=TECH_CLASSES) -> Column:
     """Class letter of a technology code, null for a code of no class."""
-    return _when_chain(
-        ((col.isin(*codes), F.lit(c)) for c, codes in classes.items()),
-        F.lit(None).cast("string"),
-    )
+    return _case(column, ((codes, f"'{c}'") for c, codes in classes.items()))
 
 
-def tech_class_bit(col: Column, classes=TECH_CLASSES) -> Column:
+def tech_class_bit(column: str, classes=TECH_CLASSES) -> Column:
     """Class bit of a technology code, 0 for a code of no class."""
     bits = class_bits(classes)
-    return _when_chain(
-        ((col.isin(*codes), F.lit(bits[c])) for c, codes in classes.items()),
-        F.lit(0),
-    )
-
+    return _case(column, ((codes, bits[c]) for c, codes in classes.items()), "0")
 
-def in_group(col: Column, codes) -> Column:
-    return col.isin(*codes)
 
+def meets(tier) -> Column:
+    """Whether max_down and max_up reach a tier."""
+    return F.expr(f"max_down >= {tier.down}D and max_up >= {tier.up}D")
 
-def meets(down: Column, up: Column, tier) -> Column:
-    return (down >= F.lit(tier.down)) & (up >= F.lit(tier.up))
 
-
-def tier_speed_of_file(name: Column) -> Column:
+def tier_speed_of_file(column: str) -> Column:
     """Download speed from a file name `block_numprov_<down>_<up>.csv`; 200 is in kbit/s."""
-    part = F.element_at(F.split(F.element_at(F.split(name, "/"), -1), "[_.]"), 3)
-    return F.when(part == "200", F.lit(0.2)).otherwise(part.cast("double"))
+    part = f"element_at(split(element_at(split(`{column}`, '/'), -1), '[_.]'), 3)"
+    return F.expr(f"if({part} = '200', 0.2D, cast({part} as double))")
 
 
-def speed_label(tier_name: Column, tiers=TIERS) -> Column:
+def speed_label(column: str, tiers=TIERS) -> Column:
     """Speed as text without a trailing `.0`, by tier name."""
-    return _when_chain(
-        ((tier_name == t.name, F.lit(t.speed)) for t in tiers),
-        F.lit(None).cast("string"),
-    )
+    return _case(column, (([f"'{t.name}'"], f"'{t.speed}'") for t in tiers))
 
 
-def tier_rank(tier_name: Column, tiers=TIERS) -> Column:
+def tier_rank(column: str, tiers=TIERS) -> Column:
     """Position of a tier, so that sorting by speed is numeric."""
-    return _when_chain(
-        ((tier_name == t.name, F.lit(i)) for i, t in enumerate(tiers)),
-        F.lit(None).cast("int"),
-    )
+    return _case(column, (([f"'{t.name}'"], i) for i, t in enumerate(tiers)))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..constants import GEOGRAPHIES, TECH_CLASSES, TIERS, combos
 from ..functions.speeds import speed_label, tier_rank
-from .numprov import numprov_one, signature, signature_count, tier_counts
+from .numprov import numprov_one, signature, signature_octets, tier_counts
 
 HAS = ("has_0", "has_1", "has_2", "has_3plus")
 CELL = ["urban_rural", "tribal_non"]
@@ -20,20 +20,14 @@ def geo_ids(geographies=GEOGRAPHIES) -> Column:
     """Array of (type, id) of the areas a block lies in."""
     entries = []
     for kind, column in geographies.items():
-        e = F.struct(
-            F.lit(kind).alias("type"),
-            (F.lit("0") if column is None else F.col(column)).alias("id"),
-        )
-        entries.append(e if column is None else F.when(present(F.col(column)), e))
-    return F.array_compact(F.array(*entries))
-
-
-def has_sums(nprovs: Column, pop: Column) -> list[Column]:
-    """Population by capped provider count; a count that does not occur gives 0."""
-    return [
-        F.sum(F.when(nprovs == i, pop).otherwise(0)).cast("bigint").alias(name)
-        for i, name in enumerate(HAS)
-    ]
+        if column is None:
+            entries.append(f"struct('{kind}' as type, '0' as id)")
+        else:
+            entries.append(
+                f"if({column} is not null and {column} != '', "
+                f"struct('{kind}' as type, {column} as id), null)"
+            )
+    return F.expr(f"array_compact(array({', '.join(entries)}))")
 
 
 def area_pop_by_nprov(
@@ -94,19 +88,31 @@ def area_table(
         .groupBy("type", "id", *CELL, *packed)
         .agg(F.sum("pop").alias("pop"))
     )
-    every = combos(classes)
-    names = F.array(*[F.lit(n) for _, n in every])
-    nprovs = signature_count(F.col("k"))
+    # eight combinations per row: one group lookup serves eight of them
+    octet = per_area.select(
+        "type", "id", *CELL, "tier", "pop", F.posexplode(signature_octets(classes)).alias("g", "w")
+    )
+    sums = [
+        F.expr(f"sum(if((shiftright(w, {2 * j}) & 3) = {i}, pop, 0L)) as s{j}_{i}")
+        for j in range(8)
+        for i in range(3)
+    ]
+    wide = octet.groupBy("type", "id", *CELL, "tier", "g").agg(F.sum("pop").alias("pop"), *sums)
+    names = ", ".join(f"'{n}'" for _, n in combos(classes))
+    entries = ", ".join(
+        f"struct(8 * g + {j} as k, s{j}_0 as has_0, s{j}_1 as has_1, s{j}_2 as has_2, "
+        f"pop - s{j}_0 - s{j}_1 - s{j}_2 as has_3plus)"
+        for j in range(8)
+    )
     return (
-        per_area.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(len(every)))))
-        .groupBy("type", "id", "k", "tier", *CELL)
-        .agg(*has_sums(nprovs, F.col("pop")))
+        wide.select("type", "id", *CELL, "tier", F.expr(f"inline(array({entries}))"))
+        .filter(F.col("k").between(1, len(combos(classes))))
         .select(
             "type",
             "id",
-            F.element_at(names, F.col("k")).alias("tech"),
+            F.expr(f"element_at(array({names}), k) as tech"),
             "tier",
-            speed_label(F.col("tier"), tiers).alias("speed"),
+            speed_label("tier", tiers).alias("speed"),
             *CELL,
             *HAS,
         )
@@ -116,5 +122,5 @@ def area_table(
 def area_table_sorted(table: DataFrame, tiers=TIERS) -> DataFrame:
     """Six-key order, with the speed compared as a number."""
     return table.orderBy(
-        "type", "id", "tech", tier_rank(F.col("tier"), tiers), "urban_rural", "tribal_non"
+        "type", "id", "tech", tier_rank("tier", tiers), "urban_rural", "tribal_non"
     )

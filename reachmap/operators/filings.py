@@ -65,7 +65,7 @@ def max_speed_block_provider(filings: DataFrame) -> DataFrame:
 
 def max_speed_block_provider_class(filings: DataFrame, classes=TECH_CLASSES) -> DataFrame:
     d1 = max_speed_block_provider_tech(filings).withColumn(
-        "tech_class", tech_class(F.col("tech_code"), classes)
+        "tech_class", tech_class("tech_code", classes)
     )
     return max_speed_by(d1, ["block_code", "hoconum", "tech_class"])
 

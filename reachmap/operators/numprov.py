@@ -5,8 +5,6 @@ combination k exactly when `mask & k` is not 0. One histogram of masks per
 (block, tier), at most 2^classes rows, holds the counts of all combinations.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,24 +26,20 @@ def numprov_filings(filings: DataFrame) -> DataFrame:
 def tier_qualified(filings: DataFrame, tier, codes) -> DataFrame:
     """(block, provider, technology) keys which reach a tier with one of the codes."""
     d1 = max_speed_by(numprov_filings(filings), ["block_code", "hoconum", "tech_code"])
-    return d1.filter(
-        meets(F.col("max_down"), F.col("max_up"), tier) & F.col("tech_code").isin(*codes)
-    )
+    return d1.filter(meets(tier) & F.col("tech_code").isin(*codes))
 
 
 def provider_masks(filings: DataFrame, tiers=TIERS, classes=TECH_CLASSES) -> DataFrame:
     """One row per (block, provider) with its class bits at each tier, m_<tier>."""
     d1 = max_speed_by(numprov_filings(filings), ["block_code", "hoconum", "tech_code"])
-    bit = tech_class_bit(F.col("tech_code"), classes)
-    d1 = d1.withColumn("bit", bit)
-    return d1.groupBy("block_code", "hoconum").agg(
-        *[
-            F.bit_or(
-                F.when(meets(F.col("max_down"), F.col("max_up"), t), F.col("bit")).otherwise(0)
-            ).alias(f"m_{t.name}")
-            for t in tiers
-        ]
-    )
+    bit = tech_class_bit("tech_code", classes)
+    masks = [
+        F.expr(
+            f"bit_or(if(max_down >= {t.down}D and max_up >= {t.up}D, bit, 0)) as `m_{t.name}`"
+        )
+        for t in tiers
+    ]
+    return d1.withColumn("bit", bit).groupBy("block_code", "hoconum").agg(*masks)
 
 
 def mask_histogram(filings: DataFrame, tiers=TIERS, classes=TECH_CLASSES) -> DataFrame:
@@ -54,24 +48,30 @@ def mask_histogram(filings: DataFrame, tiers=TIERS, classes=TECH_CLASSES) -> Dat
     Providers which reach no tier stay with mask 0, so each filed block is in
     the result for every tier.
     """
-    per_tier = F.array(
-        *[
-            F.struct(F.lit(t.name).alias("tier"), F.col(f"m_{t.name}").alias("mask"))
-            for t in tiers
-        ]
+    # tier and mask share one integer, so the rows of the widest shuffle stay narrow
+    width = len(classes)
+    codes = ", ".join(
+        f"{i << width} | `m_{t.name}`" for i, t in enumerate(tiers)
     )
+    names = ", ".join(f"'{t.name}'" for t in tiers)
     return (
         provider_masks(filings, tiers, classes)
-        .select(F.col("block_code").alias("geoid10"), F.inline(per_tier))
-        .groupBy("geoid10", "tier", "mask")
+        .selectExpr("block_code as geoid10", f"explode(array({codes})) as code")
+        .groupBy("geoid10", "code")
         .agg(F.count("*").alias("n"))
+        .selectExpr(
+            "geoid10",
+            f"element_at(array({names}), 1 + shiftright(code, {width})) as tier",
+            f"code & {(1 << width) - 1} as mask",
+            "n",
+        )
     )
 
 
-def combo_sums(weight: Column, classes=TECH_CLASSES) -> list[Column]:
-    """Sum of `weight` over the masks which meet each combination."""
+def combo_sums(weight: str, classes=TECH_CLASSES) -> list[Column]:
+    """Sum of the column `weight` over the masks which meet each combination."""
     return [
-        F.sum(F.when(F.col("mask").bitwiseAND(F.lit(k)) != 0, weight).otherwise(0)).alias(name)
+        F.expr(f"sum(if(mask & {k} != 0, {weight}, 0L)) as `{name}`")
         for k, name in combos(classes)
     ]
 
@@ -101,7 +101,7 @@ def tier_counts(
     return (
         rows.repartition("geoid10")
         .groupBy("geoid10", "tier")
-        .agg(*combo_sums(F.col("n"), classes))
+        .agg(*combo_sums("n", classes))
     )
 
 
@@ -145,15 +145,18 @@ def numprov_with_flag(counts: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def numprov_capped(counts: DataFrame, cap: int = 3, classes=TECH_CLASSES) -> DataFrame:
-    return counts.withColumns(
-        {n: F.least(F.col(n), F.lit(cap)) for n in combo_names(classes)}
-    )
+    return _map_counts(counts, f"least(`{{}}`, {cap}L)", classes)
 
 
 def numprov_int8(counts: DataFrame, classes=TECH_CLASSES) -> DataFrame:
     """Counts as TINYINT; a count that does not fit saturates instead of wrapping."""
-    return counts.withColumns(
-        {n: F.least(F.col(n), F.lit(127)).cast("tinyint") for n in combo_names(classes)}
+    return _map_counts(counts, "cast(least(`{}`, 127L) as tinyint)", classes)
+
+
+def _map_counts(counts: DataFrame, expr: str, classes) -> DataFrame:
+    names = set(combo_names(classes))
+    return counts.selectExpr(
+        *[f"{expr.format(c)} as `{c}`" if c in names else f"`{c}`" for c in counts.columns]
     )
 
 
@@ -162,14 +165,14 @@ def export_layout(counts: DataFrame, tier_name: str, classes=TECH_CLASSES) -> Da
     return counts.select(
         pad_block("geoid10").alias("geoid10"),
         "h2only_undev",
-        *[F.col(n).alias(f"{n}_{tier_name}") for n in combo_layout(classes)],
+        *[F.expr(f"`{n}` as `{n}_{tier_name}`") for n in combo_layout(classes)],
     )
 
 
 def blank_zeros(df: DataFrame, key: str = "geoid10") -> DataFrame:
     """0 to null in every column but the key."""
-    return df.select(
-        key, *[F.nullif(F.col(c), F.lit(0)).alias(c) for c in df.columns if c != key]
+    return df.selectExpr(
+        key, *[f"nullif(`{c}`, 0) as `{c}`" for c in df.columns if c != key]
     )
 
 
@@ -185,24 +188,23 @@ def signature(counts: DataFrame, classes=TECH_CLASSES, cap: int = 3) -> DataFram
     and of `hi` otherwise.
     """
 
-    def pack(ks):
-        fields = [
-            F.shiftleft(F.least(F.col(n), F.lit(cap)).cast("bigint"), 2 * (k % 32))
-            for k, n in ks
-        ]
-        return reduce(lambda a, b: a.bitwiseOR(b), fields, F.lit(0).cast("bigint"))
+    def pack(ks, name):
+        fields = [f"shiftleft(least(`{n}`, {cap}L), {2 * (k % 32)})" for k, n in ks]
+        return f"{' | '.join(fields) or '0L'} as {name}"
 
     every = combos(classes)
-    return counts.select(
+    return counts.selectExpr(
         "geoid10",
         "tier",
-        pack([c for c in every if c[0] < 32]).alias("lo"),
-        pack([c for c in every if c[0] >= 32]).alias("hi"),
+        pack([c for c in every if c[0] < 32], "lo"),
+        pack([c for c in every if c[0] >= 32], "hi"),
     )
 
 
-def signature_count(k: Column) -> Column:
-    """Capped count of combination k from the signature columns."""
-    word = F.when(k < 32, F.col("lo")).otherwise(F.col("hi"))
-    shift = (k % 32) * 2
-    return F.call_function("shiftrightunsigned", word, shift).bitwiseAND(F.lit(3)).cast("int")
+def signature_octets(classes=TECH_CLASSES) -> Column:
+    """The signature as an array of 16-bit words, combination k = 8 * octet + j at bit 2 * j."""
+    words = [
+        f"cast(shiftrightunsigned({'lo' if g < 4 else 'hi'}, {16 * (g % 4)}) & 65535 as int)"
+        for g in range(max(1, (1 << len(classes)) // 8))
+    ]
+    return F.expr(f"array({', '.join(words)})")

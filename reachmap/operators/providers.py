@@ -22,16 +22,16 @@ def threshold_sums(
     """
     if unmatched not in (POISON, IGNORE):
         raise ValueError(f"unmatched must be '{POISON}' or '{IGNORE}'")
-    pop = F.coalesce("pop", F.lit(0))
 
-    def total(speed, threshold):
-        s = F.sum(F.when(F.col(speed) >= F.lit(threshold), pop).otherwise(F.lit(0)))
+    def total(speed, threshold, name):
+        # SQL text: one parsed expression instead of a chain of column calls
+        s = f"sum(if({speed} >= {float(threshold)}D, coalesce(pop, 0L), 0L))"
         if unmatched == POISON:
-            s = F.when(F.bool_or(F.col("pop").isNull()), None).otherwise(s)
-        return s.cast("bigint")
+            s = f"if(bool_or(pop is null), null, {s})"
+        return F.expr(f"{s} as {name}")
 
-    return [total("max_down", t).alias(f"d_{i}") for i, t in enumerate(down, 1)] + [
-        total("max_up", t).alias(f"u_{i}") for i, t in enumerate(up, 1)
+    return [total("max_down", t, f"d_{i}") for i, t in enumerate(down, 1)] + [
+        total("max_up", t, f"u_{i}") for i, t in enumerate(up, 1)
     ]
 
 
@@ -86,32 +86,31 @@ def provider_table(
         F.max(F.when(known, F.col("max_ad_up"))).alias("max_up"),
     )
 
-    def entry(tech: Column, down: Column, up: Column) -> Column:
-        return F.struct(tech.alias("tech"), down.alias("max_down"), up.alias("max_up"))
+    def entry(tech, down, up):
+        return f"struct({tech} as tech, {down} as max_down, {up} as max_up)"
 
-    raw = F.collect_list(
-        F.when(known, entry(F.col("tech_code").cast("string"), F.col("max_down"), F.col("max_up")))
-    )
+    raw = entry("cast(tech_code as string)", "max_down", "max_up")
     group_max = []
     for g, codes in groups.items():
-        inside = F.col("tech_code").isin(*codes)
-        group_max.append(F.bool_or(inside).alias(f"in_{g}"))
-        group_max.append(F.max(F.when(inside, F.col("max_down"))).alias(f"down_{g}"))
-        group_max.append(F.max(F.when(inside, F.col("max_up"))).alias(f"up_{g}"))
+        inside = f"tech_code in ({', '.join(str(c) for c in codes)})"
+        group_max += [
+            F.expr(f"bool_or({inside}) as in_{g}"),
+            F.expr(f"max(if({inside}, max_down, null)) as down_{g}"),
+            F.expr(f"max(if({inside}, max_up, null)) as up_{g}"),
+        ]
     per_provider = d1.groupBy("block_code", "hoconum").agg(
-        raw.alias("raw"),
+        F.expr(f"collect_list(if(tech_code is null, null, {raw})) as raw"),
         F.max("max_down").alias("down_all"),
         F.max("max_up").alias("up_all"),
         *group_max,
     )
-    fixed = [entry(F.lit("all"), F.col("down_all"), F.col("up_all"))] + [
-        F.when(F.col(f"in_{g}"), entry(F.lit(g), F.col(f"down_{g}"), F.col(f"up_{g}")))
-        for g in groups
+    fixed = [entry("'all'", "down_all", "up_all")] + [
+        f"if(in_{g}, {entry(repr(g), f'down_{g}', f'up_{g}')}, null)" for g in groups
     ]
-    labels = per_provider.select(
+    labels = per_provider.selectExpr(
         "block_code",
         "hoconum",
-        F.concat(F.array_compact(F.array(*fixed)), F.col("raw")).alias("labels"),
+        f"concat(array_compact(array({', '.join(fixed)})), raw) as labels",
     )
     return (
         with_pop(labels, blocks)

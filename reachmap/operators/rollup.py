@@ -48,18 +48,13 @@ def weighted_numprov(
     sums = (
         weights.repartition(name)
         .groupBy(name, "tier")
-        .agg(*combo_sums(F.col("w"), classes))
+        .agg(*combo_sums("w", classes))
     )
     total = prefix_pop(blocks, length, name)
-    pop = F.coalesce("pop", F.lit(0))
-    return sums.join(total, name, "left").select(
-        name,
-        "tier",
-        *[
-            F.when(pop > 0, F.bround(F.col(n) / pop, 1))
-            .otherwise(F.col(n).cast("double"))
-            .alias(n)
-            for n in combo_names(classes)
-        ],
-        (pop > 0).alias("is_populated"),
+    ratios = [
+        f"if(pop > 0, bround(`{n}` / pop, 1), cast(`{n}` as double)) as `{n}`"
+        for n in combo_names(classes)
+    ]
+    return sums.join(total, name, "left").selectExpr(
+        name, "tier", *ratios, "coalesce(pop > 0, false) as is_populated"
     )

@@ -130,18 +130,13 @@ def tech_class_filter(spark, sf):
 
 @query
 def tech_class_bits(spark, sf):
-    code = F.col("tech_code")
     return (
         fx.filings(spark, sf)
-        .groupBy(code)
+        .groupBy("tech_code")
         .agg(F.count("*").alias("n"))
-        .select(
-            code,
-            tech_class(code).alias("tech_class"),
-            tech_class_bit(code).alias("bit"),
-            F.lpad(F.bin(tech_class_bit(code)), 6, "0").alias("bits"),
-            "n",
-        )
+        .withColumn("tech_class", tech_class("tech_code"))
+        .withColumn("bit", tech_class_bit("tech_code"))
+        .withColumn("bits", F.lpad(F.bin("bit"), 6, "0"))
     )
 
 
@@ -354,7 +349,7 @@ def tier_speeds(spark, sf):
     return (
         fx.blocks(spark, sf)
         .select("geoid10", F.explode(F.array(*names)).alias("file"))
-        .select("file", tier_speed_of_file(F.col("file")).alias("speed"))
+        .select("file", tier_speed_of_file("file").alias("speed"))
         .groupBy("file", "speed")
         .agg(F.count("*").alias("n_blocks"))
     )

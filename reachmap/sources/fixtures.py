@@ -4,7 +4,7 @@ The column rules are listed in FIXTURES.md. Nothing here is a fixed-size
 input: every row comes from a row of the given tables.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import county_of, tract_of
@@ -22,131 +22,104 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pad(c: Column, n: int) -> Column:
-    return F.lpad(c.cast("string"), n, "0")
-
-
-def _div(c: Column, n: int) -> Column:
-    return F.floor(c / F.lit(n))
-
-
 def _customer_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """custkey with its block code.
 
     A tract holds 40,000 consecutive customer keys of one state and residue, so
     block codes stay unique and tracts stay small however many customers exist.
     """
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    t, q = key % 4, _div(key, 4)
-    state = _pad(nation, 2)
-    return table(spark, sf_dir, "customer").select(
+    keyed = table(spark, sf_dir, "customer").selectExpr(
         "*",
-        state.alias("state_fips"),
-        F.concat(
-            state,
-            _pad(_div(t, 2), 3),
-            _pad(_div(q, 10000) * 4 + t, 6),
-            _pad(q % 10000, 4),
-        ).alias("geoid10"),
-        F.when(nation == 24, F.lit(0).cast("bigint"))
-        .otherwise(F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0))))
-        .cast("bigint")
-        .alias("pop"),
-        (key % 50).alias("hu"),
-        F.when(key % 13 == 0, F.lit(0).cast("bigint")).otherwise(key * 1000).alias("aland10"),
+        "lpad(cast(c_nationkey as string), 2, '0') as state_fips",
+        "c_custkey % 4 as t",
+        "c_custkey div 4 as q",
+    )
+    return keyed.selectExpr(
+        "c_custkey",
+        "c_nationkey",
+        "c_mktsegment",
+        "state_fips",
+        """concat(
+            state_fips,
+            lpad(cast(t div 2 as string), 3, '0'),
+            lpad(cast((q div 10000) * 4 + t as string), 6, '0'),
+            lpad(cast(q % 10000 as string), 4, '0')
+        ) as geoid10""",
+        """if(c_nationkey = 24, 0L, cast(floor(greatest(c_acctbal, 0D)) as bigint)) as pop""",
+        "c_custkey % 50 as hu",
+        "if(c_custkey % 13 = 0, 0L, c_custkey * 1000) as aland10",
     )
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block master."""
-    key = F.col("c_custkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    null = F.lit(None).cast("string")
+    nation = table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey as c_nationkey", "n_regionkey"
+    )
     return (
         _customer_blocks(spark, sf_dir)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
+        .join(nation, "c_nationkey")
+        .selectExpr(
             "geoid10",
             "pop",
             "hu",
-            (key % 40).alias("hh"),
-            F.when(key % 11 == 0, _pad(key % 3, 4)).otherwise(null).alias("aianhhcc"),
-            F.concat(F.lit("S"), "state_fips").alias("stateabbr"),
-            F.when(F.col("aland10") == 0, 1)
-            .when((F.col("hu") == 0) & (F.col("pop") == 0), 2)
-            .otherwise(0)
-            .cast("tinyint")
-            .alias("h2only_undev"),
+            "c_custkey % 40 as hh",
+            "if(c_custkey % 11 = 0, lpad(cast(c_custkey % 3 as string), 4, '0'), null) as aianhhcc",
+            "concat('S', state_fips) as stateabbr",
+            """cast(case when aland10 = 0 then 1 when hu = 0 and pop = 0 then 2 else 0 end
+                as tinyint) as h2only_undev""",
             "state_fips",
-            county_of("geoid10").alias("county_fips"),
-            F.when(key % 5 == 0, null)
-            .otherwise(F.concat(F.lit("M"), F.col("n_regionkey").cast("string")))
-            .alias("cbsa_code"),
-            F.concat("state_fips", (key % 2).cast("string")).alias("cdist_id"),
-            F.when(key % 11 == 0, F.concat(F.lit("T"), (key % 3).cast("string")))
-            .otherwise(null)
-            .alias("tribal_id"),
-            F.when(key % 7 == 0, F.lit(""))
-            .otherwise(F.concat(F.lit("P"), (key % 20).cast("string")))
-            .alias("cplace_id"),
-            F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "MACHINERY"), "U")
-            .otherwise("R")
-            .alias("urban_rural"),
-            F.when(key % 11 == 0, "T").otherwise("N").alias("tribal_non"),
+            "substring(geoid10, 1, 5) as county_fips",
+            "if(c_custkey % 5 = 0, null, concat('M', cast(n_regionkey as string))) as cbsa_code",
+            "concat(state_fips, cast(c_custkey % 2 as string)) as cdist_id",
+            "if(c_custkey % 11 = 0, concat('T', cast(c_custkey % 3 as string)), null) as tribal_id",
+            "if(c_custkey % 7 = 0, '', concat('P', cast(c_custkey % 20 as string))) as cplace_id",
+            "if(c_mktsegment in ('AUTOMOBILE', 'BUILDING', 'MACHINERY'), 'U', 'R') as urban_rural",
+            "if(c_custkey % 11 = 0, 'T', 'N') as tribal_non",
         )
     )
 
 
 def block_hu_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer_blocks(spark, sf_dir).select(
-        F.col("geoid10").alias("block_fips"),
-        F.col("hu").alias("hu2016"),
-        F.col("pop").alias("pop2016"),
+    return _customer_blocks(spark, sf_dir).selectExpr(
+        "geoid10 as block_fips", "hu as hu2016", "pop as pop2016"
     )
 
 
 def large_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
     return (
         _customer_blocks(spark, sf_dir)
-        .filter(key % 29 == 0)
-        .select(
-            F.col("geoid10").alias("block_fips"),
-            (5 + key % 6).cast("int").alias("x_zoom"),
-            (5 + key % 5).cast("int").alias("y_zoom"),
+        .filter("c_custkey % 29 = 0")
+        .selectExpr(
+            "geoid10 as block_fips",
+            "cast(5 + c_custkey % 6 as int) as x_zoom",
+            "cast(5 + c_custkey % 5 as int) as y_zoom",
         )
     )
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order_block = (
+    orders = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_custkey") % 17 != 0)
-        .select("o_orderkey", "o_custkey")
-        .join(
-            _customer_blocks(spark, sf_dir).select("c_custkey", "geoid10"),
-            F.col("o_custkey") == F.col("c_custkey"),
-        )
+        .filter("o_custkey % 17 <> 0")
+        .selectExpr("o_orderkey as l_orderkey", "o_custkey as c_custkey")
+    )
+    order_block = orders.join(
+        _customer_blocks(spark, sf_dir).select("c_custkey", "geoid10"), "c_custkey"
     )
-    v = ((F.col("l_orderkey") * 31 + F.col("l_partkey") * 17) % 1200).cast("double")
-    codes = F.array(*[F.lit(c) for c in TECH_CODES])
+    codes = ", ".join(str(c) for c in TECH_CODES)
+    v = "cast((l_orderkey * 31 + l_partkey * 17) % 1200 as double)"
     return (
         table(spark, sf_dir, "lineitem")
-        .join(order_block, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.when(
-                (F.col("l_suppkey") % 10 == 0) & (F.col("o_custkey") % 97 == 0),
-                F.concat(F.lit("99"), F.substring("geoid10", 3, 13)),
-            )
-            .otherwise(F.col("geoid10"))
-            .alias("block_code"),
-            F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("consumer"),
-            (F.col("l_suppkey") + 130000).cast("int").alias("hoconum"),
-            codes[(F.col("l_partkey") % 15).cast("int")].alias("tech_code"),
-            F.when(F.col("l_linenumber") == 1, F.col("l_quantity") / 10)
-            .otherwise(F.col("l_extendedprice") / 100)
-            .alias("max_ad_down"),
-            F.when(F.col("l_linenumber") <= 3, v / 40).otherwise(v).alias("max_ad_up"),
+        .join(order_block.hint("merge"), "l_orderkey")
+        .selectExpr(
+            """if(l_suppkey % 10 = 0 and c_custkey % 97 = 0,
+                concat('99', substring(geoid10, 3, 13)), geoid10) as block_code""",
+            "if(l_returnflag = 'R', 0, 1) as consumer",
+            "cast(l_suppkey + 130000 as int) as hoconum",
+            f"array({codes})[cast(l_partkey % 15 as int)] as tech_code",
+            "if(l_linenumber = 1, l_quantity / 10, l_extendedprice / 100) as max_ad_down",
+            f"if(l_linenumber <= 3, {v} / 40, {v}) as max_ad_up",
         )
     )
 
@@ -159,63 +132,56 @@ def block_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     within the tract; a tract has at most 10,000 blocks and there are 50
     counties, so no window holds more than the tracts of one county.
     """
-    b = _customer_blocks(spark, sf_dir).select(
+    b = _customer_blocks(spark, sf_dir).selectExpr(
         "geoid10",
         "aland10",
-        tract_of("geoid10").alias("tract"),
-        county_of("geoid10").alias("county"),
+        "substring(geoid10, 1, 11) as tract",
+        "substring(geoid10, 1, 5) as county",
     )
+    before = "rows between unbounded preceding and 1 preceding"
     tracts = b.groupBy("county", "tract").agg(F.count("*").alias("n"))
-    by_tract = Window.partitionBy("county").orderBy("tract").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
     counties = (
         tracts.groupBy("county")
         .agg(F.sum("n").alias("n"))
-        .select(
+        .selectExpr(
             "county",
-            F.coalesce(
-                F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("county").rowsBetween(
-                    Window.unboundedPreceding, -1
-                )),
-                F.lit(0),
-            ).alias("county_base"),
+            f"coalesce(sum(n) over (partition by 0 order by county {before}), 0) as county_base",
         )
     )
-    base = tracts.withColumn(
-        "tract_base", F.coalesce(F.sum("n").over(by_tract), F.lit(0))
+    base = tracts.selectExpr(
+        "county",
+        "tract",
+        f"coalesce(sum(n) over (partition by county order by tract {before}), 0) as tract_base",
     ).join(counties, "county")
-    rank = (
-        F.col("county_base")
-        + F.col("tract_base")
-        + F.row_number().over(Window.partitionBy("tract").orderBy("geoid10"))
-        - 1
-    )
     return (
         b.drop("county")
-        .join(base.select("tract", "county_base", "tract_base"), "tract")
-        .select("geoid10", "aland10", rank.alias("rn"))
-        .select(
+        .join(base.selectExpr("tract", "county_base + tract_base as base"), "tract")
+        .selectExpr(
             "geoid10",
             "aland10",
-            (F.col("rn") % GRID_WIDTH).cast("double").alias("cx"),
-            F.floor(F.col("rn") / GRID_WIDTH).cast("double").alias("cy"),
+            "base + row_number() over (partition by tract order by geoid10) - 1 as rn",
+        )
+        .selectExpr(
+            "geoid10",
+            "aland10",
+            f"cast(rn % {GRID_WIDTH} as double) as cx",
+            f"cast(rn div {GRID_WIDTH} as double) as cy",
         )
     )
 
 
 def block_geom(spark: SparkSession, sf_dir: str, lonlat: bool = False) -> DataFrame:
     """Blocks with a unit-square polygon, on the lattice or in degrees."""
-    cells = block_cells(spark, sf_dir)
-
-    def corner(dx, dy):
-        x, y = F.col("cx") + dx, F.col("cy") + dy
-        if lonlat:
-            x, y = F.lit(-120.0) + F.lit(0.01) * x, F.lit(30.0) + F.lit(0.01) * y
-        return F.struct(x.alias("x"), y.alias("y"))
-
-    ring = F.array(corner(0, 0), corner(1, 0), corner(1, 1), corner(0, 1), corner(0, 0))
-    return cells.select("geoid10", "aland10", F.array(F.array(ring)).cast(GEOM).alias("geom"))
+    x, y = ("-120D + 0.01D * ({})", "30D + 0.01D * ({})") if lonlat else ("{}", "{}")
+    corners = ", ".join(
+        f"struct({x.format(cx)} as x, {y.format(cy)} as y)"
+        for cx, cy in (
+            ("cx", "cy"), ("cx + 1", "cy"), ("cx + 1", "cy + 1"), ("cx", "cy + 1"), ("cx", "cy")
+        )
+    )
+    return block_cells(spark, sf_dir).select(
+        "geoid10", "aland10", F.expr(f"array(array(array({corners})))").cast(GEOM).alias("geom")
+    )
 
 
 def carto_tract(spark: SparkSession, sf_dir: str) -> DataFrame:
