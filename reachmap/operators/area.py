@@ -64,7 +64,19 @@ def area_table(
     classes=TECH_CLASSES,
     geographies=GEOGRAPHIES,
 ) -> DataFrame:
-    """All geographies, combinations and tiers in one plan.
+    """All geographies, combinations and tiers in one plan."""
+    counts = tier_counts(filings, blocks, tiers, classes)
+    return area_of(counts, blocks, tiers, classes, geographies)
+
+
+def area_of(
+    counts: DataFrame,
+    blocks: DataFrame,
+    tiers=TIERS,
+    classes=TECH_CLASSES,
+    geographies=GEOGRAPHIES,
+) -> DataFrame:
+    """`area_table` from the provider counts of all blocks.
 
     The capped counts of a block at a tier are packed into two BIGINTs, and
     blocks which agree in those, in all area ids and in the cell collapse before
@@ -76,7 +88,7 @@ def area_table(
     master = blocks.filter(
         F.col("urban_rural").isNotNull() & F.col("tribal_non").isNotNull()
     ).select("geoid10", F.coalesce("pop", F.lit(0)).alias("pop"), *id_columns, *CELL)
-    sig = signature(tier_counts(filings, blocks, tiers, classes), classes)
+    sig = signature(counts, classes)
     packed = ["tier", "lo", "hi"]
     located = (
         master.join(sig, "geoid10")

@@ -4,10 +4,16 @@ Polygons are cut into directed edges on an integer grid. An edge whose reverse
 belongs to the same key is inner and cancels in a sum; what is left is the
 outline. That is a plain aggregation, so it combines on the map side and has
 no large groups. Only turning an outline into rings needs an order:
-`ring_points` does it for outlines of any size with joins alone,
-`dissolve` packs the usual small outlines into one geometry per key.
+`ring_points` does it for outlines of any size with joins alone, `dissolve`
+packs the usual small outlines into one geometry per key.
+
+Polygons of a key must not overlap, so pass each block once per key. Vertices
+on the middle of a neighbour's edge leave slits of no width: areas stay right,
+and `dissolve` drops rings without area.
 """
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -202,61 +208,61 @@ def ring_points(outline: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _pack_schema(outline: DataFrame, keys) -> T.StructType:
-    fields = [outline.schema[k] for k in keys]
-    return T.StructType(
-        fields + [T.StructField("part", T.StringType()), T.StructField("geom", GEOM)]
-    )
+class Dissolved(NamedTuple):
+    """Dissolved features and the outlines too long to be one."""
+
+    features: DataFrame  # (keys, geom)
+    long_outlines: DataFrame  # (keys, x1, y1, x2, y2, mult), for `ring_points`
 
 
 def dissolve(
     features: DataFrame, *keys: str, grid: int = GRID, pack_edges: int = PACK_EDGES
-) -> DataFrame:
-    """Dissolved features (keys, part, geom).
+) -> Dissolved:
+    """Dissolve by key.
 
-    Outlines of up to `pack_edges` edges become one row each, holes nested in
-    their shells, with an empty `part`. A longer outline would be too much for
-    one task: it goes through `ring_points` and gives one row per ring, `part`
-    naming the ring and holes being clockwise rings of their own.
+    An outline of up to `pack_edges` edges becomes one geometry, its holes
+    nested in their shells. A longer one would be too much for one task and one
+    row: it stays a table of edges, which `ring_points` orders and
+    `outline_measures` measures. Together the two parts are the whole result.
     """
     keys = list(keys)
     outline = cut(simple_outline(dissolve_edges(features, *keys, grid=grid)), "outline")
-    sizes = outline.groupBy(*keys).agg(F.count("*").alias("n"))
-    long_keys = cut(sizes.filter(F.col("n") > pack_edges).select(*keys), "long")
-    schema = _pack_schema(outline, keys)
+    sizes = cut(outline.groupBy(*keys).agg(F.count("*").alias("n")), "sizes")
+    long_keys = sizes.filter(F.col("n") > pack_edges).select(*keys)
+    schema = T.StructType([outline.schema[k] for k in keys] + [T.StructField("geom", GEOM)])
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         geom = [
             [[{"x": x / grid, "y": y / grid} for x, y in ring] for ring in poly]
             for poly in nest_rings(trace_rings(pdf[EDGE].to_numpy(np.int64)))
         ]
-        row = {k: pdf[k].iloc[0] for k in keys}
-        return pd.DataFrame({**{k: [v] for k, v in row.items()}, "part": [""], "geom": [geom]})
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, "geom": [geom]})
 
     if long_keys.isEmpty():
-        return outline.groupBy(*keys).applyInPandas(pack, schema)
+        return Dissolved(outline.groupBy(*keys).applyInPandas(pack, schema), outline.limit(0))
     short_keys = sizes.filter(F.col("n") <= pack_edges).select(*keys)
     short = spread_join(outline, short_keys, keys, "left_semi")
-    packed = short.groupBy(*keys).applyInPandas(pack, schema)
-    long_edges = spread_join(outline, long_keys, keys, "left_semi")
-    return packed.unionByName(
-        rings_as_features(ring_points(long_edges, *keys), *keys, grid=grid)
+    return Dissolved(
+        short.groupBy(*keys).applyInPandas(pack, schema),
+        spread_join(outline, long_keys, keys, "left_semi"),
     )
 
 
-def rings_as_features(points: DataFrame, *keys: str, grid: int = GRID) -> DataFrame:
-    """One row per ring: the ring is one value of the geometry column."""
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "x", "y")))
-    scaled = F.transform("ordered", lambda p: G.point(p["x"] / grid, p["y"] / grid))
+def outline_measures(outline: DataFrame, *keys: str, grid: int = GRID) -> DataFrame:
+    """(keys, area, minx, miny, maxx, maxy) of outlines of any size, by sums alone."""
+    box = outline.groupBy(*keys).agg(
+        *[
+            (f("x1" if axis == "x" else "y1") / grid).alias(f"{name}{axis}")
+            for name, f in (("min", F.min), ("max", F.max))
+            for axis in ("x", "y")
+        ]
+    )
+    area = F.col("area2").cast("double") / (2.0 * grid * grid)
     return (
-        points.groupBy(*keys, "ring")
-        .agg(ordered.alias("ordered"))
-        .withColumn("pts", scaled)
-        .select(
-            *keys,
-            F.col("ring").alias("part"),
-            F.array(F.array(F.concat("pts", F.slice("pts", 1, 1)))).cast(GEOM).alias("geom"),
-        )
+        outline_area2(outline, *keys)
+        .withColumn("area", area)
+        .drop("area2")
+        .join(box, list(keys))
     )
 
 

@@ -55,6 +55,21 @@ def max_speed_by(filings: DataFrame, keys) -> DataFrame:
     )
 
 
+def collapse_filings(filings: DataFrame) -> DataFrame:
+    """Consumer filings as one row per (block, provider, technology), nulls kept.
+
+    The result is filings again, with the maxima as its speeds. A maximum of
+    maxima is the maximum, so every operator gives the same result on it; a job
+    with several outputs reads the raw filings once and continues from this.
+    """
+    return (
+        consumer_filings(filings)
+        .groupBy(*KEY)
+        .agg(F.max("max_ad_down").alias("max_ad_down"), F.max("max_ad_up").alias("max_ad_up"))
+        .withColumn("consumer", F.lit(1))
+    )
+
+
 def max_speed_block_provider_tech(filings: DataFrame) -> DataFrame:
     return max_speed_by(consumer_filings(filings), KEY)
 

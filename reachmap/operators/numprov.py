@@ -97,9 +97,16 @@ def tier_counts(
     them in place. A block brings at most tiers x 2^classes histogram rows, so
     this partitioning cannot be skewed.
     """
-    rows = mask_histogram(filings, tiers, classes).unionByName(spine(blocks, tiers))
+    return counts_of(mask_histogram(filings, tiers, classes), blocks, tiers, classes)
+
+
+def counts_of(
+    histogram: DataFrame, blocks: DataFrame, tiers=TIERS, classes=TECH_CLASSES
+) -> DataFrame:
+    """`tier_counts` from a mask histogram."""
     return (
-        rows.repartition("geoid10")
+        histogram.unionByName(spine(blocks, tiers))
+        .repartition("geoid10")
         .groupBy("geoid10", "tier")
         .agg(*combo_sums("n", classes))
     )
@@ -169,16 +176,18 @@ def export_layout(counts: DataFrame, tier_name: str, classes=TECH_CLASSES) -> Da
     )
 
 
-def blank_zeros(df: DataFrame, key: str = "geoid10") -> DataFrame:
-    """0 to null in every column but the key."""
+def blank_zeros(df: DataFrame, *keys: str) -> DataFrame:
+    """0 to null in every column but the keys."""
+    keys = keys or ("geoid10",)
     return df.selectExpr(
-        key, *[f"nullif(`{c}`, 0) as `{c}`" for c in df.columns if c != key]
+        *[f"`{c}`" if c in keys else f"nullif(`{c}`, 0) as `{c}`" for c in df.columns]
     )
 
 
-def fill_zero(df: DataFrame, key: str = "geoid10") -> DataFrame:
-    """Null to 0 in every column but the key."""
-    return df.fillna(0, subset=[c for c in df.columns if c != key])
+def fill_zero(df: DataFrame, *keys: str) -> DataFrame:
+    """Null to 0 in every column but the keys."""
+    keys = keys or ("geoid10",)
+    return df.fillna(0, subset=[c for c in df.columns if c not in keys])
 
 
 def signature(counts: DataFrame, classes=TECH_CLASSES, cap: int = 3) -> DataFrame:

@@ -38,7 +38,20 @@ def weighted_numprov(
     over that. An area without people keeps its undivided sum of 0, an area the
     block master does not know gets 0, both with is_populated false.
     """
-    rows = mask_histogram(filings, tiers, classes).unionByName(spine(blocks, tiers))
+    histogram = mask_histogram(filings, tiers, classes)
+    return weighted_of(histogram, blocks, length, name, tiers, classes)
+
+
+def weighted_of(
+    histogram: DataFrame,
+    blocks: DataFrame,
+    length: int,
+    name: str,
+    tiers=TIERS,
+    classes=TECH_CLASSES,
+) -> DataFrame:
+    """`weighted_numprov` from a mask histogram."""
+    rows = histogram.unionByName(spine(blocks, tiers))
     known = blocks.select("geoid10", F.coalesce("pop", F.lit(0)).alias("pop"))
     # a filed block may be missing from the master; every master block is a row
     joined = rows.join(known, "geoid10", "left")

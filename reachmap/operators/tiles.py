@@ -240,18 +240,22 @@ def coalesce_tiles(cover: DataFrame, attrs: list[str], feature_id: str) -> DataF
     )
 
 
-def thin_tiles(cover: DataFrame, budget: int, feature_id: str, slices: int = 64) -> DataFrame:
+def thin_tiles(
+    cover: DataFrame, budget: int, feature_id: str, slices: tuple[int, ...] = (1024, 32)
+) -> DataFrame:
     """Largest features of each tile whose summed `cost` fits the budget.
 
     Order is size descending, then id; a feature is kept while the running cost
     up to and including it stays within the budget. Adds `run_cost`.
 
-    A hot tile is not ranked in one task. Its features are first ranked within
-    slices by id, and a slice keeps its rows up to and including the first one
-    beyond the budget. Every row before the tile's own cut is before its
-    slice's cut, and the first row beyond the tile's cut survives too, so the
-    second ranking, over at most slices x budget rows, cuts at the same place
-    as a ranking of everything.
+    A hot tile is not ranked in one task: zoom 0 has a single tile. Its features
+    are ranked within slices by id first, then within ever fewer slices, and
+    each slice keeps its rows up to and including the first one beyond the
+    budget. Every row before the tile's own cut is before its slice's cut, and
+    the first row beyond the tile's cut survives too, so the last ranking cuts
+    at the same place as a ranking of everything. With costs of at least 1 it
+    sees at most `slices[-1] * (budget + 1)` rows of a tile. Each slice count
+    must divide the one before.
     """
     rank = [F.col("size").desc(), F.col(feature_id)]
 
@@ -262,15 +266,15 @@ def thin_tiles(cover: DataFrame, budget: int, feature_id: str, slices: int = 64)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
 
-    sliced = cover.withColumn("_slice", F.pmod(F.xxhash64(feature_id), F.lit(slices)))
-    candidates = (
-        sliced.withColumn("_run", running(*TILE, "_slice"))
-        .filter(F.col("_run") - F.col("cost") <= budget)
-        .drop("_slice", "_run")
-    )
-    return candidates.withColumn("run_cost", running(*TILE)).filter(
-        F.col("run_cost") <= budget
-    )
+    rows = cover.withColumn("_hash", F.xxhash64(feature_id))
+    for n in slices:
+        rows = (
+            rows.withColumn("_slice", F.pmod("_hash", F.lit(n)))
+            .withColumn("_run", running(*TILE, "_slice"))
+            .filter(F.col("_run") - F.col("cost") <= budget)
+        )
+    rows = rows.drop("_hash", "_slice", "_run")
+    return rows.withColumn("run_cost", running(*TILE)).filter(F.col("run_cost") <= budget)
 
 
 def fold_smallest(
@@ -371,3 +375,29 @@ def provider_tiles(footprints: DataFrame, is_large: Column, bands=PROVIDER_BANDS
     shown = zoom_plan_features(footprints.withColumn("level", level), bands)
     cover = tile_cover(shown).withColumn("layer", F.col("level"))
     return coalesce_tiles(cover, ["hoconum"], "hoconum")
+
+
+def speed_layer(
+    features: DataFrame, layer: str, attrs: list[str], budget: int, bands=SPEED_BANDS
+) -> DataFrame:
+    """Tile table of one layer over all its zoom bands.
+
+    `features` have (level, feature_id, box, size, cost) and the attributes.
+    Thinned bands fold small features into kept ones, coalescing bands merge
+    what is left by attribute, the others list every feature.
+    """
+    shown = tile_cover(zoom_plan_features(features, bands)).withColumn("layer", F.lit(layer))
+    columns = [*TILE, "level", "feature_id", *attrs, "minx", "miny", "maxx", "maxy"]
+    out = []
+    for thin in sorted({b.thin for b in bands}):
+        rows = shown.filter(F.col("thin") == thin)
+        if thin:
+            rows = fold_smallest(rows, budget, "feature_id")
+        if any(b.coalesce for b in bands if b.thin == thin):
+            merged = coalesce_tiles(
+                rows.filter("coalesce"), ["level", *attrs], "feature_id"
+            ).withColumnRenamed("ord", "feature_id")
+            out.append(merged.select(*columns, "n_features"))
+            rows = rows.filter("not coalesce")
+        out.append(rows.select(*columns, F.lit(1).cast("bigint").alias("n_features")))
+    return tile_union(*out)

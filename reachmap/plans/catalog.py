@@ -21,7 +21,7 @@ from ..operators import (
     rollup,
     tiles,
 )
-from ..session import scratch_path
+from ..session import cut, scratch_path
 from ..sinks import writers
 from ..sources import fixtures as fx
 from ..sources import readers
@@ -444,7 +444,7 @@ def notbig_tracts(spark, sf):
 
 
 def _blocks_of_big_tracts(spark, sf):
-    areas = _areas(spark, sf)
+    areas = cut(_areas(spark, sf), "areas")
     return geometry.blocks_in_big_tracts(_lonlat(spark, sf), areas, _typical(areas))
 
 
@@ -474,9 +474,7 @@ def dissolve_tract_edges(spark, sf):
 @query
 def dissolve_tract(spark, sf):
     tracts = dissolve.dissolve(_land_with_tract(spark, sf), "tract_id", grid=1)
-    return geometry.feature_bounds(
-        tracts.withColumn("area", G.area(F.col("geom"))), "tract_id", "part", "area"
-    )
+    return _measured_all(tracts, "tract_id")
 
 
 @query
@@ -537,28 +535,33 @@ def _measured(features, key):
     )
 
 
-def _carto_tracts(spark, sf):
-    islands = dissolve.dissolve(_island_land(spark, sf), "tract_id", grid=1)
-    return geometry.carto_tracts(
-        fx.carto_tract(spark, sf), fx.extra_tract(spark, sf), islands, fx.ISLANDS
+def _measured_all(dissolved, key):
+    """Measures of dissolved features and of the outlines too long for a row."""
+    return _measured(dissolved.features, key).unionByName(
+        dissolve.outline_measures(dissolved.long_outlines, key, grid=1)
     )
 
 
 @query
 def carto_tracts(spark, sf):
-    return _measured(_carto_tracts(spark, sf), "tract_id")
-
-
-def _carto_counties(spark, sf):
-    land = _island_land(spark, sf).withColumn("county_id", county_of("tract_id"))
-    return geometry.carto_counties(
-        fx.carto_county(spark, sf), dissolve.dissolve(land, "county_id", grid=1)
+    islands = dissolve.dissolve(_island_land(spark, sf), "tract_id", grid=1)
+    features = geometry.carto_tracts(
+        fx.carto_tract(spark, sf), fx.extra_tract(spark, sf), islands.features, fx.ISLANDS
+    )
+    return _measured(features, "tract_id").unionByName(
+        dissolve.outline_measures(islands.long_outlines, "tract_id", grid=1)
     )
 
 
 @query
 def carto_counties(spark, sf):
-    return _measured(_carto_counties(spark, sf), "geoid10")
+    land = _island_land(spark, sf).withColumn("county_id", county_of("tract_id"))
+    islands = dissolve.dissolve(land, "county_id", grid=1)
+    features = geometry.carto_counties(fx.carto_county(spark, sf), islands.features)
+    long = dissolve.outline_measures(islands.long_outlines, "county_id", grid=1)
+    return _measured(features, "geoid10").unionByName(
+        long.withColumnRenamed("county_id", "geoid10")
+    )
 
 
 # --- features with statistics ------------------------------------------------
@@ -593,9 +596,13 @@ def block_features(spark, sf):
 
 # --- tiles -------------------------------------------------------------------
 def _levels(spark, sf):
-    """Boxes of all feature levels in degrees: (level, feature_id, box)."""
-    blocks = _block_bounds(spark, sf, "aland10", lonlat=True)
-    areas = _areas(spark, sf)
+    """Boxes of all feature levels in degrees: (level, feature_id, box).
+
+    Five levels read the boxes and three the areas, so both are written once.
+    """
+    blocks = cut(_block_bounds(spark, sf, "aland10", lonlat=True), "boxes")
+    areas = cut(_areas(spark, sf), "areas")
+    limit = _typical(areas)
     land = F.col("aland10") > 0
 
     def level(df, name, key):
@@ -610,13 +617,11 @@ def _levels(spark, sf):
         level(blocks, "county", county_of("geoid10")),
         level(blocks, "tract", tract),
     ]
-    small = geometry.notbig_tracts(areas, _typical(areas)).select(
-        F.col("tract_id").alias("feature_id")
-    )
+    small = geometry.notbig_tracts(areas, limit).select(F.col("tract_id").alias("feature_id"))
     whole.append(
         level(blocks.filter(land), "smalltract", tract).join(small, "feature_id", "left_semi")
     )
-    in_big = geometry.feature_bounds(_blocks_of_big_tracts(spark, sf), "geoid10")
+    in_big = geometry.blocks_in_big_tracts(blocks, areas, limit)
     for name, df in (("bigtract_block", in_big), ("block", blocks)):
         whole.append(
             df.select(F.lit(name).alias("level"), F.col("geoid10").alias("feature_id"), *geometry.BOX)

@@ -627,7 +627,7 @@ def oracles() -> dict[str, str]:
     o["dissolve_tract_edges"] = w("side") + _outline(_LAND_SIDES, "tract_id")
     o["dissolve_tract"] = (
         w("box")
-        + "SELECT tract_id, '' AS part, count(*)::DOUBLE AS area, min(minx) AS minx, "
+        + "SELECT tract_id, count(*)::DOUBLE AS area, min(minx) AS minx, "
         "min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy "
         "FROM box WHERE aland10 > 0 GROUP BY ALL"
     )
