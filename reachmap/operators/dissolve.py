@@ -7,9 +7,9 @@ no large groups. Only turning an outline into rings needs an order:
 `ring_points` does it for outlines of any size with joins alone, `dissolve`
 packs the usual small outlines into one geometry per key.
 
-Polygons of a key must not overlap, so pass each block once per key. Vertices
-on the middle of a neighbour's edge leave slits of no width: areas stay right,
-and `dissolve` drops rings without area.
+Polygons of a key must not overlap, so pass each block once per key. Where a
+vertex lies on the middle of a neighbour's edge the border does not cancel: the
+area stays right, and the two sides become polygons which touch.
 """
 
 from typing import NamedTuple
@@ -116,8 +116,9 @@ def previous_edges(outline: DataFrame, *keys: str) -> DataFrame:
 
     Around a vertex, the inside lies between an outgoing edge and the next edge
     counter-clockwise from it, which comes in. Pairing by that order also
-    separates rings which only touch in a point. The window spans the edges at
-    one vertex of one outline.
+    separates rings which only touch. An incoming edge sorts before an outgoing
+    one of the same direction, as the inside lies before the one and after the
+    other. The window spans the edges at one vertex of one outline.
     """
     # `mult` is part of the edge so that its check is not optimised away
     ids = simple_outline(outline).select(*keys, *EDGE, F.struct(*EDGE, "mult").alias("e"))
@@ -131,9 +132,7 @@ def previous_edges(outline: DataFrame, *keys: str) -> DataFrame:
         ),
         "e",
     )
-    w = Window.partitionBy(*keys, "vx", "vy").orderBy(
-        "angle", F.col("side").desc()
-    )
+    w = Window.partitionBy(*keys, "vx", "vy").orderBy("angle", "side")
     incoming = F.when(F.col("side") == "in", F.col("e"))
     ahead = F.first(incoming, ignorenulls=True).over(
         w.rowsBetween(1, Window.unboundedFollowing)
@@ -239,7 +238,7 @@ def dissolve(
         return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, "geom": [geom]})
 
     if long_keys.isEmpty():
-        return Dissolved(outline.groupBy(*keys).applyInPandas(pack, schema), outline.limit(0))
+        return Dissolved(outline.groupBy(*keys).applyInPandas(pack, schema), outline.filter(F.lit(False)))
     short_keys = sizes.filter(F.col("n") <= pack_edges).select(*keys)
     short = spread_join(outline, short_keys, keys, "left_semi")
     return Dissolved(
@@ -271,19 +270,19 @@ def trace_rings(edges: np.ndarray) -> list[np.ndarray]:
     e = edges[np.lexsort(edges.T[::-1])]
     n = len(e)
     d = (e[:, 2:] - e[:, :2]).astype(float)
-    # one row per edge end: vertex, angle, side (0 = out, 1 = in)
+    # one row per edge end: vertex, angle, side (0 = in, 1 = out)
     vert = np.vstack([e[:, :2], e[:, 2:]])
     ang = np.concatenate([np.arctan2(d[:, 1], d[:, 0]), np.arctan2(-d[:, 1], -d[:, 0])])
-    side = np.repeat([0, 1], n)
+    side = np.repeat([1, 0], n)
     order = np.lexsort((side, ang, vert[:, 1], vert[:, 0]))
     v, s, idx = vert[order], side[order], order % n
     prv = np.full(n, -1)
     starts = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]).any(axis=1)])
     for lo, hi in zip(starts, np.r_[starts[1:], 2 * n]):
-        seen = [i for i in range(lo, hi) if s[i] == 1]
+        seen = [i for i in range(lo, hi) if s[i] == 0]
         nxt = seen[0]
         for i in range(hi - 1, lo - 1, -1):
-            if s[i] == 1:
+            if s[i] == 0:
                 nxt = i
             else:
                 prv[idx[i]] = idx[nxt]

@@ -6,7 +6,7 @@ itself is not produced.
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geom as G
@@ -55,25 +55,31 @@ def base_bands(zooms: dict[str, tuple[int, int]]) -> tuple[Band, ...]:
     return tuple(Band(level, lo, hi, thin=True) for level, (lo, hi) in zooms.items())
 
 
-def plan_table(spark: SparkSession, bands=SPEED_BANDS) -> DataFrame:
-    return spark.createDataFrame(
-        [tuple(b) for b in bands],
-        "level string, zmin int, zmax int, simplify int, coalesce boolean, thin boolean, "
-        "detail int, drop_attr string",
-    )
+def plan_of(level: str, bands=SPEED_BANDS) -> Column:
+    """Array of (z and treatment) of the level named in a column."""
+
+    def text(v):
+        if v is None:
+            return "cast(null as string)"
+        return f"'{v}'" if isinstance(v, str) else str(v).lower()
+
+    fields = Band._fields[3:]
+    by_level: dict[str, list[str]] = {}
+    for b in bands:
+        rest = ", ".join(f"{text(getattr(b, f))} as {f}" for f in fields)
+        by_level.setdefault(b.level, []).extend(
+            f"struct({z} as z, {rest})" for z in range(b.zmin, b.zmax + 1)
+        )
+    cases = " ".join(f"when '{k}' then array({', '.join(v)})" for k, v in by_level.items())
+    return F.expr(f"case `{level}` {cases} end")
 
 
 def zoom_plan_features(features: DataFrame, bands=SPEED_BANDS) -> DataFrame:
     """Features of a `level` at each zoom of its bands, with the band's treatment.
 
-    The plan is a constant of a few rows, so broadcasting it is safe.
+    The plan is a constant, so it is an expression on the row and not a join.
     """
-    plan = plan_table(features.sparkSession, bands)
-    return (
-        features.join(F.broadcast(plan), "level")
-        .withColumn("z", F.explode(F.sequence("zmin", "zmax")))
-        .drop("zmin", "zmax")
-    )
+    return features.select("*", F.inline(plan_of("level", bands)))
 
 
 def tile_of(world: Column, z: Column) -> Column:

@@ -30,8 +30,10 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="reachmap-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="reachmap-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
