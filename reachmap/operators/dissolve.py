@@ -34,31 +34,26 @@ PACK_EDGES = 500_000
 
 def feature_edges(features: DataFrame, *keys: str, grid: int = GRID, geom: str = "geom"):
     """Directed edges of all rings, shells counter-clockwise and holes clockwise."""
-    rings = features.select(*keys, F.explode(geom).alias("poly")).select(
-        *keys, F.posexplode("poly").alias("ring_no", "ring")
+    names = [f"`{k}`" for k in keys]
+    snap = (
+        f"transform(ring, p -> struct(cast(round(p.x * {grid}) as bigint) as x, "
+        f"cast(round(p.y * {grid}) as bigint) as y))"
     )
-    snapped = F.transform(
-        "ring",
-        lambda p: G.point(
-            F.round(p["x"] * grid).cast("bigint"), F.round(p["y"] * grid).cast("bigint")
-        ),
+    rings = (
+        features.selectExpr(*names, f"explode(`{geom}`) as poly")
+        .selectExpr(*names, "posexplode(poly) as (ring_no, ring)")
+        .selectExpr(*names, "ring_no", f"{snap} as ring")
     )
-    turned = (
-        rings.withColumn("ring", snapped)
-        .withColumn("ccw", G.signed_area(F.col("ring")) > 0)
-        .select(
-            *keys,
-            ((F.col("ring_no") == 0) == F.col("ccw")).alias("keep"),
-            F.inline(G.segments(F.col("ring"))),
-        )
+    shell_turn = (F.col("ring_no") == 0) == (G.signed_area(F.col("ring")) > 0)
+    sides = rings.withColumn("keep", shell_turn).select(
+        *keys, "keep", F.inline(G.segments(F.col("ring")))
     )
-    a, b, keep = F.col("a"), F.col("b"), F.col("keep")
-    return turned.filter(a != b).select(
-        *keys,
-        F.when(keep, a["x"]).otherwise(b["x"]).alias("x1"),
-        F.when(keep, a["y"]).otherwise(b["y"]).alias("y1"),
-        F.when(keep, b["x"]).otherwise(a["x"]).alias("x2"),
-        F.when(keep, b["y"]).otherwise(a["y"]).alias("y2"),
+    return sides.filter("a != b").selectExpr(
+        *names,
+        "if(keep, a.x, b.x) as x1",
+        "if(keep, a.y, b.y) as y1",
+        "if(keep, b.x, a.x) as x2",
+        "if(keep, b.y, a.y) as y2",
     )
 
 
@@ -67,27 +62,28 @@ def outline_edges(edges: DataFrame, *keys: str) -> DataFrame:
 
     `mult` is 1 wherever the polygons of a key do not overlap.
     """
-    up = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
-    lo, hi = ["x1", "y1"], ["x2", "y2"]
-    canonical = edges.select(
-        *keys,
-        *[F.when(up, F.col(p)).otherwise(F.col(q)).alias(f"l{p[0]}") for p, q in zip(lo, hi)],
-        *[F.when(up, F.col(q)).otherwise(F.col(p)).alias(f"h{p[0]}") for p, q in zip(lo, hi)],
-        F.when(up, 1).otherwise(-1).alias("way"),
-    )
+    names = [f"`{k}`" for k in keys]
+    up = "x1 < x2 or (x1 = x2 and y1 < y2)"
     net = (
-        canonical.groupBy(*keys, "lx", "ly", "hx", "hy")
+        edges.selectExpr(
+            *names,
+            f"if({up}, x1, x2) as lx",
+            f"if({up}, y1, y2) as ly",
+            f"if({up}, x2, x1) as hx",
+            f"if({up}, y2, y1) as hy",
+            f"if({up}, 1, -1) as way",
+        )
+        .groupBy(*keys, "lx", "ly", "hx", "hy")
         .agg(F.sum("way").alias("net"))
-        .filter(F.col("net") != 0)
+        .filter("net != 0")
     )
-    fwd = F.col("net") > 0
-    return net.select(
-        *keys,
-        F.when(fwd, F.col("lx")).otherwise(F.col("hx")).alias("x1"),
-        F.when(fwd, F.col("ly")).otherwise(F.col("hy")).alias("y1"),
-        F.when(fwd, F.col("hx")).otherwise(F.col("lx")).alias("x2"),
-        F.when(fwd, F.col("hy")).otherwise(F.col("ly")).alias("y2"),
-        F.abs("net").alias("mult"),
+    return net.selectExpr(
+        *names,
+        "if(net > 0, lx, hx) as x1",
+        "if(net > 0, ly, hy) as y1",
+        "if(net > 0, hx, lx) as x2",
+        "if(net > 0, hy, ly) as y2",
+        "abs(net) as mult",
     )
 
 
@@ -226,7 +222,7 @@ def dissolve(
     """
     keys = list(keys)
     outline = cut(simple_outline(dissolve_edges(features, *keys, grid=grid)), "outline")
-    sizes = cut(outline.groupBy(*keys).agg(F.count("*").alias("n")), "sizes")
+    sizes = outline.groupBy(*keys).agg(F.count("*").alias("n"))
     long_keys = sizes.filter(F.col("n") > pack_edges).select(*keys)
     schema = T.StructType([outline.schema[k] for k in keys] + [T.StructField("geom", GEOM)])
 

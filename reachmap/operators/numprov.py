@@ -137,7 +137,11 @@ def to_long(counts: DataFrame, classes=TECH_CLASSES) -> DataFrame:
     """Unpivot the combination columns to (.., combo, nprovs) rows."""
     names = combo_names(classes)
     keys = [c for c in counts.columns if c not in names]
-    return counts.unpivot(keys, names, "combo", "nprovs")
+    values = ", ".join(f"`{n}`" for n in names)
+    labels = ", ".join(f"'{n}'" for n in names)
+    return counts.selectExpr(*keys, f"posexplode(array({values})) as (i, nprovs)").selectExpr(
+        *keys, f"array({labels})[i] as combo", "nprovs"
+    )
 
 
 def block_numprov_long(
