@@ -390,20 +390,23 @@ def speed_layer(
 
     `features` have (level, feature_id, box, size, cost) and the attributes.
     Thinned bands fold small features into kept ones, coalescing bands merge
-    what is left by attribute, the others list every feature.
+    what is left by attribute, the others list every feature. Where a band
+    drops the id attribute, `feature_id` is null; `ord` keeps the order.
     """
     shown = tile_cover(zoom_plan_features(features, bands)).withColumn("layer", F.lit(layer))
-    columns = [*TILE, "level", "feature_id", *attrs, "minx", "miny", "maxx", "maxy"]
+    columns = [*TILE, "level", "ord", "feature_id", *attrs, "minx", "miny", "maxx", "maxy"]
+    no_id = F.lit(None).cast("string")
     out = []
     for thin in sorted({b.thin for b in bands}):
         rows = shown.filter(F.col("thin") == thin)
         if thin:
             rows = fold_smallest(rows, budget, "feature_id")
         if any(b.coalesce for b in bands if b.thin == thin):
-            merged = coalesce_tiles(
-                rows.filter("coalesce"), ["level", *attrs], "feature_id"
-            ).withColumnRenamed("ord", "feature_id")
-            out.append(merged.select(*columns, "n_features"))
+            merged = coalesce_tiles(rows.filter("coalesce"), ["level", *attrs], "feature_id")
+            out.append(merged.withColumn("feature_id", no_id).select(*columns, "n_features"))
             rows = rows.filter("not coalesce")
-        out.append(rows.select(*columns, F.lit(1).cast("bigint").alias("n_features")))
+        listed = rows.withColumn("ord", F.col("feature_id")).withColumn(
+            "feature_id", F.when(F.col("drop_attr").isNull(), F.col("feature_id"))
+        )
+        out.append(listed.select(*columns, F.lit(1).cast("bigint").alias("n_features")))
     return tile_union(*out)

@@ -111,6 +111,33 @@ def shapes(
     made["footprint_outlines"] = _save(
         dissolve.dissolve_edges(footprint, "hoconum", "county_fips"), out, "footprint_outlines"
     )
+    # one geometry per area, for the rings of the map; what is too long for a
+    # row stays as outline edges
+    by_level = {
+        "tract": dissolve.dissolve(land, "tract_id"),
+        "county": dissolve.dissolve(
+            land.withColumn("county_id", county_of("geoid10")), "county_id"
+        ),
+    }
+    levels = [
+        d.features.select(
+            F.lit(level).alias("level"), F.col(f"{level}_id").alias("feature_id"), "geom"
+        )
+        for level, d in by_level.items()
+    ]
+    levels.append(
+        block_geom.select(
+            F.lit("block").alias("level"), F.col("geoid10").alias("feature_id"), "geom"
+        )
+    )
+    made["features"] = _save(tiles.tile_union(*levels), out, "features", "level")
+    long = [
+        d.long_outlines.withColumnRenamed(f"{level}_id", "feature_id").withColumn(
+            "level", F.lit(level)
+        )
+        for level, d in by_level.items()
+    ]
+    made["long_outlines"] = _save(tiles.tile_union(*long), out, "long_outlines", "level")
     made["bigtract_blocks"] = _save(
         geometry.blocks_in_big_tracts(made["block_boxes"], areas, threshold), out, "bigtract_blocks"
     )
@@ -120,6 +147,33 @@ def shapes(
     return made
 
 
+def map_rings(
+    made: dict[str, DataFrame], out: str, threshold: float = BIG_TRACT_M2
+) -> DataFrame:
+    """Geometry of the speed layers: simplified rings of each feature at each zoom.
+
+    All tiers share it. Rings are kept once per feature and zoom instead of once
+    per tile; the tile tables say which tiles a feature is in.
+    """
+    features = made["features"].select("level", "feature_id", "geom")
+    small = geometry.notbig_tracts(made["tract_area"], threshold).select(
+        F.col("tract_id").alias("feature_id")
+    )
+    in_big = made["bigtract_blocks"].select(F.col("geoid10").alias("feature_id"))
+    at_nine = [
+        features.filter(F.col("level") == whole)
+        .join(part, "feature_id", "left_semi")
+        .withColumn("level", F.lit(name))
+        for whole, name, part in (
+            ("tract", "smalltract", small),
+            ("block", "bigtract_block", in_big),
+        )
+    ]
+    shown = tiles.zoom_plan_features(tiles.tile_union(features, *at_nine))
+    rings = tiles.simplify_features(shown, ["level", "feature_id", "simplify", "detail"])
+    return _save(rings, out, "rings", "level", "z")
+
+
 def map_tiles(
     stats: dict[str, DataFrame],
     made: dict[str, DataFrame],
@@ -177,13 +231,15 @@ def map_tiles(
     layers.append(
         xl.select(
             F.lit("xl_blocks").alias("layer"), "z", "x", "y", "level",
-            F.col("geoid10").alias("feature_id"), *geometry.BOX,
+            F.col("geoid10").alias("ord"), F.col("geoid10").alias("feature_id"), *geometry.BOX,
         )
     )
     foot = dissolve.outline_measures(made["footprint_outlines"], "hoconum", "county_fips")
     provider = tiles.provider_tiles(foot, flags.large_provider("hoconum"))
     layers.append(
-        provider.withColumn("feature_id", F.col("hoconum").cast("string")).drop("hoconum")
+        provider.withColumn("ord", F.lpad(F.col("ord").cast("string"), 10, "0"))
+        .withColumn("feature_id", F.col("hoconum").cast("string"))
+        .drop("hoconum")
     )
     for i, layer in enumerate(layers):
         layer.write.mode("overwrite" if i == 0 else "append").partitionBy("layer", "z").parquet(

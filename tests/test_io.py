@@ -70,6 +70,10 @@ def test_release(spark, sf_dir, tmp_path):
         fx.large_blocks(spark, sf_dir), out, threshold=3e6,
     )
     tile_table = products.map_tiles(stats, made, out, tiers=products.TIERS[3:4], threshold=3e6)
+    rings = products.map_rings(made, out, threshold=3e6)
+    assert {r.z for r in rings.select("z").distinct().collect()} == set(range(15))
+    dropped = tile_table.filter("layer = '25_3' and (feature_id is null) != (z < 11)")
+    assert dropped.isEmpty()
     from reachmap.operators import area, numprov, rollup
 
     direct = area.area_table(f, b)
