@@ -12,10 +12,12 @@ vertex lies on the middle of a neighbour's edge the border does not cancel: the
 area stays right, and the two sides become polygons which touch.
 """
 
+import sys
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,9 @@ from ..functions.joins import spread_join
 from ..session import cut
 from ..sources.schemas import GEOM
 
+# ship the ring helpers with the task, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # grid units per coordinate unit: seven decimals of a degree
 GRID = 10_000_000
 EDGE = ["x1", "y1", "x2", "y2"]
