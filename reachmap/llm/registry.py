@@ -1,8 +1,19 @@
 """The queries of this folder and the SQL for those that SQL can express."""
 
+from .decontam import op5_decontamination
 from .dedup import OP10_SQL, op10_exact_dedup
 from .mixing import OP8_SQL, op8_mixing
+from .ngram_join import op3_ngram_join
 from .sharding import op9_sharding
 
-QUERIES = {f.__name__: f for f in (op8_mixing, op9_sharding, op10_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_ngram_join,
+        op5_decontamination,
+        op8_mixing,
+        op9_sharding,
+        op10_exact_dedup,
+    )
+}
 ORACLES = {"op8_mixing": OP8_SQL, "op10_exact_dedup": OP10_SQL}
