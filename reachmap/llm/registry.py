@@ -2,6 +2,7 @@
 
 from .decontam import op5_decontamination
 from .dedup import OP10_SQL, op10_exact_dedup
+from .langid import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .ngram_join import op3_ngram_join
 from .sharding import op9_sharding
@@ -10,6 +11,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op3_ngram_join,
+        op4_language_id,
         op5_decontamination,
         op8_mixing,
         op9_sharding,
