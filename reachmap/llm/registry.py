@@ -6,10 +6,12 @@ from .langid import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .ngram_join import op3_ngram_join
 from .sharding import op9_sharding
+from .toxicity import op1_toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op3_ngram_join,
         op4_language_id,
         op5_decontamination,
