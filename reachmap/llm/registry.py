@@ -5,6 +5,7 @@ from .dedup import OP10_SQL, op10_exact_dedup
 from .langid import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .ngram_join import op3_ngram_join
+from .pii import op7_pii
 from .secrets import op6_secret_scan
 from .sharding import op9_sharding
 from .toxicity import op1_toxicity
@@ -17,6 +18,7 @@ QUERIES = {
         op4_language_id,
         op5_decontamination,
         op6_secret_scan,
+        op7_pii,
         op8_mixing,
         op9_sharding,
         op10_exact_dedup,
