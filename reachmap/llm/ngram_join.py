@@ -3,12 +3,15 @@
 Documents are sets of hashed 4-word shingles. Two link when
 100 * |x and y| >= 85 * |x or y|. The result is the component of each document.
 
-1. A sketch of fixed size counts shingles by hash bucket over all documents. It
-   gives one order for all shingles, rare ones first.
-2. Equal sets become one set. A set's prefix is its first n - ceil(0.85 n) + 1
-   shingles in that order; linked sets share one of the prefix. Sets that share
-   prefix shingles, directly or through others, form a block; every link lies
-   within a block. Rare shingles make blocks small.
+1. Shingles are counted over all documents, in Spark: chunks of documents send
+   each range of shingle hashes its own, sorted and difference-coded; a range
+   counts them and returns how many of each document's shingles others have.
+   Linked sets share one of the first n - ceil(0.85 n) + 1 shingles in any
+   order, so a document with as many unshared ones links with nothing. Those left are few.
+2. Equal sets become one set. What is left is counted again, now with the
+   counts returned: ordered by count, the prefixes are known. Sets that
+   share prefix shingles, directly or through others, form a block; every link
+   lies within a block. Rare shingles make blocks small.
 3. Within a block, inverted lists are searched for each set: the long lists are
    set apart, the short ones merged, and sets that occur often enough in them
    are probed in the long lists by binary search (DivideSkip). Sets that
@@ -25,10 +28,11 @@ component of null ids has a null one. Repeated rows each give a row.
 """
 
 import hashlib
+import pickle
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +43,10 @@ from .graph import components
 
 SHINGLE = 4
 NUMERATOR, DENOMINATOR = 85, 100
-SKETCH_BITS = 20
-SKETCH_PARTS = 64
+# Documents are counted in chunks of about this many shingles, in ranges of this much text.
+CHUNK_SHINGLES = 2_000_000
+RANGE_BYTES = 32 << 20
+TOKEN_BITS = 48  # of a shingle's hash; equal numbers of different ones only add candidates
 # A block above either is hot: 32 MB of shingles at most.
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 4_000_000
@@ -54,8 +60,8 @@ def least_overlap(n: int) -> int:
     return -(-NUMERATOR * n // DENOMINATOR)
 
 
-def linked(inter, n, m) -> bool:
-    return DENOMINATOR * inter >= NUMERATOR * (n + m - inter)
+def prefix_length(n: int) -> int:
+    return n - least_overlap(n) + 1
 
 
 def shingle_sets(column, size: int = SHINGLE):
@@ -77,79 +83,163 @@ def shingle_sets(column, size: int = SHINGLE):
                 yield none
 
 
-def _sketch(batches):
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    mask = np.uint64((1 << SKETCH_BITS) - 1)
-    held, size = [], 0
-    for batch in batches:
-        for s in shingle_sets(batch.column(0)):
-            held.append((s & mask).astype(np.int64))
-            size += len(s)
-            if size > 1 << 20:
-                total += np.bincount(np.concatenate(held), minlength=len(total))
-                held, size = [], 0
-    if held:
-        total += np.bincount(np.concatenate(held), minlength=len(total))
-    parts = [x.tobytes() for x in np.split(total, SKETCH_PARTS)]
-    yield pa.RecordBatch.from_pydict(
-        {
-            "part": pa.array(range(SKETCH_PARTS), pa.int32()),
-            "task": pa.array([TaskContext.get().partitionId() % 256] * SKETCH_PARTS, pa.int32()),
-            "counts": pa.array(parts, pa.binary()),
-        }
-    )
+def digest(shingles) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
+_SENT = "part int, chunk binary, first long, steps binary, wide boolean, owner binary, rows binary"
+
 
+def _chunk(held, rows, bits):
+    """Rows of one chunk: its shingles for each range, and the documents themselves with one of them.
 
-def _add(pdf):
-    total = sum(np.frombuffer(x, np.int64) for x in pdf["counts"])
-    return pdf.head(1).assign(counts=[total.tobytes()])
+    `held` maps a digest to a set; `rows` are (doc_id, key, n, digest) of all documents.
+    """
+    names = sorted(held)
+    sets = [held[d] for d in names]
+    tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    tokens = (tokens >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
+    owner = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(x) for x in sets])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    number = hashlib.blake2b(pickle.dumps((names, rows)), digest_size=16).digest()
+    home = number[0] & ((1 << bits) - 1)
+    edge = np.searchsorted(tokens >> (TOKEN_BITS - bits), np.arange((1 << bits) + 1))
+    for part in range(1 << bits):
+        a, b = edge[part], edge[part + 1]
+        if a == b and part != home:
+            continue
+        steps = np.diff(tokens[a:b])
+        wide = bool(len(steps) and steps.max() >= 1 << 32)
+        yield (
+            part,
+            number,
+            int(tokens[a]) if b > a else None,
+            steps.astype(np.uint64 if wide else np.uint32).tobytes(),
+            wide,
+            owner[a:b].astype(np.uint32 if len(sets) > 65535 else np.uint16).tobytes(),
+            pickle.dumps((names, [len(x) for x in sets], rows)) if part == home else None,
+        )
 
 
-def shingle_counts(docs: DataFrame):
-    """Bucket counts over all documents: 2 ** SKETCH_BITS numbers, added in two steps."""
-    kind = "part int, task int, counts binary"
-    parts = docs.select("text").mapInArrow(_sketch, kind)
-    parts = parts.groupBy("part", "task").applyInPandas(_add, kind)
-    parts = parts.groupBy("part").applyInPandas(_add, kind)
-    got = {r["part"]: np.frombuffer(r["counts"], np.int64) for r in parts.toLocalIterator()}
-    if not got:
-        return np.zeros(1 << SKETCH_BITS, np.int64)
-    return np.concatenate([got[p] for p in range(SKETCH_PARTS)])
+def _as_batch(rows):
+    kinds = [pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.binary()]
+    names = [x.split()[0] for x in _SENT.split(", ")]
+    cols = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
 
-def _signatures(counts):
-    mask = np.uint64((1 << SKETCH_BITS) - 1)
+def _send(bits, chunk_shingles, read):
+    """Chunks of the documents that `read` gives as (doc_id, key, set) of a batch."""
 
     def run(batches):
-        order = counts.value
-        seen = set()
+        held, rows, size = {}, [], 0
         for batch in batches:
-            sizes, digests, prefixes = [], [], []
-            for s in shingle_sets(batch.column("text")):
-                n = len(s)
-                d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                sizes.append(n)
-                digests.append(d)
-                if n < 6 or d in seen:  # below six shingles only equal sets link
-                    prefixes.append(None)
-                else:
-                    if len(seen) < 1_000_000:  # saves repeats; equal sets are combined in Spark anyway
-                        seen.add(d)
-                    first = np.lexsort((s, order[(s & mask).astype(np.int64)]))
-                    prefixes.append(s[first[: n - least_overlap(n) + 1]].view(np.int64))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "key": batch.column("key"),
-                    "n": pa.array(sizes, pa.int64()),
-                    "digest": pa.array(digests, pa.binary()),
-                    "prefix": pa.array(prefixes, pa.list_(pa.int64())),
-                }
-            )
+            for doc_id, key, s in read(batch):
+                d = digest(s)
+                rows.append((doc_id, key, len(s), d))
+                if len(s) >= 6 and d not in held:  # below six shingles only equal sets link
+                    held[d] = s
+                    size += len(s)
+                if size >= chunk_shingles or len(rows) >= 50_000:
+                    yield _as_batch(list(_chunk(held, rows, bits)))
+                    held, rows, size = {}, [], 0
+        if rows:
+            yield _as_batch(list(_chunk(held, rows, bits)))
+
+    return run
+
+
+def _from_text(batch):
+    keys = zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), strict=True)
+    for (doc_id, key), s in zip(keys, shingle_sets(batch.column("text")), strict=True):
+        yield doc_id, key, s
+
+
+def _from_sets(batch):
+    for s in batch.column("shingles").to_pylist():
+        yield None, None, np.frombuffer(s, np.uint64)
+
+
+_BACK = "chunk binary, owner binary, tokens binary, counts binary, rows binary"
+
+
+def _count_range(with_tokens):
+    def run(pdf):
+        tokens, owners, chunk = [], [], []
+        for i, r in enumerate(pdf.itertuples()):
+            wide = np.dtype(np.uint64 if r.wide else np.uint32)
+            steps = np.frombuffer(r.steps, wide)
+            n = 0 if r.first is None or r.first != r.first else len(steps) + 1
+            t = np.zeros(n, np.int64)
+            if n:
+                t[0] = int(r.first)
+                t[1:] = steps
+            owner = np.frombuffer(r.owner, np.uint32 if len(r.owner) == 4 * n else np.uint16)
+            tokens.append(np.cumsum(t))
+            owners.append(owner.astype(np.int64))
+            chunk.append(np.full(n, i))
+        tokens, owners, chunk = map(np.concatenate, (tokens, owners, chunk))
+        order = np.argsort(tokens, kind="stable")
+        new = np.append(True, np.diff(tokens[order]) > 0) if len(order) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(order)))
+        count = np.empty(len(order), np.int64)
+        count[order] = np.repeat(times, times)
+        shared = count > 1
+        out = []
+        at = np.searchsorted(chunk, np.arange(len(pdf) + 1))
+        for i, r in enumerate(pdf.itertuples()):
+            mine = slice(at[i], at[i + 1])
+            keep = shared[mine]
+            own = owners[mine][keep]
+            if with_tokens:
+                row = own.astype(np.uint32).tobytes(), tokens[mine][keep].tobytes(), count[mine][keep].tobytes()
+            else:
+                who, many = np.unique(own, return_counts=True)
+                row = who.astype(np.uint32).tobytes(), b"", many.tobytes()
+            out.append((r.chunk, *row, r.rows))
+        return pd.DataFrame(out, columns=["chunk", "owner", "tokens", "counts", "rows"])
 
     return run
 
 
+def _documents(pdf):
+    """All documents of a chunk: whether their sets may link with others."""
+    names, sizes, rows = next(pickle.loads(x) for x in pdf["rows"] if x is not None)
+    shared = np.zeros(len(names), np.int64)
+    for r in pdf.itertuples():
+        np.add.at(shared, np.frombuffer(r.owner, np.uint32), np.frombuffer(r.counts, np.int64))
+    # A chunk's content may occur twice; then every count is there twice as well.
+    times = max(1, sum(x is not None for x in pdf["rows"]))
+    may = {d: n - k // times < prefix_length(n) for d, n, k in zip(names, sizes, shared, strict=True)}
+    out = [(i, k, n, d, may.get(d, False)) for i, k, n, d in rows] * times
+    return pd.DataFrame(out, columns=["doc_id", "key", "n", "digest", "may_link"]).astype({"doc_id": "Int64"})
+
+
+def _prefixes(pdf):
+    """Shared shingles in the prefix of every set of a chunk."""
+    names, sizes, _ = next(pickle.loads(x) for x in pdf["rows"] if x is not None)
+    owner = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["owner"]]).astype(np.int64)
+    tokens = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["tokens"]])
+    count = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["counts"]])
+    order = np.lexsort((tokens, count, owner))
+    owner, tokens = owner[order], tokens[order]
+    at = np.searchsorted(owner, np.arange(len(names) + 1))
+    out = []
+    for i, (d, n) in enumerate(zip(names, sizes, strict=True)):
+        k = int(at[i + 1] - at[i])
+        some = prefix_length(n) - (n - k)
+        if some > 0:
+            out.append((d, n, tokens[at[i] : at[i] + some]))
+    return pd.DataFrame(out, columns=["digest", "n", "prefix"])
+
+
+def _ranges(total: int, range_bytes: int) -> int:
+    """Bits of the number of ranges for that many bytes of text."""
+    return min(20, max(0, (max(1, total) // range_bytes).bit_length()))
+
+
 def _sets_of(flags):
     def run(batches):
         wanted = flags.value
@@ -160,9 +250,7 @@ def _sets_of(flags):
                 got = list(shingle_sets(some.slice(i, 2000)))
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "digest": pa.array(
-                            [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in got], pa.binary()
-                        ),
+                        "digest": pa.array([digest(s) for s in got], pa.binary()),
                         "shingles": pa.array([s.tobytes() for s in got], pa.binary()),
                     }
                 )
@@ -406,17 +494,23 @@ def _hot_edges(sets: DataFrame, most_sets: int, most_shingles: int) -> DataFrame
 
 
 def link_components(
-    docs: DataFrame, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES
+    docs: DataFrame,
+    block_sets: int = BLOCK_SETS,
+    block_shingles: int = BLOCK_SHINGLES,
+    chunk_shingles: int = CHUNK_SHINGLES,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     text = F.col("text").cast("string").alias("text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    counts = spark.sparkContext.broadcast(shingle_counts(docs))
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    sent = keyed.mapInArrow(_send(_ranges(total, range_bytes), chunk_shingles, _from_text), _SENT)
+    counted = sent.groupBy("part").applyInPandas(_count_range(False), _BACK)
     signed = cut(
-        keyed.mapInArrow(
-            _signatures(counts), "doc_id long, key long, n long, digest binary, prefix array<long>"
+        counted.groupBy("chunk").applyInPandas(
+            _documents, "doc_id long, key long, n long, digest binary, may_link boolean"
         ),
         "signatures",
     )
@@ -427,34 +521,37 @@ def link_components(
             F.count("*").alias("copies"),
             F.max("n").alias("n"),
             F.min(F.struct("doc_id", "key")).alias("at"),
-            F.first("prefix", ignorenulls=True).alias("prefix"),
+            F.max("may_link").alias("may_link"),
         ),
         "sets",
     )
-    # 64 bits of the digest: equal numbers of different sets only make blocks larger.
-    rid = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("rid")
-    tokens = sets.filter("n >= 6").select(rid, F.explode("prefix").alias("token"))
-    shared = (
-        tokens.groupBy("token")
-        .agg(F.min("rid").alias("lead"), F.max("rid").alias("last"))
-        .filter("lead != last")
-        .drop("last")
+    left = sets.filter("may_link")
+    slots = left.select((F.col("at.key").bitwiseAND((1 << FLAG_BITS) - 1)).alias("slot")).distinct()
+    flags = np.zeros(1 << FLAG_BITS, bool)
+    for r in slots.toLocalIterator():
+        flags[r["slot"]] = True
+    shingles = keyed.mapInArrow(_sets_of(spark.sparkContext.broadcast(flags)), "digest binary, shingles binary")
+    held = shingles.dropDuplicates(["digest"]).join(left.select("digest", "n"), "digest")
+    held = cut(held, "held")
+    left_bytes = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * 8
+    sent = held.mapInArrow(_send(_ranges(left_bytes, range_bytes), chunk_shingles, _from_sets), _SENT)
+    counted = sent.groupBy("part").applyInPandas(_count_range(True), _BACK)
+    prefixes = cut(
+        counted.groupBy("chunk").applyInPandas(_prefixes, "digest binary, n long, prefix array<long>"), "prefixes"
     )
-    edges = tokens.join(shared.hint("shuffle_hash"), "token").filter("rid != lead").select("rid", "lead")
+    # 60 bits of the digest: equal numbers of different sets only make blocks larger.
+    rid = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("rid")
+    tokens = prefixes.select(rid, F.explode("prefix").alias("token"))
+    lead = tokens.groupBy("token").agg(F.min("rid").alias("lead"))
+    edges = tokens.join(lead.hint("shuffle_hash"), "token").filter("rid != lead").select("rid", "lead")
     blocks = components(edges, "rid", "lead")
     members = cut(
-        sets.select(rid, "digest", "n", F.col("at.key").alias("key"))
-        .filter("n >= 6")
+        prefixes.select(rid, "digest", "n")
         .join(blocks.select(F.col("node").alias("rid"), F.col("root").alias("block")), "rid")
         .drop("rid"),
         "members",
     )
-    slots = members.select((F.col("key").bitwiseAND((1 << FLAG_BITS) - 1)).alias("slot")).distinct()
-    flags = np.zeros(1 << FLAG_BITS, bool)
-    for r in slots.toLocalIterator():
-        flags[r["slot"]] = True
-    shingles = keyed.mapInArrow(_sets_of(spark.sparkContext.broadcast(flags)), "digest binary, shingles binary")
-    held = members.join(shingles.dropDuplicates(["digest"]), "digest").drop("key")
+    held = members.join(held.drop("n"), "digest")
     sizes = members.groupBy("block").agg(F.count("*").alias("k"), F.sum("n").alias("t"))
     hot = cut(
         sizes.filter((F.col("k") > block_sets) | (F.col("t") > block_shingles)).select("block"), "hot-blocks"
@@ -462,7 +559,6 @@ def link_components(
     if hot.isEmpty():
         roots = _search(held.withColumn("side", F.lit(0)))
     else:
-        held = cut(held, "held")
         calm = held.join(hot, "block", "left_anti")
         roots = _search(calm.withColumn("side", F.lit(0)))
         busy = _hot_edges(cut(held.join(hot, "block", "left_semi"), "busy"), block_sets, block_shingles)
