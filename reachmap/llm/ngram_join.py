@@ -51,6 +51,8 @@ TOKEN_BITS = 48  # of a shingle's hash; equal numbers of different ones only add
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 4_000_000
 PIVOT_ROUNDS = 6
+# Hashes of rows that go are broadcast up to this many, 8 bytes each; above it they are shuffled.
+BROADCAST_KEYS = 1_000_000
 # Texts of block members are found again through this many flags.
 FLAG_BITS = 20
 
@@ -493,14 +495,14 @@ def _hot_edges(sets: DataFrame, most_sets: int, most_shingles: int) -> DataFrame
     return edges
 
 
-def link_components(
+def _with_components(
     docs: DataFrame,
     block_sets: int = BLOCK_SETS,
     block_shingles: int = BLOCK_SHINGLES,
     chunk_shingles: int = CHUNK_SHINGLES,
     range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+    """doc_id, key (a hash of id and text), n (size of the set) and component_id of every row."""
     spark = docs.sparkSession
     text = F.col("text").cast("string").alias("text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
@@ -577,11 +579,12 @@ def link_components(
     )
     # An empty set links with nothing; without a group a document stands alone.
     return (
-        signed.select("doc_id", "n", "digest")
+        signed.select("doc_id", "key", "n", "digest")
         .join(groups, "digest", "left")
         .select(
             "doc_id",
-            F.col("n").alias("n_shingles"),
+            "key",
+            "n",
             F.when(F.col("n") == 0, F.col("doc_id"))
             .otherwise(F.coalesce("component_id", "doc_id"))
             .alias("component_id"),
@@ -589,5 +592,34 @@ def link_components(
     )
 
 
+def link_components(docs: DataFrame, **limits) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return _with_components(docs, **limits).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` without near copies: of each component the row with the smallest id.
+
+    Rows with a null id, and rows without words, stay. Of several rows with the
+    smallest id one stays: that with the smallest hash of id and text, and of
+    rows alike in both the one whose other columns come first.
+    """
+    found = cut(_with_components(docs), "near-copies").filter("n > 0 and doc_id is not null")
+    first = found.filter("doc_id = component_id").groupBy("component_id").agg(F.min("key").alias("win"))
+    gone = found.join(first, "component_id").filter("doc_id != component_id or key != win").select("key")
+    gone = cut(gone.distinct(), "gone")
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    names = docs.columns
+    rows = docs.withColumn("_key", F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string")))
+    rows = rows.join(gone.withColumnRenamed("key", "_key"), "_key", "left_anti")
+    alike = found.filter("doc_id = component_id").groupBy("key").agg(F.count("*").alias("k")).filter("k > 1")
+    alike = cut(alike.select(F.col("key").alias("_key")), "alike")
+    if alike.isEmpty():
+        return rows.select(*names)
+    one = rows.join(alike, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*names)).alias("r"))
+    return rows.join(alike, "_key", "left_anti").select(*names).unionByName(one.select("r.*"))
+
+
 def op3_ngram_join(spark, sf_dir):
     return link_components(table(spark, sf_dir, "documents"))

@@ -2,6 +2,7 @@
 
 from .decontam import op5_decontamination
 from .dedup import OP10_SQL, op10_exact_dedup
+from .html_main import op2_html_main
 from .langid import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .ngram_join import op3_ngram_join
@@ -14,6 +15,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity,
+        op2_html_main,
         op3_ngram_join,
         op4_language_id,
         op5_decontamination,
