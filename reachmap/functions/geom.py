@@ -100,7 +100,7 @@ def mercator(p: Column) -> Column:
     """Degrees to spherical Web-Mercator metres."""
     return point(
         F.radians(p["x"]) * EARTH_RADIUS_M,
-        F.ln(F.tan(F.lit(pi / 4) + F.radians(clamp_lat(p["y"])) / 2)) * EARTH_RADIUS_M,
+        F.ln(F.tan(F.lit(pi / 4) + F.radians(p["y"]) / 2)) * EARTH_RADIUS_M,
     )
 
 

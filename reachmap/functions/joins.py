@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot when it holds more than 1 / HOT_SHARE of the rows, so there can
 # be at most HOT_SHARE hot keys however large the table is.
@@ -21,6 +22,12 @@ def _all_set(df: DataFrame, keys) -> Column:
     return cond
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns of simple types: a geometry would be slow to hash, a map cannot be."""
+    simple = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    return simple or [F.lit(0)]
+
+
 def hot_keys(df: DataFrame, on) -> DataFrame:
     """Keys with more than 1 / HOT_SHARE of the rows: at most HOT_SHARE rows."""
     keys = _keys(on)
@@ -44,7 +51,7 @@ def spread_join(many: DataFrame, one: DataFrame, on, how: str = "left") -> DataF
     # No random number: a retried task must put each row into the same slice.
     # The row contents spread rows of one task, the task number spreads copies.
     slice_of_row = F.pmod(
-        F.xxhash64(*many.columns) + F.spark_partition_id(), F.lit(SLICES)
+        F.xxhash64(*_hashable(many)) + F.spark_partition_id(), F.lit(SLICES)
     ).cast("int")
     missing = ~_all_set(many, keys)
     left = many.join(hot, keys, "left").withColumn(

@@ -108,7 +108,10 @@ def simple_outline(outline: DataFrame) -> DataFrame:
 
     Such polygons overlap; their outline has an area but no rings.
     """
-    overlap = F.raise_error(F.lit("polygons of one key overlap; rings are undefined"))
+    where = F.to_json(F.struct(*[c for c in outline.columns if c != "mult"]))
+    overlap = F.raise_error(
+        F.concat(F.lit("polygons of one key overlap; rings are undefined at "), where)
+    )
     return outline.withColumn("mult", F.when(F.col("mult") == 1, F.lit(1)).otherwise(overlap))
 
 
@@ -304,34 +307,88 @@ def trace_rings(edges: np.ndarray) -> list[np.ndarray]:
 
 
 def ring_area2(ring: np.ndarray) -> int:
-    p = (ring - ring[0]).astype(object)
+    p = ring - ring[0]
+    # beyond this a sum of products may not fit 64 bits
+    if int(np.abs(p).max()) ** 2 * len(p) * 2 >= 1 << 62:
+        p = p.astype(object)
     return int((p[:-1, 0] * p[1:, 1] - p[1:, 0] * p[:-1, 1]).sum())
 
 
-def _inside(x: float, y: float, ring: np.ndarray) -> bool:
-    """Point in ring by crossing number."""
-    ax, ay, bx, by = ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1]
-    cross = (ay > y) != (by > y)
-    ax, ay, bx, by = (c[cross].astype(float) for c in (ax, ay, bx, by))
-    return bool(np.count_nonzero(x < ax + (y - ay) * (bx - ax) / (by - ay)) % 2)
+def ring_parents(rings: list[np.ndarray], area2: list[int]) -> list[int]:
+    """For each ring the ring directly around it, -1 if there is none.
+
+    From a point just outside of a ring, the nearest edge to the left belongs to
+    the ring around it or to one beside it, whose own ring around is the same.
+    Edges are listed by slabs of y, so a point looks at few of them.
+    """
+    n = len(rings)
+    # The first edge from the leftmost vertex on: what is left of it begins further left.
+    at = [0 if r[0, 0] <= r[:, 0].min() else int(r[:-1, 0].argmin()) for r in rings]
+    (x0, y0), (x1, y1) = (np.array([r[k + j] for r, k in zip(rings, at)], dtype=float).T for j in (0, 1))
+    length = np.hypot(x1 - x0, y1 - y0)
+    # inside lies to the left of every edge; outside of a shell to its right, of a hole to its left
+    side = np.where(np.array(area2) > 0, 1e-3, -1e-3)
+    px = x0 + ((x1 - x0) * 0.25 + (y1 - y0) * side) / length
+    py = y0 + ((y1 - y0) * 0.25 - (x1 - x0) * side) / length
+    a = np.concatenate([r[:-1] for r in rings]).astype(float)
+    b = np.concatenate([r[1:] for r in rings]).astype(float)
+    of = np.repeat(np.arange(n), [len(r) - 1 for r in rings])
+    slanted = a[:, 1] != b[:, 1]
+    a, b, of = a[slanted], b[slanted], of[slanted]
+    low, high = np.minimum(a[:, 1], b[:, 1]), np.maximum(a[:, 1], b[:, 1])
+    borders = np.unique(np.quantile(low, np.linspace(0, 1, max(2, len(low) // 32))))
+    s0 = np.maximum(np.searchsorted(borders, low, "right") - 1, 0)
+    s1 = np.maximum(np.searchsorted(borders, high, "right") - 1, 0)
+    count = s1 - s0 + 1
+    edge = np.repeat(np.arange(len(of)), count)
+    slab = np.repeat(s0, count) + np.arange(len(edge)) - np.repeat(np.cumsum(count) - count, count)
+    order = np.argsort(slab, kind="stable")
+    edge = edge[order]
+    begin = np.searchsorted(slab[order], np.arange(len(borders) + 1))
+    mine = np.clip(np.searchsorted(borders, py, "right") - 1, 0, len(borders) - 1)
+    near, within = np.full(n, -1), np.zeros(n, bool)
+    points = np.argsort(mine, kind="stable")
+    for own in np.split(points, np.flatnonzero(np.diff(mine[points])) + 1):
+        e = edge[begin[mine[own[0]]] : begin[mine[own[0]] + 1]]
+        some = max(1, 1_000_000 // max(1, len(e)))
+        for k in range(0, len(own) if len(e) else 0, some):
+            i = own[k : k + some]
+            y = py[i][:, None]
+            x = a[e, 0] + (y - a[e, 1]) * (b[e, 0] - a[e, 0]) / (b[e, 1] - a[e, 1])
+            x[(y < low[e]) | (y >= high[e]) | (x >= px[i][:, None])] = -np.inf
+            best = x.argmax(1)
+            hit = x[np.arange(len(i)), best] > -np.inf
+            near[i[hit]] = of[e[best[hit]]]
+            # a downward edge has the inside to its right
+            within[i[hit]] = b[e[best[hit]], 1] < a[e[best[hit]], 1]
+    shell = np.array(area2) > 0
+    parent = np.full(n, -2)  # not known yet
+    for i in np.argsort(px):
+        chain, r = [], i
+        while r >= 0 and parent[r] == -2:  # beside it: what is around the one is around the other
+            parent[r] = -1  # also ends a chain that comes back to itself
+            chain.append(r)
+            up, inner = near[r], within[r]
+            if up < 0 or shell[up] == inner:
+                parent[r] = up
+                break
+            r = up
+        parent[chain] = parent[chain[-1]] if r in chain[-1:] else parent[r]
+    return parent.tolist()
 
 
 def nest_rings(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
-    """Polygons of a shell and its holes: a hole goes to the smallest shell around it."""
-    sized = [(ring_area2(r), r) for r in rings]
-    shells = sorted((a, i) for i, (a, _) in enumerate(sized) if a > 0)
-    polygons = {i: [sized[i][1]] for _, i in shells}
-    for a, hole in sized:
-        if a >= 0:
-            continue
-        # a point just left of the first edge lies outside the hole, within its shell
-        (x0, y0), (x1, y1) = hole[0].astype(float), hole[1].astype(float)
-        length = np.hypot(x1 - x0, y1 - y0)
-        px = (x0 + x1) / 2 - (y1 - y0) / length * 1e-3
-        py = (y0 + y1) / 2 + (x1 - x0) / length * 1e-3
-        owner = next((i for _, i in shells if _inside(px, py, sized[i][1])), None)
-        if owner is None:
-            polygons[len(sized) + len(polygons)] = [hole]
-        else:
-            polygons[owner].append(hole)
+    """Polygons of a shell and its holes: a hole goes to the shell around it."""
+    if not rings:
+        return []
+    area2 = [ring_area2(r) for r in rings]
+    polygons = {i: [r] for i, r in enumerate(rings) if area2[i] > 0}
+    if len(polygons) < len(rings):
+        for i, up in enumerate(ring_parents(rings, area2)):
+            if area2[i] > 0:
+                continue
+            if up in polygons:
+                polygons[up].append(rings[i])
+            else:
+                polygons[i] = [rings[i]]
     return list(polygons.values())

@@ -11,7 +11,12 @@ KEY = ["block_code", "hoconum", "tech_code"]
 
 
 def consumer_filings(filings: DataFrame) -> DataFrame:
-    return filings.filter(F.col("consumer") == 1).drop("consumer")
+    """Filings for consumers. A NaN speed is missing: it would pass every threshold."""
+    kept = filings.filter(F.col("consumer") == 1).drop("consumer")
+    missing = F.lit(None).cast("double")
+    return kept.withColumns(
+        {c: F.nanvl(F.col(c), missing) for c in ("max_ad_down", "max_ad_up") if c in kept.columns}
+    )
 
 
 def filings_with_pop(filings: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -160,8 +160,8 @@ def numprov_capped(counts: DataFrame, cap: int = 3, classes=TECH_CLASSES) -> Dat
 
 
 def numprov_int8(counts: DataFrame, classes=TECH_CLASSES) -> DataFrame:
-    """Counts as TINYINT; a count that does not fit saturates instead of wrapping."""
-    return _map_counts(counts, "cast(least(`{}`, 127L) as tinyint)", classes)
+    """Counts narrowed to INT, which no count outgrows; a byte would not hold them all."""
+    return _map_counts(counts, "cast(`{}` as int)", classes)
 
 
 def _map_counts(counts: DataFrame, expr: str, classes) -> DataFrame:

@@ -46,7 +46,11 @@ def provider_pop_by_tech(filings: DataFrame, blocks: DataFrame, unmatched=POISON
 
 
 def provider_pop_all(filings: DataFrame, blocks: DataFrame, unmatched=POISON) -> DataFrame:
-    d2 = max_speed_by(consumer_filings(filings), KEY[:2])
+    """Grain 'all': a filing without a technology code adds its block but no speed."""
+    known = F.col("tech_code").isNotNull()
+    f = consumer_filings(filings)
+    f = f.withColumns({c: F.when(known, F.col(c)) for c in ("max_ad_down", "max_ad_up")})
+    d2 = max_speed_by(f, KEY[:2])
     return with_pop(d2, blocks).groupBy("hoconum").agg(*threshold_sums(unmatched))
 
 

@@ -13,6 +13,8 @@ from ..functions import geom as G
 from .dissolve import outline_edges
 
 TILE = ["layer", "z", "x", "y"]
+# what a kept feature took in: number, size and cost
+FOLDED = ["folded_n", "folded_size", "folded_cost"]
 # resolution of a tile without extra detail: 2^12 units per side
 BASE_DETAIL = 12
 
@@ -243,6 +245,7 @@ def coalesce_tiles(cover: DataFrame, attrs: list[str], feature_id: str) -> DataF
         F.min("miny").alias("miny"),
         F.max("maxx").alias("maxx"),
         F.max("maxy").alias("maxy"),
+        *[F.sum(c).cast("bigint").alias(c) for c in FOLDED if c in cover.columns],
     )
 
 
@@ -252,7 +255,8 @@ def thin_tiles(
     """Largest features of each tile whose summed `cost` fits the budget.
 
     Order is size descending, then id; a feature is kept while the running cost
-    up to and including it stays within the budget. Adds `run_cost`.
+    up to and including it stays within the budget. The first is always kept,
+    so no tile is emptied by a feature above the budget. Adds `run_cost`.
 
     A hot tile is not ranked in one task: zoom 0 has a single tile. Its features
     are ranked within slices by id first, then within ever fewer slices, and
@@ -280,7 +284,9 @@ def thin_tiles(
             .filter(F.col("_run") - F.col("cost") <= budget)
         )
     rows = rows.drop("_hash", "_slice", "_run")
-    return rows.withColumn("run_cost", running(*TILE)).filter(F.col("run_cost") <= budget)
+    first = F.row_number().over(Window.partitionBy(*TILE).orderBy(*rank)) == 1
+    ranked = rows.withColumn("run_cost", running(*TILE)).withColumn("_first", first)
+    return ranked.filter((F.col("run_cost") <= budget) | F.col("_first")).drop("_first")
 
 
 def fold_smallest(
@@ -352,7 +358,7 @@ def fold_smallest(
         )
     )
     return kept.join(folded, TILE + [feature_id], "left").fillna(
-        0, subset=["folded_n", "folded_size", "folded_cost"]
+        0, subset=FOLDED
     )
 
 
@@ -365,10 +371,8 @@ def tile_union(*bands: DataFrame) -> DataFrame:
 
 
 def xl_block_tiles(large: DataFrame, bands=XL_BLOCK_BANDS) -> DataFrame:
-    """Large blocks from their own minimum zoom on, without that attribute."""
-    shown = zoom_plan_features(large.withColumn("level", F.lit("xl_block")), bands).filter(
-        F.col("z") >= F.col("min_zoom")
-    )
+    """All large blocks at the zooms of their bands, without the attribute `min_zoom`."""
+    shown = zoom_plan_features(large.withColumn("level", F.lit("xl_block")), bands)
     return tile_cover(shown).drop("min_zoom")
 
 
@@ -391,8 +395,11 @@ def speed_layer(
     `features` have (level, feature_id, box, size, cost) and the attributes.
     Thinned bands fold small features into kept ones, coalescing bands merge
     what is left by attribute, the others list every feature. Where a band
-    drops the id attribute, `feature_id` is null; `ord` keeps the order.
+    drops the id attribute, `feature_id` is null; `ord` keeps the order. What
+    folded into a row is on it: `folded_n`, `folded_size`, `folded_cost`; a
+    tile's `n_features` and `folded_n` together are all features it covers.
     """
+    none = F.lit(0).cast("bigint")
     shown = tile_cover(zoom_plan_features(features, bands)).withColumn("layer", F.lit(layer))
     columns = [*TILE, "level", "ord", "feature_id", *attrs, "minx", "miny", "maxx", "maxy"]
     no_id = F.lit(None).cast("string")
@@ -401,12 +408,14 @@ def speed_layer(
         rows = shown.filter(F.col("thin") == thin)
         if thin:
             rows = fold_smallest(rows, budget, "feature_id")
+        else:
+            rows = rows.withColumns({c: none for c in FOLDED})
         if any(b.coalesce for b in bands if b.thin == thin):
             merged = coalesce_tiles(rows.filter("coalesce"), ["level", *attrs], "feature_id")
-            out.append(merged.withColumn("feature_id", no_id).select(*columns, "n_features"))
+            out.append(merged.withColumn("feature_id", no_id).select(*columns, "n_features", *FOLDED))
             rows = rows.filter("not coalesce")
         listed = rows.withColumn("ord", F.col("feature_id")).withColumn(
             "feature_id", F.when(F.col("drop_attr").isNull(), F.col("feature_id"))
         )
-        out.append(listed.select(*columns, F.lit(1).cast("bigint").alias("n_features")))
+        out.append(listed.select(*columns, F.lit(1).cast("bigint").alias("n_features"), *FOLDED))
     return tile_union(*out)

@@ -30,8 +30,8 @@ from ..sources.schemas import FILING_HEADERS
 TIER = next(t for t in TIERS if t.name == "25_3")
 ALL_TECH = "".join(TECH_CLASSES)
 # base-map zoom ranges and budgets are job parameters; these suit the test data
-BASE_ZOOMS = {"state": (3, 6), "county": (5, 8)}
-THIN_BUDGET = 1000
+BASE_ZOOMS = {"state": (3, 6), "county": (5, 8), "cd115": (4, 7)}
+THIN_BUDGET = 150
 BLOCK_COST = 5
 
 QUERIES = {}
@@ -48,14 +48,16 @@ def scan_filings(spark, sf):
     path = scratch_path(spark, "filings")
     headers = {n: h for h, (n, _) in FILING_HEADERS.items()}
     full = fx.filings(spark, sf).withColumn("State", state_of("block_code"))
-    writers.write_csv(full, path, headers=headers)
-    return readers.read_filings(spark, path, [*FILING_HEADERS, "State"])
+    # read by name: the file has its columns in another order
+    writers.write_csv(full, path, columns=sorted(full.columns, reverse=True), headers=headers)
+    return readers.read_filings(spark, path)
 
 
 @query
 def scan_blocks(spark, sf):
     path = scratch_path(spark, "blocks")
-    writers.write_csv(fx.blocks(spark, sf), path)
+    blocks = fx.blocks(spark, sf)
+    writers.write_csv(blocks, path, columns=sorted(blocks.columns))
     return readers.read_blocks(spark, path)
 
 
@@ -72,7 +74,8 @@ def scan_numprov_dir(spark, sf):
 @query
 def scan_large_blocks(spark, sf):
     path = scratch_path(spark, "large")
-    writers.write_csv(fx.large_blocks(spark, sf), path, sep="|", quote="'", quoteAll=True)
+    columns = ["y_zoom", "block_fips", "x_zoom"]
+    writers.write_csv(fx.large_blocks(spark, sf), path, columns, sep="|", quote="'", quoteAll=True)
     return readers.read_large_blocks(spark, path)
 
 
@@ -87,9 +90,21 @@ def _geojson_round_trip(spark, sf, compression):
 
 @query
 def scan_geojson(spark, sf):
-    return geometry.feature_bounds(
-        _geojson_round_trip(spark, sf, "none"), "geoid10", "aland10"
+    """Half of the files have a feature per line, the other half a collection per line."""
+    path = scratch_path(spark, "geojson")
+    lines = writers.geojson_lines(fx.block_geom(spark, sf), ["geoid10", "aland10"])
+    group = F.pmod(F.xxhash64("value"), F.lit(64))
+    single = lines.filter(group < 32)
+    head, tail_ = F.lit('{"type": "FeatureCollection", "features": ['), F.lit("]}")
+    together = (
+        lines.filter(group >= 32)
+        .groupBy(F.pmod(F.xxhash64("value"), F.lit(4096)).alias("g"))
+        .agg(F.concat(head, F.concat_ws(", ", F.collect_list("value")), tail_).alias("value"))
+        .select("value")
     )
+    single.union(together).write.text(path)
+    back = readers.read_geojson(spark, path, "geoid10: string, aland10: bigint")
+    return geometry.feature_bounds(back, "geoid10", "aland10")
 
 
 @query
@@ -634,7 +649,7 @@ def zoom_plan_features(spark, sf):
     planned = tiles.zoom_plan_features(_levels(spark, sf))
     base = geometry.bbox_override(_layer_bounds(spark, sf), geometry.bbox_overrides(spark))
     base = tiles.zoom_plan_features(
-        base.filter(F.col("layer").isin(*BASE_ZOOMS)).select(
+        base.select(
             F.col("layer").alias("level"), F.col("geoid").alias("feature_id"), *geometry.BOX
         ),
         tiles.base_bands(BASE_ZOOMS),
@@ -691,17 +706,29 @@ def tile_coalesce(spark, sf):
 
 
 def _sized_cover(spark, sf):
-    return _block_cover(spark, sf, 8, 11, "aland10").select(
-        F.lit("block").alias("layer"),
-        "z",
-        "x",
-        "y",
+    """Tiles of blocks and counties; the cost is the number of vertices.
+
+    The largest counties cost more than the budget of a tile.
+    """
+    boxes = _lonlat(spark, sf).select(
         "geoid10",
         F.col("aland10").alias("size"),
-        F.lit(BLOCK_COST).cast("bigint").alias("cost"),
-        *geometry.BOX,
+        F.size(G.vertices(F.col("geom"))).cast("bigint").alias("cost"),
+        *G.bounds(F.col("geom")),
+    )
+    counties = boxes.groupBy(county_of("geoid10").alias("geoid10")).agg(
+        F.sum("size").alias("size"),
+        F.sum("cost").alias("cost"),
+        *[f(c).alias(c) for c, f in zip(geometry.BOX, (F.min, F.min, F.max, F.max))],
     )
 
+    def layer(df, name, zmin, zmax):
+        zooms = F.explode(F.sequence(F.lit(zmin), F.lit(zmax)))
+        return df.select(F.lit(name).alias("layer"), "*", zooms.alias("z"))
+
+    cover = tiles.tile_cover(layer(boxes, "block", 5, 14).unionByName(layer(counties, "county", 0, 9)))
+    return cover.select(*tiles.TILE, "geoid10", "size", "cost", *geometry.BOX)
+
 
 @query
 def tile_thin(spark, sf):

@@ -76,21 +76,26 @@ FROM cust JOIN nation ON c_nationkey = n_nationkey""",
     "filing": f"""
 SELECT CASE WHEN l_suppkey % 10 = 0 AND o_custkey % 97 = 0
             THEN '99' || substr(geoid10, 3) ELSE geoid10 END AS block_code,
-  CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS consumer,
-  (130000 + l_suppkey)::INTEGER AS hoconum,
-  ([{_numbers(TECH_CODES)}])[(l_partkey % 15)::INTEGER + 1] AS tech_code,
-  CASE WHEN l_linenumber = 1 THEN l_quantity / 10 ELSE l_extendedprice / 100 END
+  CASE WHEN l_returnflag = 'R' OR o_custkey % 17 = 0 THEN 0 ELSE 1 END AS consumer,
+  CASE WHEN l_orderkey % 89 <> 0 THEN (130000 + l_suppkey)::INTEGER END AS hoconum,
+  CASE WHEN l_orderkey % 83 <> 0
+       THEN ([{_numbers(TECH_CODES)}])[(l_partkey % 15)::INTEGER + 1] END AS tech_code,
+  CASE WHEN l_orderkey % 79 = 0 THEN NULL
+       WHEN l_linenumber = 1 THEN l_quantity / 10 ELSE l_extendedprice / 100 END
     AS max_ad_down,
-  CASE WHEN l_linenumber <= 3
+  CASE WHEN l_orderkey % 73 = 0 THEN NULL WHEN l_linenumber <= 3
        THEN ((l_orderkey * 31 + l_partkey * 17) % 1200)::DOUBLE / 40
        ELSE ((l_orderkey * 31 + l_partkey * 17) % 1200)::DOUBLE END AS max_ad_up
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-JOIN cust ON o_custkey = c_custkey WHERE o_custkey % 17 <> 0""",
+JOIN cust ON o_custkey = c_custkey""",
     "large": """
-SELECT geoid10 AS block_fips, (5 + c_custkey % 6)::INTEGER AS x_zoom,
-  (5 + c_custkey % 5)::INTEGER AS y_zoom
-FROM cust WHERE c_custkey % 29 = 0""",
+SELECT geoid10 AS block_fips,
+  CASE WHEN c_custkey % 29 = 0 THEN (5 + c_custkey % 6)::INTEGER END AS x_zoom,
+  CASE WHEN c_custkey % 29 = 0 OR c_custkey % 31 = 0 THEN (5 + c_custkey % 5)::INTEGER END AS y_zoom
+FROM cust""",
     "cf": "SELECT * EXCLUDE (consumer) FROM filing WHERE consumer = 1",
+    # providers and their maxima know no missing key; block counts take one as 0
+    "known": "SELECT * FROM cf WHERE hoconum IS NOT NULL AND tech_code IS NOT NULL",
     "tech": "SELECT * FROM (VALUES "
     + ", ".join(
         f"({code}, '{c}', {_BITS[c]})" for c, codes in TECH_CLASSES.items() for code in codes
@@ -107,10 +112,14 @@ FROM cust WHERE c_custkey % 29 = 0""",
     + ") t(k, combo)",
     "d1": """
 SELECT block_code, hoconum, tech_code, max(max_ad_down) AS max_down, max(max_ad_up) AS max_up
+FROM known GROUP BY ALL""",
+    "d0": """
+SELECT block_code, coalesce(hoconum, 0) AS hoconum, coalesce(tech_code, 0) AS tech_code,
+  max(max_ad_down) AS max_down, max(max_ad_up) AS max_up
 FROM cf GROUP BY ALL""",
     "cnt": """
 SELECT block_code AS geoid10, tier, k, count(DISTINCT hoconum) AS n
-FROM d1 JOIN tech ON tech_code = code
+FROM d0 JOIN tech ON tech_code = code
 JOIN tier ON max_down >= down AND max_up >= up
 JOIN combo ON k & bit <> 0
 GROUP BY ALL""",
@@ -161,7 +170,7 @@ SELECT geoid10, tract_id, aland10, unnest([
 FROM cell""",
     "provblock": """
 SELECT DISTINCT hoconum, substr(geoid10, 1, 5) AS county_fips, geoid10
-FROM cf JOIN cell ON block_code = geoid10""",
+FROM cf JOIN cell ON block_code = geoid10 WHERE hoconum IS NOT NULL""",
     "footprint": """
 SELECT hoconum, county_fips, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx,
   max(maxy) AS maxy
@@ -268,15 +277,20 @@ FROM ({source}) g LEFT JOIN (SELECT geoid10, pop FROM block) b ON block_code = g
 GROUP BY ALL"""
 
 
-_ALL = "SELECT block_code, hoconum, max(max_ad_down) AS max_down, max(max_ad_up) AS max_up FROM cf GROUP BY ALL"
+_ALL = "SELECT block_code, hoconum, max(max_ad_down) AS max_down, max(max_ad_up) AS max_up FROM known GROUP BY ALL"
+# a filing without a technology code adds its block to the provider, but no speed
+_ALL_BLOCKS = (
+    "SELECT block_code, hoconum, max(max_ad_down) FILTER (tech_code IS NOT NULL) AS max_down, "
+    "max(max_ad_up) FILTER (tech_code IS NOT NULL) AS max_up FROM cf WHERE hoconum IS NOT NULL GROUP BY ALL"
+)
 _CLASSES = "\nUNION ALL\n".join(
     f"SELECT block_code, hoconum, '{g}' AS tech, max(max_ad_down) AS max_down, "
-    f"max(max_ad_up) AS max_up FROM cf WHERE tech_code IN ({_numbers(codes)}) GROUP BY ALL"
+    f"max(max_ad_up) AS max_up FROM known WHERE tech_code IN ({_numbers(codes)}) GROUP BY ALL"
     for g, codes in PROVIDER_GROUPS.items()
 )
 _PROVIDER_TABLE = (
-    _with("block", "cf", "d1")
-    + _provider_grain(f"SELECT *, 'all' AS tech FROM ({_ALL})", "hoconum, tech")
+    _with("block", "cf", "known", "d1")
+    + _provider_grain(f"SELECT *, 'all' AS tech FROM ({_ALL_BLOCKS})", "hoconum, tech")
     + " UNION ALL "
     + _provider_grain(_CLASSES, "hoconum, tech")
     + " UNION ALL "
@@ -381,13 +395,21 @@ SELECT *, unnest(range(zmin, zmax + 1))::INTEGER AS z
 FROM {source} JOIN {_bands(bands)} USING (level)"""
 
 
+_COUNTIES = f"""(SELECT substr(geoid10, 1, 5) AS geoid10, sum(aland10)::BIGINT AS aland10,
+  (count(*) * {BLOCK_COST})::BIGINT AS cost, min(minx) AS minx, min(miny) AS miny,
+  max(maxx) AS maxx, max(maxy) AS maxy FROM degree GROUP BY ALL)"""
 _SIZED = f"""
 SELECT 'block' AS layer, z, x, y, geoid10, aland10 AS size, {BLOCK_COST}::BIGINT AS cost,
   minx, miny, maxx, maxy
-FROM ({_cover(_zoomed(8, 11), "geoid10, aland10, minx, miny, maxx, maxy")})"""
+FROM ({_cover(_zoomed(5, 14), "geoid10, aland10, minx, miny, maxx, maxy")})
+UNION ALL
+SELECT 'county', z, x, y, geoid10, aland10, cost, minx, miny, maxx, maxy
+FROM ({_cover(_zoomed(0, 9, _COUNTIES), "geoid10, aland10, cost, minx, miny, maxx, maxy")})"""
 _RANKED = f"""
-SELECT *, (sum(cost) OVER (PARTITION BY z, x, y ORDER BY size DESC, geoid10
-  ROWS UNBOUNDED PRECEDING))::BIGINT AS run_cost FROM ({_SIZED})"""
+SELECT *, run_cost <= {THIN_BUDGET} OR place = 1 AS keep FROM (
+  SELECT *, (sum(cost) OVER ranks)::BIGINT AS run_cost, row_number() OVER ranks AS place
+  FROM ({_SIZED})
+  WINDOW ranks AS (PARTITION BY layer, z, x, y ORDER BY size DESC, geoid10 ROWS UNBOUNDED PRECEDING))"""
 
 # position of a box centre among the 8 x 8 cells of its tile
 _CX, _CY = _world("(minx + maxx) / 2", "(miny + maxy) / 2", "z")
@@ -397,16 +419,16 @@ SELECT *, least(greatest(floor(({_CX} - x) * 8), 0), 7)::INTEGER AS gx,
 _FOLD = f"""
 ranked AS ({_CELLED}),
 pair AS (
-  SELECT b.z, b.x, b.y, b.size, b.cost, b.geoid10 AS small, k.geoid10,
-    row_number() OVER (PARTITION BY b.z, b.x, b.y, b.geoid10 ORDER BY
+  SELECT b.layer, b.z, b.x, b.y, b.size, b.cost, b.geoid10 AS small, k.geoid10,
+    row_number() OVER (PARTITION BY b.layer, b.z, b.x, b.y, b.geoid10 ORDER BY
       CASE WHEN b.gx = k.gx AND b.gy = k.gy THEN 3
            WHEN b.gx // 2 = k.gx // 2 AND b.gy // 2 = k.gy // 2 THEN 2
            WHEN b.gx // 4 = k.gx // 4 AND b.gy // 4 = k.gy // 4 THEN 1 ELSE 0 END DESC,
       k.size DESC, k.geoid10) AS choice
   FROM ranked b JOIN ranked k ON b.z = k.z AND b.x = k.x AND b.y = k.y
-    AND b.run_cost > {THIN_BUDGET} AND k.run_cost <= {THIN_BUDGET}),
+    AND b.layer = k.layer AND NOT b.keep AND k.keep),
 folded AS (
-  SELECT z, x, y, geoid10, count(*) AS folded_n, sum(size)::BIGINT AS folded_size,
+  SELECT layer, z, x, y, geoid10, count(*) AS folded_n, sum(size)::BIGINT AS folded_size,
     sum(cost)::BIGINT AS folded_cost
   FROM pair WHERE choice = 1 GROUP BY ALL)"""
 
@@ -454,34 +476,35 @@ def oracles() -> dict[str, str]:
         "FROM filing LEFT JOIN tech ON tech_code = code GROUP BY ALL"
     )
     o["max_speed_block_provider_tech"] = w("d1") + "SELECT * FROM d1"
-    o["max_speed_block_provider"] = w("cf") + _ALL
+    o["max_speed_block_provider"] = w("known") + _ALL
     o["max_speed_block_provider_class"] = (
-        w("cf", "tech")
+        w("known", "tech")
         + "SELECT block_code, hoconum, class AS tech_class, max(max_ad_down) AS max_down, "
-        "max(max_ad_up) AS max_up FROM cf JOIN tech ON tech_code = code GROUP BY ALL"
+        "max(max_ad_up) AS max_up FROM known JOIN tech ON tech_code = code GROUP BY ALL"
     )
     part = "PARTITION BY block_code, hoconum, tech_code"
+    known = "hoconum IS NOT NULL AND tech_code IS NOT NULL"
     o["max_speed_window"] = (
         w("cf")
-        + f"SELECT cf.*, max(max_ad_down) OVER ({part}) AS max_down, "
-        f"max(max_ad_up) OVER ({part}) AS max_up FROM cf"
+        + f"SELECT cf.*, CASE WHEN {known} THEN max(max_ad_down) OVER ({part}) END AS max_down, "
+        f"CASE WHEN {known} THEN max(max_ad_up) OVER ({part}) END AS max_up FROM cf"
     )
 
     o["provider_pop_by_tech"] = w("block", "d1") + _provider_grain(
         "SELECT * FROM d1", "hoconum, tech_code"
     )
-    o["provider_pop_all"] = w("block", "cf") + _provider_grain(_ALL, "hoconum")
-    o["provider_pop_by_class"] = w("block", "cf") + _provider_grain(_CLASSES, "hoconum, tech")
+    o["provider_pop_all"] = w("block", "cf") + _provider_grain(_ALL_BLOCKS, "hoconum")
+    o["provider_pop_by_class"] = w("block", "known") + _provider_grain(_CLASSES, "hoconum, tech")
 
     o["tier_qualified"] = (
-        w("d1")
-        + f"SELECT * FROM d1 WHERE max_down >= {TIER.down} AND max_up >= {TIER.up} "
+        w("d0")
+        + f"SELECT * FROM d0 WHERE max_down >= {TIER.down} AND max_up >= {TIER.up} "
         f"AND tech_code IN ({_numbers(TECH_CLASSES['c'])})"
     )
     o["numprov_25_3_acfosw"] = (
-        w("d1", "spine")
+        w("d0", "spine")
         + f"""SELECT geoid10, count(DISTINCT hoconum) AS nprovs FROM spine LEFT JOIN (
-          SELECT * FROM d1 WHERE max_down >= {TIER.down} AND max_up >= {TIER.up}
+          SELECT * FROM d0 WHERE max_down >= {TIER.down} AND max_up >= {TIER.up}
           AND tech_code IN ({_numbers(c for v in TECH_CLASSES.values() for c in v)})) q
         ON block_code = geoid10 GROUP BY geoid10"""
     )
@@ -501,7 +524,7 @@ def oracles() -> dict[str, str]:
     o["numprov_int8"] = (
         w("wide")
         + "SELECT geoid10, "
-        + ", ".join(f"{q(n)}::TINYINT AS {q(n)}" for n in names)
+        + ", ".join(f"{q(n)}::INTEGER AS {q(n)}" for n in names)
         + " FROM wide"
     )
     o["numprov_export_layout"] = (
@@ -721,14 +744,13 @@ def oracles() -> dict[str, str]:
     )
     o["tile_thin"] = (
         w("degree")
-        + "SELECT * EXCLUDE (minx, miny, maxx, maxy) "
-        f"FROM ({_RANKED}) WHERE run_cost <= {THIN_BUDGET}"
+        + f"SELECT * EXCLUDE (minx, miny, maxx, maxy, keep, place) FROM ({_RANKED}) WHERE keep"
     )
     o["tile_fold_smallest"] = (
         w("degree", recursive=_FOLD.strip())
         + f"""SELECT layer, z, x, y, geoid10, size, cost, coalesce(folded_n, 0) AS folded_n,
           coalesce(folded_size, 0) AS folded_size, coalesce(folded_cost, 0) AS folded_cost
-        FROM ranked LEFT JOIN folded USING (z, x, y, geoid10) WHERE run_cost <= {THIN_BUDGET}"""
+        FROM ranked LEFT JOIN folded USING (layer, z, x, y, geoid10) WHERE keep"""
     )
     o["tile_union"] = (
         w("level")
@@ -742,7 +764,7 @@ def oracles() -> dict[str, str]:
         XL_BLOCK_BANDS,
     )
     o["xl_block_tiles"] = w("degree", "large") + _cover(
-        f"SELECT * FROM ({xl}) WHERE z >= min_zoom", "geoid10"
+        xl, "geoid10"
     )
     prov = _planned(
         f"(SELECT *, CASE WHEN {large} THEN 'prov_lg' ELSE 'prov_other' END AS level "

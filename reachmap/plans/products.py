@@ -19,6 +19,7 @@ from ..constants import (
 )
 from ..functions import geom as G
 from ..functions.keys import county_of, tract_of
+from ..functions.speeds import tier_rank
 from ..operators import (
     area,
     dissolve,
@@ -66,25 +67,35 @@ def statistics(
     return made
 
 
-def exports(made: dict[str, DataFrame], out: str, classes=TECH_CLASSES) -> None:
+def exports(made: dict[str, DataFrame], out: str, classes=TECH_CLASSES, tiers=TIERS) -> None:
     """The CSV files of the statistics."""
     order = ["type", "id", "tech", "speed", "urban_rural", "tribal_non"]
     writers.write_csv(made["provider_table"], f"{out}/csv/provider_table", order=["hoconum", "tech"])
+    # speeds are ordered as numbers, not as text
     writers.write_csv(
-        made["area_table"],
+        made["area_table"].withColumn("tier_rank", tier_rank("tier")),
         f"{out}/csv/area_table",
         columns=[*order, *area.HAS],
-        order=["type", "id", "tech", "tier", "urban_rural", "tribal_non"],
+        order=["type", "id", "tech", "tier_rank", "urban_rural", "tribal_non"],
     )
     layout = ["geoid10", "tier", "h2only_undev", *combo_layout(classes)]
     counts = made["block_numprov"].select(*layout)
     writers.write_numprov_dir(counts, f"{out}/csv/block_numprov_with0")
     blanked = numprov.blank_zeros(counts, "geoid10", "tier")
-    writers.write_numprov_dir(blanked, f"{out}/csv/block_numprov_withnull")
-    for name in ("tract_numprov", "county_numprov"):
+    # one file set per tier, its columns named <combination>_<tier>
+    for tier in tiers:
         writers.write_csv(
-            made[name], f"{out}/csv/{name}", order=["tier", name.replace("numprov", "id")]
+            numprov.export_layout(blanked.filter(F.col("tier") == tier.name), tier.name, classes),
+            f"{out}/csv/block_numprov_withnull/block_numprov_{tier.name}",
+            order=["geoid10"],
         )
+    for name in ("tract_numprov", "county_numprov"):
+        for tier in tiers:
+            writers.write_csv(
+                made[name].filter(F.col("tier") == tier.name).drop("tier"),
+                f"{out}/csv/{name}/{name}_{tier.name}",
+                order=[name.replace("numprov", "id")],
+            )
 
 
 def shapes(
@@ -189,8 +200,9 @@ def map_tiles(
     small = geometry.notbig_tracts(made["tract_area"], threshold).select("tract_id")
 
     def areas(key, name, level):
+        # as the shapes, areas are of land blocks only
         return (
-            boxes.groupBy(key.alias(name))
+            boxes.filter("aland10 > 0").groupBy(key.alias(name))
             .agg(
                 F.sum("aland10").alias("size"),
                 F.sum("cost").cast("bigint").alias("cost"),
@@ -241,8 +253,6 @@ def map_tiles(
         .withColumn("feature_id", F.col("hoconum").cast("string"))
         .drop("hoconum")
     )
-    for i, layer in enumerate(layers):
-        layer.write.mode("overwrite" if i == 0 else "append").partitionBy("layer", "z").parquet(
-            f"{out}/tiles"
-        )
+    # one write: a failure leaves no half of a release
+    writers.write_tiles(tiles.tile_union(*layers), f"{out}/tiles")
     return boxes.sparkSession.read.parquet(f"{out}/tiles")

@@ -1,5 +1,6 @@
 """Session helpers."""
 
+import re
 import tempfile
 import uuid
 
@@ -26,12 +27,15 @@ def local_session(cores="*", app="reachmap", partitions=8) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, named by the session.
 
-    Only a session without one (unit tests) falls back to a temporary folder.
+    A local session (unit tests) without one falls back to a temporary folder;
+    on a cluster executors would not see each other's, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
         if not context.getCheckpointDir():
+            if not re.match(r"local(\[|$)", context.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="reachmap-"))
         folder = context.getCheckpointDir()
     return folder

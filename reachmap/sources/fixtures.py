@@ -87,22 +87,17 @@ def block_hu_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def large_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _customer_blocks(spark, sf_dir)
-        .filter("c_custkey % 29 = 0")
-        .selectExpr(
-            "geoid10 as block_fips",
-            "cast(5 + c_custkey % 6 as int) as x_zoom",
-            "cast(5 + c_custkey % 5 as int) as y_zoom",
-        )
+    """All blocks, most without one zoom or both."""
+    return _customer_blocks(spark, sf_dir).selectExpr(
+        "geoid10 as block_fips",
+        "if(c_custkey % 29 = 0, cast(5 + c_custkey % 6 as int), null) as x_zoom",
+        "if(c_custkey % 29 = 0 or c_custkey % 31 = 0, cast(5 + c_custkey % 5 as int), null) as y_zoom",
     )
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = (
-        table(spark, sf_dir, "orders")
-        .filter("o_custkey % 17 <> 0")
-        .selectExpr("o_orderkey as l_orderkey", "o_custkey as c_custkey")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as l_orderkey", "o_custkey as c_custkey"
     )
     order_block = orders.join(
         _customer_blocks(spark, sf_dir).select("c_custkey", "geoid10"), "c_custkey"
@@ -115,11 +110,14 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr(
             """if(l_suppkey % 10 = 0 and c_custkey % 97 = 0,
                 concat('99', substring(geoid10, 3, 13)), geoid10) as block_code""",
-            "if(l_returnflag = 'R', 0, 1) as consumer",
-            "cast(l_suppkey + 130000 as int) as hoconum",
-            f"array({codes})[cast(l_partkey % 15 as int)] as tech_code",
-            "if(l_linenumber = 1, l_quantity / 10, l_extendedprice / 100) as max_ad_down",
-            f"if(l_linenumber <= 3, {v} / 40, {v}) as max_ad_up",
+            # blocks of every 17th customer have business filings only
+            "if(l_returnflag = 'R' or c_custkey % 17 = 0, 0, 1) as consumer",
+            "if(l_orderkey % 89 = 0, null, cast(l_suppkey + 130000 as int)) as hoconum",
+            f"if(l_orderkey % 83 = 0, null, array({codes})[cast(l_partkey % 15 as int)]) as tech_code",
+            """case when l_orderkey % 79 = 0 then null
+                when l_linenumber = 1 then l_quantity / 10 else l_extendedprice / 100 end as max_ad_down""",
+            f"""case when l_orderkey % 73 = 0 then double('NaN')
+                when l_linenumber <= 3 then {v} / 40 else {v} end as max_ad_up""",
         )
     )
 

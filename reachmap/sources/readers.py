@@ -13,23 +13,50 @@ def number_or_null(col: Column) -> Column:
     return F.nanvl(col, F.lit(None).cast("double"))
 
 
-def read_filings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Filings CSV with a header.
+def read_table(
+    spark: SparkSession, path: str, schema: str | T.StructType, names: dict[str, str] | None = None, **options
+) -> DataFrame:
+    """CSV with a header, read by column name in any order.
+
+    `names` maps a column to its header. Every needed header must be in each
+    file's header, other columns are left out. Numbers may be written as
+    decimals (130077.0); text that is neither blank nor a number is an error,
+    not a null.
+    """
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    names = names or {}
+    raw = spark.read.option("header", True).option("enforceSchema", False).options(**options).csv(path)
+    missing = [h for h in (names.get(f.name, f.name) for f in schema) if h not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}; it has {raw.columns}")
+    return raw.select(
+        [typed(F.col(f"`{names.get(f.name, f.name)}`"), f.dataType, f.name).alias(f.name) for f in schema]
+    )
+
 
-    `columns` is the header of the file, of which the six needed columns are
-    kept; the CSV reader prunes the others.
+def typed(text: Column, kind: T.DataType, name: str, decimals: bool = True) -> Column:
+    """Text as a value of a type; blank is null, anything else that does not fit an error.
+
+    With `decimals`, whole numbers may be written with a decimal point.
     """
-    types = {h: t for h, (_, t) in FILING_HEADERS.items()}
+    if isinstance(kind, T.StringType):
+        return text
+    blank = text.isNull() | (F.trim(text) == "")
+    value = F.trim(text).try_cast(kind)
+    if decimals and isinstance(kind, T.IntegralType):
+        number = F.trim(text).try_cast("double")
+        value = F.coalesce(value, F.when(number == F.floor(number), F.floor(number)).try_cast(kind))
+    wrong = F.raise_error(F.concat(F.lit(f"column {name}: not a {kind.simpleString()}: "), text))
+    return F.when(blank, F.lit(None).cast(kind)).otherwise(F.coalesce(value, wrong.cast(kind)))
+
+
+def read_filings(spark: SparkSession, path: str) -> DataFrame:
+    """Filings CSV with a header; the six needed columns are found by name."""
     schema = T.StructType(
-        [
-            T.StructField(c, T._parse_datatype_string(types.get(c, "string")))
-            for c in columns
-        ]
-    )
-    raw = spark.read.schema(schema).option("header", True).csv(path)
-    return normalise_filings(
-        raw.select([F.col(f"`{h}`").alias(n) for h, (n, _) in FILING_HEADERS.items()])
+        [T.StructField(n, T._parse_datatype_string(t)) for n, t in FILING_HEADERS.values()]
     )
+    return normalise_filings(read_table(spark, path, schema, {n: h for h, (n, _) in FILING_HEADERS.items()}))
 
 
 def normalise_filings(filings: DataFrame) -> DataFrame:
@@ -44,31 +71,20 @@ def normalise_filings(filings: DataFrame) -> DataFrame:
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Block master CSV with a header."""
-    return (
-        spark.read.schema(BLOCK)
-        .option("header", True)
-        .csv(path)
-        .withColumn("geoid10", pad_block("geoid10"))
-    )
+    return read_table(spark, path, BLOCK).withColumn("geoid10", pad_block("geoid10"))
 
 
 def read_block_hu_pop(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BLOCK_HU_POP).option("header", True).csv(path)
+    return read_table(spark, path, BLOCK_HU_POP)
 
 
 def read_tract_area(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TRACT_AREA).option("header", True).csv(path)
+    return read_table(spark, path, TRACT_AREA)
 
 
 def read_large_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Pipe-separated, single-quoted list of blocks with their zoom per axis."""
-    return (
-        spark.read.schema(LARGE_BLOCK)
-        .option("header", True)
-        .option("sep", "|")
-        .option("quote", "'")
-        .csv(path)
-    )
+    return read_table(spark, path, LARGE_BLOCK, sep="|", quote="'")
 
 
 def read_numprov_dir(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -77,51 +93,52 @@ def read_numprov_dir(spark: SparkSession, path: str, names: list[str]) -> DataFr
     The tier is not in the rows; it is taken from `block_numprov_<tier>` in the
     path of the file each row came from. `names` are the combination columns.
     """
-    schema = ", ".join(["geoid10 string", "h2only_undev tinyint"] + [f"{n} int" for n in names])
-    tier = F.regexp_extract("_metadata.file_path", r"block_numprov_([0-9_]+[0-9])", 1)
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .csv(path)
-        .select("geoid10", tier.alias("tier"), "h2only_undev", *names)
+    schema = T._parse_datatype_string(
+        ", ".join(["geoid10 string", "h2only_undev tinyint"] + [f"{n} int" for n in names])
     )
+    tier = F.regexp_extract("_metadata.file_path", r"block_numprov_([0-9_]+[0-9])", 1)
+    raw = spark.read.options(header=True, enforceSchema=False, recursiveFileLookup=True).csv(path)
+    missing = [f.name for f in schema if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    columns = {f.name: typed(F.col(f"`{f.name}`"), f.dataType, f.name, False).alias(f.name) for f in schema}
+    return raw.select(columns["geoid10"], tier.alias("tier"), *[columns[n] for n in ["h2only_undev", *names]])
 
 
 def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """GeoJSON features, one per line, to attributes and a geometry column.
+    """GeoJSON features to attributes and a geometry column.
 
-    The wrapping lines of a FeatureCollection are skipped, and the comma which
-    separates features is dropped, so the files split into many tasks.
-    Polygon and MultiPolygon are read.
+    One feature per line, also with a comma behind it, between the wrapping
+    lines of a collection; or a line with a whole collection. Files of one
+    feature per line split into many tasks. Polygons, multipolygons and null
+    geometries are read; another type of geometry is an error.
     """
-    coords = "array<array<array<array<double>>>>"
-    line = F.rtrim(F.rtrim("value"), F.lit(","))
-    poly = F.from_json(
-        "value",
-        f"type string, properties struct<{properties}>, "
-        "geometry struct<type: string, coordinates: array<array<array<double>>>>",
-    )
-    multi = F.from_json(
-        "value",
-        f"type string, properties struct<{properties}>, "
-        f"geometry struct<type: string, coordinates: {coords}>",
-    )
-    kind = F.get_json_object("value", "$.geometry.type")
-    parsed = (
+    feature = f"type: string, properties: struct<{properties}>, geometry: struct<type: string, coordinates: string>"
+    line = F.rtrim(F.trim("value"), F.lit(","))
+    whole = f"struct<{feature}, features: array<struct<{feature}>>>"
+    read = F.from_json(line, whole)
+    one = F.array(F.struct("j.type", "j.properties", "j.geometry"))
+    features = (
         spark.read.text(path)
-        .select(line.alias("value"))
-        .filter(F.get_json_object("value", "$.type") == "Feature")
+        .select(read.alias("j"))
         .select(
-            F.when(kind == "Polygon", poly).alias("p"),
-            F.when(kind == "MultiPolygon", multi).alias("m"),
+            F.explode(
+                F.when(F.col("j.type") == "Feature", one).when(
+                    F.col("j.type") == "FeatureCollection", F.col("j.features")
+                )
+            ).alias("f")
         )
     )
-    polygons = F.when(
-        F.col("p").isNotNull(), F.array("p.geometry.coordinates")
-    ).otherwise(F.col("m.geometry.coordinates"))
-    props = F.coalesce("p.properties", "m.properties")
-    return parsed.select(props.alias("props"), points_of(polygons).alias("geom")).select(
+    kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    polygon = F.array(F.from_json(text, "array<array<array<double>>>"))
+    multi = F.from_json(text, "array<array<array<array<double>>>>")
+    other = F.raise_error(F.concat(F.lit("geometry of type "), kind))
+    polygons = (
+        F.when(kind == "Polygon", polygon)
+        .when(kind == "MultiPolygon", multi)
+        .when(kind.isNotNull(), other.cast("array<array<array<array<double>>>>"))
+    )
+    return features.select(F.col("f.properties").alias("props"), points_of(polygons).alias("geom")).select(
         "props.*", "geom"
     )
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,25 @@ def test_provider_footprint_ignores_technologies(spark):
         for f in (once, twice)
     ]
     assert edges[0] == edges[1] and len(edges[0]) == 4
+
+
+def _square_ring(x, y, w, shell=True):
+    p = [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+    return np.array(p if shell else p[::-1])
+
+
+def test_nesting_of_very_many_holes():
+    k = 316
+    rings = [_square_ring(0, 0, 10 * k + 10)]
+    rings += [_square_ring(10 * i + 5, 10 * j + 5, 4, False) for i in range(k) for j in range(k)]
+    (polygon,) = D.nest_rings(rings)
+    assert len(polygon) == k * k + 1
+
+
+def test_nesting_of_islands_in_holes():
+    rings = [
+        _square_ring(0, 0, 1000), _square_ring(10, 10, 900, False), _square_ring(20, 20, 100),
+        _square_ring(30, 30, 20, False), _square_ring(200, 20, 100), _square_ring(210, 30, 20, False),
+    ]
+    got = {tuple(p[0][0]): sorted(tuple(h[0]) for h in p[1:]) for p in D.nest_rings(rings)}
+    assert got == {(0, 0): [(10, 10)], (20, 20): [(30, 30)], (200, 20): [(210, 30)]}

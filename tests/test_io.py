@@ -1,10 +1,12 @@
 """Files in and out."""
 
+import pytest
+
 from reachmap.functions import geom as G
 from reachmap.plans import products
 from reachmap.sinks import writers
 from reachmap.sources import fixtures as fx, readers
-from reachmap.sources.schemas import GEOM
+from reachmap.sources.schemas import GEOM, TRACT_AREA
 
 from .helpers import square
 
@@ -16,14 +18,43 @@ def test_filings_csv_keeps_zeros_and_reads_six_columns(spark, tmp_path):
         "Max Advertised Downstream Speed (mbps),Max Advertised Upstream Speed (mbps)\n"
         "x,010010000010001,130077,50,1,30.5,\n"
     )
-    header = path.read_text().splitlines()[0].split(",")
-    df = readers.read_filings(spark, str(path), header)
+    df = readers.read_filings(spark, str(path))
     assert df.first().asDict() == {
         "block_code": "010010000010001", "consumer": 1, "hoconum": 130077, "tech_code": 50,
         "max_ad_down": 30.5, "max_ad_up": None,
     }
 
 
+def test_filings_are_read_by_name_and_bad_numbers_fail(spark, tmp_path):
+    head = (
+        "Consumer,Max Advertised Upstream Speed (mbps),Technology Code,Census Block FIPS Code,"
+        "Max Advertised Downstream Speed (mbps),Holding Company Number\n"
+    )
+    (tmp_path / "a.csv").write_text(head + "1,2.5,,10010000010001, 30 ,130077.0\n")
+    assert readers.read_filings(spark, str(tmp_path / "a.csv")).first().asDict() == {
+        "block_code": "010010000010001", "consumer": 1, "hoconum": 130077, "tech_code": None,
+        "max_ad_down": 30.0, "max_ad_up": 2.5,
+    }
+    (tmp_path / "b.csv").write_text(head + "1,2.5,50,010010000010001,30,many\n")
+    with pytest.raises(Exception, match="many"):
+        readers.read_filings(spark, str(tmp_path / "b.csv")).collect()
+    (tmp_path / "c.csv").write_text(head.replace("Consumer", "Buyer") + "1,2.5,50,1,30,1\n")
+    with pytest.raises(ValueError, match="Consumer"):
+        readers.read_filings(spark, str(tmp_path / "c.csv"))
+
+
+def test_auxiliary_files(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("pop2016,block_fips,hu2016\n7,010010000010001,3\n")
+    assert readers.read_block_hu_pop(spark, str(tmp_path / "p.csv")).first().asDict() == {
+        "block_fips": "010010000010001", "hu2016": 3, "pop2016": 7,
+    }
+    fields = TRACT_AREA.split(",") if isinstance(TRACT_AREA, str) else [f.name for f in TRACT_AREA]
+    names = [f.split()[0] for f in fields]
+    (tmp_path / "t.csv").write_text("area," + names[0] + "\n2.5,01001000001\n")
+    row = readers.read_tract_area(spark, str(tmp_path / "t.csv")).first()
+    assert (row[names[0]], row["area"]) == ("01001000001", 2.5)
+
+
 def test_quoted_pipe_file(spark, tmp_path):
     path = tmp_path / "l.csv"
     path.write_text("block_fips|x_zoom|y_zoom\n'010010000010001'|5|\n")
@@ -46,6 +77,18 @@ def test_geojson_collection(spark, tmp_path):
     assert got == {"01": 4.0, "02": 0.5}
 
 
+def test_geojson_on_one_line_and_other_geometries(spark, tmp_path):
+    square_ = '{"type": "Polygon", "coordinates": [[[0,0],[2,0],[2,2],[0,2],[0,0]]]}'
+    feature = '{"type": "Feature", "properties": {"id": "%s"}, "geometry": %s}'
+    line = '{"type": "FeatureCollection", "features": [%s, %s]}'
+    (tmp_path / "one").write_text(line % (feature % ("01", square_), feature % ("02", "null")))
+    got = {r.id: r.geom for r in readers.read_geojson(spark, str(tmp_path / "one"), "id: string").collect()}
+    assert set(got) == {"01", "02"} and got["02"] is None and len(got["01"][0][0]) == 5
+    (tmp_path / "two").write_text(feature % ("03", '{"type": "Point", "coordinates": [1, 2]}'))
+    with pytest.raises(Exception, match="Point"):
+        readers.read_geojson(spark, str(tmp_path / "two"), "id: string").collect()
+
+
 def test_geojson_is_in_key_order(spark, tmp_path):
     rows = [(f"{i:03d}", square(i, 0)) for i in range(50)]
     df = spark.createDataFrame(rows[::-1], "id string, geom " + GEOM.simpleString())
