@@ -10,6 +10,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3

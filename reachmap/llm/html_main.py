@@ -1,15 +1,15 @@
 """HTML extraction (operator 2): main text by site template removal.
 
-1. Every page is read as a tree of elements. Its body is the `article` or `main`
-   elements if there are any, else everything; elements that are no main text
-   by their kind or name (menus, footers, forms, adverts, comments, ...) go.
-2. Every subtree of what could be page furniture is hashed: tag, names and
-   text. Spark counts for each host the pages on which a hash occurs.
+1. Every page is read as a tree of elements. Elements that are no main text by
+   their kind or name (menus, footers, forms, adverts, comments, ...) go.
+2. Every subtree that could be page furniture is hashed: tag, names and text.
+   Spark counts for each host the pages on which a hash occurs.
 3. Subtrees on TEMPLATE_PAGES pages of a host and TEMPLATE_SHARE of its pages or
    more are deleted. Inside an article this holds for boxes only, not for
    paragraphs, headings and lists of the text itself, since articles may share passages.
    Pages with equal html count once.
-4. What is left is text: character references decoded, white space within a
+4. What is left of the `article` or `main` elements, or of the whole page if it
+   has none, is text: character references decoded, white space within a
    block one space, blocks joined by a line break in page order.
 
 Counting is an aggregate that combines on the map side; the templates found go
@@ -84,6 +84,9 @@ ENDS_SELF = {
 SPACE = re.compile(r"\s+")
 
 
+NO_TEMPLATE = frozenset(("#root", "html", "head", "body", "br", "hr", "img", "meta", "link", "title"))
+
+
 class Node:
     __slots__ = ("tag", "names", "parts", "drop")
 
@@ -181,16 +184,16 @@ def mains(root):
     return found or [root]
 
 
-def hashes(node, inside, out):
-    """Hash of a subtree; candidates for a template are added to `out`, as (hash, node)."""
-    todo, order = [(node, inside)], []
+def hashes(root):
+    """(hash, node) of every subtree of a page that could be template."""
+    todo, order, out = [(root, False, False)], [], []
     while todo:  # children after parents; read backwards
-        x, within = todo.pop()
-        order.append((x, within))
-        within = within or x.tag in MAIN_TAGS
-        todo += [(c, within) for c in x.parts if isinstance(c, Node) and not c.drop]
+        x, within, gone = todo.pop()
+        order.append((x, within, gone))
+        within, gone = within or x.tag in MAIN_TAGS, gone or x.drop
+        todo += [(c, within, gone) for c in x.parts if isinstance(c, Node)]
     value = {}
-    for x, within in reversed(order):
+    for x, within, gone in reversed(order):
         h = hashlib.blake2b(f"{x.tag} {' '.join(x.names)}".encode("utf-8", "replace"), digest_size=8)
         for c in x.parts:
             if isinstance(c, Node):
@@ -198,7 +201,8 @@ def hashes(node, inside, out):
             else:
                 h.update(SPACE.sub(" ", c).strip().encode("utf-8", "replace"))
         value[id(x)] = d = h.digest()
-        if x.tag in ("#root", "html", "body", "br", "hr", "img") or x.tag in MAIN_TAGS:
+        # The page itself, and what goes with a part that goes anyway, is not counted.
+        if gone or x.tag in NO_TEMPLATE or x.tag in MAIN_TAGS:
             continue
         if not (within and (x.tag in TEXT_TAGS or x.tag not in BLOCKS)):
             out.append((int.from_bytes(d, "big", signed=True), x))
@@ -236,12 +240,9 @@ def main_text(roots):
 
 
 def candidates(text):
-    """(trees of the main parts, [(hash, node)] that could be template)."""
-    roots = mains(parse(text))
-    out = []
-    for r in roots:
-        hashes(r, False, out)
-    return roots, out
+    """(tree of a page, [(hash, node)] that could be template)."""
+    root = parse(text)
+    return root, hashes(root)
 
 
 def _subtrees(batches):
@@ -269,12 +270,11 @@ def _extract(names):
                 if not text:
                     texts.append("")
                     continue
-                roots, found = candidates(text)
-                gone = set(cuts or ())
+                root, gone = parse(text), set(cuts or ())
                 if gone:
-                    for h, node in found:
+                    for h, node in hashes(root):
                         node.drop = node.drop or h in gone
-                texts.append(main_text(roots))
+                texts.append(main_text(mains(root)))
             yield pa.RecordBatch.from_pydict(
                 {c: batch.column(c) for c in names}
                 | {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}

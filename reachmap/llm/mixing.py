@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import table, text_of
+from .common import fresh, table, text_of
 
 CAP = 3
 CYCLE = 3
@@ -101,18 +101,18 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it."""
-    per = cut(targets(_sizes(docs)), "targets")
-    per = per.select(F.col("source").alias("_source"), F.col("source_size").alias("_size"), F.col("target").alias("_target"))
+    source, size, target, rate, copy = (fresh(docs, f"_mix_{n}") for n in ("source", "size", "target", "rate", "copy"))
+    per = cut(targets(_sizes(docs)), "targets").toDF(source, size, target)
     names = docs.columns
-    rate = F.when(F.col("_size") > 0, F.col("_target") / F.col("_size")).otherwise(0.0)
-    more = (draw(docs["doc_id"]) < F.col("_rate") - F.floor("_rate")).cast("int")
-    copies = F.sequence(F.lit(1), (F.floor("_rate") + more).cast("int"))
+    share = F.when(F.col(size) > 0, F.col(target) / F.col(size)).otherwise(0.0)
+    times = (F.floor(rate) + (draw(F.col("doc_id")) < F.col(rate) - F.floor(rate)).cast("int")).cast("int")
     return (
-        docs.join(per, docs["source"].cast("string").eqNullSafe(per["_source"]), "left")
-        .withColumn("_rate", rate)
-        .filter(F.floor("_rate") + more >= 1)
-        .withColumn("_copy", F.explode(copies))
-        .select(*[docs[c] for c in names])
+        docs.join(per, docs["source"].cast("string").eqNullSafe(per[source]), "left")
+        .withColumn(rate, share)
+        .withColumn(copy, times)
+        .filter(F.col(copy) >= 1)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy))))
+        .select(*[f"`{c}`" for c in names])
     )
 
 

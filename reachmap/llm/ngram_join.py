@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from . import words as wd
-from .common import table
+from .common import fresh, table
 from .graph import components
 
 SHINGLE = 4
@@ -610,15 +610,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     gone = cut(gone.distinct(), "gone")
     if gone.count() <= BROADCAST_KEYS:
         gone = F.broadcast(gone)
-    names = docs.columns
-    rows = docs.withColumn("_key", F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string")))
-    rows = rows.join(gone.withColumnRenamed("key", "_key"), "_key", "left_anti")
+    names, own, whole = [f"`{c}`" for c in docs.columns], fresh(docs, "_key"), fresh(docs, "_row")
+    rows = docs.withColumn(own, F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string")))
+    rows = rows.join(gone.withColumnRenamed("key", own), own, "left_anti")
     alike = found.filter("doc_id = component_id").groupBy("key").agg(F.count("*").alias("k")).filter("k > 1")
-    alike = cut(alike.select(F.col("key").alias("_key")), "alike")
+    alike = cut(alike.select(F.col("key").alias(own)), "alike")
     if alike.isEmpty():
         return rows.select(*names)
-    one = rows.join(alike, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*names)).alias("r"))
-    return rows.join(alike, "_key", "left_anti").select(*names).unionByName(one.select("r.*"))
+    one = rows.join(alike, own, "left_semi").groupBy(own).agg(F.min(F.struct(*names)).alias(whole))
+    return rows.join(alike, own, "left_anti").select(*names).unionByName(one.select(f"`{whole}`.*"))
 
 
 def op3_ngram_join(spark, sf_dir):
