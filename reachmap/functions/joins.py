@@ -2,13 +2,8 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A key is hot when it holds more than 1 / HOT_SHARE of the rows, so there can
-# be at most HOT_SHARE hot keys however large the table is.
-HOT_SHARE = 500
-# A hot key is spread over this many slices.
-SLICES = 256
+from ..session import cut
 
 
 def _keys(on):
@@ -22,64 +17,31 @@ def _all_set(df: DataFrame, keys) -> Column:
     return cond
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    """Columns of simple types: a geometry would be slow to hash, a map cannot be."""
-    simple = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
-    return simple or [F.lit(0)]
-
-
-def hot_keys(df: DataFrame, on) -> DataFrame:
-    """Keys with more than 1 / HOT_SHARE of the rows: at most HOT_SHARE rows."""
-    keys = _keys(on)
-    counts = df.filter(_all_set(df, keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.select(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    return counts.filter(F.col("_n") * HOT_SHARE > total).select(*keys)
-
-
 def spread_join(many: DataFrame, one: DataFrame, on, how: str = "left") -> DataFrame:
     """Equi-join of `many` rows to a lookup side with one row per key.
 
-    The adaptive skew join splits a hot key only where both sides come straight
-    from a shuffle; it cannot when the lookup side is itself an aggregate on the
-    key. Here hot keys get a slice number: their rows on the many side are
-    spread over SLICES tasks and their single row on the other side is copied
-    to each. All other keys stay in slice 0. `how` is left, inner or left_semi.
-    The broadcast list of hot keys has at most HOT_SHARE rows by construction.
+    The adaptive skew join splits a hot key by the bytes of a task, but only
+    where both sides come straight from a shuffle; it cannot when the lookup side
+    is itself an aggregate on the key. So the lookup side, small beside the
+    other, is written first. `many` is read once. `how` is left, inner or
+    left_semi.
     """
-    keys = _keys(on)
-    hot = F.broadcast(hot_keys(many, keys).withColumn("_hot", F.lit(True)))
-    # No random number: a retried task must put each row into the same slice.
-    # The row contents spread rows of one task, the task number spreads copies.
-    slice_of_row = F.pmod(
-        F.xxhash64(*_hashable(many)) + F.spark_partition_id(), F.lit(SLICES)
-    ).cast("int")
-    missing = ~_all_set(many, keys)
-    left = many.join(hot, keys, "left").withColumn(
-        "_slice",
-        F.when(F.col("_hot") | missing, slice_of_row).otherwise(F.lit(0)),
-    ).drop("_hot")
-    right = one.join(hot, keys, "left").withColumn(
-        "_slice",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    ).drop("_hot")
-    return left.join(right, keys + ["_slice"], how).drop("_slice")
+    return many.join(cut(one, "lookup"), _keys(on), how)
 
 
 def with_group_totals(df: DataFrame, on, **aggs: Column) -> DataFrame:
     """Aggregates of each row's group on the row itself.
 
     A window would hold a whole group in one task; this aggregates with
-    map-side combining and joins the one row per group back. Rows with a null
-    key keep null totals.
+    map-side combining and joins the one row per group back. The rows are
+    written once, and both steps read them from there. Rows with a null key
+    keep null totals.
     """
     keys = _keys(on)
+    rows = cut(df, "group-rows")
     totals = (
-        df.filter(_all_set(df, keys))
+        rows.filter(_all_set(rows, keys))
         .groupBy(*keys)
         .agg(*[c.alias(n) for n, c in aggs.items()])
     )
-    return spread_join(df, totals, keys, "left")
+    return spread_join(rows, totals, keys, "left")

@@ -6,7 +6,7 @@ Every entry takes (spark, sf_dir) and returns a DataFrame over whole tables.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import COUNTY_LEN, TECH_CLASSES, TIERS, TRACT_LEN, combo_names
+from ..constants import COUNTY_LEN, TECH_CLASSES, TIERS, TRACT_LEN, combo_layout, combo_names
 from ..functions import geom as G
 from ..functions.keys import county_of, pad_block, state_of, tail, tract_of
 from ..functions.speeds import tech_class, tech_class_bit, tier_speed_of_file
@@ -26,6 +26,7 @@ from ..sinks import writers
 from ..sources import fixtures as fx
 from ..sources import readers
 from ..sources.schemas import FILING_HEADERS
+from . import products
 
 TIER = next(t for t in TIERS if t.name == "25_3")
 ALL_TECH = "".join(TECH_CLASSES)
@@ -121,6 +122,43 @@ def export_csv_roundtrip(spark, sf):
     return spark.read.schema(table.schema).option("header", True).csv(path)
 
 
+@query
+def export_area_csv(spark, sf):
+    """The area table as its CSV file has it, read back by name."""
+    path = scratch_path(spark, "area")
+    products.export_area(area_table(spark, sf), path)
+    return readers.read_table(spark, path, ", ".join(
+        [f"{c} string" for c in ("type", "id", "tech", "speed", "urban_rural", "tribal_non")]
+        + [f"{c} bigint" for c in area.HAS]
+    ))
+
+
+@query
+def export_numprov_null(spark, sf):
+    """Counts of a tier with blanks for 0 and columns named by combination and tier."""
+    path = scratch_path(spark, "numprov-null")
+    products.export_numprov_null(_flagged(spark, sf), TIER, path)
+    names = [f"{n}_{TIER.name}" for n in combo_layout()]
+    return readers.read_table(
+        spark,
+        path,
+        ", ".join(["geoid10 string", "h2only_undev tinyint"] + [f"{n} int" for n in names]),
+        decimals=False,
+    )
+
+
+@query
+def export_features_geojson(spark, sf):
+    """Dissolved tracts as GeoJSON with their area, read back."""
+    path = scratch_path(spark, "tracts")
+    tracts = dissolve.dissolve(_land_with_tract(spark, sf), "tract_id", grid=1)
+    features = tracts.features.withColumn("area", G.area(F.col("geom")))
+    writers.write_geojson(features, path, ["tract_id", "area"], ["tract_id"])
+    return geometry.feature_bounds(
+        readers.read_geojson(spark, path, "tract_id: string, area: double"), "tract_id", "area"
+    )
+
+
 # --- filings -----------------------------------------------------------------
 @query
 def consumer_filings(spark, sf):

@@ -454,6 +454,13 @@ def oracles() -> dict[str, str]:
     o["export_geojson"] = w("cell") + "SELECT geoid10, 1::DOUBLE AS area FROM cell"
     o["export_csv_roundtrip"] = _PROVIDER_TABLE
     o["provider_table"] = _PROVIDER_TABLE
+    o["export_area_csv"] = f"SELECT * EXCLUDE (tier) FROM ({_AREA_TABLE})"
+    o["export_numprov_null"] = (
+        w("flagged")
+        + "SELECT lpad(geoid10, 15, '0') AS geoid10, nullif(h2only_undev, 0)::TINYINT AS h2only_undev, "
+        + ", ".join(f'nullif("{n}", 0)::INTEGER AS "{n}_{TIER.name}"' for n in combo_layout())
+        + " FROM flagged"
+    )
 
     o["consumer_filings"] = w("cf") + "SELECT * FROM cf"
     o["filings_with_pop"] = (
@@ -654,6 +661,7 @@ def oracles() -> dict[str, str]:
         "min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy "
         "FROM box WHERE aland10 > 0 GROUP BY ALL"
     )
+    o["export_features_geojson"] = o["dissolve_tract"]
     o["dissolve_ring_points"] = (
         w("side", recursive=_RINGS.strip())
         + """, whole AS (

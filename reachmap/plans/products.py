@@ -32,6 +32,7 @@ from ..operators import (
     tiles,
 )
 from ..sinks import writers
+from ..sources.schemas import GEOM
 
 # features per tile of a thinned band, in vertices
 TILE_BUDGET = 200_000
@@ -67,27 +68,36 @@ def statistics(
     return made
 
 
-def exports(made: dict[str, DataFrame], out: str, classes=TECH_CLASSES, tiers=TIERS) -> None:
-    """The CSV files of the statistics."""
+def export_area(table: DataFrame, path: str) -> None:
+    """The area table without the tier's name, ordered by six keys, speeds as numbers."""
     order = ["type", "id", "tech", "speed", "urban_rural", "tribal_non"]
-    writers.write_csv(made["provider_table"], f"{out}/csv/provider_table", order=["hoconum", "tech"])
-    # speeds are ordered as numbers, not as text
     writers.write_csv(
-        made["area_table"].withColumn("tier_rank", tier_rank("tier")),
-        f"{out}/csv/area_table",
+        table.withColumn("tier_rank", tier_rank("tier")),
+        path,
         columns=[*order, *area.HAS],
         order=["type", "id", "tech", "tier_rank", "urban_rural", "tribal_non"],
     )
+
+
+def export_numprov_null(counts: DataFrame, tier, path: str, classes=TECH_CLASSES) -> None:
+    """Counts of one tier with blanks for 0, their columns named <combination>_<tier>."""
+    blanked = numprov.blank_zeros(counts.select("geoid10", "h2only_undev", *combo_layout(classes)))
+    writers.write_csv(numprov.export_layout(blanked, tier.name, classes), path, order=["geoid10"])
+
+
+def exports(made: dict[str, DataFrame], out: str, classes=TECH_CLASSES, tiers=TIERS) -> None:
+    """The CSV files of the statistics."""
+    writers.write_csv(made["provider_table"], f"{out}/csv/provider_table", order=["hoconum", "tech"])
+    export_area(made["area_table"], f"{out}/csv/area_table")
     layout = ["geoid10", "tier", "h2only_undev", *combo_layout(classes)]
     counts = made["block_numprov"].select(*layout)
     writers.write_numprov_dir(counts, f"{out}/csv/block_numprov_with0")
-    blanked = numprov.blank_zeros(counts, "geoid10", "tier")
-    # one file set per tier, its columns named <combination>_<tier>
     for tier in tiers:
-        writers.write_csv(
-            numprov.export_layout(blanked.filter(F.col("tier") == tier.name), tier.name, classes),
+        export_numprov_null(
+            counts.filter(F.col("tier") == tier.name),
+            tier,
             f"{out}/csv/block_numprov_withnull/block_numprov_{tier.name}",
-            order=["geoid10"],
+            classes,
         )
     for name in ("tract_numprov", "county_numprov"):
         for tier in tiers:
@@ -98,6 +108,19 @@ def exports(made: dict[str, DataFrame], out: str, classes=TECH_CLASSES, tiers=TI
             )
 
 
+def export_shapes(made: dict[str, DataFrame], out: str) -> None:
+    """Block flags and tract areas as CSV, whole features as GeoJSON."""
+    writers.write_csv(made["h2only_undev"], f"{out}/csv/h2only_undev", order=["block_fips"])
+    writers.write_csv(made["tract_area"], f"{out}/csv/tract_area", order=["tract_id"])
+    for level in ("block", "tract", "county"):
+        writers.write_geojson(
+            made["features"].filter(F.col("level") == level),
+            f"{out}/geojson/{level}",
+            ["feature_id"],
+            ["feature_id"],
+        )
+
+
 def shapes(
     filings: DataFrame,
     block_geom: DataFrame,
@@ -105,6 +128,7 @@ def shapes(
     large_blocks: DataFrame,
     out: str,
     threshold: float = BIG_TRACT_M2,
+    pack_edges: int = dissolve.PACK_EDGES,
 ) -> dict[str, DataFrame]:
     """Block flags, boxes, tract areas, outlines and provider footprints."""
     land = flags.land_blocks(block_geom).withColumn("tract_id", tract_of("geoid10"))
@@ -125,9 +149,9 @@ def shapes(
     # one geometry per area, for the rings of the map; what is too long for a
     # row stays as outline edges
     by_level = {
-        "tract": dissolve.dissolve(land, "tract_id"),
+        "tract": dissolve.dissolve(land, "tract_id", pack_edges=pack_edges),
         "county": dissolve.dissolve(
-            land.withColumn("county_id", county_of("geoid10")), "county_id"
+            land.withColumn("county_id", county_of("geoid10")), "county_id", pack_edges=pack_edges
         ),
     }
     levels = [
@@ -158,15 +182,30 @@ def shapes(
     return made
 
 
+def long_rings(outlines: DataFrame) -> DataFrame:
+    """(level, feature_id, part, geom): the rings of outlines that are tables of edges."""
+    points = dissolve.ring_points(outlines, "level", "feature_id")
+    ordered = F.sort_array(F.collect_list(F.struct("seq", "x", "y")))
+    ring = F.transform(
+        ordered,
+        lambda p: G.point(p["x"].cast("double") / dissolve.GRID, p["y"].cast("double") / dissolve.GRID),
+    )
+    rings = points.groupBy("level", "feature_id", F.col("ring").alias("part")).agg(ring.alias("ring"))
+    closed = F.concat("ring", F.slice("ring", 1, 1))
+    return rings.select("level", "feature_id", "part", F.array(F.array(closed)).cast(GEOM).alias("geom"))
+
+
 def map_rings(
     made: dict[str, DataFrame], out: str, threshold: float = BIG_TRACT_M2
 ) -> DataFrame:
     """Geometry of the speed layers: simplified rings of each feature at each zoom.
 
     All tiers share it. Rings are kept once per feature and zoom instead of once
-    per tile; the tile tables say which tiles a feature is in.
+    per tile; the tile tables say which tiles a feature is in. Outlines too long
+    for one row are there ring by ring, each as a polygon of its own.
     """
-    features = made["features"].select("level", "feature_id", "geom")
+    features = made["features"].select("level", "feature_id", F.lit(None).cast("string").alias("part"), "geom")
+    features = features.unionByName(long_rings(made["long_outlines"]))
     small = geometry.notbig_tracts(made["tract_area"], threshold).select(
         F.col("tract_id").alias("feature_id")
     )
@@ -181,7 +220,7 @@ def map_rings(
         )
     ]
     shown = tiles.zoom_plan_features(tiles.tile_union(features, *at_nine))
-    rings = tiles.simplify_features(shown, ["level", "feature_id", "simplify", "detail"])
+    rings = tiles.simplify_features(shown, ["level", "feature_id", "part", "simplify", "detail"])
     return _save(rings, out, "rings", "level", "z")
 
 

@@ -14,7 +14,12 @@ def number_or_null(col: Column) -> Column:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: str | T.StructType, names: dict[str, str] | None = None, **options
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    names: dict[str, str] | None = None,
+    decimals: bool = True,
+    **options,
 ) -> DataFrame:
     """CSV with a header, read by column name in any order.
 
@@ -31,7 +36,7 @@ def read_table(
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}; it has {raw.columns}")
     return raw.select(
-        [typed(F.col(f"`{names.get(f.name, f.name)}`"), f.dataType, f.name).alias(f.name) for f in schema]
+        [typed(F.col(f"`{names.get(f.name, f.name)}`"), f.dataType, f.name, decimals).alias(f.name) for f in schema]
     )
 
 

@@ -110,11 +110,16 @@ def test_release(spark, sf_dir, tmp_path):
     products.exports(stats, out)
     made = products.shapes(
         f, fx.block_geom(spark, sf_dir, lonlat=True), fx.block_hu_pop(spark, sf_dir),
-        fx.large_blocks(spark, sf_dir), out, threshold=3e6,
+        fx.large_blocks(spark, sf_dir), out, threshold=3e6, pack_edges=12,
     )
+    assert not made["long_outlines"].isEmpty()
+    products.export_shapes(made, out)
     tile_table = products.map_tiles(stats, made, out, tiers=products.TIERS[3:4], threshold=3e6)
     rings = products.map_rings(made, out, threshold=3e6)
     assert {r.z for r in rings.select("z").distinct().collect()} == set(range(15))
+    tracts = {r[0] for r in made["tract_outlines"].select("tract_id").distinct().collect()}
+    at_eight = rings.filter("level = 'tract' and z = 8").select("feature_id").distinct()
+    assert {r[0] for r in at_eight.collect()} == tracts  # however long their outlines
     dropped = tile_table.filter("layer = '25_3' and (feature_id is null) != (z < 11)")
     assert dropped.isEmpty()
     from reachmap.operators import area, numprov, rollup
