@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geom as G
+from ..session import cut
 from .dissolve import outline_edges
 
 TILE = ["layer", "z", "x", "y"]
@@ -387,35 +388,51 @@ def provider_tiles(footprints: DataFrame, is_large: Column, bands=PROVIDER_BANDS
     return coalesce_tiles(cover, ["hoconum"], "hoconum")
 
 
-def speed_layer(
-    features: DataFrame, layer: str, attrs: list[str], budget: int, bands=SPEED_BANDS
-) -> DataFrame:
-    """Tile table of one layer over all its zoom bands.
+def placed_features(features: DataFrame, budget: int, bands=SPEED_BANDS) -> DataFrame:
+    """Features on the tiles of their bands; thinned bands fold small ones into kept ones.
 
-    `features` have (level, feature_id, box, size, cost) and the attributes.
-    Thinned bands fold small features into kept ones, coalescing bands merge
-    what is left by attribute, the others list every feature. Where a band
-    drops the id attribute, `feature_id` is null; `ord` keeps the order. What
-    folded into a row is on it: `folded_n`, `folded_size`, `folded_cost`; a
-    tile's `n_features` and `folded_n` together are all features it covers.
+    `features` have (level, feature_id, box, size, cost). Gives the treatment of
+    the band with each row. This is the same for every tier, so it is made once
+    and written; statistics come on last.
     """
     none = F.lit(0).cast("bigint")
-    shown = tile_cover(zoom_plan_features(features, bands)).withColumn("layer", F.lit(layer))
-    columns = [*TILE, "level", "ord", "feature_id", *attrs, "minx", "miny", "maxx", "maxy"]
-    no_id = F.lit(None).cast("string")
-    out = []
+    shown = tile_cover(zoom_plan_features(features, bands)).withColumn("layer", F.lit("speed"))
+    parts = []
     for thin in sorted({b.thin for b in bands}):
         rows = shown.filter(F.col("thin") == thin)
         if thin:
-            rows = fold_smallest(rows, budget, "feature_id")
+            rows = fold_smallest(cut(rows, "to-thin"), budget, "feature_id")
         else:
             rows = rows.withColumns({c: none for c in FOLDED})
-        if any(b.coalesce for b in bands if b.thin == thin):
-            merged = coalesce_tiles(rows.filter("coalesce"), ["level", *attrs], "feature_id")
-            out.append(merged.withColumn("feature_id", no_id).select(*columns, "n_features", *FOLDED))
-            rows = rows.filter("not coalesce")
-        listed = rows.withColumn("ord", F.col("feature_id")).withColumn(
-            "feature_id", F.when(F.col("drop_attr").isNull(), F.col("feature_id"))
-        )
-        out.append(listed.select(*columns, F.lit(1).cast("bigint").alias("n_features"), *FOLDED))
-    return tile_union(*out)
+        parts.append(rows)
+    return cut(tile_union(*parts), "placed")
+
+
+def speed_layers(
+    features: DataFrame, stats: DataFrame, attrs: list[str], tiers: list[str], budget: int, bands=SPEED_BANDS
+) -> DataFrame:
+    """Tile tables of all tiers over all their zoom bands, one layer per tier.
+
+    `stats` have (tier, kind, feature_id) and the attributes; a feature's kind is
+    `stat_kind`. A feature without statistics stays, with nulls. Coalescing bands
+    merge what is left by attribute, the others list every feature. Where a band
+    drops the id attribute, `feature_id` is null; `ord` keeps the order. What
+    folded into a row is on it: `folded_n`, `folded_size`, `folded_cost`; a
+    tile's `n_features` and `folded_n` together are all features it covers.
+    """
+    placed = placed_features(features, budget, bands)
+    every = placed.withColumn("layer", F.explode(F.array(*[F.lit(t) for t in tiers])))
+    stats = stats.select(
+        F.col("tier").alias("layer"), F.col("kind").alias("stat_kind"), "feature_id", *[f"`{n}`" for n in attrs]
+    )
+    rows = every.join(stats, ["layer", "stat_kind", "feature_id"], "left")
+    columns = [*TILE, "level", "ord", "feature_id", *[f"`{n}`" for n in attrs], "minx", "miny", "maxx", "maxy"]
+    merged = coalesce_tiles(rows.filter("coalesce"), ["level", *attrs], "feature_id")
+    merged = merged.withColumn("feature_id", F.lit(None).cast("string"))
+    listed = (
+        rows.filter("not coalesce")
+        .withColumn("ord", F.col("feature_id"))
+        .withColumn("feature_id", F.when(F.col("drop_attr").isNull(), F.col("feature_id")))
+        .withColumn("n_features", F.lit(1).cast("bigint"))
+    )
+    return tile_union(*[df.select(*columns, "n_features", *FOLDED) for df in (merged, listed)])

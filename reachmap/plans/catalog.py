@@ -787,6 +787,69 @@ def tile_union(spark, sf):
     return cover.select(*tiles.TILE, "level", "feature_id")
 
 
+@query
+def speed_layer_tiles(spark, sf):
+    """The speed layers of all seven tiers over all bands with all combinations."""
+    blocks = cut(
+        _lonlat(spark, sf).select(
+            "geoid10",
+            "aland10",
+            F.size(G.vertices(F.col("geom"))).cast("bigint").alias("cost"),
+            *G.bounds(F.col("geom")),
+        ),
+        "boxes",
+    )
+    areas = cut(_areas(spark, sf), "areas")
+    limit = _typical(areas)
+    tract = tract_of("geoid10")
+
+    def whole(key, level, kind):
+        # areas are of land blocks
+        return (
+            blocks.filter("aland10 > 0")
+            .groupBy(key.alias("feature_id"))
+            .agg(
+                F.sum("aland10").alias("size"),
+                F.sum("cost").alias("cost"),
+                *[f(c).alias(c) for c, f in zip(geometry.BOX, (F.min, F.min, F.max, F.max))],
+            )
+            .select(F.lit(level).alias("level"), F.lit(kind).alias("stat_kind"), "*")
+        )
+
+    def single(df, level):
+        return df.select(
+            F.lit(level).alias("level"),
+            F.lit("block").alias("stat_kind"),
+            F.col("geoid10").alias("feature_id"),
+            F.col("aland10").alias("size"),
+            "cost",
+            *geometry.BOX,
+        )
+
+    small = geometry.notbig_tracts(areas, limit).select(F.col("tract_id").alias("feature_id"))
+    features = tiles.tile_union(
+        whole(county_of("geoid10"), "county", "county"),
+        whole(tract, "tract", "tract"),
+        whole(tract, "smalltract", "tract").join(small, "feature_id", "left_semi"),
+        single(geometry.blocks_in_big_tracts(blocks, areas, limit), "bigtract_block"),
+        single(blocks, "block"),
+    )
+    names = combo_names()
+    histogram = cut(numprov.mask_histogram(filings.collapse_filings(fx.filings(spark, sf))), "histogram")
+    master = fx.blocks(spark, sf)
+
+    def values(df, kind, key):
+        doubles = [f"cast(`{n}` as double) as `{n}`" for n in names]
+        return df.selectExpr("tier", f"'{kind}' as kind", f"{key} as feature_id", *doubles)
+
+    stats = tiles.tile_union(
+        values(rollup.weighted_of(histogram, master, COUNTY_LEN, "county_id"), "county", "county_id"),
+        values(rollup.weighted_of(histogram, master, TRACT_LEN, "tract_id"), "tract", "tract_id"),
+        values(numprov.counts_of(histogram, master), "block", "geoid10"),
+    )
+    return tiles.speed_layers(features, stats, names, [t.name for t in TIERS], THIN_BUDGET)
+
+
 @query
 def xl_block_tiles(spark, sf):
     large = geometry.large_blocks_zoom(_lonlat(spark, sf), fx.large_blocks(spark, sf))

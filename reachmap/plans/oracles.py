@@ -416,8 +416,7 @@ _CX, _CY = _world("(minx + maxx) / 2", "(miny + maxy) / 2", "z")
 _CELLED = f"""
 SELECT *, least(greatest(floor(({_CX} - x) * 8), 0), 7)::INTEGER AS gx,
   least(greatest(floor(({_CY} - y) * 8), 0), 7)::INTEGER AS gy FROM ({_RANKED})"""
-_FOLD = f"""
-ranked AS ({_CELLED}),
+_FOLDING = f"""
 pair AS (
   SELECT b.layer, b.z, b.x, b.y, b.size, b.cost, b.geoid10 AS small, k.geoid10,
     row_number() OVER (PARTITION BY b.layer, b.z, b.x, b.y, b.geoid10 ORDER BY
@@ -431,6 +430,70 @@ folded AS (
   SELECT layer, z, x, y, geoid10, count(*) AS folded_n, sum(size)::BIGINT AS folded_size,
     sum(cost)::BIGINT AS folded_cost
   FROM pair WHERE choice = 1 GROUP BY ALL)"""
+_FOLD = f"""
+ranked AS ({_CELLED}),{_FOLDING}"""
+
+
+def _areas_of(level, key, where):
+    return f"""
+SELECT '{level}' AS level, {key} AS geoid10, sum(aland10)::BIGINT AS size,
+  (count(*) * {BLOCK_COST})::BIGINT AS cost, min(minx) AS minx, min(miny) AS miny,
+  max(maxx) AS maxx, max(maxy) AS maxy FROM degree WHERE aland10 > 0 {where} GROUP BY ALL"""
+
+
+_BIG = "(SELECT tract_id FROM tractm2 WHERE area > (SELECT m2 FROM typical))"
+_ONE = f"SELECT '%s', geoid10, aland10, {BLOCK_COST}::BIGINT, minx, miny, maxx, maxy FROM degree %s"
+_SPEED_FEATURES = " UNION ALL ".join(
+    [
+        _areas_of("county", "substr(geoid10, 1, 5)", ""),
+        _areas_of("tract", "tract_id", ""),
+        _areas_of("smalltract", "tract_id", f"AND tract_id NOT IN {_BIG}"),
+        _ONE % ("bigtract_block", f"WHERE tract_id IN {_BIG}"),
+        _ONE % ("block", ""),
+    ]
+)
+_SPEED_COVER = _cover(
+    _planned(f"({_SPEED_FEATURES})", SPEED_BANDS),
+    "level, geoid10, size, cost, minx, miny, maxx, maxy, coalesce, thin, drop_attr",
+)
+# budget and folding within a tile are those of the thinning query, for the thinned bands only
+_SPEED = f"""
+covered AS (SELECT 'speed' AS layer, * FROM ({_SPEED_COVER})),
+ranked AS (
+  SELECT *, least(greatest(floor(({_CX} - x) * 8), 0), 7)::INTEGER AS gx,
+    least(greatest(floor(({_CY} - y) * 8), 0), 7)::INTEGER AS gy,
+    run_cost <= {THIN_BUDGET} OR place = 1 AS keep
+  FROM (SELECT *, (sum(cost) OVER ranks)::BIGINT AS run_cost, row_number() OVER ranks AS place
+        FROM covered WHERE thin
+        WINDOW ranks AS (PARTITION BY z, x, y ORDER BY size DESC, geoid10 ROWS UNBOUNDED PRECEDING))),
+{_FOLDING.strip()},
+placed AS (
+  SELECT level, z, x, y, geoid10, minx, miny, maxx, maxy, coalesce, drop_attr,
+    coalesce(folded_n, 0) AS folded_n, coalesce(folded_size, 0) AS folded_size,
+    coalesce(folded_cost, 0) AS folded_cost
+  FROM ranked LEFT JOIN folded USING (layer, z, x, y, geoid10) WHERE keep
+  UNION ALL
+  SELECT level, z, x, y, geoid10, minx, miny, maxx, maxy, coalesce, drop_attr, 0, 0, 0
+  FROM covered WHERE NOT thin),
+value AS (
+  SELECT 'county' AS kind, county_id AS geoid10, tier, %(doubles)s FROM wcounty
+  UNION ALL SELECT 'tract', tract_id, tier, %(doubles)s FROM wtract
+  UNION ALL SELECT 'block', geoid10, tier, %(pivot)s FROM counts GROUP BY geoid10, tier),
+shown AS (
+  SELECT t.tier AS layer, p.*, v.* EXCLUDE (kind, geoid10, tier)
+  FROM placed p CROSS JOIN tier t LEFT JOIN value v ON v.tier = t.tier AND v.geoid10 = p.geoid10
+    AND v.kind = CASE p.level WHEN 'county' THEN 'county' WHEN 'tract' THEN 'tract'
+      WHEN 'smalltract' THEN 'tract' ELSE 'block' END)"""
+_SPEED_LAYERS = """
+SELECT layer, z, x, y, level, min(geoid10) AS ord, NULL::VARCHAR AS feature_id, %(names)s,
+  min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy,
+  count(*) AS n_features, sum(folded_n)::BIGINT AS folded_n, sum(folded_size)::BIGINT AS folded_size,
+  sum(folded_cost)::BIGINT AS folded_cost
+FROM shown WHERE coalesce GROUP BY layer, z, x, y, level, %(names)s
+UNION ALL
+SELECT layer, z, x, y, level, geoid10, CASE WHEN drop_attr IS NULL THEN geoid10 END, %(names)s,
+  minx, miny, maxx, maxy, 1, folded_n, folded_size, folded_cost
+FROM shown WHERE NOT coalesce"""
 
 
 def oracles() -> dict[str, str]:
@@ -760,6 +823,15 @@ def oracles() -> dict[str, str]:
           coalesce(folded_size, 0) AS folded_size, coalesce(folded_cost, 0) AS folded_cost
         FROM ranked LEFT JOIN folded USING (layer, z, x, y, geoid10) WHERE keep"""
     )
+    every = {
+        "names": ", ".join(q(n) for n in names),
+        "doubles": ", ".join(f"{q(n)}::DOUBLE AS {q(n)}" for n in names),
+        "pivot": ", ".join(f"(max(n) FILTER (k = {k}))::DOUBLE AS {q(n)}" for k, n in combos()),
+    }
+    o["speed_layer_tiles"] = (
+        w("degree", "tractm2", "typical", "wcounty", "wtract", "counts", "tier", recursive=(_SPEED % every).strip())
+        + _SPEED_LAYERS % every
+    )
     o["tile_union"] = (
         w("level")
         + f"SELECT '{TIER.name}' AS layer, * FROM ("

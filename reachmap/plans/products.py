@@ -259,25 +259,32 @@ def map_tiles(
             "level", F.lit(level)
         )
 
-    layers = []
-    for tier in tiers:
-        levels = []
-        for df, key, table in (
-            (county, "county_id", "county_numprov"),
-            (tract, "tract_id", "tract_numprov"),
-            (tract.join(small, "tract_id", "left_semi").withColumn("level", F.lit("smalltract")),
-             "tract_id", "tract_numprov"),
-            (blocks(made["bigtract_blocks"], "bigtract_block"), "geoid10", "block_numprov"),
-            (blocks(boxes, "block"), "geoid10", "block_numprov"),
-        ):
-            at_tier = stats[table].filter(F.col("tier") == tier.name)
-            values = at_tier.selectExpr(key, *[f"cast(`{n}` as double) as `{n}`" for n in names])
-            levels.append(
-                geometry.attach_statistics(df, values, key).withColumnRenamed(key, "feature_id")
-            )
-        layers.append(
-            tiles.speed_layer(tiles.tile_union(*levels), tier.name, names, budget)
+    levels = [
+        county.withColumnRenamed("county_id", "feature_id").withColumn("stat_kind", F.lit("county")),
+        tract.withColumnRenamed("tract_id", "feature_id").withColumn("stat_kind", F.lit("tract")),
+        tract.join(small, "tract_id", "left_semi")
+        .withColumn("level", F.lit("smalltract"))
+        .withColumnRenamed("tract_id", "feature_id")
+        .withColumn("stat_kind", F.lit("tract")),
+        *[
+            blocks(df, level).withColumnRenamed("geoid10", "feature_id").withColumn("stat_kind", F.lit("block"))
+            for df, level in ((made["bigtract_blocks"], "bigtract_block"), (boxes, "block"))
+        ],
+    ]
+    values = [
+        stats[f"{kind}_numprov"].selectExpr(
+            "tier",
+            f"'{kind}' as kind",
+            f"{key} as feature_id",
+            *[f"cast(`{n}` as double) as `{n}`" for n in names],
         )
+        for kind, key in (("county", "county_id"), ("tract", "tract_id"), ("block", "geoid10"))
+    ]
+    layers = [
+        tiles.speed_layers(
+            tiles.tile_union(*levels), tiles.tile_union(*values), names, [t.name for t in tiers], budget
+        )
+    ]
     xl = tiles.xl_block_tiles(made["xl_blocks"].drop("aland10", "cost"))
     layers.append(
         xl.select(
