@@ -35,6 +35,8 @@ TRAIN_DOCS = 400
 # A context is kept if seen this often, and at most so many in all languages together.
 LEAST_SEEN = 48
 MAX_CONTEXTS = 6000
+# Texts are scored in slices of about this many bytes, some 60 times as many in arrays.
+SLICE_BYTES = 1 << 20
 START = 10  # the byte taken to stand before a text
 UNDETERMINED = "und"
 
@@ -154,18 +156,21 @@ def predict(column, model):
     lang, score, rate = np.full(n, UNDETERMINED, object), np.zeros(n), np.zeros(n)
     if not model["langs"]:
         return lang, score, rate
-    for a, b in wd.slices(offs):
-        bits = code_lengths(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], model)
+    ascii_letter = np.zeros(256, bool)
+    ascii_letter[65:91] = ascii_letter[97:123] = True
+    bare = []  # texts without an ASCII letter
+    for a, b in wd.slices(offs, SLICE_BYTES):
+        part, at = data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]
+        seen = np.append(0, np.cumsum(ascii_letter[part], dtype=np.int32))
+        bare += (a + np.flatnonzero(seen[at[1:]] == seen[at[:-1]])).tolist()
+        bits = code_lengths(part, at, model)
         best = bits.argmin(1)
         least = bits.min(1)
         score[a:b] = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
         rate[a:b] = least / np.maximum(1, size[a:b])
         lang[a:b] = np.array(model["langs"], object)[best]
     # A letter of ASCII is seen in the bytes; only texts without one are looked at as text.
-    ascii_letter = np.zeros(256, bool)
-    ascii_letter[65:91] = ascii_letter[97:123] = True
-    seen = np.append(0, np.cumsum(ascii_letter[data]))
-    for i in np.flatnonzero(seen[offs[1:]] == seen[offs[:-1]]):
+    for i in bare:
         if not any(map(str.isalpha, bytes(data[offs[i] : offs[i + 1]]).decode("utf-8", "replace"))):
             lang[i], score[i] = UNDETERMINED, 0.0
     return lang, score, rate

@@ -44,8 +44,8 @@ from .graph import components
 SHINGLE = 4
 NUMERATOR, DENOMINATOR = 85, 100
 # Documents are counted in chunks of about this many shingles, in ranges of this much text.
-CHUNK_SHINGLES = 2_000_000
-RANGE_BYTES = 32 << 20
+CHUNK_SHINGLES = 1_000_000
+RANGE_BYTES = 16 << 20
 TOKEN_BITS = 48  # of a shingle's hash; equal numbers of different ones only add candidates
 # A block above either is hot: 32 MB of shingles at most.
 BLOCK_SETS = 1024
