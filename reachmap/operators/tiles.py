@@ -112,6 +112,76 @@ def tile_cover(features: DataFrame) -> DataFrame:
     )
 
 
+def unwrapped(ring: Column) -> Column:
+    """A ring whose longitudes go on past +-180 instead of jumping to the other side."""
+
+    def turn(acc, p):
+        jump = p["x"] - acc["last"]
+        offset = acc["offset"] + F.when(jump > 180, -360.0).when(jump < -180, 360.0).otherwise(0.0)
+        pts = F.concat(acc["pts"], F.array(G.point(p["x"] + offset, p["y"])))
+        return F.struct(p["x"].alias("last"), offset.alias("offset"), pts.alias("pts"))
+
+    start = F.struct(
+        F.element_at(ring, 1)["x"].alias("last"),
+        F.lit(0.0).alias("offset"),
+        F.array().cast("array<struct<x:double,y:double>>").alias("pts"),
+    )
+    jumps = F.exists(
+        F.sequence(F.lit(2), F.greatest(F.size(ring), F.lit(2))),
+        lambda i: F.abs(F.get(ring, i - 1)["x"] - F.get(ring, i - 2)["x"]) > 180,
+    )
+    return F.when(jumps, F.aggregate(ring, start, turn)["pts"]).otherwise(ring)
+
+
+def shape_cover(features: DataFrame, *keys: str) -> DataFrame:
+    """Tiles (keys, z, x, y) which each feature's shape touches at its zoom `z`.
+
+    Tiles that an edge crosses, and tiles between the crossings of an edge pair
+    with the middle line of a tile row, where the inside is. So the rows grow with
+    the shape and not with its box. Edges are straight in the projection. One
+    group is one tile row of one feature. Shapes across the antimeridian wrap.
+    """
+    n = F.pow(F.lit(2.0), F.col("z"))
+    world = lambda p: G.point(G.world_x(p["x"]) * F.col("n"), G.world_y(p["y"]) * F.col("n"))
+    rings = (
+        features.withColumn("n", n)
+        .select(*keys, "z", "n", F.explode("geom").alias("poly"))
+        .select(*keys, "z", "n", F.explode("poly").alias("ring"))
+        .select(*keys, "z", "n", F.transform(unwrapped(F.col("ring")), world).alias("ring"))
+    )
+    edges = rings.select(*keys, "z", "n", F.inline(G.segments(F.col("ring")))).selectExpr(
+        *keys, "z", "n", "a.x as ax", "a.y as ay", "b.x as bx", "b.y as by"
+    )
+    low, high = F.least("ay", "by"), F.greatest("ay", "by")
+    last = F.col("n") - 1
+    inside = lambda y: F.greatest(F.least(F.floor(y), last), F.lit(0)).cast("int")
+    at = lambda y: F.when(F.col("ay") == F.col("by"), F.col("ax")).otherwise(
+        F.col("ax") + (y - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))
+    )
+    level = F.col("ay") == F.col("by")
+    x0 = F.when(level, F.least("ax", "bx")).otherwise(F.least(at(F.greatest(low, F.col("y"))), at(F.least(high, F.col("y") + 1))))
+    x1 = F.when(level, F.greatest("ax", "bx")).otherwise(F.greatest(at(F.greatest(low, F.col("y"))), at(F.least(high, F.col("y") + 1))))
+    middle = F.col("y") + 0.5
+    rows = (
+        edges.withColumn("y", F.explode(F.sequence(inside(low), inside(high))))
+        .withColumn("span", F.struct(F.floor(x0).alias("x0"), F.floor(x1).alias("x1")))
+        .withColumn("cross", F.when((F.col("ay") <= middle) != (F.col("by") <= middle), at(middle)))
+        .groupBy(*keys, "z", "n", "y")
+        .agg(F.collect_set("span").alias("spans"), F.sort_array(F.collect_list("cross")).alias("cross"))
+    )
+    between = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size("cross") / 2) - 1),
+        lambda i: F.struct(
+            F.floor(F.get("cross", (2 * i).cast("int"))).alias("x0"),
+            F.floor(F.get("cross", (2 * i + 1).cast("int"))).alias("x1"),
+        ),
+    )
+    spans = F.when(F.size("cross") > 1, F.concat("spans", between)).otherwise(F.col("spans"))
+    tiles_ = F.flatten(F.transform(spans, lambda s: F.sequence(s["x0"], F.least(s["x1"], s["x0"] + F.col("n").cast("long") - 1))))
+    wrapped = F.array_distinct(F.transform(tiles_, lambda x: F.pmod(x, F.col("n").cast("long")).cast("int")))
+    return rows.select(*keys, "z", F.explode(wrapped).alias("x"), "y")
+
+
 def quantise(lon: Column, lat: Column, z: Column, x: Column, y: Column, detail: Column):
     """Coordinates inside a tile as integers, 2^detail units per side.
 

@@ -709,6 +709,20 @@ def tile_cover(spark, sf):
     return _block_cover(spark, sf, 11, 14).select("geoid10", "z", "x", "y")
 
 
+def _triangles(spark, sf):
+    """Half of each tract's box: from its south-west corner along both sides."""
+    boxes = _block_bounds(spark, sf, lonlat=True).withColumn("tract_id", tract_of("geoid10"))
+    corners = (("minx", "miny"), ("maxx", "miny"), ("minx", "maxy"), ("minx", "miny"))
+    ring = F.array(*[G.point(F.col(x), F.col(y)) for x, y in corners])
+    return geometry.group_bounds(boxes, "tract_id").select("tract_id", F.array(F.array(ring)).alias("geom"))
+
+
+@query
+def tile_cover_shapes(spark, sf):
+    zooms = F.explode(F.sequence(F.lit(6), F.lit(13)))
+    return tiles.shape_cover(_triangles(spark, sf).withColumn("z", zooms), "tract_id")
+
+
 @query
 def tile_quantise(spark, sf):
     features = fx.block_geom(spark, sf, lonlat=True).select(

@@ -787,6 +787,16 @@ def oracles() -> dict[str, str]:
         f"UNION ALL SELECT 'base', {_PLAN_COLUMNS} FROM ({_planned(base, base_bands(BASE_ZOOMS))})"
     )
     o["tile_cover"] = w("degree") + _cover(_zoomed(11, 14), "geoid10")
+    tx0, ty1 = _world("minx", "miny", "z")
+    tx1, ty0 = _world("maxx", "maxy", "z")
+    # a tile meets the triangle if its corner nearest to the right angle does
+    o["tile_cover_shapes"] = (
+        w("degree")
+        + f"""SELECT tract_id, z, x, y FROM (
+          SELECT *, {tx0} AS x0, {tx1} AS x1, {ty0} AS y0, {ty1} AS y1
+          FROM ({_cover(_zoomed(6, 13, "(SELECT tract_id, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM degree GROUP BY ALL)"), "tract_id, minx, miny, maxx, maxy")}))
+        WHERE (greatest(x, x0) - x0) / (x1 - x0) + (y1 - least(y + 1, y1)) / (y1 - y0) <= 1"""
+    )
     qx, qy = _world("lon", "lat", "z")
     o["tile_quantise"] = (
         w("degree", "corner")

@@ -47,6 +47,53 @@ def test_every_feature_has_a_tile_at_every_zoom(spark):
     assert wide.isEmpty()
 
 
+def test_shape_cover_equals_sampling_and_wraps(spark):
+    r = random.Random(8)
+    shapes = {}
+    for i in range(12):  # star-shaped, so that rings do not cross themselves
+        import math
+
+        cx, cy, k = r.uniform(-150, 150), r.uniform(-60, 60), r.randint(3, 9)
+        pts = [
+            (cx + r.uniform(1, 12) * math.cos(2 * math.pi * j / k), cy + r.uniform(1, 12) * math.sin(2 * math.pi * j / k))
+            for j in range(k)
+        ]
+        shapes[f"s{i}"] = pts
+    shapes["fiji"] = [(179.0, -10.0), (-179.0, -10.0), (-179.0, -12.0), (179.0, -12.0)]
+    rows = [(k, [[[{"x": x, "y": y} for x, y in [*p, p[0]]]]], 6) for k, p in shapes.items()]
+    f = spark.createDataFrame(rows, "id string, geom " + GEOM.simpleString() + ", z int")
+    got = {}
+    for row in T.shape_cover(f, "id").collect():
+        got.setdefault(row.id, set()).add((row.x, row.y))
+    assert {x for x, _ in got["fiji"]} == {0, 63}
+    n = 64
+    for name, pts in shapes.items():
+        if name == "fiji":
+            continue
+        import math
+
+        w = [((x + 180) / 360 * n, (1 - math.log(math.tan(math.radians(y)) + 1 / math.cos(math.radians(y))) / math.pi) / 2 * n) for x, y in pts]
+        w.append(w[0])
+        seen = set()
+        for a, b in zip(w, w[1:]):  # points along the edges
+            for i in range(2001):
+                t = i / 2000
+                seen.add((math.floor(a[0] + t * (b[0] - a[0])), math.floor(a[1] + t * (b[1] - a[1]))))
+        xs, ys = [p[0] for p in w], [p[1] for p in w]
+        inner = set()
+        for x in range(math.floor(min(xs)), math.floor(max(xs)) + 1):
+            for y in range(math.floor(min(ys)), math.floor(max(ys)) + 1):
+                px, py, odd = x + 0.5, y + 0.5, False
+                for a, b in zip(w, w[1:]):
+                    if (a[1] <= py) != (b[1] <= py) and px < a[0] + (py - a[1]) * (b[0] - a[0]) / (b[1] - a[1]):
+                        odd = not odd
+                if odd:
+                    inner.add((x, y))
+        assert seen | inner <= got[name]
+        # sampling may miss a tile that an edge only clips at a corner
+        assert len(got[name] - seen - inner) <= 2
+
+
 def random_cover(spark, seed, n=400):
     r = random.Random(seed)
     rows = []
