@@ -10,6 +10,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Texts go to Python in batches of this many rows at most: long ones would make
+# batches of Spark's usual 10,000 rows too large for an executor's memory.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """`df`, whose session hands rows to Python in small batches from now on."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that `df` does not have, whatever the case."""
     taken = {c.lower() for c in df.columns}

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as wd
-from .common import table
+from .common import in_small_batches, table
 
 WINDOW = 10
 PIECE_BYTES = 16 << 20
@@ -270,7 +270,7 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, piece_bytes: int = PIECE_BYTES
 ) -> DataFrame:
     """Per document: words, hit words, items, and the longest verbatim match with its places."""
-    spark = docs.sparkSession
+    spark = in_small_batches(docs).sparkSession
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kind = "doc_id long, text string, " + _REPORT
     searched = False
@@ -304,6 +304,7 @@ def _clean_with(index):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """The rows of `docs` without a window of the benchmark, all columns kept."""
+    in_small_batches(docs)
     for index in pieces(benchmark, window, piece_bytes):
         docs = docs.mapInArrow(_clean_with(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
     return docs

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import table
+from .common import in_small_batches, table
 
 TEMPLATE_PAGES = 4
 TEMPLATE_SHARE = 0.4
@@ -309,6 +309,7 @@ def templates(pages: DataFrame, least_pages: int = TEMPLATE_PAGES, share: float
 
 def extract(pages: DataFrame, least_pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
     """page_id, url, text and n_chars of every row of `pages`."""
+    in_small_batches(pages)
     url = F.col("url").cast("string")
     host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select("page_id", "url", host.alias("host"), F.col("html").cast("string").alias("html"))

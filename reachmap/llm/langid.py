@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import words as wd
-from .common import held_out, fold, table
+from .common import fold, held_out, in_small_batches, table
 
 MAX_ORDER = 3
 TRAIN_DOCS = 400
@@ -196,7 +196,7 @@ def _predict_with(model, names):
 
 def identify(docs: DataFrame, model=None) -> DataFrame:
     """doc_id, held_out, lang_pred, score and bits_per_byte of every document."""
-    model = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+    model = in_small_batches(docs).sparkSession.sparkContext.broadcast(model or train(docs))
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
     return rows.mapInArrow(
@@ -215,7 +215,7 @@ def _known_with(model):
 
 def with_language(docs: DataFrame, model=None) -> DataFrame:
     """The rows of `docs` whose language can be told, all columns kept."""
-    model = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+    model = in_small_batches(docs).sparkSession.sparkContext.broadcast(model or train(docs))
     return docs.mapInArrow(_known_with(model), docs.schema)
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from . import words as wd
-from .common import fresh, table
+from .common import fresh, in_small_batches, table
 from .graph import components
 
 SHINGLE = 4
@@ -503,7 +503,7 @@ def _with_components(
     range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """doc_id, key (a hash of id and text), n (size of the set) and component_id of every row."""
-    spark = docs.sparkSession
+    spark = in_small_batches(docs).sparkSession
     text = F.col("text").cast("string").alias("text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

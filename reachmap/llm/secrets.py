@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_small_batches, table
 
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A
@@ -358,7 +358,7 @@ def _scan_with(model):
 
 def scan_secrets(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """Per document: counts and digest of the base spans, and all spans."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, train_docs))
+    model = in_small_batches(docs).sparkSession.sparkContext.broadcast(train(docs, train_docs))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

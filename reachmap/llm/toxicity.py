@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, held_out, table
+from .common import fold, held_out, in_small_batches, table
 
 TRAIN_DOCS = 6000
 HASH_BITS = 20
@@ -220,7 +220,7 @@ def _score_with(model):
 
 def toxicity(docs: DataFrame, labels: DataFrame, model=None) -> DataFrame:
     """Per document: score, prediction, sentences over 0.5, and the place of the worst one."""
-    model = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels))
+    model = in_small_batches(docs).sparkSession.sparkContext.broadcast(model or train(docs, labels))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id")).alias("held_out"),
