@@ -216,10 +216,10 @@ def test_maxima_combine_over_filings_before_the_threshold(spark):
     assert numprov.tier_qualified(f, TIER["25_3"], (50,)).count() == 1
 
 
-def test_int8_saturates(spark):
+def test_narrowing_keeps_every_count(spark):
     row = {"geoid10": "x", **{n: 300 if n == "f" else 1 for n in combo_names()}}
     df = spark.createDataFrame([row])
-    assert numprov.numprov_int8(df).first()["f"] == 127
+    assert numprov.numprov_int8(df).first()["f"] == 300
 
 
 def test_consumer_only(spark):
