@@ -147,6 +147,14 @@ def test_personal_data_base_spans(spark, monkeypatch):
             assert 0 <= s.start < s.end <= len(t) and not any(s.start < b and a < s.end for _, a, b in want)
 
 
+def test_obfuscated_addresses_are_proposed_without_an_at_sign(spark):
+    whole = "john.doe{}example.com"
+    marks = ["(at)", "[at]", "(at]", "[at)", "@"]
+    rows = [(i, "write to " + whole.format(m)) for i, m in enumerate(marks)] + [(9, "meet at (the) place")]
+    got = {r.doc_id: r.proposals for r in pii.spans_of(documents(spark, rows)).collect()}
+    assert all([(p.start, p.end) for p in got[i]] == [(9, len(t))] for i, t in rows[:-1]) and got[9] == []
+
+
 def test_long_runs_stay_linear(spark):
     rows = [(1, "x" * 300_000 + " a@b.cd"), (2, "7" * 200_000 + ".1.2.3"), (3, "+" + "1 " * 100_000)]
     got = {r.doc_id: r.base for r in pii.find_personal_data(documents(spark, rows)).collect()}
