@@ -5,9 +5,10 @@
 2. Every subtree that could be page furniture is hashed: tag, names and text.
    Spark counts for each host the pages on which a hash occurs.
 3. Subtrees on TEMPLATE_PAGES pages of a host and TEMPLATE_SHARE of its pages or
-   more are deleted. Inside an article this holds for boxes only, not for
-   paragraphs, headings and lists of the text itself, since articles may share passages.
-   Pages with equal html count once.
+   more are deleted. Inside an article this holds for boxes only, and of a box what
+   goes is its loose text and inline elements: paragraphs, headings, tables and lists
+   stay with all they hold, since articles may share passages. Pages with equal html
+   count once.
 4. What is left of the `article` or `main` elements, or of the whole page if it
    has none, is text: character references decoded, white space within a
    block one space, blocks joined by a line break in page order.
@@ -67,8 +68,10 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul caption".split()
 )
-# In an article these hold its own text and are never taken as template.
-TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table tbody thead tr td th li dl dd dt figure figcaption".split())
+# In an article these hold its own text and are never taken as template, nor is what they hold.
+TEXT_TAGS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 blockquote pre table caption tbody thead tfoot tr td th ul ol li dl dd dt figure figcaption".split()
+)
 # An open p ends where one of these begins.
 ENDS_P = BLOCKS - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 # An open element ends where its like begins, up to the element that holds both.
@@ -185,15 +188,16 @@ def mains(root):
 
 
 def hashes(root):
-    """(hash, node) of every subtree of a page that could be template."""
-    todo, order, out = [(root, False, False)], [], []
+    """(hash, node, whether in an article) of every subtree of a page that could be template."""
+    todo, order, out = [(root, False, False, False)], [], []
     while todo:  # children after parents; read backwards
-        x, within, gone = todo.pop()
-        order.append((x, within, gone))
+        x, within, own, gone = todo.pop()
+        own = own or (within and x.tag in TEXT_TAGS)
+        order.append((x, within, own, gone))
         within, gone = within or x.tag in MAIN_TAGS, gone or x.drop
-        todo += [(c, within, gone) for c in x.parts if isinstance(c, Node)]
+        todo += [(c, within, own, gone) for c in x.parts if isinstance(c, Node)]
     value = {}
-    for x, within, gone in reversed(order):
+    for x, within, own, gone in reversed(order):
         h = hashlib.blake2b(f"{x.tag} {' '.join(x.names)}".encode("utf-8", "replace"), digest_size=8)
         for c in x.parts:
             if isinstance(c, Node):
@@ -204,11 +208,26 @@ def hashes(root):
         # The page itself, and what goes with a part that goes anyway, is not counted.
         if gone or x.tag in NO_TEMPLATE or x.tag in MAIN_TAGS:
             continue
-        if not (within and (x.tag in TEXT_TAGS or x.tag not in BLOCKS)):
-            out.append((int.from_bytes(d, "big", signed=True), x))
+        if not (own or (within and x.tag not in BLOCKS)):
+            out.append((int.from_bytes(d, "big", signed=True), x, within))
     return out
 
 
+def delete(node, within):
+    """Deletes a template; of one in an article the loose text, down to the boxes and text blocks in it.
+
+    A box in a box recurs as often as that and is deleted by itself.
+    """
+    if not within:
+        node.drop = True
+        return
+    todo = [node]
+    while todo:
+        x = todo.pop()
+        x.parts = [c for c in x.parts if isinstance(c, Node)]
+        todo += [c for c in x.parts if c.tag not in BLOCKS]
+
+
 def main_text(roots):
     """Text of the kept parts: blocks joined by line breaks."""
     blocks, line = [], []
@@ -240,7 +259,7 @@ def main_text(roots):
 
 
 def candidates(text):
-    """(tree of a page, [(hash, node)] that could be template)."""
+    """(tree of a page, [(hash, node, whether in an article)] that could be template)."""
     root = parse(text)
     return root, hashes(root)
 
@@ -249,7 +268,7 @@ def _subtrees(batches):
     for batch in batches:
         page, found = [], []
         for k, text in zip(batch.column("page_key").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            own = {h for h, _ in candidates(text)[1]} if text else ()
+            own = {h for h, *_ in candidates(text)[1]} if text else ()
             page += [k] * len(own)
             found += own
         host = dict(zip(batch.column("page_key").to_pylist(), batch.column("host").to_pylist(), strict=True))
@@ -272,8 +291,9 @@ def _extract(names):
                     continue
                 root, gone = parse(text), set(cuts or ())
                 if gone:
-                    for h, node in hashes(root):
-                        node.drop = node.drop or h in gone
+                    for h, node, within in hashes(root):
+                        if h in gone:
+                            delete(node, within)
                 texts.append(main_text(mains(root)))
             yield pa.RecordBatch.from_pydict(
                 {c: batch.column(c) for c in names}

@@ -208,6 +208,16 @@ def test_site_templates_go_and_articles_stay(spark):
     assert all(got[21 + i] == got[0] for i in range(5))
 
 
+def test_near_copies_of_an_article_keep_shared_lists_and_sections(spark):
+    shared = (
+        "<ul><li>first<li><div>second</div></ul><ol><li>third</ol><section><h2>Head</h2><p>Same words</p></section>"
+        "<div><div><p>Inner</p></div></div><div>Follow us <a>here</a><p>By the way</p><b>now</b></div><div>Loose furniture</div>"
+    )
+    got = texts(spark, [page(f"<article><p>Own {i}</p>{shared}</article>") for i in range(6)])
+    kept = "first\nsecond\nthird\nHead\nSame words\nInner\nBy the way"
+    assert all(got[i] == f"Own {i}\n{kept}" for i in range(6))
+
+
 def test_random_markup_never_fails():
     r = random.Random(4)
     bits = ["<p>", "</p>", "<div class='a b'>", "</div>", "<article>", "</article>", "<li>", "<td>", "text ", "&amp;", "<", ">", "<!--", "-->", "<script>", "</script>", "<br/>", "\"", "'", "<a href=x>", "</a>", "<title>"]
