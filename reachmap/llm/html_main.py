@@ -4,11 +4,12 @@
    their kind or name (menus, footers, forms, adverts, comments, ...) go.
 2. Every subtree that could be page furniture is hashed: tag, names and text.
    Spark counts for each host the pages on which a hash occurs.
-3. Subtrees on TEMPLATE_PAGES pages of a host and TEMPLATE_SHARE of its pages or
-   more are deleted. Inside an article this holds for boxes only, and of a box what
-   goes is its loose text and inline elements: paragraphs, headings, tables and lists
-   stay with all they hold, since articles may share passages. Pages with equal html
-   count once.
+3. Subtrees on TEMPLATE_PAGES different pages of a host or more are deleted; on a
+   host of over 16 pages, on as many as its pages' binary logarithm, so that few
+   chance repeats count on a very large host but furniture of one section does.
+   Inside an article this holds for boxes only, and of a box what goes is its loose
+   text and inline elements: paragraphs, headings, tables and lists stay with all
+   they hold, since articles may share passages. Pages with equal html count once.
 4. What is left of the `article` or `main` elements, or of the whole page if it
    has none, is text: character references decoded, white space within a
    block one space, blocks joined by a line break in page order.
@@ -33,7 +34,6 @@ from ..session import cut
 from .common import in_small_batches, table
 
 TEMPLATE_PAGES = 4
-TEMPLATE_SHARE = 0.4
 # Rows of one host and hash go to slices of about this many.
 ROWS_PER_SLICE = 100_000
 
@@ -303,7 +303,7 @@ def _extract(names):
     return run
 
 
-def templates(pages: DataFrame, least_pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
+def templates(pages: DataFrame, least_pages: int = TEMPLATE_PAGES) -> DataFrame:
     """page_key and the template subtrees on that page, for pages that have any.
 
     `pages` has page_key, host and html, one row for each different page of a host.
@@ -315,7 +315,7 @@ def templates(pages: DataFrame, least_pages: int = TEMPLATE_PAGES, share: float
     size = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
     counts = rows.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
     found = cut(
-        counts.join(size, "host").filter(F.col("n") >= share * F.col("host_pages")).select("host", "subtree", "n"),
+        counts.join(size, "host").filter(F.col("n") >= F.ceil(F.log2("host_pages"))).select("host", "subtree", "n"),
         "templates",
     )
     most = found.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
@@ -327,7 +327,7 @@ def templates(pages: DataFrame, least_pages: int = TEMPLATE_PAGES, share: float
     return hits.groupBy("page_key").agg(F.collect_set("subtree").alias("templates"))
 
 
-def extract(pages: DataFrame, least_pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = TEMPLATE_PAGES) -> DataFrame:
     """page_id, url, text and n_chars of every row of `pages`."""
     in_small_batches(pages)
     url = F.col("url").cast("string")
@@ -341,7 +341,7 @@ def extract(pages: DataFrame, least_pages: int = TEMPLATE_PAGES, share: float =
     if not repeated.isEmpty():
         again = single.join(repeated, "page_key", "left_semi").groupBy("page_key", "host").agg(F.first("html").alias("html"))
         single = single.join(repeated, "page_key", "left_anti").select("page_key", "host", "html").union(again)
-    cuts = cut(templates(single, least_pages, share), "page-templates")
+    cuts = cut(templates(single, least_pages), "page-templates")
     joined = rows.join(cuts, "page_key", "left").select("page_id", "url", "html", "templates")
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema if f.name in ("page_id", "url"))
     return joined.mapInArrow(_extract(["page_id", "url"]), kind + ", text string, n_chars long")

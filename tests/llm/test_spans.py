@@ -208,6 +208,15 @@ def test_site_templates_go_and_articles_stay(spark):
     assert all(got[21 + i] == got[0] for i in range(5))
 
 
+def test_furniture_of_a_tenth_of_a_large_host_goes(spark):
+    furniture = "<div class=x1><p>Follow the river</p></div>"
+    pages = [page(f"<p>Story {i} of this page</p>{furniture if i % 10 == 0 else ''}") for i in range(300)]
+    pages += [page(f"<p>Tale {i}</p><p>{'A chance repeat' if i < 3 else 'no'} {i if i >= 3 else ''}</p>", "b.example") for i in range(20)]
+    got = texts(spark, pages)
+    assert all(got[i] == f"Story {i} of this page" for i in range(300))
+    assert all(got[300 + i] == f"Tale {i}\nA chance repeat" for i in range(3))
+
+
 def test_near_copies_of_an_article_keep_shared_lists_and_sections(spark):
     shared = (
         "<ul><li>first<li><div>second</div></ul><ol><li>third</ol><section><h2>Head</h2><p>Same words</p></section>"
