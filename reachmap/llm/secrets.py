@@ -5,15 +5,17 @@ as begin, inside or outside of a secret, from the token's shape, neighbouring
 words and shapes, and features of the whole file; Viterbi decoding gives the
 best tags. Its spans are added where no base span lies.
 
-A secret may begin only at a token of a telling shape: eight characters or more
-with a digit, or twelve or more with a lower-case letter before an upper-case
-one. So a line without such a token has one possible tagging, all outside, and
-needs no decoding; this is part of the model and drops nothing.
+Every token may begin a secret; whether its shape is a telling one is a feature.
+All lines are decoded, many at once with numpy: a token whose tag is surely outside,
+whatever the tags around it are, splits a line, and only what is left between such
+tokens goes through Viterbi. The tags are those of decoding the whole line.
 
 Trained on a bounded sample: TRAIN_DOCS documents in which a base pattern's
 keyword occurs and as many others, those with the smallest hash of their id.
 Their base spans are the labels; keywords and punctuation around them are
-features, so spans in like surroundings are found which the patterns miss.
+features, so spans in like surroundings are found which the patterns miss. Pieces
+of lines with a base span or a token of telling shape are all learned from; of the
+others about PLAIN_PIECES, each with the weight of those it stands for.
 
 Defined results: a null text is empty and has no spans. Repeated rows give rows
 alike. Without a base span in the sample the field adds nothing.
@@ -23,6 +25,7 @@ import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +45,18 @@ LEAST = {"assign": 8, "access": 16}
 
 TRAIN_DOCS = 1500
 MOST_TOKENS = 96  # training sequences are pieces of lines of this length
+PLAIN_PIECES = 1000
+MOST_TYPES = 300_000  # different tokens remembered by a task
+CHUNK_CHARS = 2_000_000  # of texts that are decoded together
+CHUNK_TOKENS = 1 << 16
 HASH_BITS = 16
 EPOCHS = 40
 RATE = 0.5
 PENALTY = 1e-3
 
 TOKEN = re.compile(r"\w+|[^\w\s]")
-TELLING = re.compile(r"[0-9]|[a-z][A-Z]")
+TOKEN_OR_END = re.compile(r"\w+|[^\w\s]|\n")
+DIGITS, LOWER, UPPER = (frozenset(x) for x in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 TAGS = ("O", "B", "I")
 NEVER = -1e9
 
@@ -75,18 +83,18 @@ def joined(spans):
 
 
 def telling(token: str) -> bool:
-    """Whether a secret may begin at this token."""
+    """Whether the shape alone suggests a secret."""
     n = len(token)
-    return (n >= 8 and any("0" <= c <= "9" for c in token)) or (n >= 12 and bool(re.search("[a-z][A-Z]", token)))
+    return (n >= 8 and not DIGITS.isdisjoint(token)) or (n >= 12 and bool(re.search("[a-z][A-Z]", token)))
 
 
 def shape(token: str) -> str:
     """Length class and character classes."""
     kinds = (
-        ("d" if any("0" <= c <= "9" for c in token) else "")
-        + ("l" if any("a" <= c <= "z" for c in token) else "")
-        + ("u" if any("A" <= c <= "Z" for c in token) else "")
-        + ("x" if any(ord(c) > 127 for c in token) else "")
+        ("d" if not DIGITS.isdisjoint(token) else "")
+        + ("l" if not LOWER.isdisjoint(token) else "")
+        + ("u" if not UPPER.isdisjoint(token) else "")
+        + ("" if token.isascii() else "x")
     )
     if not kinds:
         return "p" + token[:1]
@@ -97,8 +105,10 @@ def shape(token: str) -> str:
 def spread(token: str) -> int:
     """Bits per character of a token's letter counts, as a class."""
     n = len(token)
-    counts = {c: token.count(c) for c in set(token)}
-    return int(2 * -sum(k / n * math.log2(k / n) for k in counts.values()))
+    counts = Counter(token).values()
+    if len(counts) == n:
+        return int(2 * math.log2(n))
+    return int(2 * -sum(k / n * math.log2(k / n) for k in counts))
 
 
 def file_features(text: str):
@@ -112,28 +122,163 @@ def file_features(text: str):
     )
 
 
-def _number(*parts) -> int:
-    return zlib.crc32("\x1f".join(map(str, parts)).encode()) & ((1 << HASH_BITS) - 1)
-
-
-def token_features(tokens, shapes, i, of_file):
-    """Feature numbers of one token."""
-    around = lambda seq, k: seq[i + k].lower() if 0 <= i + k < len(seq) else "-"
-    t, s = tokens[i], shapes[i]
-    raw = [("s", s), ("e", spread(t)), ("w", t.lower() if len(t) <= 16 else "long")]
-    raw += [("w", k, around(tokens, k)[:16]) for k in (-3, -2, -1, 1)]
-    raw += [("s", k, around(shapes, k)) for k in (-1, 1)]
-    raw += [("ws", around(tokens, -1)[:16], s), ("w2", around(tokens, -2)[:16], around(tokens, -1)[:16])]
-    raw += [("f", x, s) for x in of_file]
-    return [_number(*x) for x in raw]
-
-
-def lines(text: str):
-    """(start, end) of every line."""
-    at = 0
-    for part in text.split("\n"):
-        yield at, at + len(part)
-        at += len(part) + 1
+def _crc(x: str) -> int:
+    return zlib.crc32(x.encode("utf-8", "replace"))
+
+
+def _number(kind: int, x, y=None):
+    """Feature numbers of one kind for arrays of values."""
+    h = x * np.uint64(0x9E3779B97F4A7C15) + np.uint64((kind + 1) * 0xD1B54A32D192ED03 & (1 << 64) - 1)
+    if y is not None:
+        h ^= y * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return (h >> np.uint64(64 - HASH_BITS)).astype(np.int32)
+
+
+class Types(dict):
+    """A number for each different token, and what its features are made of. 0 ends a line."""
+
+    def __init__(self):
+        self.shapes, self.new = {"-": 0}, [(_crc("-"), 0, 0, 0, 0)]
+        self["\n"] = 0
+        self.parts = np.empty((0, 5), np.uint64)  # word, own word, shape, spread, telling
+        self.shape_crc = np.empty(0, np.uint64)
+
+    def __missing__(self, token):
+        low = token[:17].lower()
+        word = _crc(low[:16])
+        of_shape = self.shapes.setdefault(shape(token), len(self.shapes))
+        self.new.append((word, word if len(token) <= 16 else 1, of_shape, spread(token), telling(token)))
+        self[token] = n = len(self)
+        return n
+
+    def update_parts(self):
+        if self.new:
+            self.parts = np.concatenate([self.parts, np.array(self.new, np.uint64)])
+            self.new = []
+            self.shape_crc = np.array([_crc(x) for x in self.shapes], np.uint64)
+
+    def unary(self, lo=0):
+        """Feature numbers that a token from `lo` on gives to itself and to its neighbours: {offset: [numbers]}."""
+        word, own, of_shape, bits, tells = self.parts[lo:].T
+        form = self.shape_crc[of_shape.astype(np.int64)]
+        return {
+            0: [_number(0, form), _number(1, bits), _number(2, own), _number(3, tells)],
+            -3: [_number(4, word)],
+            -2: [_number(5, word)],
+            -1: [_number(6, word), _number(8, form)],
+            1: [_number(7, word), _number(9, form)],
+        }
+
+
+class Tokens:
+    """The tokens of texts: type, line and text of each."""
+
+    def __init__(self, texts, types):
+        self.types, every, sizes = types, [], []
+        for text in texts:
+            own = TOKEN_OR_END.findall(text)
+            every += own
+            every.append("\n")
+            sizes.append(len(own) + 1)
+        raw = np.fromiter(map(types.__getitem__, every), np.int64, len(every))
+        types.update_parts()
+        keep = raw != 0
+        self.ids = raw[keep]
+        self.line = np.cumsum(~keep)[keep]
+        self.text = np.repeat(np.arange(len(sizes)), sizes)[keep]
+        self.first = np.searchsorted(self.text, np.arange(len(sizes) + 1))
+        known = {}
+        of = [known.setdefault(file_features(t), len(known)) for t in texts]
+        self.file = np.array(of, np.int64)
+        self.files = np.array([[_crc(x) for x in f] for f in known], np.uint64).reshape(-1, 4)
+
+    def beside(self, k):
+        """The type of the token k places on in the same line, or 0."""
+        out, n = np.zeros_like(self.ids), len(self.ids)
+        if abs(k) < n:
+            to, of = (slice(-k, None), slice(None, k)) if k < 0 else (slice(None, -k), slice(k, None))
+            out[to] = np.where(self.line[to] == self.line[of], self.ids[of], 0)
+        return out
+
+    def pairs(self, at, one, two):
+        """Feature numbers of pairs for the tokens of a slice, from the types one and two places before."""
+        word, form = self.types.parts[:, 0], self.types.shape_crc[self.types.parts[:, 2].astype(np.int64)]
+        return _number(10, word[one[at]], form[self.ids[at]]), _number(11, word[two[at]], word[one[at]])
+
+    def features(self):
+        """Feature numbers, one row a token."""
+        numbers = []
+        for k, of in self.types.unary().items():
+            ids = self.beside(k) if k else self.ids
+            numbers += [x[ids] for x in of]
+        every = slice(None)
+        numbers += self.pairs(every, self.beside(-1), self.beside(-2))
+        form = self.types.shape_crc[self.types.parts[self.ids, 2].astype(np.int64)]
+        numbers += [_number(12 + j, self.files[self.file[self.text], j], form) for j in range(4)]
+        return np.stack(numbers, 1)
+
+
+class Field:
+    """A model that remembers the scores of the tokens it has seen."""
+
+    def __init__(self, w, t):
+        self.w, self.t = np.ascontiguousarray(w, np.float32), t
+        self.forget()
+
+    def forget(self):
+        self.types, self.known = Types(), {k: np.empty((0, 3), np.float32) for k in (0, -3, -2, -1, 1)}
+
+    def scores(self, tokens):
+        """Emission scores of tokens."""
+        w, types = self.w, self.types
+        done = len(self.known[0])
+        if done < len(types.parts):
+            for k, of in types.unary(done).items():
+                self.known[k] = np.concatenate([self.known[k], sum(w[x] for x in of)])
+        crc, files = types.shape_crc, tokens.files
+        form = np.zeros((len(files), len(crc), 3), np.float32)
+        for j in range(4):
+            form += w[_number(12 + j, np.repeat(files[:, j], len(crc)), np.tile(crc, len(files)))].reshape(form.shape)
+        form = form.reshape(-1, 3)
+        of_shape = types.parts[:, 2].astype(np.int64)
+        e = self.known[0][tokens.ids]
+        near = {k: tokens.beside(k) for k in (-3, -2, -1, 1)}
+        for lo in range(0, len(e), CHUNK_TOKENS):
+            at = slice(lo, lo + CHUNK_TOKENS)
+            for k, ids in near.items():
+                e[at] += self.known[k][ids[at]]
+            for x in tokens.pairs(at, near[-1], near[-2]):
+                e[at] += w[x]
+            e[at] += form[tokens.file[tokens.text[at]] * len(crc) + of_shape[tokens.ids[at]]]
+        return e
+
+    def spans(self, texts):
+        """For each text its spans: tokens begin to last inside."""
+        out, lo = [], 0
+        while lo < len(texts):
+            hi, size = lo + 1, len(texts[lo])
+            while hi < len(texts) and size + len(texts[hi]) <= CHUNK_CHARS:
+                size, hi = size + len(texts[hi]), hi + 1
+            if len(self.types) > MOST_TYPES:
+                self.forget()
+            out += self._spans(texts[lo:hi])
+            lo = hi
+        return out
+
+    def _spans(self, texts):
+        tokens = Tokens(texts, self.types)
+        out = [[] for _ in texts]
+        found = decoded(self.scores(tokens), tokens.line, self.t)
+        places = {}
+        for a, b in found:
+            k = int(tokens.text[a])
+            if k not in places:
+                places = {k: [x.span() for x in TOKEN.finditer(texts[k])]}
+            first = tokens.first[k]
+            out[k].append(("field", places[k][a - first][0], places[k][b - first][1]))
+        return out
 
 
 def log_sum(x, axis):
@@ -151,32 +296,31 @@ def allowed_steps():
 def fit(sequences):
     """Weights (features x 3) and transitions (3 x 3) by AdaGrad on the conditional likelihood.
 
-    A sequence is (features of each token, tag of each token, may-begin of each token).
+    A sequence is (features of each token, tag of each token, weight).
     """
     size = 1 << HASH_BITS
     w, t = np.zeros((size, 3)), np.zeros((3, 3))
-    if not any((np.array(tags) == 1).any() for _, tags, _ in sequences):
+    if not any((tags == 1).any() for _, tags, _ in sequences):
         return None
     n, width = len(sequences), max(len(s[1]) for s in sequences)
     k = len(sequences[0][0][0])
-    feats = np.zeros((n, width, k), np.int64)
+    feats = np.zeros((n, width, k), np.int32)
     tags = np.zeros((n, width), np.int64)
     real = np.zeros((n, width), bool)
-    mask = np.zeros((n, width, 3))
-    for r, (f, y, b) in enumerate(sequences):
+    weight = np.array([s[2] for s in sequences], float)
+    for r, (f, y, _) in enumerate(sequences):
         feats[r, : len(y)], tags[r, : len(y)], real[r, : len(y)] = f, y, True
-        mask[r, : len(y), 1] = np.where(b, 0.0, NEVER)
-    mask[:, 0, 2] = NEVER
+    count = real * weight[:, None]
     steps = allowed_steps()
     used, code = np.unique(feats[real], return_inverse=True)
     code = code.reshape(-1, k)
     v, sq, sq_t = np.zeros((len(used), 3)), np.full((len(used), 3), 1e-3), np.full((3, 3), 1e-3)
-    gold = np.eye(3)[tags] * real[:, :, None]
-    pairs = np.einsum("nti,ntj->ij", gold[:, :-1], gold[:, 1:])
+    gold = np.eye(3)[tags] * count[:, :, None]
+    pairs = np.einsum("nti,ntj->ij", gold[:, :-1], gold[:, 1:] > 0)
     for _ in range(EPOCHS):
         e = np.zeros((n, width, 3))
-        e[real] = v[code].sum(1)
-        e += mask
+        e[real] = sum(v[code[:, j]] for j in range(k))
+        e[:, 0, 2] = NEVER
         tr = t + steps
         alpha = np.empty_like(e)
         alpha[:, 0] = e[:, 0]
@@ -188,11 +332,11 @@ def fit(sequences):
             beta[:, i] = np.where(real[:, i + 1, None], nxt, 0.0)
         last = real.sum(1) - 1
         z = log_sum(alpha[np.arange(n), last], 1)
-        p = np.exp(alpha + beta - z[:, None, None]) * real[:, :, None]
+        p = np.exp(alpha + beta - z[:, None, None]) * count[:, :, None]
         both = np.zeros((3, 3))
         for i in range(1, width):
             x = alpha[:, i - 1, :, None] + tr[None] + (e[:, i] + beta[:, i])[:, None, :] - z[:, None, None]
-            both += (np.exp(np.minimum(x, 0)) * real[:, i, None, None]).sum(0)
+            both += (np.exp(np.minimum(x, 0)) * count[:, i, None, None]).sum(0)
         diff = (p - gold)[real]
         grad = np.stack([np.bincount(code.ravel(), np.repeat(diff[:, j], k), minlength=len(used)) for j in range(3)], 1)
         grad = grad / n + PENALTY * v
@@ -220,87 +364,98 @@ def viterbi(e, transitions):
     return tags[::-1]
 
 
-def field_spans(text: str, model):
-    """Spans that the field finds: tokens begin to last inside."""
-    if model is None:
+def decoded(e, line, t):
+    """(first token, last token) of the secrets in the best tags of all lines."""
+    n = len(e)
+    if not n:
         return []
-    w, t = model
-    # Lines with a token at which a secret may begin.
-    at, end, of_file, out = 0, -1, None, []
-    for m in TELLING.finditer(text):
-        if m.start() < end:
-            continue
-        at = text.rfind("\n", 0, m.start()) + 1
-        end = text.find("\n", m.start())
-        end = len(text) if end < 0 else end
-        line = text[at:end]
-        found = [x for x in TOKEN.finditer(line)]
-        tokens = [x.group() for x in found]
-        begin = [telling(x) for x in tokens]
-        if not any(begin):
-            continue
-        of_file = file_features(text) if of_file is None else of_file
-        shapes = [shape(x) for x in tokens]
-        e = np.array([w[token_features(tokens, shapes, i, of_file)].sum(0) for i in range(len(tokens))])
-        e[~np.array(begin), 1] = NEVER
-        tags, i = viterbi(e, t), 0
+    last = np.r_[line[1:] != line[:-1], True]
+    ahead = np.r_[e[1:, 1] - e[1:, 2], 0]
+    # By how much a path through another tag gains at least when this tag becomes outside
+    # (and an inside after it a begin), whatever the tags around are.
+    sure = np.ones(n, bool)
+    for tag, before in ((1, (0, 1, 2)), (2, (1, 2))):
+        back = min(0, *[t[a, 0] - t[a, tag] for a in before])
+        near = min(0, t[0, 0] - t[tag, 0], t[0, 1] - t[tag, 1])
+        far = t[0, 1] - t[tag, 2] + min(0, *(t[1] - t[2]))
+        sure &= e[:, 0] - e[:, tag] + back + np.where(last, near, np.minimum(near, far + ahead)) > 1e-3
+    rest = np.flatnonzero(~sure)
+    cuts = np.flatnonzero((np.diff(rest) > 1) | (np.diff(line[rest]) > 0)) + 1
+    out = []
+    for run in np.split(rest, cuts) if len(rest) else []:
+        lo, hi = run[0], run[-1] + 1
+        own = e[lo:hi].astype(float)
+        if lo and line[lo - 1] == line[lo]:
+            own[0] += t[0]
+        if hi < n and line[hi] == line[lo]:
+            own[-1] += t[:, 0]
+        tags, i = viterbi(own, t), 0
         while i < len(tags):
             if tags[i] == 1:
                 j = i
                 while j + 1 < len(tags) and tags[j + 1] == 2:
                     j += 1
-                out.append(("field", at + found[i].start(), at + found[j].end()))
+                out.append((int(lo) + i, int(lo) + j))
                 i = j
             i += 1
     return out
 
 
-def all_spans(text: str, model):
-    """(base spans, spans added by the field)."""
-    base = base_spans(text)
-    more = field_spans(text, model)
-    return base, [s for s in more if not any(s[1] < b and a < s[2] for _, a, b in base)]
+def field_spans(text: str, model):
+    """Spans that the field finds in one text."""
+    return Field(*model).spans([text])[0] if model is not None else []
 
 
-def training_sequences(texts):
-    """Pieces of lines with their tags, from base spans."""
+def all_spans(texts, field):
+    """For each text (base spans, spans added by the field)."""
     out = []
-    for text in texts:
-        secret = []
-        for kind, a, b in base_spans(text):
-            if kind == "assign":
-                a = ASSIGN.match(text, a).start(2)
-            secret.append((a, b))
-        of_file = file_features(text)
-        for a, b in lines(text):
-            found = list(TOKEN.finditer(text, a, b))
-            tokens = [x.group() for x in found]
-            begin = [telling(x) for x in tokens]
-            if not any(begin):
-                continue
-            shapes = [shape(x) for x in tokens]
-            tags = [0] * len(tokens)
-            for s, e in secret:
-                own = [i for i, x in enumerate(found) if x.start() >= s and x.end() <= e]
-                if own and begin[own[0]] and not any(tags[i] for i in own):
-                    for i in own:
-                        tags[i] = 2
-                    tags[own[0]] = 1
-            feats = [token_features(tokens, shapes, i, of_file) for i in range(len(tokens))]
-            marks = [i for i, x in enumerate(begin) if x]
-            done = -1
-            for i in marks:  # pieces around the tokens where a secret may begin
-                if i <= done:
-                    continue
-                lo = max(0, i - MOST_TOKENS // 4)
-                while lo < i and tags[lo] == 2:
-                    lo += 1
-                hi = min(len(tokens), lo + MOST_TOKENS)
-                out.append((feats[lo:hi], tags[lo:hi], begin[lo:hi]))
-                done = hi - 1
+    for text, more in zip(texts, field.spans(texts) if field else [[]] * len(texts), strict=True):
+        base = base_spans(text)
+        out.append((base, [s for s in more if not any(s[1] < b and a < s[2] for _, a, b in base)]))
     return out
 
 
+def training_sequences(texts):
+    """Pieces of all lines with their tags, from base spans."""
+    tokens = Tokens(texts, Types())
+    tags = np.zeros(len(tokens.ids), np.int64)
+    for k, text in enumerate(texts):
+        secret = sorted((ASSIGN.match(text, a).start(2) if kind == "assign" else a, b) for kind, a, b in base_spans(text))
+        if not secret:
+            continue
+        start, end = np.array([x.span() for x in TOKEN.finditer(text)]).T
+        own, joint = tags[tokens.first[k] : tokens.first[k + 1]], []
+        for a, b in secret:  # spans that overlap are one
+            if joint and a < joint[-1][1]:
+                joint[-1][1] = max(b, joint[-1][1])
+            else:
+                joint.append([a, b])
+        for a, b in joint:
+            lo, hi = np.searchsorted(end, a, "right"), np.searchsorted(start, b, "left")
+            while lo < hi and own[lo]:
+                lo += 1
+            if lo < hi:
+                own[lo:hi] = 2
+                own[lo] = 1
+    feats = tokens.features()
+    likely = (tags > 0) | (tokens.types.parts[tokens.ids, 4] > 0)
+    borders = np.flatnonzero(np.r_[True, tokens.line[1:] != tokens.line[:-1], True]) if len(tags) else []
+    out, plain = [], []
+    for at, end in zip(borders[:-1], borders[1:], strict=True):
+        while at < end:
+            hi = min(end, at + MOST_TOKENS)
+            while at < hi < end and tags[hi] == 2:  # not within a secret, if it fits
+                hi -= 1
+            hi = hi if hi > at else min(end, at + MOST_TOKENS)
+            (out if likely[at:hi].any() else plain).append((at, hi))
+            at = hi
+            while at < end and tags[at] == 2:
+                at += 1
+    some = plain[:: max(1, len(plain) // PLAIN_PIECES)]
+    weighted = [(x, 1.0) for x in out] + [(x, len(plain) / len(some)) for x in some]
+    return [(feats[a:b], tags[a:b], weight) for (a, b), weight in weighted]
+
+
 def training_rows(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """Texts of the sample: at most 2 * train_docs."""
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -338,10 +493,10 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS):
 
 def _scan_with(model):
     def run(batches):
+        field = Field(*model.value) if model.value is not None else None
         for batch in batches:
             rows = []
-            for text in batch.column("text").to_pylist():
-                base, more = all_spans(text, model.value)
+            for base, more in all_spans(batch.column("text").to_pylist(), field):
                 n = {k: sum(s[0] == k for s in base) for k in KINDS}
                 digest = hashlib.sha256(joined(base).encode()).hexdigest()
                 rows.append((n["assign"], n["access"], n["hex"], digest, joined(base + more), len(more)))

@@ -80,6 +80,37 @@ def test_field_finds_unseen_secrets():
     assert not secrets.field_spans("plain words and 12 numbers in 2024 only", model)
 
 
+def test_secrets_of_any_shape_can_be_found():
+    """Secrets that begin with plain letters, capitals or short digits, in surroundings that no pattern has."""
+
+    def text(i):
+        r = random.Random(i)
+        w = lambda n, a="abcdefghijklmnopqrstuvwxyz": "".join(r.choice(a) for _ in range(n))
+        value = [w(15), w(14, "QWERTZUIOP"), f"{r.randrange(1000, 9999)}-{r.randrange(1000, 9999)}", f"{w(2)}/{w(3)}0{w(5)}+{w(3)}"][i % 4]
+        key = r.choice(["password: ", "api_key: ", "secret=", "token = "])
+        return "\n".join([" ".join(w(r.randint(2, 8)) for _ in range(12)), key + value, "plain " + w(5)])
+
+    model = secrets.fit(secrets.training_sequences([text(i) for i in range(400)]))
+    lines = ["passphrase: correcthorsebattery", "client_key: QWERTZUIOPASDF", "pin=4711-0815", "pwd = kq/jsl0wptzy+ydd"]
+    got = [[t[a:b] for _, a, b in secrets.field_spans(t, model)] for t in lines]
+    assert got == [["correcthorsebattery"], ["QWERTZUIOPASDF"], ["4711-0815"], ["kq/jsl0wptzy+ydd"]]
+
+
+def test_decoding_all_lines_at_once_equals_each_line():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        e, t = r.normal(size=(60, 3)) * 2 + [r.uniform(0, 5), 0, 0], r.normal(size=(3, 3))
+        line = np.sort(r.integers(0, 12, 60))
+        want = []
+        for k in np.unique(line):
+            at = np.flatnonzero(line == k)
+            tags = "".join(map(str, secrets.viterbi(e[at], t)))
+            want += [(at[m.start()], at[m.end() - 1]) for m in re.finditer("12*", tags)]
+        assert secrets.decoded(e, line, t) == want
+
+
 def test_viterbi_equals_all_paths():
     import itertools
 
