@@ -161,7 +161,43 @@ def _end(vx: Column, vy: Column, ox: Column, oy: Column, side: str) -> Column:
 
 
 def ring_points(outline: DataFrame, *keys: str) -> DataFrame:
-    """(keys, ring, seq, x, y): outline vertices in ring order, any outline size.
+    """(keys, ring, seq, x, y): outline vertices in ring order, any outline size."""
+    return ring_edges(outline, *keys).drop("nx", "ny")
+
+
+def signed_ring_edges(outline: DataFrame, *keys: str) -> DataFrame:
+    """`ring_edges` with the ring's number of points and sign, 1 for a shell and -1 for a hole."""
+    edges = cut(ring_edges(outline, *keys), "ring-edges")
+    d = {c: F.col(c).cast("decimal(18,0)") for c in ("x", "y", "nx", "ny")}
+    rings = edges.groupBy(*keys, "ring").agg(
+        F.count("*").alias("n_points"),
+        F.signum(F.sum(d["x"] * d["ny"] - d["nx"] * d["y"]).cast("double")).cast("int").alias("sign"),
+    )
+    return spread_join(edges, rings, [*keys, "ring"])
+
+
+def closed_ring_points(outline: DataFrame, *keys: str, grid: int = GRID) -> DataFrame:
+    """(keys, ring, sign, seq, x, y): points in coordinate units; the last of a ring is its first again."""
+    edges = signed_ring_edges(outline, *keys)
+    end = edges.filter(F.col("seq") == 0).withColumn("seq", F.col("n_points"))
+    return edges.unionByName(end).select(
+        *keys, "ring", "sign", "seq", (F.col("x") / grid).alias("x"), (F.col("y") / grid).alias("y")
+    )
+
+
+def point_measures(points: DataFrame, *keys: str) -> DataFrame:
+    """(keys, area, minx, miny, maxx, maxy) of closed rings that are rows of points."""
+    ring = [*keys, "ring", "seq"]
+    ahead = points.select(*keys, "ring", (F.col("seq") - 1).alias("seq"), F.col("x").alias("nx"), F.col("y").alias("ny"))
+    sides = points.join(ahead, ring)
+    return sides.groupBy(*keys).agg(
+        (F.sum(F.col("x") * F.col("ny") - F.col("nx") * F.col("y")) / 2).alias("area"),
+        *[f(c).alias(f"{name}{c}") for name, f in (("min", F.min), ("max", F.max)) for c in ("x", "y")],
+    )
+
+
+def ring_edges(outline: DataFrame, *keys: str) -> DataFrame:
+    """(keys, ring, seq, x, y, nx, ny): outline vertices in ring order, each with the next one.
 
     Pointer doubling: after round i each edge knows the smallest edge among the
     2^i edges before it and how far back it is, so the longest ring sets the
@@ -208,6 +244,8 @@ def ring_points(outline: DataFrame, *keys: str) -> DataFrame:
         F.col("off").alias("seq"),
         F.col("e.x1").alias("x"),
         F.col("e.y1").alias("y"),
+        F.col("e.x2").alias("nx"),
+        F.col("e.y2").alias("ny"),
     )
 
 

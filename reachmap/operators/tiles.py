@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geom as G
+from ..functions.joins import spread_join
 from ..session import cut
 from .dissolve import outline_edges
 
@@ -257,6 +258,35 @@ def _simple_ring(closed_ring: Column) -> Column:
     )
 
 
+def _cells() -> Column:
+    return F.pow(F.lit(2.0), F.col("z") + F.col("detail")) / F.col("simplify")
+
+
+def _snapped(x: Column, y: Column) -> Column:
+    return G.point(
+        F.round(G.world_x(x) * F.col("cells")).cast("bigint"),
+        F.round(G.world_y(y) * F.col("cells")).cast("bigint"),
+    )
+
+
+def simplify_points(points: DataFrame, keys: list[str]) -> DataFrame:
+    """`simplify_features` for rings that are rows of points, each with the next one (nx, ny).
+
+    (keys, z, sign, seq, pts) with one point in `pts`. A point that snaps to the
+    next one goes, collinear ones stay. Nothing is collected by ring.
+    """
+    own = [*keys, "z"]
+    moved = (
+        points.withColumn("cells", _cells())
+        .withColumn("p", _snapped(F.col("x"), F.col("y")))
+        .withColumn("q", _snapped(F.col("nx"), F.col("ny")))
+        .filter("p != q")
+        .select(*own, "sign", "seq", F.array("p").alias("pts"))
+    )
+    large = moved.groupBy(*own).agg(F.count("*").alias("n")).filter("n >= 3").drop("n")
+    return spread_join(moved, large, own, "left_semi")
+
+
 def simplify_features(features: DataFrame, keys: list[str]) -> DataFrame:
     """Geometry snapped to the grid of its zoom, without points that add nothing.
 
@@ -265,16 +295,12 @@ def simplify_features(features: DataFrame, keys: list[str]) -> DataFrame:
     shrink below a triangle disappear, with them features left without a ring.
     Works ring by ring: (keys, z, poly, ring, pts) on integer grid points.
     """
-    cells = F.pow(F.lit(2.0), F.col("z") + F.col("detail")) / F.col("simplify")
 
     def snap(p):
-        return G.point(
-            F.round(G.world_x(p["x"]) * F.col("cells")).cast("bigint"),
-            F.round(G.world_y(p["y"]) * F.col("cells")).cast("bigint"),
-        )
+        return _snapped(p["x"], p["y"])
 
     rings = (
-        features.withColumn("cells", cells)
+        features.withColumn("cells", _cells())
         .select(*keys, "z", "cells", F.posexplode("geom").alias("poly", "rings"))
         .select(*keys, "z", "cells", "poly", F.posexplode("rings").alias("ring", "pts"))
     )

@@ -148,15 +148,22 @@ def export_numprov_null(spark, sf):
 
 
 @query
-def export_features_geojson(spark, sf):
-    """Dissolved tracts as GeoJSON with their area, read back."""
+def export_features_geojson(spark, sf, pack_edges=dissolve.PACK_EDGES):
+    """Dissolved tracts as GeoJSON with their area, and long outlines as rows of points, read back."""
     path = scratch_path(spark, "tracts")
-    tracts = dissolve.dissolve(_land_with_tract(spark, sf), "tract_id", grid=1)
+    tracts = dissolve.dissolve(_land_with_tract(spark, sf), "tract_id", grid=1, pack_edges=pack_edges)
     features = tracts.features.withColumn("area", G.area(F.col("geom")))
     writers.write_geojson(features, path, ["tract_id", "area"], ["tract_id"])
-    return geometry.feature_bounds(
+    whole = geometry.feature_bounds(
         readers.read_geojson(spark, path, "tract_id: string, area: double"), "tract_id", "area"
     )
+    if tracts.long_outlines.isEmpty():
+        return whole
+    path = scratch_path(spark, "tract-points")
+    points = dissolve.closed_ring_points(tracts.long_outlines, "tract_id", grid=1)
+    writers.write_ring_points(points, path, ["tract_id"])
+    back = spark.read.schema(points.schema).option("header", True).csv(path)
+    return whole.unionByName(dissolve.point_measures(back, "tract_id"))
 
 
 # --- filings -----------------------------------------------------------------

@@ -32,7 +32,6 @@ from ..operators import (
     tiles,
 )
 from ..sinks import writers
-from ..sources.schemas import GEOM
 
 # features per tile of a thinned band, in vertices
 TILE_BUDGET = 200_000
@@ -109,7 +108,11 @@ def exports(made: dict[str, DataFrame], out: str, classes=TECH_CLASSES, tiers=TI
 
 
 def export_shapes(made: dict[str, DataFrame], out: str) -> None:
-    """Block flags and tract areas as CSV, whole features as GeoJSON."""
+    """Block flags and tract areas as CSV, features as GeoJSON.
+
+    Outlines too long for a feature are CSV rows of points: ring, sign (1 for a
+    shell, -1 for a hole), place on the ring. Both together are all features.
+    """
     writers.write_csv(made["h2only_undev"], f"{out}/csv/h2only_undev", order=["block_fips"])
     writers.write_csv(made["tract_area"], f"{out}/csv/tract_area", order=["tract_id"])
     for level in ("block", "tract", "county"):
@@ -119,6 +122,8 @@ def export_shapes(made: dict[str, DataFrame], out: str) -> None:
             ["feature_id"],
             ["feature_id"],
         )
+    points = dissolve.closed_ring_points(made["long_outlines"], "level", "feature_id")
+    writers.write_ring_points(points, f"{out}/csv/long_outlines", ["level", "feature_id"])
 
 
 def shapes(
@@ -182,46 +187,44 @@ def shapes(
     return made
 
 
-def long_rings(outlines: DataFrame) -> DataFrame:
-    """(level, feature_id, part, geom): the rings of outlines that are tables of edges."""
-    points = dissolve.ring_points(outlines, "level", "feature_id")
-    ordered = F.sort_array(F.collect_list(F.struct("seq", "x", "y")))
-    ring = F.transform(
-        ordered,
-        lambda p: G.point(p["x"].cast("double") / dissolve.GRID, p["y"].cast("double") / dissolve.GRID),
-    )
-    rings = points.groupBy("level", "feature_id", F.col("ring").alias("part")).agg(ring.alias("ring"))
-    closed = F.concat("ring", F.slice("ring", 1, 1))
-    return rings.select("level", "feature_id", "part", F.array(F.array(closed)).cast(GEOM).alias("geom"))
-
-
 def map_rings(
     made: dict[str, DataFrame], out: str, threshold: float = BIG_TRACT_M2
 ) -> DataFrame:
     """Geometry of the speed layers: simplified rings of each feature at each zoom.
 
     All tiers share it. Rings are kept once per feature and zoom instead of once
-    per tile; the tile tables say which tiles a feature is in. Outlines too long
-    for one row are there ring by ring, each as a polygon of its own.
+    per tile; the tile tables say which tiles a feature is in. A ring of an outline
+    too long for one row has a row for each point: `part` names the ring, `seq`
+    is the place on it, and `poly` and `ring` are null. `sign` is 1 for a shell and -1 for
+    a hole of either kind.
     """
-    features = made["features"].select("level", "feature_id", F.lit(None).cast("string").alias("part"), "geom")
-    features = features.unionByName(long_rings(made["long_outlines"]))
     small = geometry.notbig_tracts(made["tract_area"], threshold).select(
         F.col("tract_id").alias("feature_id")
     )
     in_big = made["bigtract_blocks"].select(F.col("geoid10").alias("feature_id"))
-    at_nine = [
-        features.filter(F.col("level") == whole)
-        .join(part, "feature_id", "left_semi")
-        .withColumn("level", F.lit(name))
-        for whole, name, part in (
-            ("tract", "smalltract", small),
-            ("block", "bigtract_block", in_big),
-        )
-    ]
-    shown = tiles.zoom_plan_features(tiles.tile_union(features, *at_nine))
-    rings = tiles.simplify_features(shown, ["level", "feature_id", "part", "simplify", "detail"])
-    return _save(rings, out, "rings", "level", "z")
+
+    def shown(features):
+        at_nine = [
+            features.filter(F.col("level") == whole)
+            .join(part, "feature_id", "left_semi")
+            .withColumn("level", F.lit(name))
+            for whole, name, part in (
+                ("tract", "smalltract", small),
+                ("block", "bigtract_block", in_big),
+            )
+        ]
+        return tiles.zoom_plan_features(tiles.tile_union(features, *at_nine))
+
+    features = made["features"].select("level", "feature_id", F.lit(None).cast("string").alias("part"), "geom")
+    keys = ["level", "feature_id", "part", "simplify", "detail"]
+    rings = tiles.simplify_features(shown(features), keys).withColumns(
+        {"sign": F.when(F.col("ring") == 0, 1).otherwise(-1), "seq": F.lit(None).cast("bigint")}
+    )
+    long = dissolve.signed_ring_edges(made["long_outlines"], "level", "feature_id")
+    degrees = {c: F.col(c) / dissolve.GRID for c in ("x", "y", "nx", "ny")}
+    long = shown(long.withColumns(degrees).withColumnRenamed("ring", "part").drop("n_points"))
+    points = tiles.simplify_points(long, keys)
+    return _save(rings.unionByName(points, allowMissingColumns=True), out, "rings", "level", "z")
 
 
 def map_tiles(

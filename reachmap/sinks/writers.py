@@ -85,6 +85,11 @@ def write_geojson(
     lines.write.mode("overwrite").option("compression", compression).text(path)
 
 
+def write_ring_points(points: DataFrame, path: str, keys: list[str]) -> None:
+    """Outlines too long for a feature each, as CSV rows of points in ring order."""
+    write_csv(points, path, [*keys, "ring", "sign", "seq", "x", "y"], order=[*keys, "ring", "seq"])
+
+
 def write_tiles(tiles: DataFrame, path: str) -> None:
     """Tile table as Parquet by layer and zoom."""
     tiles.write.mode("overwrite").partitionBy("layer", "z").parquet(path)

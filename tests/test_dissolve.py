@@ -125,6 +125,33 @@ def test_outlines_beyond_the_limit_stay_whole(spark):
     assert D.ring_points(parts.long_outlines, "key").count() == 72
 
 
+def test_long_outlines_are_exported_with_their_holes(spark, sf_dir, tmp_path):
+    from reachmap.plans import catalog, products
+
+    measured = lambda df: sorted(map(tuple, df.collect()))
+    whole = measured(catalog.export_features_geojson(spark, sf_dir))
+    assert measured(catalog.export_features_geojson(spark, sf_dir, pack_edges=4)) == whole
+
+    ring = [(x, y) for x in range(5) for y in range(5) if x in (0, 4) or y in (0, 4)]
+    long = D.dissolve(cells(spark, {"k": ring}), "key", grid=1, pack_edges=10).long_outlines
+    points = D.closed_ring_points(long, "key", grid=1)
+    signs = {r.sign: r["count"] for r in points.groupBy("sign").count().collect()}
+    assert signs == {1: 21, -1: 13} and D.point_measures(points, "key").first().area == 16.0
+
+    level = long.withColumnRenamed("key", "feature_id").withColumn("level", F.lit("tract"))
+    # degrees, as the map reads grid units
+    level = level.withColumns({c: (F.col(c) * D.GRID).cast("bigint") for c in D.EDGE})
+    empty = lambda schema: spark.createDataFrame([], schema)
+    made = {
+        "features": empty("level string, feature_id string, geom " + GEOM.simpleString()),
+        "long_outlines": level, "bigtract_blocks": empty("geoid10 string"),
+    }
+    made["tract_area"] = spark.createDataFrame([], "tract_id string, aland10 bigint, area_m2 double, area double")
+    rows = products.map_rings(made, str(tmp_path)).filter("z = 8").collect()
+    assert all(len(r.pts) == 1 for r in rows) and {r.sign for r in rows} == {1, -1}
+    assert sum(r.sign == 1 for r in rows) == 20 and sum(r.sign == -1 for r in rows) == 12
+
+
 def test_mercator(spark):
     deg = table(spark, ("k", square(0, 0)))
     m = deg.select(G.map_points(F.col("geom"), G.mercator).alias("geom"))
