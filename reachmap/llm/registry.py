@@ -2,6 +2,8 @@
 
 from .decontam import op5_decontamination
 from .dedup import OP10_SQL, op10_exact_dedup
+from .fingerprints import op11_fingerprints
+from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .html_main import op2_html_main
 from .langid import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
@@ -10,6 +12,7 @@ from .pii import op7_pii
 from .secrets import op6_secret_scan
 from .sharding import op9_sharding
 from .toxicity import op1_toxicity
+from .whitening import op12_whitening
 
 QUERIES = {
     f.__name__: f
@@ -24,6 +27,9 @@ QUERIES = {
         op8_mixing,
         op9_sharding,
         op10_exact_dedup,
+        op11_fingerprints,
+        op12_whitening,
+        op13_hard_negatives,
     )
 }
-ORACLES = {"op8_mixing": OP8_SQL, "op10_exact_dedup": OP10_SQL}
+ORACLES = {"op8_mixing": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op13_hard_negatives": OP13_SQL}
