@@ -43,6 +43,27 @@ def bounds(geom: Column) -> list[Column]:
     ]
 
 
+def unwrapped(ring: Column) -> Column:
+    """A ring whose longitudes go on past +-180 instead of jumping to the other side."""
+
+    def turn(acc, p):
+        jump = p["x"] - acc["last"]
+        offset = acc["offset"] + F.when(jump > 180, -360.0).when(jump < -180, 360.0).otherwise(0.0)
+        pts = F.concat(acc["pts"], F.array(point(p["x"] + offset, p["y"])))
+        return F.struct(p["x"].alias("last"), offset.alias("offset"), pts.alias("pts"))
+
+    start = F.struct(
+        F.element_at(ring, 1)["x"].alias("last"),
+        F.lit(0.0).alias("offset"),
+        F.array().cast("array<struct<x:double,y:double>>").alias("pts"),
+    )
+    jumps = F.exists(
+        F.sequence(F.lit(2), F.greatest(F.size(ring), F.lit(2))),
+        lambda i: F.abs(F.get(ring, i - 1)["x"] - F.get(ring, i - 2)["x"]) > 180,
+    )
+    return F.when(jumps, F.aggregate(ring, start, turn)["pts"]).otherwise(ring)
+
+
 def segments(ring: Column) -> Column:
     """Array of (a, b) vertex pairs of a closed ring."""
 

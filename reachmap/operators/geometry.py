@@ -1,12 +1,14 @@
 """Feature bounds, areas, size classes and the assembly of feature tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import BBOX_OVERRIDES, BIG_TRACT_M2, ISLAND_STATES
 from ..functions import geom as G
 from ..functions.joins import spread_join
 from ..functions.keys import county_of, tail, tract_of
+from ..session import cut
+from . import dissolve
 from .flags import in_island_state, land_blocks
 
 BOX = ("minx", "miny", "maxx", "maxy")
@@ -26,6 +28,68 @@ def group_bounds(bounds: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def circle_bounds(features: DataFrame, *keys: str, geom: str = "geom") -> DataFrame:
+    """Boxes of groups of features with the shortest interval of longitudes on the circle.
+
+    A ring, followed across the antimeridian, is an arc; a group's box is what is left
+    of the circle without the widest gap between arcs. Arcs meet in whole degrees
+    first, so a group takes 360 rows at most, whatever its size (gaps inside one degree
+    do not count). Of equal gaps the one at the antimeridian wins, so a box that
+    needs no crossing is the plain one. A box that crosses starts west of -180.
+    """
+    rings = features.select(*keys, F.explode(F.flatten(geom)).alias("ring")).filter(F.size("ring") > 0)
+    unrolled = F.transform(G.unwrapped(F.col("ring")), lambda p: p["x"])
+    lats = F.transform("ring", lambda p: p["y"])
+    arcs = rings.select(
+        *keys,
+        F.array_min(unrolled).alias("west"),
+        F.array_max(unrolled).alias("east"),
+        F.array_min(lats).alias("south"),
+        F.array_max(lats).alias("north"),
+    )
+    # A ring of a whole turn or more, as around a pole, is all of the circle.
+    round_ = F.col("east") - F.col("west") >= 360
+    turns = F.when(round_, 0).otherwise(360.0 * F.floor((F.col("west") + 180) / 360))
+    arcs = arcs.withColumns(
+        {
+            "west": F.when(round_, -180.0).otherwise(F.col("west") - turns),
+            "east": F.when(round_, 180.0).otherwise(F.col("east") - turns),
+        }
+    )
+    # What lies beyond +180 belongs to the circle's beginning.
+    degree = F.explode(F.sequence(F.floor("west"), F.greatest(F.floor("west"), F.ceil("east") - 1)))
+    pieces = arcs.withColumn("d", degree).select(
+        *keys,
+        "south",
+        "north",
+        F.when(F.col("d") >= 180, F.col("d") - 360).otherwise(F.col("d")).alias("d"),
+        (F.greatest("west", "d") - F.when(F.col("d") >= 180, 360.0).otherwise(0.0)).alias("low"),
+        (F.least("east", F.col("d") + 1) - F.when(F.col("d") >= 180, 360.0).otherwise(0.0)).alias("high"),
+    )
+    cells = pieces.groupBy(*keys, "d").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("south").alias("south"), F.max("north").alias("north")
+    )
+    own = Window.partitionBy(*keys).orderBy("d")
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.coalesce(F.lag("high").over(own), F.max("high").over(whole) - 360)
+    gaps = cells.withColumns({"before": before, "first": F.lag("high").over(own).isNull()})
+    # The widest gap; the one at the antimeridian first among equals.
+    widest = F.struct(
+        F.greatest(F.col("low") - F.col("before"), F.lit(0.0)).alias("gap"), F.col("first").cast("int").alias("first"), "low", "before"
+    )
+    boxes = gaps.groupBy(*keys).agg(
+        F.max(widest).alias("w"), F.min("south").alias("miny"), F.max("north").alias("maxy")
+    )
+    crosses = F.col("w.first") == 0
+    return boxes.select(
+        *keys,
+        (F.col("w.low") - F.when(crosses, 360.0).otherwise(0.0)).alias("minx"),
+        "miny",
+        (F.col("w.before") + F.when(crosses, 0.0).otherwise(360.0)).alias("maxx"),
+        "maxy",
+    )
+
+
 def bbox_overrides(spark: SparkSession, overrides=BBOX_OVERRIDES) -> DataFrame:
     rows = [(layer, geoid, *box) for layer, geoid, box in overrides]
     return spark.createDataFrame(
@@ -109,6 +173,35 @@ def provider_blocks(filings: DataFrame, block_geom: DataFrame) -> DataFrame:
     )
 
 
+def footprint_edges(filings: DataFrame, block_geom: DataFrame, grid: int = dissolve.GRID) -> DataFrame:
+    """(hoconum, county_fips, x1, y1, x2, y2, mult): outlines of providers' blocks, by topology.
+
+    Every edge of the block map gets a number, once for all providers, and a block
+    its list of numbered sides (+ or - by direction). An edge bounds a provider's area in
+    a county when the blocks on its two sides do not cancel. So what a provider's
+    blocks send through the shuffle are numbers; coordinates join to the result last.
+    """
+    up = "x1 < x2 or (x1 = x2 and y1 < y2)"
+    side = [f"if({up}, {a}, {b}) as {n}" for a, b, n in (("x1", "x2", "lx"), ("y1", "y2", "ly"), ("x2", "x1", "hx"), ("y2", "y1", "hy"))]
+    ends = ["lx", "ly", "hx", "hy"]
+    half = dissolve.feature_edges(block_geom.select("geoid10", "geom"), "geoid10", grid=grid)
+    half = cut(half.selectExpr("geoid10", f"if({up}, 1L, -1L) as way", *side), "half-edges")
+    # Written before use, so that an edge keeps its number.
+    edges = cut(half.select(*ends).distinct().withColumn("edge", F.monotonically_increasing_id() + 1), "edges")
+    sides = half.join(edges, ends).groupBy("geoid10").agg(F.collect_list(F.col("edge") * F.col("way")).alias("sides"))
+    sides = cut(sides, "block-sides")
+    pairs = provider_blocks(filings, sides.withColumnRenamed("sides", "geom"))
+    crossed = pairs.select("hoconum", "county_fips", F.explode("geom").alias("side"))
+    net = (
+        crossed.groupBy("hoconum", "county_fips", F.abs("side").alias("edge"))
+        .agg(F.sum(F.signum("side")).cast("bigint").alias("net"))
+        .filter("net != 0")
+    )
+    ahead = F.col("net") > 0
+    columns = [F.when(ahead, F.col(a)).otherwise(F.col(b)).alias(n) for a, b, n in (("lx", "hx", "x1"), ("ly", "hy", "y1"), ("hx", "lx", "x2"), ("hy", "ly", "y2"))]
+    return net.join(edges, "edge").select("hoconum", "county_fips", *columns, F.abs("net").alias("mult"))
+
+
 def keyed_features(features: DataFrame, geo_id: str, key: str, length: int) -> DataFrame:
     """Features keyed by the code at the end of a long geo id."""
     return features.select(tail(geo_id, length).alias(key), "geom")

@@ -113,27 +113,6 @@ def tile_cover(features: DataFrame) -> DataFrame:
     )
 
 
-def unwrapped(ring: Column) -> Column:
-    """A ring whose longitudes go on past +-180 instead of jumping to the other side."""
-
-    def turn(acc, p):
-        jump = p["x"] - acc["last"]
-        offset = acc["offset"] + F.when(jump > 180, -360.0).when(jump < -180, 360.0).otherwise(0.0)
-        pts = F.concat(acc["pts"], F.array(G.point(p["x"] + offset, p["y"])))
-        return F.struct(p["x"].alias("last"), offset.alias("offset"), pts.alias("pts"))
-
-    start = F.struct(
-        F.element_at(ring, 1)["x"].alias("last"),
-        F.lit(0.0).alias("offset"),
-        F.array().cast("array<struct<x:double,y:double>>").alias("pts"),
-    )
-    jumps = F.exists(
-        F.sequence(F.lit(2), F.greatest(F.size(ring), F.lit(2))),
-        lambda i: F.abs(F.get(ring, i - 1)["x"] - F.get(ring, i - 2)["x"]) > 180,
-    )
-    return F.when(jumps, F.aggregate(ring, start, turn)["pts"]).otherwise(ring)
-
-
 def shape_cover(features: DataFrame, *keys: str) -> DataFrame:
     """Tiles (keys, z, x, y) which each feature's shape touches at its zoom `z`.
 
@@ -148,7 +127,7 @@ def shape_cover(features: DataFrame, *keys: str) -> DataFrame:
         features.withColumn("n", n)
         .select(*keys, "z", "n", F.explode("geom").alias("poly"))
         .select(*keys, "z", "n", F.explode("poly").alias("ring"))
-        .select(*keys, "z", "n", F.transform(unwrapped(F.col("ring")), world).alias("ring"))
+        .select(*keys, "z", "n", F.transform(G.unwrapped(F.col("ring")), world).alias("ring"))
     )
     edges = rings.select(*keys, "z", "n", F.inline(G.segments(F.col("ring")))).selectExpr(
         *keys, "z", "n", "a.x as ax", "a.y as ay", "b.x as bx", "b.y as by"
@@ -467,10 +446,18 @@ def tile_union(*bands: DataFrame) -> DataFrame:
     return first
 
 
-def xl_block_tiles(large: DataFrame, bands=XL_BLOCK_BANDS) -> DataFrame:
-    """All large blocks at the zooms of their bands, without the attribute `min_zoom`."""
+def on_tiles(planned: DataFrame, touched: DataFrame, keys: list[str]) -> DataFrame:
+    """Planned features (keys, z, ...) on the tiles (keys, z, x, y) that their shapes touch."""
+    return planned.join(touched, [*keys, "z"])
+
+
+def xl_block_tiles(large: DataFrame, touched: DataFrame, bands=XL_BLOCK_BANDS) -> DataFrame:
+    """All large blocks at the zooms of their bands, without the attribute `min_zoom`.
+
+    `touched` has the tiles (geoid10, z, x, y) of the blocks' shapes.
+    """
     shown = zoom_plan_features(large.withColumn("level", F.lit("xl_block")), bands)
-    return tile_cover(shown).drop("min_zoom")
+    return on_tiles(shown, touched, ["geoid10"]).drop("min_zoom")
 
 
 def provider_tiles(footprints: DataFrame, is_large: Column, bands=PROVIDER_BANDS) -> DataFrame:
@@ -484,15 +471,16 @@ def provider_tiles(footprints: DataFrame, is_large: Column, bands=PROVIDER_BANDS
     return coalesce_tiles(cover, ["hoconum"], "hoconum")
 
 
-def placed_features(features: DataFrame, budget: int, bands=SPEED_BANDS) -> DataFrame:
+def placed_features(features: DataFrame, touched: DataFrame, budget: int, bands=SPEED_BANDS) -> DataFrame:
     """Features on the tiles of their bands; thinned bands fold small ones into kept ones.
 
-    `features` have (level, feature_id, box, size, cost). Gives the treatment of
+    `features` have (level, feature_id, box, size, cost), `touched` the tiles (level,
+    feature_id, z, x, y) that their shapes touch. Gives the treatment of
     the band with each row. This is the same for every tier, so it is made once
     and written; statistics come on last.
     """
     none = F.lit(0).cast("bigint")
-    shown = tile_cover(zoom_plan_features(features, bands)).withColumn("layer", F.lit("speed"))
+    shown = on_tiles(zoom_plan_features(features, bands), touched, ["level", "feature_id"]).withColumn("layer", F.lit("speed"))
     parts = []
     for thin in sorted({b.thin for b in bands}):
         rows = shown.filter(F.col("thin") == thin)
@@ -505,7 +493,7 @@ def placed_features(features: DataFrame, budget: int, bands=SPEED_BANDS) -> Data
 
 
 def speed_layers(
-    features: DataFrame, stats: DataFrame, attrs: list[str], tiers: list[str], budget: int, bands=SPEED_BANDS
+    features: DataFrame, touched: DataFrame, stats: DataFrame, attrs: list[str], tiers: list[str], budget: int, bands=SPEED_BANDS
 ) -> DataFrame:
     """Tile tables of all tiers over all their zoom bands, one layer per tier.
 
@@ -516,7 +504,7 @@ def speed_layers(
     folded into a row is on it: `folded_n`, `folded_size`, `folded_cost`; a
     tile's `n_features` and `folded_n` together are all features it covers.
     """
-    placed = placed_features(features, budget, bands)
+    placed = placed_features(features, touched, budget, bands)
     every = placed.withColumn("layer", F.explode(F.array(*[F.lit(t) for t in tiers])))
     stats = stats.select(
         F.col("tier").alias("layer"), F.col("kind").alias("stat_kind"), "feature_id", *[f"`{n}`" for n in attrs]

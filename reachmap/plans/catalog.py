@@ -19,6 +19,7 @@ from ..operators import (
     numprov,
     providers,
     rollup,
+    tile_geometry as tg,
     tiles,
 )
 from ..session import cut, scratch_path
@@ -34,6 +35,9 @@ ALL_TECH = "".join(TECH_CLASSES)
 BASE_ZOOMS = {"state": (3, 6), "county": (5, 8), "cd115": (4, 7)}
 THIN_BUDGET = 150
 BLOCK_COST = 5
+# features of a tile where the densest are dropped
+DENSE_BUDGET = 40
+BASE_BUDGET = 4
 
 QUERIES = {}
 
@@ -442,6 +446,16 @@ def bbox_decimal(spark, sf):
     return _block_bounds(spark, sf, lonlat=True).select("geoid10", as_text.alias("bbox_arr"))
 
 
+def _geographies(spark, sf):
+    """(layer, geoid, geom): the blocks of states, counties and districts dissolved, in degrees."""
+    layers = F.array(
+        F.struct(F.lit("state").alias("layer"), state_of("geoid10").alias("geoid")),
+        F.struct(F.lit("county").alias("layer"), county_of("geoid10").alias("geoid")),
+        F.struct(F.lit("cd115").alias("layer"), F.concat(state_of("geoid10"), F.substring("geoid10", 4, 2)).alias("geoid")),
+    )
+    return dissolve.dissolve(_lonlat(spark, sf).select("geom", F.inline(layers)), "layer", "geoid").features
+
+
 def _layer_bounds(spark, sf):
     """Bounds of states, counties and districts, lattice coordinates."""
     bounds = _block_bounds(spark, sf)
@@ -463,6 +477,26 @@ def bbox_override(spark, sf):
     return geometry.bbox_override(_layer_bounds(spark, sf), geometry.bbox_overrides(spark))
 
 
+def _micro_degrees():
+    return [F.round(F.col(c) * 1_000_000).cast("bigint").alias(c) for c in geometry.BOX]
+
+
+@query
+def bbox_on_circle(spark, sf):
+    """Boxes of the layers on a lattice that lies across the antimeridian, in millionths of a degree."""
+    # -120 goes to 179.8, what is beyond 180 to the west
+    turned = "if(p.x >= -119.8D, p.x - 60.2D, p.x + 299.8D)"
+    around = f"transform(geom, g -> transform(g, r -> transform(r, p -> struct({turned} as x, p.y as y))))"
+    layers = F.array(
+        F.struct(F.lit("state").alias("layer"), state_of("geoid10").alias("geoid")),
+        F.struct(F.lit("county").alias("layer"), county_of("geoid10").alias("geoid")),
+        F.struct(F.lit("tract").alias("layer"), tract_of("geoid10").alias("geoid")),
+    )
+    shapes = _lonlat(spark, sf).select(F.expr(around).alias("geom"), F.inline(layers))
+    boxes = geometry.circle_bounds(shapes, "layer", "geoid")
+    return boxes.select("layer", "geoid", *_micro_degrees())
+
+
 @query
 def mercator_coords(spark, sf):
     m = geometry.mercator_features(_lonlat(spark, sf))
@@ -568,9 +602,7 @@ def provider_blocks(spark, sf):
 
 @query
 def provider_footprint_edges(spark, sf):
-    return dissolve.dissolve_edges(
-        _provider_blocks(spark, sf), "hoconum", "county_fips", grid=1
-    )
+    return geometry.footprint_edges(fx.filings(spark, sf), fx.block_geom(spark, sf), grid=1)
 
 
 def _footprints(spark, sf):
@@ -738,6 +770,32 @@ def tile_quantise(spark, sf):
     return tiles.tile_quantise(tiles.tile_cover(features), ["geoid10"], detail=14)
 
 
+def _el_shapes(spark, sf):
+    """Each tract's box without its north-east quarter."""
+    boxes = _block_bounds(spark, sf, lonlat=True).withColumn("tract_id", tract_of("geoid10"))
+    box = geometry.group_bounds(boxes, "tract_id").selectExpr("*", "(minx + maxx) / 2 as midx", "(miny + maxy) / 2 as midy")
+    corners = (("minx", "miny"), ("maxx", "miny"), ("maxx", "midy"), ("midx", "midy"), ("midx", "maxy"), ("minx", "maxy"), ("minx", "miny"))
+    ring = F.array(*[G.point(F.col(x), F.col(y)) for x, y in corners])
+    return box.select("tract_id", F.array(F.array(ring)).alias("geom"))
+
+
+@query
+def tile_quantise_clipped(spark, sf):
+    """Triangles and L-shapes clipped to the tiles of eight zooms: what they cover of a tile, in
+    millionths, and the box of the quantised piece, which reaches over the tile by its margin."""
+    shapes = _triangles(spark, sf).withColumn("shape", F.lit("triangle"))
+    shapes = shapes.unionByName(_el_shapes(spark, sf).withColumn("shape", F.lit("el")))
+    shapes = shapes.withColumns({"zmin": F.lit(6), "zmax": F.lit(13)})
+    pieces = tg.quantised_pieces(tg.tile_pieces(shapes, ["shape", "tract_id"]))
+    points = F.flatten("rings")
+    ends = [f(F.transform(points, p)).alias(n) for n, f, p in (
+        ("qminx", F.array_min, lambda p: p["x"]), ("qminy", F.array_min, lambda p: p["y"]),
+        ("qmaxx", F.array_max, lambda p: p["x"]), ("qmaxy", F.array_max, lambda p: p["y"]),
+    )]
+    area = F.round(F.col("area") * 1_000_000).cast("bigint").alias("area_ppm")
+    return pieces.select("shape", "tract_id", "z", "x", "y", area, *ends)
+
+
 @query
 def simplify_features(spark, sf):
     features = _lonlat(spark, sf).select(
@@ -764,6 +822,36 @@ def tile_coalesce(spark, sf):
     return tiles.coalesce_tiles(joined, ["nprovs"], "geoid10")
 
 
+def _block_pieces(spark, sf, zmin, zmax, layer):
+    blocks = _lonlat(spark, sf).select("geoid10", "geom", F.lit(zmin).alias("zmin"), F.lit(zmax).alias("zmax"))
+    pieces = tg.tile_pieces(blocks, ["geoid10"])
+    return tg.quantised_pieces(pieces).withColumn("layer", F.lit(layer))
+
+
+@query
+def tile_coalesce_edges(spark, sf):
+    """Joint outlines of the blocks of a tile with equally many providers, in tile units."""
+    stats = numprov.numprov_one(
+        fx.filings(spark, sf), fx.blocks(spark, sf), TIER, ALL_TECH
+    ).select("geoid10", F.least("nprovs", F.lit(3)).alias("nprovs"))
+    pieces = geometry.attach_statistics(_block_pieces(spark, sf, 9, 10, TIER.name), stats, "geoid10")
+    return tg.coalesced_edges(pieces.fillna(-1, ["nprovs"]), [*tiles.TILE, "nprovs"])
+
+
+@query
+def tile_coalesce_smallest(spark, sf):
+    """Tiles whose smallest blocks merge into neighbours; `area2` is twice the area of what was merged."""
+    pieces = _block_pieces(spark, sf, 8, 10, "block")
+    edges = tg.piece_edges(pieces, *tiles.TILE, "geoid10")
+    size = _block_bounds(spark, sf, "aland10").select("geoid10", F.col("aland10").alias("size"), F.lit(BLOCK_COST).cast("bigint").alias("cost"))
+    cover = pieces.select(*tiles.TILE, "geoid10").join(size, "geoid10")
+    features, outlines = tg.coalesce_smallest(cover, edges, THIN_BUDGET, "geoid10")
+    area = outlines.groupBy(*tiles.TILE, "geoid10").agg(
+        F.sum(F.expr("(x1 * y2 - x2 * y1) * mult")).alias("area2"), F.count("*").alias("n_edges")
+    )
+    return features.join(area, [*tiles.TILE, "geoid10"])
+
+
 def _sized_cover(spark, sf):
     """Tiles of blocks and counties; the cost is the number of vertices.
 
@@ -799,6 +887,23 @@ def tile_fold_smallest(spark, sf):
     return tiles.fold_smallest(_sized_cover(spark, sf), THIN_BUDGET, "geoid10").drop(*geometry.BOX)
 
 
+@query
+def tile_drop_densest(spark, sf):
+    return tg.drop_densest(_sized_cover(spark, sf), DENSE_BUDGET, "geoid10").select(*tiles.TILE, "geoid10", "gap")
+
+
+@query
+def base_map_tiles(spark, sf):
+    """States, counties and districts on the tiles of their zooms, the densest dropped, with boxes on the circle."""
+    shapes = _geographies(spark, sf)
+    boxes = geometry.circle_bounds(shapes, "layer", "geoid")
+    boxes = geometry.bbox_override(boxes, geometry.bbox_overrides(spark))
+    boxes = boxes.withColumnsRenamed({"layer": "level", "geoid": "feature_id"})
+    shapes = shapes.withColumnsRenamed({"layer": "level", "geoid": "feature_id"})
+    rows = tg.base_tiles(shapes, boxes, tiles.base_bands(BASE_ZOOMS), BASE_BUDGET)
+    return rows.select(*tiles.TILE, "feature_id", "gap", *_micro_degrees())
+
+
 @query
 def tile_union(spark, sf):
     """All zoom bands of one speed layer: county, tract, mixed zoom 9, block."""
@@ -811,8 +916,9 @@ def tile_union(spark, sf):
 @query
 def speed_layer_tiles(spark, sf):
     """The speed layers of all seven tiers over all bands with all combinations."""
+    geom = cut(_lonlat(spark, sf), "block-geom")
     blocks = cut(
-        _lonlat(spark, sf).select(
+        geom.select(
             "geoid10",
             "aland10",
             F.size(G.vertices(F.col("geom"))).cast("bigint").alias("cost"),
@@ -855,6 +961,19 @@ def speed_layer_tiles(spark, sf):
         single(geometry.blocks_in_big_tracts(blocks, areas, limit), "bigtract_block"),
         single(blocks, "block"),
     )
+    land = flags.land_blocks(geom)
+    shapes = {
+        level: dissolve.dissolve(land.withColumn("feature_id", key), "feature_id").features
+        for level, key in (("county", county_of("geoid10")), ("tract", tract))
+    }
+    in_big = geometry.blocks_in_big_tracts(geom, areas, limit)
+    shapes |= {
+        "smalltract": shapes["tract"].join(small, "feature_id", "left_semi"),
+        "bigtract_block": in_big.withColumnRenamed("geoid10", "feature_id"),
+        "block": geom.withColumnRenamed("geoid10", "feature_id"),
+    }
+    shapes = tiles.tile_union(*[df.select(F.lit(level).alias("level"), "feature_id", "geom") for level, df in shapes.items()])
+    touched = tg.touched_tiles(tg.over_bands(shapes, tiles.SPEED_BANDS), ["level", "feature_id"])
     names = combo_names()
     histogram = cut(numprov.mask_histogram(filings.collapse_filings(fx.filings(spark, sf))), "histogram")
     master = fx.blocks(spark, sf)
@@ -868,14 +987,15 @@ def speed_layer_tiles(spark, sf):
         values(rollup.weighted_of(histogram, master, TRACT_LEN, "tract_id"), "tract", "tract_id"),
         values(numprov.counts_of(histogram, master), "block", "geoid10"),
     )
-    return tiles.speed_layers(features, stats, names, [t.name for t in TIERS], THIN_BUDGET)
+    return tiles.speed_layers(features, touched, stats, names, [t.name for t in TIERS], THIN_BUDGET)
 
 
 @query
 def xl_block_tiles(spark, sf):
-    large = geometry.large_blocks_zoom(_lonlat(spark, sf), fx.large_blocks(spark, sf))
+    large = cut(geometry.large_blocks_zoom(_lonlat(spark, sf), fx.large_blocks(spark, sf)), "large")
+    shapes = tg.over_bands(large.withColumn("level", F.lit("xl_block")), tiles.XL_BLOCK_BANDS)
     boxes = geometry.feature_bounds(large, "geoid10", "min_zoom")
-    return tiles.xl_block_tiles(boxes).select("geoid10", "z", "x", "y")
+    return tiles.xl_block_tiles(boxes, tg.touched_tiles(shapes, ["geoid10"])).select("geoid10", "z", "x", "y")
 
 
 @query

@@ -17,9 +17,10 @@ from ..constants import (
     combo_layout,
     combos,
 )
+from ..operators.tile_geometry import CURVE_BITS, LEAST_AREA, MARGIN
 from ..operators.tiles import PROVIDER_BANDS, SPEED_BANDS, XL_BLOCK_BANDS, base_bands
 from ..sources.fixtures import CARTO_EXTRA_STATE, GRID_WIDTH, ISLANDS, TECH_CODES
-from .catalog import ALL_TECH, BASE_ZOOMS, BLOCK_COST, THIN_BUDGET, TIER
+from .catalog import ALL_TECH, BASE_BUDGET, BASE_ZOOMS, BLOCK_COST, DENSE_BUDGET, THIN_BUDGET, TIER
 
 
 def _strings(values):
@@ -452,10 +453,153 @@ _SPEED_FEATURES = " UNION ALL ".join(
         _ONE % ("block", ""),
     ]
 )
-_SPEED_COVER = _cover(
-    _planned(f"({_SPEED_FEATURES})", SPEED_BANDS),
-    "level, geoid10, size, cost, minx, miny, maxx, maxy, coalesce, thin, drop_attr",
+# an area is on the tiles of its land blocks
+_MEMBERS = " UNION ALL ".join(
+    [
+        "SELECT 'county' AS level, substr(geoid10, 1, 5) AS geoid10, minx, miny, maxx, maxy FROM degree WHERE aland10 > 0",
+        "SELECT 'tract', tract_id, minx, miny, maxx, maxy FROM degree WHERE aland10 > 0",
+        f"SELECT 'smalltract', tract_id, minx, miny, maxx, maxy FROM degree WHERE aland10 > 0 AND tract_id NOT IN {_BIG}",
+        f"SELECT 'bigtract_block', geoid10, minx, miny, maxx, maxy FROM degree WHERE tract_id IN {_BIG}",
+        "SELECT 'block', geoid10, minx, miny, maxx, maxy FROM degree",
+    ]
 )
+_SPEED_COVER = f"""
+SELECT f.level, f.geoid10, f.size, f.cost, f.minx, f.miny, f.maxx, f.maxy, f.coalesce, f.thin, f.drop_attr, z, x, y
+FROM ({_planned(f"({_SPEED_FEATURES})", SPEED_BANDS)}) f
+JOIN (SELECT DISTINCT level, geoid10, z, x, y
+      FROM ({_cover(_planned(f"({_MEMBERS})", SPEED_BANDS), "level, geoid10")})) t USING (level, geoid10, z)"""
+
+
+def _pieces(zmin, zmax):
+    """Blocks clipped to the tiles they are on, with the margin: sides in tile units."""
+    wx0, wy1 = _world("minx", "miny", "z")
+    wx1, wy0 = _world("maxx", "maxy", "z")
+    m, u = f"{MARGIN}::DOUBLE", "4096"
+    return f"""
+SELECT *, qx1 > qx0 AND qy1 > qy0 AS solid FROM (
+SELECT geoid10, aland10, z, x, y, round((greatest({wx0}, x - {m}) - x) * {u})::BIGINT AS qx0,
+  round((least({wx1}, x + 1 + {m}) - x) * {u})::BIGINT AS qx1,
+  round((greatest({wy0}, y - {m}) - y) * {u})::BIGINT AS qy0,
+  round((least({wy1}, y + 1 + {m}) - y) * {u})::BIGINT AS qy1
+FROM ({_cover(_zoomed(zmin, zmax), "geoid10, aland10, minx, miny, maxx, maxy")}))"""
+
+
+_SIDES = """unnest([
+  {'x1': qx0, 'y1': qy0, 'x2': qx1, 'y2': qy0}, {'x1': qx1, 'y1': qy0, 'x2': qx1, 'y2': qy1},
+  {'x1': qx1, 'y1': qy1, 'x2': qx0, 'y2': qy1}, {'x1': qx0, 'y1': qy1, 'x2': qx0, 'y2': qy0}
+], recursive := true)"""
+_MERGE = f"""
+piece AS ({_pieces(8, 10)}),
+ranked AS (
+  SELECT *, (sum({BLOCK_COST}) OVER ranks)::BIGINT <= {THIN_BUDGET} OR row_number() OVER ranks = 1 AS keep,
+    row_number() OVER ranks AS place FROM piece
+  WINDOW ranks AS (PARTITION BY z, x, y ORDER BY aland10 DESC, geoid10 ROWS UNBOUNDED PRECEDING)),
+beside AS (
+  SELECT a.z, a.x, a.y, a.geoid10, a.keep, a.place, b.geoid10 AS other, b.place AS other_place, b.aland10 AS other_size,
+    CASE WHEN a.qx0 = b.qx0 THEN a.qx1 - a.qx0 ELSE a.qy1 - a.qy0 END AS border
+  FROM ranked a JOIN ranked b ON a.z = b.z AND a.x = b.x AND a.y = b.y AND a.solid AND b.solid AND (
+    (a.qy0 = b.qy0 AND a.qy1 = b.qy1 AND (a.qx1 = b.qx0 OR a.qx0 = b.qx1))
+    OR (a.qx0 = b.qx0 AND a.qx1 = b.qx1 AND (a.qy1 = b.qy0 OR a.qy0 = b.qy1)))),
+up AS (
+  SELECT z, x, y, geoid10, other FROM beside WHERE NOT keep AND other_place < place
+  QUALIFY row_number() OVER (PARTITION BY z, x, y, geoid10 ORDER BY border DESC, other_size DESC, other) = 1),
+chain AS (
+  SELECT z, x, y, geoid10, geoid10 AS at FROM ranked
+  UNION ALL
+  SELECT c.z, c.x, c.y, c.geoid10, up.other FROM chain c JOIN up ON up.z = c.z AND up.x = c.x AND up.y = c.y AND up.geoid10 = c.at),
+target AS (
+  SELECT c.z, c.x, c.y, c.geoid10, CASE WHEN r.keep THEN c.at ELSE f.geoid10 END AS target
+  FROM chain c JOIN ranked r ON r.z = c.z AND r.x = c.x AND r.y = c.y AND r.geoid10 = c.at
+  JOIN ranked f ON f.z = c.z AND f.x = c.x AND f.y = c.y AND f.place = 1
+  WHERE NOT EXISTS (SELECT 1 FROM up WHERE up.z = c.z AND up.x = c.x AND up.y = c.y AND up.geoid10 = c.at)),
+inner_border AS (
+  SELECT b.z, b.x, b.y, s.target, count(*) AS n FROM beside b
+  JOIN target s ON s.z = b.z AND s.x = b.x AND s.y = b.y AND s.geoid10 = b.geoid10
+  JOIN target t ON t.z = b.z AND t.x = b.x AND t.y = b.y AND t.geoid10 = b.other
+  WHERE s.target = t.target GROUP BY ALL)"""
+_MERGED = f"""
+SELECT 'block' AS layer, p.z, p.x, p.y, t.target AS geoid10,
+  max(aland10) FILTER (p.geoid10 = t.target) AS size, {BLOCK_COST}::BIGINT AS cost,
+  (count(*) - 1)::BIGINT AS folded_n, coalesce(sum(aland10) FILTER (p.geoid10 <> t.target), 0)::BIGINT AS folded_size,
+  ((count(*) - 1) * {BLOCK_COST})::BIGINT AS folded_cost,
+  (sum(2 * (qx1 - qx0) * (qy1 - qy0)))::BIGINT AS area2,
+  (4 * count(*) FILTER (solid) - coalesce(any_value(n), 0))::BIGINT AS n_edges
+FROM piece p JOIN target t ON t.z = p.z AND t.x = p.x AND t.y = p.y AND t.geoid10 = p.geoid10
+LEFT JOIN inner_border i ON i.z = p.z AND i.x = p.x AND i.y = p.y AND i.target = t.target
+GROUP BY p.z, p.x, p.y, t.target HAVING bool_or(solid)"""
+
+
+def _densest(source, feature_id, budget, rest=""):
+    """The features with the widest gaps on the curve, of a table with tile and box."""
+    wx, wy = _world("(minx + maxx) / 2", "(miny + maxy) / 2", "z")
+    side = 1 << CURVE_BITS
+    cell = f"least(greatest(floor((%s - %s) * {side}), 0), {side - 1})::BIGINT"
+    key = " + ".join(f"(((cx >> {b}) & 1) << {2 * b}) + (((cy >> {b}) & 1) << {2 * b + 1})" for b in range(CURVE_BITS))
+    return f"""
+SELECT layer, z, x, y, {feature_id}, gap {rest} FROM (
+  SELECT *, count(*) OVER (PARTITION BY layer, z, x, y) AS n, row_number() OVER (PARTITION BY layer, z, x, y
+      ORDER BY gap DESC, reverse(lpad(bin(place), {2 * CURVE_BITS}, '0')), {feature_id}) AS choice
+  FROM (SELECT *, coalesce(place - lag(place) OVER (PARTITION BY layer, z, x, y ORDER BY place, {feature_id}), {side * side}) AS gap
+        FROM (SELECT *, {key} AS place
+              FROM (SELECT *, {cell % (wx, "x")} AS cx, {cell % (wy, "y")} AS cy FROM ({source})))))
+WHERE n <= {budget} OR choice <= {budget}"""
+
+
+_GEOGRAPHY = """
+SELECT 'state' AS level, substr(geoid10, 1, 2) AS feature_id, minx, miny, maxx, maxy FROM degree
+UNION ALL SELECT 'county', substr(geoid10, 1, 5), minx, miny, maxx, maxy FROM degree
+UNION ALL SELECT 'cd115', substr(geoid10, 1, 2) || substr(geoid10, 4, 2), minx, miny, maxx, maxy FROM degree"""
+_BASE = f"""
+SELECT t.level AS layer, t.z, t.x, t.y, t.feature_id, coalesce(o.minx, b.minx) AS minx, coalesce(o.miny, b.miny) AS miny,
+  coalesce(o.maxx, b.maxx) AS maxx, coalesce(o.maxy, b.maxy) AS maxy
+FROM (SELECT DISTINCT level, feature_id, z, x, y
+      FROM ({_cover(_planned(f"({_GEOGRAPHY})", base_bands(BASE_ZOOMS)), "level, feature_id")})) t
+JOIN (SELECT level, feature_id, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy
+      FROM ({_GEOGRAPHY}) GROUP BY ALL) b USING (level, feature_id)
+LEFT JOIN (VALUES {", ".join(f"('{layer}', '{geoid}', {', '.join(f'{v}::DOUBLE' for v in box)})" for layer, geoid, box in BBOX_OVERRIDES)})
+  o(level, feature_id, minx, miny, maxx, maxy) USING (level, feature_id)"""
+_MICRO = ", ".join(f"round({c} * 1000000)::BIGINT AS {c}" for c in ("minx", "miny", "maxx", "maxy"))
+
+
+def _clipped_shapes():
+    """Right triangles and L-shapes on tiles by closed forms, in the box of each tract.
+
+    A triangle is u + v <= 1 with u from the left and v from the bottom, as shares of
+    its sides; what it has of a rectangle follows from what it has of a corner.
+    """
+    x0, y1 = _world("minx", "miny", "z")
+    x1, y0 = _world("maxx", "maxy", "z")
+    xm, ym = _world("(minx + maxx) / 2", "(miny + maxy) / 2", "z")
+    boxes = "(SELECT tract_id, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM degree GROUP BY ALL)"
+    m = f"{MARGIN}::DOUBLE"
+
+    def corner(u, v):
+        u, v = (f"least(greatest({c}, 0), 1)" for c in (u, v))
+        return f"({u} * {v} - pow(greatest({u} + {v} - 1, 0), 2) / 2)"
+
+    u0, u1, v0, v1 = "(x - x0) / w", "(x + 1 - x0) / w", "(y1 - y - 1) / h", "(y1 - y) / h"
+    triangle = f"({corner(u1, v1)} - {corner(u0, v1)} - {corner(u1, v0)} + {corner(u0, v0)}) * w * h"
+
+    def over(low, high, at):
+        return f"greatest(least({at} + 1, {high}) - greatest({at}, {low}), 0)"
+
+    el = f"{over('x0', 'x1', 'x')} * {over('ym', 'y1', 'y')} + {over('x0', 'xm', 'x')} * {over('y0', 'ym', 'y')}"
+    q = lambda v, at: f"round(({v} - {at}) * 4096)::BIGINT"
+    return f"""
+, tile AS (
+  SELECT tract_id, z, x, y, x0, x1, y0, y1, xm, ym, x1 - x0 AS w, y1 - y0 AS h,
+    greatest(x - {m}, x0) AS gx0, least(x + 1 + {m}, x1) AS gx1, greatest(y - {m}, y0) AS gy0, least(y + 1 + {m}, y1) AS gy1
+  FROM (SELECT *, {x0} AS x0, {x1} AS x1, {y0} AS y0, {y1} AS y1, {xm} AS xm, {ym} AS ym
+        FROM ({_cover(_zoomed(6, 13, boxes), "tract_id, minx, miny, maxx, maxy")})))
+SELECT 'triangle' AS shape, tract_id, z, x, y, round(area * 1000000)::BIGINT AS area_ppm, {q("gx0", "x")} AS qminx,
+  {q("greatest(gy0, y1 - h * (1 - (gx0 - x0) / w))", "y")} AS qminy,
+  {q("least(gx1, x0 + w * (1 - (y1 - gy1) / h))", "x")} AS qmaxx, {q("gy1", "y")} AS qmaxy
+FROM (SELECT *, {triangle} AS area FROM tile) WHERE area > {LEAST_AREA}
+UNION ALL
+SELECT 'el', tract_id, z, x, y, round(area * 1000000)::BIGINT, {q("gx0", "x")},
+  {q("CASE WHEN gx0 < xm THEN gy0 ELSE greatest(gy0, ym) END", "y")},
+  {q("CASE WHEN gy1 > ym THEN gx1 ELSE least(gx1, xm) END", "x")}, {q("gy1", "y")}
+FROM (SELECT *, {el} AS area FROM tile) WHERE area > {LEAST_AREA}"""
 # budget and folding within a tile are those of the thinning query, for the thinned bands only
 _SPEED = f"""
 covered AS (SELECT 'speed' AS layer, * FROM ({_SPEED_COVER})),
@@ -823,6 +967,34 @@ def oracles() -> dict[str, str]:
         LEFT JOIN (SELECT * FROM counts {at_tier} AND combo = '{ALL_TECH}') USING (geoid10)
         GROUP BY ALL"""
     )
+    o["tile_quantise_clipped"] = w("degree") + _clipped_shapes()
+    rect = (
+        f"SELECT '{TIER.name}' AS layer, z, x, y, coalesce(least(n, 3), -1) AS nprovs, geoid10, qx0, qx1, qy0, qy1 "
+        f"FROM ({_pieces(9, 10)}) LEFT JOIN (SELECT * FROM counts {at_tier} AND combo = '{ALL_TECH}') USING (geoid10) WHERE solid"
+    )
+    o["tile_coalesce_edges"] = (
+        w("degree", "counts")
+        + _outline(f"SELECT layer, z, x, y, nprovs, {_SIDES} FROM ({rect})", "layer, z, x, y, nprovs")
+    )
+    o["tile_coalesce_smallest"] = w("degree", recursive=_MERGE.strip()) + _MERGED
+    o["tile_drop_densest"] = w("degree") + _densest(_SIZED, "geoid10", DENSE_BUDGET)
+    o["base_map_tiles"] = (
+        w("degree") + f"SELECT layer, z, x, y, feature_id, gap, {_MICRO} FROM ("
+        + _densest(_BASE, "feature_id", BASE_BUDGET, ", minx, miny, maxx, maxy") + ")"
+    )
+    lattice = "SELECT '{0}' AS layer, {1} AS geoid, cx, cy FROM cell"
+    every_layer = " UNION ALL ".join(
+        lattice.format(n, k)
+        for n, k in (("state", "substr(geoid10, 1, 2)"), ("county", "substr(geoid10, 1, 5)"), ("tract", "tract_id"))
+    )
+    o["bbox_on_circle"] = (
+        w("cell")
+        + f"""SELECT layer, geoid, low - turn AS minx, 30000000 + 10000 * y0 AS miny, high - turn AS maxx,
+          30000000 + 10000 * (y1 + 1) AS maxy
+        FROM (SELECT *, CASE WHEN high > 180000000 THEN 360000000 ELSE 0 END AS turn FROM (
+          SELECT layer, geoid, 179800000 + 10000 * min(cx) AS low, 179800000 + 10000 * (max(cx) + 1) AS high,
+            min(cy) AS y0, max(cy) AS y1 FROM ({every_layer}) GROUP BY ALL))"""
+    )
     o["tile_thin"] = (
         w("degree")
         + f"SELECT * EXCLUDE (minx, miny, maxx, maxy, keep, place) FROM ({_RANKED}) WHERE keep"

@@ -29,6 +29,7 @@ from ..operators import (
     numprov,
     providers,
     rollup,
+    tile_geometry as tg,
     tiles,
 )
 from ..sinks import writers
@@ -227,6 +228,38 @@ def map_rings(
     return _save(rings.unionByName(points, allowMissingColumns=True), out, "rings", "level", "z")
 
 
+def map_levels(made: dict[str, DataFrame], threshold: float = BIG_TRACT_M2) -> DataFrame:
+    """(level, feature_id, geom) of the speed layers; an outline too long for a row is there as its blocks."""
+    small = geometry.notbig_tracts(made["tract_area"], threshold).select(F.col("tract_id").alias("feature_id"))
+    in_big = made["bigtract_blocks"].select(F.col("geoid10").alias("feature_id"))
+    features = made["features"].select("level", "feature_id", "geom")
+    long = made["long_outlines"].select("level", "feature_id").distinct()
+    land = made["block_boxes"].filter("aland10 > 0").select(F.col("geoid10").alias("id"))
+    blocks = features.filter("level = 'block'").select(F.col("feature_id").alias("id"), "geom").join(land, "id")
+    area = F.array(*[F.struct(F.lit(n).alias("level"), k("id").alias("feature_id")) for n, k in (("tract", tract_of), ("county", county_of))])
+    parts = blocks.select("geom", F.inline(area)).join(long, ["level", "feature_id"], "left_semi")
+    features = features.unionByName(parts)
+    at_nine = [
+        features.filter(F.col("level") == whole).join(part, "feature_id", "left_semi").withColumn("level", F.lit(name))
+        for whole, name, part in (("tract", "smalltract", small), ("block", "bigtract_block", in_big))
+    ]
+    return tiles.tile_union(features, *at_nine)
+
+
+def map_pieces(made: dict[str, DataFrame], out: str, threshold: float = BIG_TRACT_M2) -> DataFrame:
+    """Geometry of the speed layers tile by tile: rings clipped to the tile and its margin.
+
+    All tiers share it. Points are whole numbers in the tile, by the detail of the
+    level's band at the zoom. `whole` tiles lie inside the feature.
+    """
+    shapes_ = tg.over_bands(map_levels(made, threshold), tiles.SPEED_BANDS)
+    pieces = tg.tile_pieces(shapes_, ["level", "feature_id"])
+    plan = F.filter(tiles.plan_of("level"), lambda b: b["z"] == F.col("z"))
+    pieces = pieces.withColumn("detail", F.element_at(plan, 1)["detail"]).filter("detail is not null")
+    pieces = tg.quantised_pieces(pieces, detail=F.col("detail"))
+    return _save(pieces.drop("ux"), out, "pieces", "level", "z")
+
+
 def map_tiles(
     stats: dict[str, DataFrame],
     made: dict[str, DataFrame],
@@ -236,7 +269,10 @@ def map_tiles(
     threshold: float = BIG_TRACT_M2,
     budget: int = TILE_BUDGET,
 ) -> DataFrame:
-    """Tile tables of every speed tier, the large blocks and the providers."""
+    """Tile tables of every speed tier, the large blocks and the providers.
+
+    Features are on the tiles that their pieces (`map_pieces`, in `made`) are on.
+    """
     names = combo_names(classes)
     boxes = made["block_boxes"]
     small = geometry.notbig_tracts(made["tract_area"], threshold).select("tract_id")
@@ -283,12 +319,17 @@ def map_tiles(
         )
         for kind, key in (("county", "county_id"), ("tract", "tract_id"), ("block", "geoid10"))
     ]
+    touched = made["pieces"].select("level", "feature_id", "z", "x", "y").distinct()
     layers = [
         tiles.speed_layers(
-            tiles.tile_union(*levels), tiles.tile_union(*values), names, [t.name for t in tiers], budget
+            tiles.tile_union(*levels), touched, tiles.tile_union(*values), names, [t.name for t in tiers], budget
         )
     ]
-    xl = tiles.xl_block_tiles(made["xl_blocks"].drop("aland10", "cost"))
+    xl_blocks = made["xl_blocks"].drop("aland10", "cost")
+    outlines = made["features"].filter("level = 'block'").select(F.col("feature_id").alias("geoid10"), "geom")
+    outlines = outlines.join(xl_blocks.select("geoid10"), "geoid10").withColumn("level", F.lit("xl_block"))
+    on = tg.touched_tiles(tg.over_bands(outlines, tiles.XL_BLOCK_BANDS), ["geoid10"])
+    xl = tiles.xl_block_tiles(xl_blocks, on)
     layers.append(
         xl.select(
             F.lit("xl_blocks").alias("layer"), "z", "x", "y", "level",

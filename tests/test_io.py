@@ -114,6 +114,8 @@ def test_release(spark, sf_dir, tmp_path):
     )
     assert not made["long_outlines"].isEmpty()
     products.export_shapes(made, out)
+    made["pieces"] = products.map_pieces(made, out, threshold=3e6)
+    assert made["pieces"].filter("whole").count() > 0
     tile_table = products.map_tiles(stats, made, out, tiers=products.TIERS[3:4], threshold=3e6)
     rings = products.map_rings(made, out, threshold=3e6)
     assert {r.z for r in rings.select("z").distinct().collect()} == set(range(15))
