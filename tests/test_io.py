@@ -1,6 +1,7 @@
 """Files in and out."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from reachmap.functions import geom as G
 from reachmap.plans import products
@@ -71,8 +72,6 @@ def test_geojson_collection(spark, tmp_path):
         '"coordinates": [ [ [ [0,0],[1,0],[1,1],[0,0] ] ] ] } }\n]\n}\n'
     )
     df = readers.read_geojson(spark, str(path), "id: string")
-    from pyspark.sql import functions as F
-
     got = {r.id: r.a for r in df.select("id", G.area(F.col("geom")).alias("a")).collect()}
     assert got == {"01": 4.0, "02": 0.5}
 
@@ -89,6 +88,55 @@ def test_geojson_on_one_line_and_other_geometries(spark, tmp_path):
         readers.read_geojson(spark, str(tmp_path / "two"), "id: string").collect()
 
 
+def pretty(n, indent=2, head=True):
+    import json
+
+    features = [
+        {"type": "Feature", "properties": {"id": f"{i:03d} \" {{[", "more": [{"a": 1}, {"b": [2]}]},
+         "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i + 2, 0], [i + 2, 2], [i, 2], [i, 0]]]}}
+        for i in range(n)
+    ]
+    crs = {"type": "name", "properties": {"name": "x"}}
+    if head:
+        return json.dumps({"type": "FeatureCollection", "crs": crs, "links": [{"type": "link"}], "features": features}, indent=indent)
+    return "\n".join(json.dumps(f, indent=indent) for f in features)
+
+
+@pytest.mark.parametrize("head", [True, False])
+@pytest.mark.parametrize("piece", [300, 5000, 10**8])
+def test_geojson_that_spans_lines_is_read_in_many_tasks(spark, tmp_path, piece, head):
+    (tmp_path / "a.geojson").write_text(pretty(40, head=head))
+    (tmp_path / "b.geojson").write_text(pretty(3, indent=1, head=head).replace("},\n {", "}, {").replace("},\n  {", "}, {"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", piece)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        rows = readers.read_geojson(spark, str(tmp_path), "id: string").select("id", G.area(F.col("geom")).alias("a")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = sorted(f'{i:03d} " {{[' for n in (40, 3) for i in range(n))
+    assert sorted(r.id for r in rows) == want and {r.a for r in rows} == {4.0}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"type": "Feature", "properties": {"id": "1"}, "geome',
+        '{"type": "Feature", "properties": {"id": "1"}, "geometry": null}\n{"type": "Feature", "prop\n'
+        '{"type": "Feature", "properties": {"id": "2"}, "geometry": null}',
+        "what is this\n",
+        '{"type": "Feature", "properties": {"id" "1"}, "geometry": null}\n',
+        '{"type": "FeatureCollection",\n"features": [\n{"type": "Feature", "properties": {"id": 1,,}, "geometry": null}\n]}',
+        '{\n"type": "Feature",\n"properties": {"id": "1}\n}',
+        '{\n"type": "Feature", "properties": {"id": "1"}, "geometry": null\n}\nstray {\n}',
+    ],
+)
+def test_geojson_that_is_broken_is_an_error(spark, tmp_path, text):
+    (tmp_path / "x.geojson").write_text(text)
+    with pytest.raises(Exception, match="x.geojson"):
+        readers.read_geojson(spark, str(tmp_path), "id: string").count()
+
+
 def test_geojson_is_in_key_order(spark, tmp_path):
     rows = [(f"{i:03d}", square(i, 0)) for i in range(50)]
     df = spark.createDataFrame(rows[::-1], "id string, geom " + GEOM.simpleString())
