@@ -266,8 +266,13 @@ def dissolve(
     row: it stays a table of edges, which `ring_points` orders and
     `outline_measures` measures. Together the two parts are the whole result.
     """
+    return pack_outlines(dissolve_edges(features, *keys, grid=grid), *keys, grid=grid, pack_edges=pack_edges)
+
+
+def pack_outlines(outline: DataFrame, *keys: str, grid: int = GRID, pack_edges: int = PACK_EDGES) -> Dissolved:
+    """`dissolve` from outlines (keys, x1, y1, x2, y2, mult) that are known already."""
     keys = list(keys)
-    outline = cut(simple_outline(dissolve_edges(features, *keys, grid=grid)), "outline")
+    outline = cut(simple_outline(outline), "outline")
     sizes = outline.groupBy(*keys).agg(F.count("*").alias("n"))
     long_keys = sizes.filter(F.col("n") > pack_edges).select(*keys)
     schema = T.StructType([outline.schema[k] for k in keys] + [T.StructField("geom", GEOM)])

@@ -7,7 +7,7 @@ from ..constants import BBOX_OVERRIDES, BIG_TRACT_M2, ISLAND_STATES
 from ..functions import geom as G
 from ..functions.joins import spread_join
 from ..functions.keys import county_of, tail, tract_of
-from ..session import cut
+from ..session import cut, scratch_path
 from . import dissolve
 from .flags import in_island_state, land_blocks
 
@@ -235,3 +235,32 @@ def carto_counties(
 def attach_statistics(features: DataFrame, stats: DataFrame, key: str) -> DataFrame:
     """Statistics on features; a feature without a row stays, with nulls."""
     return features.join(stats, key, "left")
+
+
+def by_key(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
+    """`df` as a table in the shared folder, bucketed and sorted by a key: joins on it need no exchange."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = "t_" + path.rsplit("-", 1)[-1]
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def attach_tiers(
+    features: DataFrame, stats: DataFrame, key: str, tiers: list[str], columns: list[str], buckets: int | None = None
+) -> DataFrame:
+    """Every feature once a tier, with the tier's statistics or nulls.
+
+    Both sides are written once, bucketed and sorted by the key; the statistics of a
+    key become one row first, with an array of a few tiers. The join of all tiers then
+    reads stored order and moves no row.
+    """
+    spark = features.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    value = F.struct("tier", *[F.col(f"`{c}`") for c in columns])
+    stored = by_key(stats.groupBy(key).agg(F.collect_list(value).alias("values")), key, buckets, "stats-by-key")
+    shapes = by_key(features, key, buckets, "features-by-key")
+    joined = shapes.join(stored.hint("merge"), key, "left")
+    found = F.get(F.filter("values", lambda v: v["tier"] == F.col("tier")), F.lit(0))
+    rows = joined.withColumn("tier", F.explode(F.array(*[F.lit(t) for t in tiers]))).withColumn("value", found)
+    return rows.select(*features.columns, "tier", *[F.col(f"value.`{c}`") for c in columns])

@@ -11,6 +11,7 @@ from ..functions import geom as G
 from ..functions.keys import county_of, pad_block, state_of, tail, tract_of
 from ..functions.speeds import tech_class, tech_class_bit, tier_speed_of_file
 from ..operators import (
+    arcs,
     area,
     dissolve,
     filings,
@@ -580,6 +581,14 @@ def dissolve_ring_points(spark, sf):
     return dissolve.ring_points(edges, "tract_id")
 
 
+@query
+def simplify_arcs(spark, sf):
+    """Borders between tracts, each once and without the points on straight stretches."""
+    land = _land_with_tract(spark, sf)
+    outline = dissolve.dissolve_edges(land, "tract_id", grid=1).drop("mult")
+    return arcs.simplify_arcs(outline, "tract_id", tolerance=0.1).drop("arc", "seq")
+
+
 def _island_land(spark, sf):
     return _land_with_tract(spark, sf).filter(flags.in_island_state("tract_id", fx.ISLANDS))
 
@@ -689,6 +698,33 @@ def block_features(spark, sf):
     return geometry.attach_statistics(_block_bounds(spark, sf), _wide(spark, sf), "geoid10")
 
 
+@query
+def features_all_tiers(spark, sf):
+    """Carto counties, carto tracts and blocks with the statistics of all seven tiers."""
+    histogram = cut(numprov.mask_histogram(filings.collapse_filings(fx.filings(spark, sf))), "histogram")
+    master, names = fx.blocks(spark, sf), combo_names()
+
+    def values(df, kind, key):
+        doubles = [f"cast(`{n}` as double) as `{n}`" for n in names]
+        return df.selectExpr(f"concat('{kind}:', {key}) as feature", "tier", *doubles)
+
+    stats = tiles.tile_union(
+        values(rollup.weighted_of(histogram, master, COUNTY_LEN, "county_id"), "county", "county_id"),
+        values(rollup.weighted_of(histogram, master, TRACT_LEN, "tract_id"), "tract", "tract_id"),
+        values(numprov.counts_of(histogram, master), "block", "geoid10"),
+    )
+
+    def boxes(df, kind, key):
+        return df.select(F.concat(F.lit(f"{kind}:"), key).alias("feature"), *geometry.BOX)
+
+    features = tiles.tile_union(
+        boxes(carto_counties(spark, sf), "county", "geoid10"),
+        boxes(carto_tracts(spark, sf), "tract", "tract_id"),
+        boxes(_block_bounds(spark, sf), "block", "geoid10"),
+    )
+    return geometry.attach_tiers(features, stats, "feature", [t.name for t in TIERS], names)
+
+
 # --- tiles -------------------------------------------------------------------
 def _levels(spark, sf):
     """Boxes of all feature levels in degrees: (level, feature_id, box).

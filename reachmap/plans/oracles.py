@@ -967,6 +967,51 @@ def oracles() -> dict[str, str]:
         LEFT JOIN (SELECT * FROM counts {at_tier} AND combo = '{ALL_TECH}') USING (geoid10)
         GROUP BY ALL"""
     )
+    every = {
+        "names": ", ".join(q(n) for n in names),
+        "doubles": ", ".join(f"{q(n)}::DOUBLE AS {q(n)}" for n in names),
+        "pivot": ", ".join(f"(max(n) FILTER (k = {k}))::DOUBLE AS {q(n)}" for k, n in combos()),
+    }
+    value_rows = " UNION ALL ".join(
+        f"SELECT '{kind}:' || {k} AS feature, tier, {every_number} FROM {source}"
+        for kind, k, source, every_number in (
+            ("county", "county_id", "wcounty", every["doubles"]),
+            ("tract", "tract_id", "wtract", every["doubles"]),
+            ("block", "geoid10", "counts GROUP BY geoid10, tier", every["pivot"]),
+        )
+    )
+    o["features_all_tiers"] = (
+        w("cartocounty", "cartotract", "box", "wcounty", "wtract", "counts", "tier")
+        + f"""SELECT feature, tier, minx, miny, maxx, maxy, v.* EXCLUDE (feature, tier) FROM (
+          SELECT 'county:' || geoid10 AS feature, minx, miny, maxx, maxy FROM cartocounty
+          UNION ALL SELECT 'tract:' || tract_id, minx, miny, maxx, maxy FROM cartotract
+          UNION ALL SELECT 'block:' || geoid10, minx, miny, maxx, maxy FROM box) f
+        CROSS JOIN (SELECT tier FROM tier) LEFT JOIN ({value_rows}) v USING (feature, tier)"""
+    )
+    # unit sides of the lattice; runs of one direction, border and line end at junctions and where they break
+    o["simplify_arcs"] = (
+        w("side")
+        + """, unit AS (
+          SELECT least(a.t, b.t) AS one, CASE WHEN a.t IS NULL OR b.t IS NULL THEN NULL ELSE greatest(a.t, b.t) END AS other,
+            CASE WHEN b.t IS NULL OR a.t < b.t THEN a.x1 ELSE a.x2 END AS x1, CASE WHEN b.t IS NULL OR a.t < b.t THEN a.y1 ELSE a.y2 END AS y1,
+            CASE WHEN b.t IS NULL OR a.t < b.t THEN a.x2 ELSE a.x1 END AS x2, CASE WHEN b.t IS NULL OR a.t < b.t THEN a.y2 ELSE a.y1 END AS y2
+          FROM (SELECT tract_id AS t, x1, y1, x2, y2 FROM side WHERE aland10 > 0) a
+          LEFT JOIN (SELECT tract_id AS t, x1, y1, x2, y2 FROM side WHERE aland10 > 0) b
+            ON a.x1 = b.x2 AND a.y1 = b.y2 AND a.x2 = b.x1 AND a.y2 = b.y1
+          WHERE b.t IS NULL OR a.t < b.t),
+        junction AS (
+          SELECT x, y FROM (SELECT x1 AS x, y1 AS y FROM unit UNION ALL SELECT x2, y2 FROM unit) GROUP BY ALL HAVING count(*) <> 2),
+        run AS (
+          SELECT u.*, x2 - x1 AS dx, y2 - y1 AS dy, sum(CASE WHEN j.x IS NOT NULL OR p.one IS NULL THEN 1 ELSE 0 END) OVER (
+              PARTITION BY u.one, u.other, u.x2 - u.x1, u.y2 - u.y1, CASE WHEN u.x1 = u.x2 THEN u.x1 ELSE u.y1 END
+              ORDER BY (u.x1 + u.y1) * (u.x2 - u.x1 + u.y2 - u.y1)) AS nr,
+            CASE WHEN u.x1 = u.x2 THEN u.x1 ELSE u.y1 END AS line
+          FROM unit u LEFT JOIN junction j ON j.x = u.x1 AND j.y = u.y1
+          LEFT JOIN (SELECT one, other, x1 + 2 * (x2 - x1) AS ex2, y1 + 2 * (y2 - y1) AS ey2, x2 AS ex1, y2 AS ey1 FROM unit) p
+            ON p.one = u.one AND p.other IS NOT DISTINCT FROM u.other AND p.ex1 = u.x1 AND p.ey1 = u.y1 AND p.ex2 = u.x2 AND p.ey2 = u.y2)
+        SELECT one, other, arg_min(x1, pos) AS x1, arg_min(y1, pos) AS y1, arg_max(x2, pos) AS x2, arg_max(y2, pos) AS y2
+        FROM (SELECT *, (x1 + y1) * (dx + dy) AS pos FROM run) GROUP BY one, other, dx, dy, line, nr"""
+    )
     o["tile_quantise_clipped"] = w("degree") + _clipped_shapes()
     rect = (
         f"SELECT '{TIER.name}' AS layer, z, x, y, coalesce(least(n, 3), -1) AS nprovs, geoid10, qx0, qx1, qy0, qy1 "
@@ -1005,11 +1050,6 @@ def oracles() -> dict[str, str]:
           coalesce(folded_size, 0) AS folded_size, coalesce(folded_cost, 0) AS folded_cost
         FROM ranked LEFT JOIN folded USING (layer, z, x, y, geoid10) WHERE keep"""
     )
-    every = {
-        "names": ", ".join(q(n) for n in names),
-        "doubles": ", ".join(f"{q(n)}::DOUBLE AS {q(n)}" for n in names),
-        "pivot": ", ".join(f"(max(n) FILTER (k = {k}))::DOUBLE AS {q(n)}" for k, n in combos()),
-    }
     o["speed_layer_tiles"] = (
         w("degree", "tractm2", "typical", "wcounty", "wtract", "counts", "tier", recursive=(_SPEED % every).strip())
         + _SPEED_LAYERS % every

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..constants import (
     BIG_TRACT_M2,
     COUNTY_LEN,
+    ISLAND_STATES,
     TECH_CLASSES,
     TIERS,
     TRACT_LEN,
@@ -36,6 +37,8 @@ from ..sinks import writers
 
 # features per tile of a thinned band, in vertices
 TILE_BUDGET = 200_000
+# features per tile of the base map
+BASE_BUDGET = 50_000
 
 
 def _save(df: DataFrame, out: str, name: str, *partition: str) -> DataFrame:
@@ -108,9 +111,12 @@ def exports(made: dict[str, DataFrame], out: str, classes=TECH_CLASSES, tiers=TI
             )
 
 
-def export_shapes(made: dict[str, DataFrame], out: str) -> None:
+def export_shapes(made: dict[str, DataFrame], out: str, threshold: float = BIG_TRACT_M2) -> None:
     """Block flags and tract areas as CSV, features as GeoJSON.
 
+    Besides blocks, tracts and counties: large blocks, big and not-big tracts, blocks of
+    big tracts and the footprints of large and of other providers.
+
     Outlines too long for a feature are CSV rows of points: ring, sign (1 for a
     shell, -1 for a hole), place on the ring. Both together are all features.
     """
@@ -125,6 +131,49 @@ def export_shapes(made: dict[str, DataFrame], out: str) -> None:
         )
     points = dissolve.closed_ring_points(made["long_outlines"], "level", "feature_id")
     writers.write_ring_points(points, f"{out}/csv/long_outlines", ["level", "feature_id"])
+    block, tract = (
+        made["features"].filter(F.col("level") == level).select(F.col("feature_id").alias(key), "geom")
+        for level, key in (("block", "geoid10"), ("tract", "tract_id"))
+    )
+    parts = {
+        "xl_blocks": (block.join(made["xl_blocks"].select("geoid10", "min_zoom"), "geoid10"), ["geoid10", "min_zoom"]),
+        "bigtract_blocks": (block.join(made["bigtract_blocks"].select("geoid10"), "geoid10"), ["geoid10"]),
+    }
+    for name, kept in (("big_tracts", geometry.big_tracts), ("notbig_tracts", geometry.notbig_tracts)):
+        parts[name] = (tract.join(kept(made["tract_area"], threshold), "tract_id"), ["tract_id", "area"])
+    foot = dissolve.pack_outlines(made["footprint_outlines"], "hoconum", "county_fips")
+    large = flags.large_provider("hoconum")
+    for name, kept in (("large_footprints", large), ("other_footprints", ~large)):
+        parts[name] = (foot.features.filter(kept), ["hoconum", "county_fips"])
+    for name, (features, columns) in parts.items():
+        writers.write_geojson(features, f"{out}/geojson/{name}", columns, columns[:2] if "hoconum" in columns else columns[:1])
+    points = dissolve.closed_ring_points(foot.long_outlines, "hoconum", "county_fips")
+    writers.write_ring_points(points, f"{out}/csv/long_footprints", ["hoconum", "county_fips"])
+
+
+def base_map(geographies: DataFrame, out: str, zooms: dict[str, tuple[int, int]], budget: int = BASE_BUDGET) -> DataFrame:
+    """Base-map tiles of geographies (level, feature_id, geom) at the zooms of their levels.
+
+    Boxes are those on the circle, so areas across the antimeridian need no table of
+    exceptions. A tile with more than `budget` features drops the densest.
+    """
+    boxes = _save(geometry.circle_bounds(geographies, "level", "feature_id"), out, "base_boxes")
+    rows = tg.base_tiles(geographies, boxes, tiles.base_bands(zooms), budget)
+    return _save(rows, out, "base_tiles", "layer", "z")
+
+
+def export_carto(
+    generalized: DataFrame, extra: DataFrame, counties: DataFrame, made: dict[str, DataFrame], out: str, islands=ISLAND_STATES
+) -> None:
+    """Cartographic tracts and counties as GeoJSON, islands from the dissolved features."""
+    tract = made["features"].filter("level = 'tract'").select(F.col("feature_id").alias("tract_id"), "geom")
+    county = made["features"].filter("level = 'county'").select(F.col("feature_id").alias("county_id"), "geom")
+    island = county.filter(flags.in_island_state("county_id", islands))
+    for name, key, features in (
+        ("carto_tracts", "tract_id", geometry.carto_tracts(generalized, extra, tract, islands)),
+        ("carto_counties", "geoid10", geometry.carto_counties(counties, island)),
+    ):
+        writers.write_geojson(features, f"{out}/geojson/{name}", [key], [key])
 
 
 def shapes(
@@ -148,17 +197,17 @@ def shapes(
         "h2only_undev": _save(flags.h2only_undev(block_hu_pop, block_geom), out, "h2only_undev"),
         "tract_outlines": _save(dissolve.dissolve_edges(land, "tract_id"), out, "tract_outlines"),
     }
-    footprint = geometry.provider_blocks(filings, block_geom)
     made["footprint_outlines"] = _save(
-        dissolve.dissolve_edges(footprint, "hoconum", "county_fips"), out, "footprint_outlines"
+        geometry.footprint_edges(filings, block_geom), out, "footprint_outlines"
     )
+    # counties from the tracts' outlines: the borders between tracts cancel
+    county = made["tract_outlines"].withColumn("county_id", F.substring("tract_id", 1, COUNTY_LEN)).drop("mult")
+    made["county_outlines"] = _save(dissolve.outline_edges(county, "county_id"), out, "county_outlines")
     # one geometry per area, for the rings of the map; what is too long for a
     # row stays as outline edges
     by_level = {
-        "tract": dissolve.dissolve(land, "tract_id", pack_edges=pack_edges),
-        "county": dissolve.dissolve(
-            land.withColumn("county_id", county_of("geoid10")), "county_id", pack_edges=pack_edges
-        ),
+        level: dissolve.pack_outlines(made[f"{level}_outlines"], f"{level}_id", pack_edges=pack_edges)
+        for level in ("tract", "county")
     }
     levels = [
         d.features.select(
@@ -255,7 +304,7 @@ def map_pieces(made: dict[str, DataFrame], out: str, threshold: float = BIG_TRAC
     shapes_ = tg.over_bands(map_levels(made, threshold), tiles.SPEED_BANDS)
     pieces = tg.tile_pieces(shapes_, ["level", "feature_id"])
     plan = F.filter(tiles.plan_of("level"), lambda b: b["z"] == F.col("z"))
-    pieces = pieces.withColumn("detail", F.element_at(plan, 1)["detail"]).filter("detail is not null")
+    pieces = pieces.withColumn("detail", F.get(plan, F.lit(0))["detail"]).filter("detail is not null")
     pieces = tg.quantised_pieces(pieces, detail=F.col("detail"))
     return _save(pieces.drop("ux"), out, "pieces", "level", "z")
 

@@ -161,9 +161,20 @@ def test_release(spark, sf_dir, tmp_path):
         fx.large_blocks(spark, sf_dir), out, threshold=3e6, pack_edges=12,
     )
     assert not made["long_outlines"].isEmpty()
-    products.export_shapes(made, out)
+    products.export_shapes(made, out, threshold=3e6)
+    products.export_carto(fx.carto_tract(spark, sf_dir), fx.extra_tract(spark, sf_dir), fx.carto_county(spark, sf_dir), made, out, fx.ISLANDS)
+    n = {name: readers.read_geojson(spark, f"{out}/geojson/{name}", "x: string").count() for name in (
+        "xl_blocks", "bigtract_blocks", "big_tracts", "notbig_tracts", "large_footprints", "other_footprints", "carto_tracts", "carto_counties")}
+    assert n["xl_blocks"] == made["xl_blocks"].count() and n["bigtract_blocks"] == made["bigtract_blocks"].count()
+    whole = made["features"].filter("level = 'tract'").count()
+    assert n["big_tracts"] + n["notbig_tracts"] == whole and n["carto_tracts"] > 0 and n["carto_counties"] > 0
+    feet = made["footprint_outlines"].select("hoconum", "county_fips").distinct().count()
+    assert n["large_footprints"] + n["other_footprints"] == feet
+    base = products.base_map(made["features"].filter("level = 'county'"), out, {"county": (0, 6)}, budget=3)
+    assert {r.z for r in base.select("z").distinct().collect()} == set(range(7))
+    assert base.groupBy("z", "x", "y").count().filter("count > 3").isEmpty()
     made["pieces"] = products.map_pieces(made, out, threshold=3e6)
-    assert made["pieces"].filter("whole").count() > 0
+    assert {r.z for r in made["pieces"].select("z").distinct().collect()} == set(range(15))
     tile_table = products.map_tiles(stats, made, out, tiers=products.TIERS[3:4], threshold=3e6)
     rings = products.map_rings(made, out, threshold=3e6)
     assert {r.z for r in rings.select("z").distinct().collect()} == set(range(15))

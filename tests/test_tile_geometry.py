@@ -246,3 +246,70 @@ def test_rings_of_the_whole_circle(spark):
     f = spark.createDataFrame(rows, "id string, geom " + GEOM.simpleString()).withColumn("g", F.lit(1))
     b = geometry.circle_bounds(f, "g").first()
     assert (b.minx, b.maxx) == (-180, 180)
+
+
+def test_simplified_arcs_leave_no_gap_or_overlap(spark):
+    import numpy as np
+
+    from reachmap.operators import arcs
+
+    # a lattice of wiggly cells: every border is a random walk that both neighbours have
+    r, n, k = random.Random(2), 4, 16
+    point = {(i, j): (i * 1000 + r.randint(-200, 200), j * 1000 + r.randint(-200, 200)) for i in range(n + 1) for j in range(n + 1)}
+
+    def line(a, b):
+        (x0, y0), (x1, y1) = point[a], point[b]
+        mid = [(x0 + (x1 - x0) * t // k + r.randint(-30, 30), y0 + (y1 - y0) * t // k + r.randint(-30, 30)) for t in range(1, k)]
+        return [(x0, y0), *mid, (x1, y1)]
+
+    lines = {}
+    for i in range(n + 1):
+        for j in range(n + 1):
+            for b in ((i + 1, j), (i, j + 1)):
+                if b in point:
+                    lines[(i, j), b] = line((i, j), b)
+
+    def path(a, b):
+        return lines[a, b] if (a, b) in lines else lines[b, a][::-1]
+
+    rows = []
+    for i in range(n):
+        for j in range(n):
+            corners = [(i, j), (i + 1, j), (i + 1, j + 1), (i, j + 1), (i, j)]
+            for a, b in zip(corners, corners[1:]):
+                pts = path(a, b)
+                rows += [(f"c{i}{j}", *p, *q) for p, q in zip(pts, pts[1:])]
+    # an island: a ring without a junction
+    ring_ = [(10_000 + round(500 * math.cos(t / 40 * 2 * math.pi)), round(500 * math.sin(t / 40 * 2 * math.pi))) for t in range(40)]
+    rows += [("island", *p, *q) for p, q in zip(ring_, ring_[1:] + ring_[:1])]
+    edges = spark.createDataFrame(rows, "id string, x1 long, y1 long, x2 long, y2 long")
+
+    def area(df, *keys):
+        return df.groupBy(*keys).agg(F.sum(F.expr("x1 * y2 - x2 * y1")).alias("a"))
+
+    whole = area(edges).first().a
+    for tolerance, stretch in ((0.0, 8192), (45.0, 8192), (45.0, 5)):
+        thin = arcs.simplify_arcs(edges, "id", tolerance, stretch)
+        sides = arcs.sides_of(thin, "id")
+        # each border once: the features' areas sum to that of the outer border
+        assert area(sides).first().a == area(thin.filter("other is null")).first().a
+        assert abs(area(sides).first().a - whole) < 0.02 * whole
+        if tolerance:
+            assert thin.count() < len(rows) / 4
+            kept = {(x.x1, x.y1) for x in thin.collect()} | {(x.x2, x.y2) for x in thin.collect()}
+            assert {p for (i, j), p in point.items() if 0 < i < n or 0 < j < n} - {point[c] for c in ((0, 0), (0, n), (n, 0), (n, n))} <= kept
+        ends = sides.select("id", F.inline(F.expr("array(struct(x1 as x, y1 as y, 1 as d), struct(x2 as x, y2 as y, -1 as d))")))
+        assert ends.groupBy("id", "x", "y").agg(F.sum("d").alias("d")).filter("d != 0").isEmpty()
+    assert list(arcs.thin_line(np.array([[0, 0], [1, 0], [2, 0], [2, 2]]), 0.1)) == [0, 2, 3]
+
+
+def test_tiers_join_without_an_exchange(spark):
+    from reachmap.operators import geometry
+
+    features = spark.range(200).selectExpr("cast(id as string) as k", "id * 1.5 as minx")
+    stats = spark.range(150).selectExpr("cast(id as string) as k", "explode(array('a', 'b')) as tier", "cast(id as double) as `n1`")
+    df = geometry.attach_tiers(features, stats, "k", ["a", "b", "c"], ["n1"], buckets=4)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    got = {(r.k, r.tier): r.n1 for r in df.collect()}
+    assert got == {(str(i), t): float(i) if i < 150 and t != "c" else None for i in range(200) for t in "abc"}
