@@ -1,7 +1,12 @@
 """HTML extraction (operator 2): main text by site template removal.
 
 1. Every page is read as a tree of elements. Elements that are no main text by
-   their kind or name (menus, footers, forms, adverts, comments, ...) go.
+   their kind (menus, footers, scripts, ...) go. So do those whose class, id or role
+   has a word that says so: the whole word, or one joined to words of place only
+   ("site-footer", not "has-sidebar" or "market-share"). Names and forms never take
+   an article away: of the elements around the only articles of a page none goes by
+   name, nor, on a page without any, one that holds more than half of its paragraphs' text. Inside
+   an article only adverts, comments and links to other articles go by name.
 2. Every subtree that could be page furniture is hashed: tag, names and text.
    Spark counts for each host the pages on which a hash occurs.
 3. Subtrees on TEMPLATE_PAGES different pages of a host or more are deleted; on a
@@ -9,7 +14,9 @@
    chance repeats count on a very large host but furniture of one section does.
    Inside an article this holds for boxes only, and of a box what goes is its loose
    text and inline elements: paragraphs, headings, tables and lists stay with all
-   they hold, since articles may share passages. Pages with equal html count once.
+   they hold, since articles may share passages. On a page without an article a
+   text block goes with a recurring box around it or if it is a list of links, not
+   by itself. Pages with equal html count once.
 4. What is left of the `article` or `main` elements, or of the whole page if it
    has none, is text: character references decoded, white space within a
    block one space, blocks joined by a line break in page order.
@@ -19,7 +26,8 @@ back to their pages by a join on host, hash and slice, so that a host or a
 menu on very many pages is spread over tasks.
 
 Defined results: null or empty html gives empty text and n_chars 0. A url
-without a host belongs to the host "". Repeated rows each give a row.
+without a host belongs to the host "". Repeated rows each give a row. A page is read in
+one pass, with memory and time in proportion to its length.
 """
 
 import hashlib
@@ -46,7 +54,7 @@ DROP_TAGS = frozenset(
     "head script style noscript template iframe nav footer aside form button select option textarea "
     "input label fieldset svg canvas object embed audio video map dialog menu title noembed noframes".split()
 )
-# No main text by a word of class, id or role.
+# No main text by a word of class, id or role, outside of articles.
 DROP_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adbox adsense banner sponsor sponsored promo promotion "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs topbar toolbar pager pagination skip "
@@ -56,10 +64,18 @@ DROP_NAMES = frozenset(
     "comment comments commentlist disqus respond replies reply discussion".split()
 )
 MAIN_TAGS = frozenset(("article", "main"))
-# Names that say this of an article, too; the page as a whole is never dropped by name.
+# Names that say this of an article and inside of one, too; the page as a whole is never dropped by name.
 DROP_ARTICLES = frozenset(
-    "ad ads advert advertisement sponsor sponsored promo promotion related recommended comment comments reply".split()
+    "ad ads advert adverts advertisement adsense sponsor sponsored promo related recommended "
+    "comment comments commentlist disqus respond replies reply newsletter sharing".split()
 )
+# Joined to a name above these say where it is, not what else it is.
+PLACE = frozenset(
+    "site page main top bottom left right primary secondary inner outer block bar area box wrap wrapper container "
+    "section list item global".split()
+)
+# These may hold a whole page, as an element with such a name may.
+SOFT_TAGS = frozenset(("form", "fieldset"))
 WHOLE = frozenset(("html", "body", "main"))
 # In an article a header holds its title.
 HEADERS = frozenset(("header", "masthead"))
@@ -91,10 +107,11 @@ NO_TEMPLATE = frozenset(("#root", "html", "head", "body", "br", "hr", "img", "me
 
 
 class Node:
-    __slots__ = ("tag", "names", "parts", "drop")
+    __slots__ = ("tag", "names", "parts", "drop", "soft")
 
-    def __init__(self, tag, names=(), drop=False):
-        self.tag, self.names, self.drop = tag, names, drop
+    def __init__(self, tag, names=(), drop=False, soft=False):
+        # drop: no main text; soft: said only by its name
+        self.tag, self.names, self.drop, self.soft = tag, names, drop, soft
         self.parts = []  # text and child nodes in order
 
 
@@ -104,7 +121,7 @@ def _names(attributes):
     for m in NAMED.finditer(attributes):
         name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
         if name in ("class", "id", "role"):
-            words += re.split(r"[^a-z0-9]+", value)
+            words += value.split()
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             hidden = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -112,6 +129,17 @@ def _names(attributes):
     return tuple(sorted({w for w in words if w})), hidden
 
 
+def says(names, bad):
+    """Whether one of an element's names is a word of `bad`, alone or with words of place."""
+    for name in names:
+        if name in bad:
+            return True
+        words = [w for w in re.split(r"[-_]+", name) if w]
+        if len(words) > 1 and not bad.isdisjoint(words) and all(w in bad or w in PLACE for w in words):
+            return True
+    return False
+
+
 def parse(text):
     """The tree of a page; forgiving, as pages leave elements open."""
     root = Node("#root")
@@ -153,12 +181,12 @@ def parse(text):
                     break
                 if stack[k].tag in holder:
                     break
-        if (names or tag == "header") and not node.drop and tag not in WHOLE:
-            bad = DROP_ARTICLES if tag == "article" else DROP_NAMES
-            said = {w for w in names if w in bad} | ({tag} & HEADERS)
-            if said and any(x.tag in MAIN_TAGS for x in stack):
-                said -= HEADERS
-            node.drop = bool(said)
+        inside = any(x.tag in MAIN_TAGS for x in stack)
+        if node.drop and tag in SOFT_TAGS and not hidden:
+            node.soft = not inside
+        elif not node.drop and tag not in WHOLE and (names or tag == "header"):
+            bad = DROP_ARTICLES if inside or tag == "article" else DROP_NAMES
+            node.drop = node.soft = says(names, bad) or (tag == "header" and not inside)
         stack[-1].parts.append(node)
         if tag in VOID or (m.group(3) or "").endswith("/"):
             continue
@@ -172,27 +200,76 @@ def parse(text):
     return root
 
 
-def mains(root):
-    """The outermost article and main elements that are kept; the whole page if there are none."""
-    found, todo = [], [root]
+def _kept_mains(root, through_soft):
+    """(outermost article and main elements that are kept, the soft elements around them)."""
+    found, around, todo = [], [], [(root, ())]
     while todo:
-        node = todo.pop()
+        node, above = todo.pop()
         if node.drop:
-            continue
+            if not (through_soft and node.soft):
+                continue
+            above = (*above, node)
         if node.tag in MAIN_TAGS:
             found.append(node)
+            around += above
             continue
-        todo += [x for x in reversed(node.parts) if isinstance(x, Node)]
+        todo += [(x, above) for x in reversed(node.parts) if isinstance(x, Node)]
+    return found, around
+
+
+def _keep_large(root):
+    """Keeps soft elements that hold more than half of the page's text in text blocks."""
+    size, order, todo = {}, [], [(root, False)]
+    while todo:
+        x, own = todo.pop()
+        own = own or x.tag in ("p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6")
+        size[id(x)] = sum(len(c.strip()) for c in x.parts if isinstance(c, str)) if own else 0
+        order.append(x)
+        todo += [(c, own) for c in x.parts if isinstance(c, Node) and (c.soft or not c.drop)]
+    for x in reversed(order):
+        size[id(x)] += sum(size.get(id(c), 0) for c in x.parts if isinstance(c, Node))
+    for x in order:
+        if x.soft and 2 * size[id(x)] > size[id(root)]:
+            x.drop = x.soft = False
+
+
+def mains(root):
+    """The outermost article and main elements that are kept; the whole page if there are none.
+
+    Elements that only their name or a form speaks against are kept around a page's
+    only articles, and if they hold most of a page without any.
+    """
+    found, _ = _kept_mains(root, False)
+    if not found:
+        found, around = _kept_mains(root, True)
+        for x in around:
+            x.drop = x.soft = False
+        if not found:
+            _keep_large(root)
     # A main element holds the articles of a page; an article in it is inside and found with it.
     return found or [root]
 
 
-def hashes(root):
-    """(hash, node, whether in an article) of every subtree of a page that could be template."""
+def link_list(node):
+    """Whether more than half of a list's or table's text is in links."""
+    text, linked, todo = 0, 0, [(node, False)]
+    while todo:
+        x, link = todo.pop()
+        link = link or x.tag == "a"
+        n = sum(len(c.strip()) for c in x.parts if isinstance(c, str))
+        text, linked = text + n, linked + (n if link else 0)
+        todo += [(c, link) for c in x.parts if isinstance(c, Node)]
+    return 2 * linked > text
+
+
+def hashes(root, roots):
+    """(hash, node, whether in an article) of every subtree of a page that could be template; `roots`: its `mains`."""
+    articles = roots != [root]
     todo, order, out = [(root, False, False, False)], [], []
     while todo:  # children after parents; read backwards
         x, within, own, gone = todo.pop()
-        own = own or (within and x.tag in TEXT_TAGS)
+        if not own and x.tag in TEXT_TAGS and (within or not articles):
+            own = within or x.tag not in ("ul", "ol", "dl", "table") or not link_list(x)
         order.append((x, within, own, gone))
         within, gone = within or x.tag in MAIN_TAGS, gone or x.drop
         todo += [(c, within, own, gone) for c in x.parts if isinstance(c, Node)]
@@ -261,7 +338,19 @@ def main_text(roots):
 def candidates(text):
     """(tree of a page, [(hash, node, whether in an article)] that could be template)."""
     root = parse(text)
-    return root, hashes(root)
+    return root, hashes(root, mains(root))
+
+
+def page_text(text, templates=()):
+    """Main text of a page without the subtrees of the given hashes."""
+    if not templates:
+        return main_text(mains(parse(text)))
+    root = parse(text)
+    roots = mains(root)  # before the deletions, which must not make a part of the page its main one
+    for h, node, within in hashes(root, roots):
+        if h in templates:
+            delete(node, within)
+    return main_text(roots)
 
 
 def _subtrees(batches):
@@ -286,15 +375,7 @@ def _extract(names):
         for batch in batches:
             texts = []
             for text, cuts in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist(), strict=True):
-                if not text:
-                    texts.append("")
-                    continue
-                root, gone = parse(text), set(cuts or ())
-                if gone:
-                    for h, node, within in hashes(root):
-                        if h in gone:
-                            delete(node, within)
-                texts.append(main_text(mains(root)))
+                texts.append(page_text(text, set(cuts or ())) if text else "")
             yield pa.RecordBatch.from_pydict(
                 {c: batch.column(c) for c in names}
                 | {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}

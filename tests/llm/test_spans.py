@@ -258,6 +258,71 @@ def test_near_copies_of_an_article_keep_shared_lists_and_sections(spark):
     assert all(got[i] == f"Own {i}\n{kept}" for i in range(6))
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<div class='content-sidebar-wrap'><main><article><p>%s</article></main></div>",
+        "<div id=page class='has-sidebar'><article><p>%s</article></div>",
+        "<div class='site nav-open'><article><p>%s</article></div>",
+        "<div class='sidebar'><article><p>%s</article></div>",
+        "<form id=aspnetForm><div class=header>x</div><article><p>%s</article></form>",
+        "<article><div class='market-share'><p>%s</div></article>",
+        "<article><div class='side-effects'><p>%s</div></article>",
+        "<article><div class='form-of-verbs'><p>%s</div></article>",
+        "<article><section class='ad-free'><p>%s</section></article>",
+        "<div class='page has-sidebar'><div class='content'><p>%s</div><div class='sidebar'><p>aside</div></div>",
+        "<form><h1>%s</h1><div class=menu>menu</div></form>",
+        "<div class=main-navigation><a>menu</a></div><p>%s<div class='site-footer'><p>foot</p></div>",
+        "<article><p>%s</p><div class='comments'><article><p>first!</article></div></article>",
+        "<article><p>%s</p></article><div class='comments'><article><p>first!</article></div>",
+    ],
+)
+def test_names_never_take_the_article_away(body):
+    assert html_main.page_text(page(body % "Body text")[1]) == "Body text"
+
+
+def test_near_copies_without_an_article_element_keep_what_they_share(spark):
+    pages = [page(f"<div><h1>Shared head</h1><p>Shared words</p><p>own {i}</p></div>") for i in range(4)]
+    menu = "<ul class=x7><li><a>Home</a><li><a>News</a></ul>"
+    pages += [page(f"{menu}<p>Tale {i}</p><ul><li>point one<li>point two</ul>", "b.example") for i in range(6)]
+    got = texts(spark, pages)
+    assert all(got[i] == f"Shared head\nShared words\nown {i}" for i in range(4))
+    assert all(got[4 + i] == f"Tale {i}\npoint one\npoint two" for i in range(6))
+
+
+def test_furniture_with_neutral_names_goes_by_recurrence_alone(spark):
+    menu = "<div class=q1><a>Home</a> <a>World</a></div><div class=q2><p>Since 1999</p></div>"
+    pages = [page(f"{menu}<article><div class=z9>Read on</div><p>Story {i}</p></article>") for i in range(5)]
+    pages += [page(f"{menu}<p>Tale {i}</p>", "b.example") for i in range(5)]
+    on, off = texts(spark, pages), texts(spark, pages, least_pages=10**6)
+    assert all(on[i] == f"Story {i}" and on[5 + i] == f"Tale {i}" for i in range(5))
+    assert all("Read on" in off[i] and "Since 1999" in off[5 + i] for i in range(5))
+
+
+def test_templates_equal_plain_counts_per_host(spark):
+    r, pages = random.Random(7), []
+    for i in range(60):
+        parts = [f"<div class=c{k}><p>part {k}</p></div>" for k in r.sample(range(9), 4)]
+        pages.append((i, f"h{i % 3}", page("".join(parts) + f"<p>own {i}</p>")[1]))
+    df = spark.createDataFrame(pages, "page_key long, host string, html string")
+    seen = {}
+    for i, host, text in pages:
+        for h in {h for h, *_ in html_main.candidates(text)[1]}:
+            seen.setdefault((host, h), set()).add(i)
+    least = max(html_main.TEMPLATE_PAGES, 5)  # 20 pages a host: the binary logarithm is above 4
+    want = {}
+    for (_, h), where in seen.items():
+        for i in where if len(where) >= least else ():
+            want.setdefault(i, set()).add(h)
+    got = {x.page_key: set(x.templates) for x in html_main.templates(df).collect()}
+    assert got == want and want
+
+
+def test_very_long_page(spark):
+    text = "<article>" + "<div class=sidebar-x><p>word & more</p></div>" * 40_000 + "</article>"
+    assert html_main.page_text(text).count("\n") == 39_999
+
+
 def test_random_markup_never_fails():
     r = random.Random(4)
     bits = ["<p>", "</p>", "<div class='a b'>", "</div>", "<article>", "</article>", "<li>", "<td>", "text ", "&amp;", "<", ">", "<!--", "-->", "<script>", "</script>", "<br/>", "\"", "'", "<a href=x>", "</a>", "<title>"]
