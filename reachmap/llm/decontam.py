@@ -5,7 +5,8 @@ suffixes that can match at all: those that begin with as many consecutive words
 of the benchmark's vocabulary as the shortest window has. Every test suffix that
 begins a window is binary-searched in it, all of them at once; the range it
 finds gives the verbatim matches and their places, which are then extended to
-their full length.
+their full length. Places of the benchmark that begin with the same window are in the order of what
+follows them, so the longest match among all of them takes a binary search as well.
 
 The benchmark is read in pieces of at most PIECE_BYTES of text (or one item);
 one piece at a time is broadcast, and the matches found so far travel with the
@@ -65,16 +66,44 @@ def build_index(items, window=WINDOW):
     for k in keys:
         new[1:] |= k[1:] != k[:-1]
     first = np.flatnonzero(new)
+    owners = np.append(first, len(order))
+    index |= {"starts": starts, "owner": owner, "owners": owners}
+    order = follow_order(index, width)
+    starts, owner = starts[order], owner[order]
     index |= {
         "keys": [k[first] for k in keys],
         "width": width[first],
-        "source": starts[first],
+        "source": np.argsort(order, kind="stable")[first],
+        "starts": starts,
         "owner": owner,
-        "owners": np.append(first, len(order)),
     }
     return index
 
 
+def follow_order(index, width):
+    """The order of the places of equal windows by the words that follow, an item's end first."""
+    starts, owner, words = index["starts"], index["owner"], index["words"]
+    size = np.diff(index["owners"])
+    slot = np.repeat(index["owners"][:-1], size)  # the first place of its group in the order
+    depth, item_end = width.copy(), (index["at"] + index["n"])[owner]
+    open_ = np.flatnonzero(np.repeat(size, size) > 1)
+    while len(open_):
+        at = starts[open_] + depth[open_]
+        word = np.where(at < item_end[open_], words[np.minimum(at, len(words) - 1)], 0)
+        order = np.lexsort((word, slot[open_]))
+        open_, word = open_[order], word[order]
+        group, number = slot[open_], np.arange(len(open_))
+        new_group = np.append(True, group[1:] != group[:-1])
+        new_part = new_group | np.append(True, word[1:] != word[:-1])
+        head = np.maximum.accumulate(np.where(new_group, number, 0))
+        part = np.maximum.accumulate(np.where(new_part, number, 0))
+        slot[open_] = group + part - head
+        alone = new_part & np.append(new_part[1:], True)
+        depth[open_] += 1
+        open_ = open_[~alone & (word > 0)]
+    return np.argsort(slot, kind="stable")
+
+
 def pack(ids, starts, width, index):
     """Sort keys of sequences: as many ids per 64-bit key as fit; shorter ones end with zeros."""
     per, longest = 63 // index["bits"], index["longest"]
@@ -129,11 +158,11 @@ def upper_keys(index):
 
 
 def search_shard(data, offs, index):
-    """(words per text, hits) of a shard; hits are (text, first word, window number, length)."""
+    """(words per text, hits) of a shard; hits are (text, first word, window number, length, place in the benchmark's list)."""
     h, doc, _, _ = wd.word_hashes(data, offs, wd.alnum(), wd.lower_table())
     n = np.bincount(doc, minlength=len(offs) - 1)
     least = index["shortest"]
-    none = (np.zeros(0, np.int64),) * 4
+    none = (np.zeros(0, np.int64),) * 5
     if not least or len(h) < least:
         return n, none
     vocabulary = index["vocabulary"]
@@ -173,22 +202,44 @@ def search_shard(data, offs, index):
     window = np.repeat(found, count)
     inside = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
     place = suffixes[low[window] + inside]
-    # Extension to the longest verbatim match of this test suffix.
-    words, at, size = index["words"], index["at"], index["n"]
-    origin = index["source"][window]
-    item_end = (at + size)[index["owner"][index["owners"][window]]]
-    length = index["width"][window].copy()
-    alive = np.arange(len(window))
-    while len(alive):
-        a, b = place[alive] + length[alive], origin[alive] + length[alive]
-        go = (a < texts_end[doc[place[alive]]]) & (b < item_end[alive])
-        alive, a, b = alive[go], a[go], b[go]
-        alive = alive[ids[a] == words[b]]
-        length[alive] += 1
-    return n, (doc[place], place - (texts_end - n)[doc[place]], window, length)
-
-
-def _merge(spans, names, best, index, first, window, length):
+    words, starts, owners = index["words"], index["starts"], index["owners"]
+    ends_of = (index["at"] + index["n"])[index["owner"]]
+    text_end = texts_end[doc[place]]
+
+    def extended(hits, entry):
+        """How many words from each hit on equal those from the place of the benchmark on."""
+        length = index["width"][window[hits]].copy()
+        alive = np.arange(len(hits))
+        while len(alive):
+            a, b = place[hits[alive]] + length[alive], starts[entry[alive]] + length[alive]
+            go = (a < text_end[hits[alive]]) & (b < ends_of[entry[alive]])
+            alive, a, b = alive[go], a[go], b[go]
+            alive = alive[ids[a] == words[b]]
+            length[alive] += 1
+        return length
+
+    everything = np.arange(len(window))
+    entry = index["source"][window]
+    length = extended(everything, entry)
+    low, high = owners[window].copy(), owners[window + 1].copy()
+    # The longest match of several places is next to where the text would stand among them.
+    search = everything[high - low > 1]
+    while len(search):
+        middle = (low[search] + high[search]) // 2
+        got = extended(search, middle)
+        better = got > length[search]
+        entry[search[better]], length[search[better]] = middle[better], got[better]
+        a, b = place[search] + got, starts[middle] + got
+        own = np.where(a < text_end[search], ids[np.minimum(a, len(ids) - 1)], 0)
+        theirs = np.where(b < ends_of[middle], words[np.minimum(b, len(words) - 1)], 0)
+        after = own > theirs
+        low[search[after]] = middle[after] + 1
+        high[search[~after]] = middle[~after]
+        search = search[low[search] < high[search]]
+    return n, (doc[place], place - (texts_end - n)[doc[place]], window, length, entry)
+
+
+def _merge(spans, names, best, index, first, window, length, entry):
     """Word ranges hit, items and the longest match, with those of earlier pieces."""
     width = index["width"][window]
     spans = np.concatenate([spans, np.stack([first, first + width], 1)]) if len(first) else spans
@@ -203,9 +254,8 @@ def _merge(spans, names, best, index, first, window, length):
     if len(length):
         k = np.lexsort((first, -length))[0]
         if length[k] > best[0]:
-            w = window[k]
-            item = index["owner"][index["owners"][w]]
-            best = (int(length[k]), int(first[k]), index["names"][item], int(index["source"][w] - index["at"][item]))
+            item = index["owner"][entry[k]]
+            best = (int(length[k]), int(first[k]), index["names"][item], int(index["starts"][entry[k]] - index["at"][item]))
     return spans, names, best
 
 
