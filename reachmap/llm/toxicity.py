@@ -2,10 +2,14 @@
 
 A document is a bag of sentences. A sentence's score is a logistic model of its
 words, whole and as beginnings of 3 to 7 letters, hashed to a fixed number of
-weights. The document's score is the noisy-or of its sentences,
+weights. A word counts once in a sentence, a beginning once for each different word
+with it, in training as in scoring, so repeated words add nothing. The document's score is the noisy-or of its sentences,
 1 - product(1 - p), and only document labels are used in training. Afterwards
 the sentence scores tell where the offending sentences are.
 
+The level of the scores is set on a fifth of the sample that the weights have not
+seen: all documents' log odds are shifted by one number (`calibration`).
+
 Trained on a bounded sample: the TRAIN_DOCS labelled documents with the smallest
 hash of their id, whole texts. Rows of fold 1 are never learned from.
 
@@ -26,7 +30,12 @@ from pyspark.sql import functions as F
 
 from .common import fold, held_out, in_small_batches, table
 
-TRAIN_DOCS = 6000
+TRAIN_DOCS = 7500
+# Every so many-th of them is not fitted on but sets the scores' level: a share FALSE_ALARMS of the clean ones
+# is at the threshold, unless that takes raw scores below LEAST_RAW.
+CALIBRATE = 5
+FALSE_ALARMS = 0.015
+LEAST_RAW = 0.4
 HASH_BITS = 20
 BEGINNINGS = range(3, 8)
 # A feature must occur in this many documents of the sample.
@@ -35,7 +44,7 @@ EPOCHS = 60
 RATE = 0.3
 PENALTY = 5e-4
 PRIOR = -6.0
-# Toxic documents are rarer; each weighs up to this much more.
+# Toxic documents are rarer: each weighs up to this much more.
 MOST_WEIGHT = 8.0
 THRESHOLD = 0.7
 
@@ -67,28 +76,37 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DO
 
 
 def bags(texts):
-    """(feature numbers, sentence of each, document of each sentence)."""
-    cache, feats, sents, owner = {}, [], [], []
+    """(feature numbers, sentence of each, how many of its words have it, document of each sentence)."""
+    cache, numbers, owner, words, sents = {}, [], [], [], []
     for i, text in enumerate(texts):
-        own = set()
         owner.append(i)
+        open_ = False
         for x in PIECES.findall(text.lower()):
             if x in ENDS:
-                if own:
-                    feats.append(np.fromiter(own, np.int64, len(own)))
-                    sents.append(np.full(len(own), len(owner) - 1))
+                if open_:
                     owner.append(i)
-                    own = set()
+                    open_ = False
                 continue
-            got = cache.get(x)
-            if got is None:
-                got = cache[x] = features(x)
-            own.update(got)
-        if own:
-            feats.append(np.fromiter(own, np.int64, len(own)))
-            sents.append(np.full(len(own), len(owner) - 1))
-    cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return cat(feats), cat(sents), np.array(owner, np.int64)
+            word = cache.get(x)
+            if word is None:
+                word = cache[x] = len(numbers)
+                numbers.append(sorted(set(features(x))))
+            words.append(word)
+            sents.append(len(owner) - 1)
+            open_ = True
+    if not words:
+        return *(np.zeros(0, np.int64),) * 3, np.array(owner, np.int64)
+    # Each word of a sentence once, then its features with their number of words.
+    kinds = len(numbers)
+    pairs = np.unique(np.array(sents, np.int64) * kinds + np.array(words, np.int64))
+    sizes = np.array([len(x) for x in numbers])
+    first, flat = np.cumsum(sizes) - sizes, np.concatenate([np.array(x, np.int64) for x in numbers])
+    word, sent = pairs % kinds, pairs // kinds
+    n = sizes[word]
+    at = np.repeat(first[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    feature, sent = flat[at], np.repeat(sent, n)
+    pairs, count = np.unique(sent << HASH_BITS | feature, return_counts=True)
+    return pairs & ((1 << HASH_BITS) - 1), pairs >> HASH_BITS, count, np.array(owner, np.int64)
 
 
 def fit(texts, labels):
@@ -98,21 +116,21 @@ def fit(texts, labels):
     y = np.asarray(labels, np.float64)
     if not (y == 1).any() or not (y == 0).any():
         return w.astype(np.float32), b
-    f, s, owner = bags(texts)
+    f, s, c, owner = bags(texts)
     docs_with = np.unique(f * len(y) + owner[s]) // len(y)
     keep = np.bincount(docs_with, minlength=size)[f] >= LEAST_DOCS
-    f, s = f[keep], s[keep]
+    f, s, c = f[keep], s[keep], c[keep]
     used, f = np.unique(f, return_inverse=True)
     v, square, square_b = np.zeros(len(used)), np.full(len(used), 1e-4), 1e-4
     weight = np.where(y == 1, np.clip((y == 0).sum() / (y == 1).sum(), 1.0, MOST_WEIGHT), 1.0)
     for _ in range(EPOCHS):
-        z = np.bincount(s, v[f], minlength=len(owner)) + b
+        z = np.bincount(s, v[f] * c, minlength=len(owner)) + b
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         clean = np.exp(np.bincount(owner, np.log1p(-p + 1e-12), minlength=len(y)))
         toxic = np.clip(1 - clean, 1e-9, 1)
         g_doc = np.where(y == 1, -clean / toxic, 1.0) * weight
         g = g_doc[owner] * p
-        grad = np.bincount(f, g[s], minlength=len(used)) / len(y) + PENALTY * v
+        grad = np.bincount(f, g[s] * c, minlength=len(used)) / len(y) + PENALTY * v
         square += grad**2
         v -= RATE * grad / np.sqrt(square)
         gb = g.sum() / len(y)
@@ -137,21 +155,38 @@ class WordWeights(dict):
 
 def sentence_scores(text, weights, bias):
     """Scores of the sentences of a lower-cased text, in order, with their words' sums."""
-    out, z, words = [], bias, 0
+    out, words = [], set()
     get = weights.__getitem__
     for x in PIECES.findall(text):
-        if x in ENDS:
-            if words:
-                out.append(z)
-                z, words = bias, 0
-        else:
-            z += get(x)
-            words += 1
+        if x not in ENDS:
+            words.add(x)
+        elif words:
+            out.append(bias + sum(map(get, words)))
+            words = set()
     if words or not out:
-        out.append(z)
+        out.append(bias + sum(map(get, words)))
     return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
+def noisy_or(p):
+    return float(1 - np.prod(1 - p))
+
+
+def calibration(texts, labels, weights, bias):
+    """The shift of log odds by which FALSE_ALARMS of the clean texts reach the threshold; 0 without any."""
+    raw = [noisy_or(sentence_scores(t.lower(), weights, bias)) for t, y in zip(texts, labels, strict=True) if y == 0]
+    if not raw or not any(labels):
+        return 0.0
+    level = min(max(float(np.quantile(raw, 1 - FALSE_ALARMS)), LEAST_RAW), 1 - 1e-6)
+    return float(np.log(THRESHOLD / (1 - THRESHOLD)) - np.log(level / (1 - level)))
+
+
+def shifted(score, shift):
+    """A score with its log odds shifted."""
+    up = score * np.exp(shift)
+    return float(up / (up + 1 - score))
+
+
 def places(text):
     """(first, end) in code points of every sentence, as sentence_scores counts them."""
     out, first, end = [], None, 0
@@ -171,29 +206,34 @@ def places(text):
 def _train(batches):
     rows = pd.concat([b.to_pandas() for b in batches] or [pd.DataFrame({"doc_id": [], "toxic": [], "text": []})])
     rows = rows.sort_values(["doc_id", "text"], kind="stable")
-    w, b = fit(list(rows["text"]), list(rows["toxic"]))
-    yield pa.RecordBatch.from_pydict({"w": pa.array([w.tobytes()], pa.binary()), "b": pa.array([b], pa.float64())})
+    apart = np.arange(len(rows)) % CALIBRATE == CALIBRATE - 1
+    seen, unseen = rows[~apart], rows[apart]
+    w, b = fit(list(seen["text"]), list(seen["toxic"]))
+    shift = calibration(list(unseen["text"]), list(unseen["toxic"]), WordWeights(w), b) if w.any() else 0.0
+    yield pa.RecordBatch.from_pydict(
+        {"w": pa.array([w.tobytes()], pa.binary()), "b": pa.array([b], pa.float64()), "shift": pa.array([shift], pa.float64())}
+    )
 
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS):
-    """(weights, bias); the bounded sample is fitted in one task."""
+    """(weights, bias, shift of log odds); the bounded sample is fitted in one task."""
     sample = training_rows(docs, labels, train_docs).coalesce(1)
-    row = sample.mapInArrow(_train, "w binary, b double").first()
+    row = sample.mapInArrow(_train, "w binary, b double, shift double").first()
     if row is None:
-        return np.zeros(1 << HASH_BITS, np.float32), PRIOR
-    return np.frombuffer(row["w"], np.float32), row["b"]
+        return np.zeros(1 << HASH_BITS, np.float32), PRIOR, 0.0
+    return np.frombuffer(row["w"], np.float32), row["b"], row["shift"]
 
 
 def _score_with(model):
     def run(batches):
-        w, b = model.value
+        w, b, shift = model.value
         weights = WordWeights(w)
         for batch in batches:
             out = {c: [] for c in ("score", "n_toxic", "worst_at", "worst_end")}
             for text in batch.column("text").to_pylist():
                 # Lower-casing can change a text's length in rare scripts; places are of the text as given.
                 p = sentence_scores(text.lower(), weights, b)
-                total = float(1 - np.prod(1 - p))
+                total = shifted(noisy_or(p), shift)
                 first = end = None
                 if total >= THRESHOLD:
                     spots = places(text)

@@ -249,6 +249,61 @@ def test_toxicity_of_held_out_rows(spark):
     assert not any(r.predicted for r in got if r.doc_id >= 10_000)
 
 
+def test_training_and_scoring_see_the_same_features():
+    r = random.Random(3)
+    kinds = words(40, 2, "abcde") + ["naïve", "groß"]
+    docs = [" ".join(r.choice(kinds) + r.choice(["", "", ".", "!", "\n"]) for _ in range(r.randint(0, 60))) for _ in range(40)] + ["", "..", "a a a"]
+    w, bias = np.random.default_rng(1).normal(size=1 << toxicity.HASH_BITS).astype(np.float32), -1.0
+    f, s, c, owner = toxicity.bags(docs)
+    trained = np.bincount(s, w[f].astype(float) * c, minlength=len(owner)) + bias
+    weights = toxicity.WordWeights(w)
+    for i, text in enumerate(docs):
+        # plain noisy-or: each sentence a sum over its different words and their beginnings
+        plain = []
+        for sentence in re.split(r"[.!?\n]", text.lower()):
+            found = re.findall(r"[^\W\d_]+", sentence)
+            if found:
+                plain.append(1 / (1 + np.exp(-(bias + sum(float(w[k]) for x in set(found) for k in set(toxicity.features(x)))))))
+        plain = plain or [1 / (1 + np.exp(-bias))]
+        got = toxicity.sentence_scores(text.lower(), weights, bias)
+        assert np.allclose(got, plain, rtol=1e-6)
+        own = 1 / (1 + np.exp(-trained[owner == i]))
+        # an open sentence after the last end has no words and its prior score in training
+        assert np.allclose(own[: len(plain)], plain, rtol=1e-5)
+
+
+def test_longest_match_over_all_places_of_a_window(spark):
+    head = [f"w{i}" for i in range(10)]
+    items = [("A", " ".join([*head, "x"])), ("B", " ".join([*head, "y", "z"])), ("C", " ".join(["q", *head, "y", "k", "l"]))]
+    docs = documents(spark, [(1, " ".join([*head, "y", "z"])), (2, " ".join(["n", *head, "y", "k"])), (3, " ".join(head))])
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = {x.doc_id: (x.longest, x.longest_at, x.longest_item, x.longest_item_at) for x in decontam.contamination(docs, bench).collect()}
+    assert got == {1: (12, 0, "B", 0), 2: (12, 1, "C", 1), 3: (10, 0, "A", 0)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_longest_match_equals_brute_force(spark, seed):
+    r = random.Random(seed)
+    text = lambda n: [r.choice("ab") for _ in range(n)]
+    items = [(f"i{k}", text(r.choice([2, 4, 6, 12, 30]))) for k in range(12)]
+    docs = [(k, text(r.randint(0, 40))) for k in range(60)]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id string, text string")
+    got = decontam.contamination(documents(spark, [(i, " ".join(t)) for i, t in docs]), bench, window=4).collect()
+    for x in got:
+        t, best = dict(docs)[x.doc_id], 0
+        for _, item in items:
+            for a in range(len(t)):
+                for b in range(len(item)):
+                    n = 0
+                    while a + n < len(t) and b + n < len(item) and t[a + n] == item[b + n]:
+                        n += 1
+                    best = max(best, n if n >= min(4, len(item)) else 0)
+        assert x.longest == best
+        if best:
+            item = dict(items)[x.longest_item]
+            assert item[x.longest_item_at :][:best] == t[x.longest_at :][:best]
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(documents(spark, odd_rows()), none)
