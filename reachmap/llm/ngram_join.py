@@ -544,8 +544,9 @@ def _with_components(
     # 60 bits of the digest: equal numbers of different sets only make blocks larger.
     rid = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("rid")
     tokens = prefixes.select(rid, F.explode("prefix").alias("token"))
-    lead = tokens.groupBy("token").agg(F.min("rid").alias("lead"))
-    edges = tokens.join(lead.hint("shuffle_hash"), "token").filter("rid != lead").select("rid", "lead")
+    # Lookup sides are written first: the adaptive join can then split a frequent key of the other side.
+    lead = cut(tokens.groupBy("token").agg(F.min("rid").alias("lead")), "leads")
+    edges = tokens.join(lead, "token").filter("rid != lead").select("rid", "lead")
     blocks = components(edges, "rid", "lead")
     members = cut(
         prefixes.select(rid, "digest", "n")
@@ -569,7 +570,7 @@ def _with_components(
     roots = cut(roots, "roots")
     roots = roots.union(roots.select("root", "root").distinct())
     of = sets.join(roots, "digest").select("digest", "root", "low_id")
-    low = of.groupBy("root").agg(F.min("low_id").alias("component_id"))
+    low = cut(of.groupBy("root").agg(F.min("low_id").alias("component_id")), "low-ids")
     joined = of.join(low, "root").select("digest", "component_id")
     groups = cut(
         sets.join(joined, "digest", "left")
@@ -606,6 +607,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     found = cut(_with_components(docs), "near-copies").filter("n > 0 and doc_id is not null")
     first = found.filter("doc_id = component_id").groupBy("component_id").agg(F.min("key").alias("win"))
+    first = cut(first, "first-rows")
     gone = found.join(first, "component_id").filter("doc_id != component_id or key != win").select("key")
     gone = cut(gone.distinct(), "gone")
     if gone.count() <= BROADCAST_KEYS:
