@@ -451,12 +451,15 @@ def on_tiles(planned: DataFrame, touched: DataFrame, keys: list[str]) -> DataFra
     return planned.join(touched, [*keys, "z"])
 
 
-def xl_block_tiles(large: DataFrame, touched: DataFrame, bands=XL_BLOCK_BANDS) -> DataFrame:
+def xl_block_tiles(large: DataFrame, touched: DataFrame | None = None, bands=XL_BLOCK_BANDS) -> DataFrame:
     """All large blocks at the zooms of their bands, without the attribute `min_zoom`.
 
-    `touched` has the tiles (geoid10, z, x, y) of the blocks' shapes.
+    `touched` has the tiles (geoid10, z, x, y) of the blocks' shapes; without it
+    blocks are on the tiles of their boxes.
     """
     shown = zoom_plan_features(large.withColumn("level", F.lit("xl_block")), bands)
+    if touched is None:
+        return tile_cover(shown).drop("min_zoom")
     return on_tiles(shown, touched, ["geoid10"]).drop("min_zoom")
 
 
