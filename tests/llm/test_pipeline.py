@@ -14,8 +14,8 @@ def test_query_equals_its_sql(spark, sf_dir, name):
     assert difference(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) is None
 
 
-def test_ten_operators_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+def test_all_operators_are_registered():
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_stages_keep_columns_and_shrink_as_they_should(spark, sf_dir, tmp_path):
