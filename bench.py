@@ -34,6 +34,8 @@ HEADLINE = [
     "tile_fold_smallest",
     "carto_tracts",
     "dissolve_ring_points",
+    "speed_layer_tiles",
+    "tile_quantise_clipped",
 ]
 
 
