@@ -7,13 +7,16 @@ the longer ones are excluded; below the empty context all bytes left are equal.
 The code length of a text is the sum over its bytes, exact for the frozen
 counts; the shortest code wins, and the score is its posterior probability.
 
-For scoring, the contexts of all languages form one tree; a context that a
-language lacks has the distribution of its longest suffix there. Finding the
-context of every byte of a batch takes one lookup per order, and one lookup
-gives its code length in every language.
+A context and the byte after it are one number, a gram. All grams of the sample
+count, of every context however rare; grams of lower order are sums of those of
+full order. A byte seen in a context was seen in all shorter ones, so what is
+excluded after an escape depends on one context alone and is summed up
+beforehand. Code lengths of the grams that any language has seen are tabled;
+those of others are worked out from the trees, each once a slice.
 
 Trained on a bounded sample: TRAIN_DOCS documents per language, those with the
-smallest hash of their id, whole texts.
+smallest hash of their id, whole texts. Spark counts the grams; those counts,
+some megabytes a language, are the model.
 
 Defined results: `und` with score 0 for a text that is null or has no letter,
 or if nothing could be learned. Ties go to the language first in order. Null
@@ -32,9 +35,8 @@ from .common import fold, held_out, in_small_batches, table
 
 MAX_ORDER = 3
 TRAIN_DOCS = 400
-# A context is kept if seen this often, and at most so many in all languages together.
-LEAST_SEEN = 48
-MAX_CONTEXTS = 6000
+# The sample is first chosen in so many parts of a language, then among those chosen.
+SALTS = 16
 # Texts are scored in slices of about this many bytes, some 60 times as many in arrays.
 SLICE_BYTES = 1 << 20
 START = 10  # the byte taken to stand before a text
@@ -46,8 +48,10 @@ def training_rows(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     known = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang")).filter(
         (fold(F.col("doc_id")) != 1) & F.col("lang").isNotNull()
     )
-    by_hash = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.withColumn("i", F.row_number().over(by_hash)).filter(F.col("i") <= train_docs)
+    ids = known.withColumn("h", F.xxhash64("doc_id")).withColumn("salt", F.pmod("h", F.lit(SALTS)))
+    for keys in (["lang", "salt"], ["lang"]):
+        first = W.partitionBy(*keys).orderBy("h", "doc_id")
+        ids = ids.withColumn("i", F.row_number().over(first)).filter(F.col("i") <= train_docs)
     ids = ids.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
 
@@ -65,86 +69,118 @@ def previous(data, offs, k):
     return out
 
 
+def grams(data, offs):
+    """Every byte (the lowest eight bits) with the MAX_ORDER bytes before it, the nearest lowest."""
+    out = data.astype(np.int64)
+    for k in range(1, MAX_ORDER + 1):
+        out |= previous(data, offs, k).astype(np.int64) << (8 * k)
+    return out
+
+
 def _counts(pdf):
-    """Contexts and next bytes of one language's sample, with their counts."""
-    data, offs = wd.buffers(pa.array(pdf["text"], pa.string()))
-    rows = []
-    key = np.zeros(len(data), np.int64)
+    """Grams of a batch of the sample and how often each language has them."""
+    parts = []
+    for lang, text in pdf.groupby("lang", sort=True)["text"]:
+        data, offs = wd.buffers(pa.array(text, pa.string()))
+        for a, b in wd.slices(offs, SLICE_BYTES):
+            gram, n = np.unique(grams(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]), return_counts=True)
+            parts.append(pd.DataFrame({"lang": lang, "gram": gram, "n": n}))
+    return pd.concat(parts) if parts else pd.DataFrame({"lang": [], "gram": [], "n": []})
+
+
+def find(ordered, wanted):
+    """(place, whether it is there) of every wanted number in an ordered array."""
+    if not len(ordered):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
+    return at, ordered[at] == wanted
+
+
+def tree(gram, n):
+    """A language's contexts by order, from its grams of full order in order and their counts.
+
+    Of each order: the grams with the logarithms of their counts and the
+    contexts with the bits of an escape and the logarithm of what counts are
+    divided by, once where coding starts in the context (`start`), once in its
+    suffix after an escape from it (`after`).
+    """
+    levels = []
     for order in range(MAX_ORDER + 1):
+        low = gram & ((1 << 8 * (order + 1)) - 1)
+        pair, back = np.unique(low, return_inverse=True)
+        count = np.bincount(back, n)
+        context, first = np.unique(pair >> 8, return_index=True)
+        total = np.add.reduceat(count, first)
+        distinct = np.diff(np.append(first, len(pair))).astype(float)
+        level = {"pair": pair, "count": count, "bits": np.log2(count), "context": context, "total": total, "distinct": distinct}
+        level["start"] = shares(total, distinct, 256.0)
         if order:
-            key |= previous(data, offs, order).astype(np.int64) << (8 * (order - 1))
-        both, n = np.unique(key << 8 | data, return_counts=True)
-        kept, seen = both >> 8, None
-        ctx, at = np.unique(kept, return_index=True)
-        seen = np.add.reduceat(n, at) if len(at) else n
-        good = np.repeat(seen >= (LEAST_SEEN if order else 0), np.diff(np.append(at, len(kept))))
-        rows += [(order, int(c), int(b), int(k)) for c, b, k in zip(kept[good], (both & 255)[good], n[good], strict=True)]
-    out = {name: [r[i] for r in rows] for i, name in enumerate(("depth", "context", "byte", "n"))}
-    return pd.DataFrame(out).assign(lang=str(pdf["lang"].iloc[0]))[["lang", "depth", "context", "byte", "n"]]
-
-
-def distribution(path):
-    """256 probabilities from count vectors, longest context first."""
-    p, left, open_ = np.zeros(256), 1.0, np.ones(256, bool)
-    for c in path:
-        c = np.where(open_, c, 0)
-        distinct = int((c > 0).sum())
-        if not distinct:
-            continue
-        total = c.sum() + distinct
-        if distinct == open_.sum():  # nothing left to escape to
-            p += left * c / c.sum()
-            return p
-        p += left * c / total
-        left *= distinct / total
-        open_ &= c == 0
-    return p + left * open_ / open_.sum()
-
-
-def build_model(rows, max_contexts: int = MAX_CONTEXTS):
-    """Lookup tables from (lang, depth, context, byte, n) rows."""
-    langs = sorted({r[0] for r in rows})
-    count = {}
-    for lang, depth, context, byte, n in rows:
-        count.setdefault((lang, depth, context), np.zeros(256))[byte] += n
-    total = {}
-    for (_, depth, context), c in count.items():
-        total[depth, context] = total.get((depth, context), 0) + c.sum()
-    # Longer contexts are added by their number; a context needs its suffix.
-    nodes = [(0, 0)]
-    for depth in range(1, MAX_ORDER + 1):
-        have = set(nodes)
-        more = [k for k in total if k[0] == depth and (depth - 1, k[1] & ((1 << 8 * (depth - 1)) - 1)) in have]
-        more.sort(key=lambda k: (-total[k], k))
-        nodes += more[: max_contexts - len(nodes)]
-    number = {k: i for i, k in enumerate(nodes)}
-    bits = np.zeros((len(nodes), 256, max(1, len(langs))), np.float32)
-    child = np.arange(len(nodes))[:, None].repeat(256, 1).astype(np.int32)
-    for (depth, context), i in number.items():
-        suffixes = [(d, context & ((1 << 8 * d) - 1)) for d in range(depth, -1, -1)]
-        if depth:
-            up = number[depth - 1, context & ((1 << 8 * (depth - 1)) - 1)]
-            child[up, context >> (8 * (depth - 1))] = i
-        for j, lang in enumerate(langs):
-            path = [count[lang, d, c] for d, c in suffixes if (lang, d, c) in count]
-            bits[i, :, j] = -np.log2(distribution(path))
-    # A node of the deepest order, or without the longer context, stays where it is.
-    return {"langs": langs, "child": child, "bits": bits.reshape(len(nodes) * 256, -1), "depth": np.array([d for d, _ in nodes])}
+            up = levels[-1]
+            suffix, _ = find(up["context"], context & ((1 << 8 * (order - 1)) - 1))
+            same, _ = find(up["pair"], pair & ((1 << 8 * order) - 1))
+            excluded = np.add.reduceat(up["count"][same], first)
+            level["after"] = shares(up["total"][suffix] - excluded, up["distinct"][suffix] - distinct, 256.0 - distinct)
+        levels.append(level)
+    return levels
+
+
+def shares(total, distinct, left):
+    """(logarithm of what counts are divided by, bits of the escape) with `left` bytes not excluded.
+
+    With all bytes left seen there is no escape, with none seen only that.
+    """
+    whole = np.log2(np.maximum(np.where(distinct == left, total, total + distinct), 1.0))
+    return whole, np.where((distinct > 0) & (distinct < left), whole - np.log2(np.maximum(distinct, 1.0)), 0.0)
+
+
+def gram_bits(gram, levels):
+    """Bits of the byte of every gram after its context in one language."""
+    out, open_ = np.zeros(len(gram)), np.ones(len(gram), bool)
+    longer = np.full(len(gram), -1)
+    for order in range(MAX_ORDER, -1, -1):
+        level = levels[order]
+        pair = gram & ((1 << 8 * (order + 1)) - 1)
+        context, known = find(level["context"], pair >> 8)
+        whole, escape = (x[context] for x in level["start"])
+        if order < MAX_ORDER:
+            begun = longer >= 0
+            above = levels[order + 1]["after"]
+            whole, escape = (np.where(begun, x[longer], y) for x, y in zip(above, (whole, escape), strict=True))
+        at, seen = find(level["pair"], pair)
+        now = open_ & seen
+        out[now] += whole[now] - level["bits"][at[now]]
+        open_ &= ~seen
+        some = open_ & known
+        out[some] += escape[some]
+        longer = np.where(known, context, -1)
+    out[open_] += np.log2(256.0 - levels[0]["distinct"][0])
+    return out
+
+
+def build_model(rows):
+    """The trees and tabled code lengths, from (lang, gram, n) rows in any order."""
+    rows = pd.DataFrame(rows, columns=["lang", "gram", "n"]).sort_values(["lang", "gram"])
+    langs, trees = [], []
+    for lang, part in rows.groupby("lang", sort=True):
+        langs.append(lang)
+        trees.append(tree(part["gram"].to_numpy(np.int64), part["n"].to_numpy(float)))
+    known = np.unique(rows["gram"].to_numpy(np.int64))
+    return {"langs": langs, "trees": trees, "gram": known, "bits": [gram_bits(known, t) for t in trees]}
 
 
 def code_lengths(data, offs, model):
     """Bits of every text in every language."""
-    child, depth = model["child"], model["depth"]
-    node = np.zeros(len(data), np.int32)
-    for k in range(1, MAX_ORDER + 1):
-        step = child[node, previous(data, offs, k)]
-        # Only a context of full length so far can become longer.
-        node = np.where(depth[node] == k - 1, step, node)
-    cost = model["bits"][node.astype(np.int64) * 256 + data]
-    out = np.zeros((len(offs) - 1, cost.shape[1]))
+    gram = grams(data, offs)
+    at, tabled = find(model["gram"], gram)
+    new = np.flatnonzero(~tabled)
+    rare, back = np.unique(gram[new], return_inverse=True)
+    out = np.zeros((len(offs) - 1, len(model["langs"])))
     some = np.flatnonzero(np.diff(offs) > 0)
     if len(some):
-        out[some] = np.add.reduceat(cost, offs[some], axis=0, dtype=np.float64)
+        for j, (bits, levels) in enumerate(zip(model["bits"], model["trees"], strict=True)):
+            cost = bits[at]
+            cost[new] = gram_bits(rare, levels)[back]
+            out[some, j] = np.add.reduceat(cost, offs[some])
     return out
 
 
@@ -176,11 +212,16 @@ def predict(column, model):
     return lang, score, rate
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_contexts: int = MAX_CONTEXTS):
-    """The model, from counts that Spark makes for each language of the sample."""
-    kind = "lang string, depth int, context long, byte int, n long"
-    counts = training_rows(docs, train_docs).groupBy("lang").applyInPandas(_counts, kind)
-    return build_model([tuple(r) for r in counts.orderBy("lang", "depth", "context", "byte").collect()], max_contexts)
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS):
+    """The model, from the counts that Spark makes of the sample's grams."""
+
+    def count(frames):
+        for pdf in frames:
+            yield _counts(pdf)
+
+    sample = training_rows(docs, train_docs).filter(F.length("text") > 0).select("lang", "text")
+    counts = sample.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return build_model(counts.toArrow().to_pandas())
 
 
 def _predict_with(model, names):

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reachmap.llm import decontam, langid, ngram_join, toxicity
 
@@ -201,18 +202,78 @@ def test_language_of_held_out_rows(spark):
     )
 
 
+def plain_codes(samples, text):
+    """Code lengths by prediction by partial matching with dictionaries, byte by byte."""
+    order = langid.MAX_ORDER
+    pad = bytes([langid.START]) * order
+
+    def contexts(data, i):
+        return [data[i - k : i] for k in range(order, -1, -1)]
+
+    seen = {}
+    for t in samples:
+        data = pad + t.encode()
+        for i in range(order, len(data)):
+            for c in contexts(data, i):
+                seen.setdefault(c, {}).setdefault(data[i], 0)
+                seen[c][data[i]] += 1
+    bits, data = [], pad + text.encode()
+    for i in range(order, len(data)):
+        p, gone = 1.0, set()
+        for c in contexts(data, i):
+            left = {b: n for b, n in seen.get(c, {}).items() if b not in gone}
+            if not left:
+                continue
+            whole = sum(left.values()) + (len(left) if len(left) < 256 - len(gone) else 0)
+            if data[i] in left:
+                p *= left[data[i]] / whole
+                break
+            p *= len(left) / whole
+            gone |= set(left)
+        else:
+            p /= 256 - len(gone)
+        bits.append(-np.log2(p))
+    return bits
+
+
+def language_model(samples):
+    counts = langid._counts(__import__("pandas").DataFrame([(t, lang) for lang, ts in samples.items() for t in ts], columns=["text", "lang"]))
+    return langid.build_model([tuple(r) for r in counts.itertuples(index=False)])
+
+
 def test_language_codes_are_exact():
     """Probabilities of a context sum to 1 and code lengths add up byte by byte."""
-    counts = langid._counts(__import__("pandas").DataFrame({"text": ["banana bandana"] * 60, "lang": "a"}))
-    model = langid.build_model([tuple(r) for r in counts.itertuples(index=False)])
-    p = np.exp2(-model["bits"].astype(float)).reshape(-1, 256).sum(1)
-    assert np.allclose(p, 1, atol=1e-4)
+    model = language_model({"a": ["banana bandana"] * 60})
+    for context in {int(g) >> 8 for g in model["gram"]} | {0, 0x616263, 0x7A7A61}:
+        p = np.exp2(-langid.gram_bits((context << 8) | np.arange(256), model["trees"][0])).sum()
+        assert np.isclose(p, 1)
     data = np.frombuffer(b"bananaxband", np.uint8)
     whole = langid.code_lengths(data, np.array([0, 6, 6, 11]), model)
     apart = [langid.code_lengths(data[a:b], np.array([0, b - a]), model)[0, 0] for a, b in ((0, 6), (6, 11))]
     assert np.allclose(whole[:, 0], [apart[0], 0, apart[1]], atol=1e-3)
 
 
+def test_language_codes_equal_plain_partial_matching():
+    samples = {"a": words(60, 1, "abcd") + ["once", "ünïx \x00"], "b": words(80, 2, "bcdef"), "c": ["z"], "d": [bytes(range(128)).decode() * 3]}
+    model = language_model(samples)
+    assert model["langs"] == sorted(samples)
+    texts = ["abcdabcd", "q", "dcba zzz ünï", "", "\n\n", "feed the bad cab 12", "zz"] + words(20, 3, "abcdefz ")
+    for t in texts:
+        got = langid.code_lengths(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), model)[0]
+        assert np.allclose(got, [sum(plain_codes(samples[lang], t)) for lang in sorted(samples)])
+
+
+def test_sample_of_a_hot_language_is_that_of_one_window(spark):
+    rows = [(i, f"text {i}", "xx" if i % 5 else "yy", "s", 0) for i in range(900)]
+    docs = documents(spark, rows)
+    h = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64("doc_id")).collect()}
+    want = set()
+    for lang in ("xx", "yy"):
+        known = [i for i, _, g, *_ in rows if g == lang and zlib.crc32(str(i).encode()) % 3 != 1]
+        want |= set(sorted(known, key=h.get)[:50])
+    assert {r.doc_id for r in langid.training_rows(docs, 50).collect()} == want
+
+
 def test_language_without_anything_to_learn(spark):
     got = langid.identify(documents(spark, odd_rows())).collect()
     assert {(r.lang_pred, r.score) for r in got} == {("und", 0.0)}
