@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,6 +193,72 @@ def test_long_runs_stay_linear(spark):
     assert [tuple(s) for s in got[1]] == [("email", 300_001, 300_007)] and got[2] == [] and got[3] == []
 
 
+def personal_text(i):
+    """A text with one base span, and its parts for other forms."""
+    r = random.Random(i)
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    card = next(c for c in (number(15) + d for d in "0123456789" * 50) if luhn(c))
+    mail = (words(1, i)[0] + "." + number(2), words(1, i + 1)[0] + ".example.com")
+    phone = ("49", f"{r.randrange(150, 180)} {number(3)}-{number(4)}")
+    octets = [str(r.randrange(256)) for _ in range(4)]
+    return mail, phone, card, octets, " ".join(words(6, i)), " ".join(words(6, i + 5))
+
+
+def test_planted_forms_that_no_pattern_has_are_added(spark):
+    rows, planted = [], {}
+    for i in range(400):
+        mail, phone, card, octets, before, after = personal_text(i)
+        value = ["@".join(mail), f"+{phone[0]} {phone[1]}", card, ".".join(octets)][i % 4]
+        rows.append((i, f"{before} {value} {after} on 2023-0{i % 9 + 1}-12 at 10:15:{i % 50 + 10} no 77{i:05d}"))
+    for i in range(1000, 1080):
+        mail, phone, card, octets, before, after = personal_text(i)
+        fours = [card[k : k + 4] for k in range(0, 16, 4)]
+        forms = [
+            "(at)".join(mail), f"{mail[0]} at {mail[1].replace('.', ' dot ')}", f"00{phone[0]} {phone[1]}", ".".join(fours),
+            " - ".join(fours), "[.]".join(octets), "(.)".join(octets), f"0{phone[1]}",
+        ]
+        planted[i] = (len(before) + 1, len(before) + 1 + len(forms[i % 8]))
+        rows.append((i, f"{before} {forms[i % 8]} {after}"))
+    got = pii.find_personal_data(documents(spark, rows)).collect()
+    hit = sum(any(s.start < planted[r.doc_id][1] and planted[r.doc_id][0] < s.end for s in r.added) for r in got if r.doc_id in planted)
+    false = sum(len(r.added) for r in got if r.doc_id not in planted)
+    assert hit >= 0.8 * len(planted) and false <= 0.05 * len(rows), (hit, false)
+
+
+def test_rewritten_spans_are_proposals_and_no_base_spans(spark):
+    rows = [("email", "ann.lee@mail.example.com"), ("phone", "+1 (415) 555-0123"), ("card", "4111111111111111"), ("ip", "10.20.30.40")]
+    df = spark.createDataFrame(rows, "kind string, v string").select("kind", F.explode(pii.rewritten(F.col("kind"), F.col("v"))).alias("f"))
+    forms = [(r.kind, r.f.value, r.f.label) for r in df.collect()]
+    assert {k for k, _, label in forms if label == 1} == set(PII)
+    for kind, v, label in forms:
+        if label == 1:
+            assert not any(holds(k, m.group()) for k, p in PII.items() for m in re.finditer(p, v)), v
+    good = [v for _, v, label in forms if label == 1]
+    got = pii.spans_of(documents(spark, [(i, f"x {v} y") for i, v in enumerate(good)])).collect()
+    assert all(any(p.value == good[r.doc_id] for p in r.proposals) for r in got)
+
+
+def test_free_proposals_equal_all_pairs(spark):
+    rows = pii_rows() + [(500, "+1 (555) 010-9999 " * 40 + "555 123-4567 " * 40), (501, None)]
+    spans = pii.spans_of(documents(spark, rows)).persist()
+    want = []
+    for r in spans.collect():
+        want += [(r.doc_id, p.generator, p.start, p.end) for p in r.proposals if not any(b.start < p.end and p.start < b.end for b in r.base)]
+    got = [(r.doc_id, r.generator, r.start, r.end) for r in pii.free_proposals(spans).collect()]
+    assert sorted(got) == sorted(want) and want
+    places = {i: t for i, t in rows}
+    assert all(places[r.doc_id][s.start : s.end] == s.value for r in spans.collect() for s in r.base + r.proposals)
+
+
+def test_very_many_matches_in_one_text(spark):
+    text = " ".join(f"a{i}@b.example tel 030 {i:07d}" for i in range(50_000))
+    begin = time.perf_counter()
+    got = pii.find_personal_data(documents(spark, [(1, text), *pii_rows()])).filter("doc_id = 1").collect()
+    want = [m.span() for m in re.finditer(PII["email"], text)]
+    assert {(s.start, s.end) for r in got for s in r.base if s.kind == "email"} >= set(want) and len(want) == 50_000
+    assert time.perf_counter() - begin < 90
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("a x@y.zz b 😀 10.0.0.1!",)], "text string").withColumn(
         "spans", F.expr("array(struct('ip' kind, 13 start, 21 end), struct('email' kind, 2 start, 8 end), struct('model' kind, 4 start, 9 end))")
