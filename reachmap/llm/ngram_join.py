@@ -4,8 +4,9 @@ Documents are sets of hashed 4-word shingles. Two link when
 100 * |x and y| >= 85 * |x or y|. The result is the component of each document.
 
 1. Shingles are counted over all documents, in Spark: chunks of documents send
-   each range of shingle hashes its own, sorted and difference-coded; a range
-   counts them and returns how many of each document's shingles others have.
+   each range of shingle hashes its own distinct ones, sorted and difference-coded; a
+   range counts them and returns how many of each document's shingles others have.
+   A shingle of many documents reaches its range once a chunk, with a number.
    Linked sets share one of the first n - ceil(0.85 n) + 1 shingles in any
    order, so a document with as many unshared ones links with nothing. Those left are few.
 2. Equal sets become one set. What is left is counted again, now with the
@@ -89,12 +90,16 @@ def digest(shingles) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-_SENT = "part int, chunk binary, first long, steps binary, wide boolean, owner binary, rows binary"
+_SENT = "part int, chunk binary, first long, steps binary, wide boolean, owner binary, times binary, rows binary"
 
 
-def _chunk(held, rows, bits):
-    """Rows of one chunk: its shingles for each range, and the documents themselves with one of them.
+def _chunk(held, rows, bits, keep):
+    """Rows of one chunk: its distinct shingles for each range, and the documents themselves with one of them.
 
+    A shingle of one set travels with that set's number, one of several sets with
+    how many they are; the sets themselves stay in the row of the documents, as a
+    list with `keep`, else as the number of such shingles of each set. So a
+    range holds a shingle once a chunk at most, in however many documents it is.
     `held` maps a digest to a set; `rows` are (doc_id, key, n, digest) of all documents.
     """
     names = sorted(held)
@@ -104,34 +109,44 @@ def _chunk(held, rows, bits):
     owner = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(x) for x in sets])
     order = np.argsort(tokens, kind="stable")
     tokens, owner = tokens[order], owner[order]
+    begin = np.flatnonzero(np.append(True, np.diff(tokens) > 0)) if len(tokens) else np.zeros(0, np.int64)
+    times = np.diff(np.append(begin, len(tokens)))
+    common = np.repeat(times > 1, times)
+    repeated = owner[common]
+    stay = (tokens[common], repeated) if keep else np.bincount(repeated, minlength=len(sets))
+    kind = np.dtype(np.uint32 if len(sets) >= 65535 else np.uint16)
+    tokens, owner = tokens[begin], owner[begin].astype(kind)
+    owner[times > 1] = np.iinfo(kind).max
     number = hashlib.blake2b(pickle.dumps((names, rows)), digest_size=16).digest()
-    home = number[0] & ((1 << bits) - 1)
-    edge = np.searchsorted(tokens >> (TOKEN_BITS - bits), np.arange((1 << bits) + 1))
-    for part in range(1 << bits):
-        a, b = edge[part], edge[part + 1]
-        if a == b and part != home:
-            continue
+    home = int.from_bytes(number[:4], "big") & ((1 << bits) - 1)
+    of = tokens >> (TOKEN_BITS - bits)
+    parts = np.union1d(of, [home])
+    edge = np.append(np.searchsorted(of, parts), len(of))
+    for i, part in enumerate(parts.tolist()):
+        a, b = edge[i], edge[i + 1]
         steps = np.diff(tokens[a:b])
         wide = bool(len(steps) and steps.max() >= 1 << 32)
+        some = times[a:b]
         yield (
             part,
             number,
             int(tokens[a]) if b > a else None,
             steps.astype(np.uint64 if wide else np.uint32).tobytes(),
             wide,
-            owner[a:b].astype(np.uint32 if len(sets) > 65535 else np.uint16).tobytes(),
-            pickle.dumps((names, [len(x) for x in sets], rows)) if part == home else None,
+            owner[a:b].tobytes(),
+            some[some > 1].astype(np.uint32).tobytes(),
+            pickle.dumps((names, [len(x) for x in sets], rows, stay)) if part == home else None,
         )
 
 
 def _as_batch(rows):
-    kinds = [pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in _SENT.split(", ")]
     cols = list(zip(*rows, strict=True)) or [[]] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
 
-def _send(bits, chunk_shingles, read):
+def _send(bits, chunk_shingles, read, keep):
     """Chunks of the documents that `read` gives as (doc_id, key, set) of a batch."""
 
     def run(batches):
@@ -144,10 +159,10 @@ def _send(bits, chunk_shingles, read):
                     held[d] = s
                     size += len(s)
                 if size >= chunk_shingles or len(rows) >= 50_000:
-                    yield _as_batch(list(_chunk(held, rows, bits)))
+                    yield _as_batch(list(_chunk(held, rows, bits, keep)))
                     held, rows, size = {}, [], 0
         if rows:
-            yield _as_batch(list(_chunk(held, rows, bits)))
+            yield _as_batch(list(_chunk(held, rows, bits, keep)))
 
     return run
 
@@ -168,7 +183,7 @@ _BACK = "chunk binary, owner binary, tokens binary, counts binary, rows binary"
 
 def _count_range(with_tokens):
     def run(pdf):
-        tokens, owners, chunk = [], [], []
+        tokens, owners, weight, chunk = [], [], [], []
         for i, r in enumerate(pdf.itertuples()):
             wide = np.dtype(np.uint64 if r.wide else np.uint32)
             steps = np.frombuffer(r.steps, wide)
@@ -177,30 +192,37 @@ def _count_range(with_tokens):
             if n:
                 t[0] = int(r.first)
                 t[1:] = steps
-            owner = np.frombuffer(r.owner, np.uint32 if len(r.owner) == 4 * n else np.uint16)
+            kind = np.dtype(np.uint32 if len(r.owner) == 4 * n else np.uint16)
+            owner = np.frombuffer(r.owner, kind).astype(np.int64)
+            owner[owner == np.iinfo(kind).max] = -1  # several sets of the chunk
+            times = np.ones(n, np.int64)
+            times[owner < 0] = np.frombuffer(r.times, np.uint32)
             tokens.append(np.cumsum(t))
-            owners.append(owner.astype(np.int64))
+            owners.append(owner)
+            weight.append(times)
             chunk.append(np.full(n, i))
-        tokens, owners, chunk = map(np.concatenate, (tokens, owners, chunk))
+        tokens, owners, weight, chunk = map(np.concatenate, (tokens, owners, weight, chunk))
         order = np.argsort(tokens, kind="stable")
         new = np.append(True, np.diff(tokens[order]) > 0) if len(order) else np.zeros(0, bool)
         first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(order)))
         count = np.empty(len(order), np.int64)
-        count[order] = np.repeat(times, times)
-        shared = count > 1
+        if len(order):
+            count[order] = np.repeat(np.add.reduceat(weight[order], first), np.diff(np.append(first, len(order))))
+        # Without counts a shingle of several sets of the chunk is known to be shared.
+        back = count > 1 if with_tokens else (count > 1) & (owners >= 0)
         out = []
         at = np.searchsorted(chunk, np.arange(len(pdf) + 1))
         for i, r in enumerate(pdf.itertuples()):
             mine = slice(at[i], at[i + 1])
-            keep = shared[mine]
+            keep = back[mine]
             own = owners[mine][keep]
             if with_tokens:
-                row = own.astype(np.uint32).tobytes(), tokens[mine][keep].tobytes(), count[mine][keep].tobytes()
+                row = own.astype(np.int32).tobytes(), tokens[mine][keep].tobytes(), count[mine][keep].tobytes()
             else:
                 who, many = np.unique(own, return_counts=True)
-                row = who.astype(np.uint32).tobytes(), b"", many.tobytes()
-            out.append((r.chunk, *row, r.rows))
+                row = who.astype(np.int32).tobytes(), b"", many.tobytes()
+            if len(own) or r.rows is not None:
+                out.append((r.chunk, *row, r.rows))
         return pd.DataFrame(out, columns=["chunk", "owner", "tokens", "counts", "rows"])
 
     return run
@@ -208,12 +230,13 @@ def _count_range(with_tokens):
 
 def _documents(pdf):
     """All documents of a chunk: whether their sets may link with others."""
-    names, sizes, rows = next(pickle.loads(x) for x in pdf["rows"] if x is not None)
-    shared = np.zeros(len(names), np.int64)
-    for r in pdf.itertuples():
-        np.add.at(shared, np.frombuffer(r.owner, np.uint32), np.frombuffer(r.counts, np.int64))
+    whole = [pickle.loads(x) for x in pdf["rows"] if x is not None]
+    names, sizes, rows, shared = whole[0]
     # A chunk's content may occur twice; then every count is there twice as well.
-    times = max(1, sum(x is not None for x in pdf["rows"]))
+    times = len(whole)
+    shared = shared * times
+    for r in pdf.itertuples():
+        np.add.at(shared, np.frombuffer(r.owner, np.int32), np.frombuffer(r.counts, np.int64))
     may = {d: n - k // times < prefix_length(n) for d, n, k in zip(names, sizes, shared, strict=True)}
     out = [(i, k, n, d, may.get(d, False)) for i, k, n, d in rows] * times
     return pd.DataFrame(out, columns=["doc_id", "key", "n", "digest", "may_link"]).astype({"doc_id": "Int64"})
@@ -221,10 +244,18 @@ def _documents(pdf):
 
 def _prefixes(pdf):
     """Shared shingles in the prefix of every set of a chunk."""
-    names, sizes, _ = next(pickle.loads(x) for x in pdf["rows"] if x is not None)
-    owner = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["owner"]]).astype(np.int64)
+    names, sizes, _, (common, members) = next(pickle.loads(x) for x in pdf["rows"] if x is not None)
+    owner = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["owner"]]).astype(np.int64)
     tokens = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["tokens"]])
     count = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["counts"]])
+    # What several sets of the chunk have came back once, with its count.
+    several = owner < 0
+    known, counts = tokens[several], count[several]
+    order = np.argsort(known, kind="stable")
+    known, counts = known[order], counts[order]
+    owner = np.concatenate([owner[~several], members.astype(np.int64)])
+    tokens = np.concatenate([tokens[~several], common])
+    count = np.concatenate([count[~several], counts[np.searchsorted(known, common)]])
     order = np.lexsort((tokens, count, owner))
     owner, tokens = owner[order], tokens[order]
     at = np.searchsorted(owner, np.arange(len(names) + 1))
@@ -239,7 +270,7 @@ def _prefixes(pdf):
 
 def _ranges(total: int, range_bytes: int) -> int:
     """Bits of the number of ranges for that many bytes of text."""
-    return min(20, max(0, (max(1, total) // range_bytes).bit_length()))
+    return min(30, max(0, (max(1, total) // range_bytes).bit_length()))
 
 
 def _sets_of(flags):
@@ -508,7 +539,7 @@ def _with_components(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-    sent = keyed.mapInArrow(_send(_ranges(total, range_bytes), chunk_shingles, _from_text), _SENT)
+    sent = keyed.mapInArrow(_send(_ranges(total, range_bytes), chunk_shingles, _from_text, False), _SENT)
     counted = sent.groupBy("part").applyInPandas(_count_range(False), _BACK)
     signed = cut(
         counted.groupBy("chunk").applyInPandas(
@@ -536,7 +567,7 @@ def _with_components(
     held = shingles.dropDuplicates(["digest"]).join(left.select("digest", "n"), "digest")
     held = cut(held, "held")
     left_bytes = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * 8
-    sent = held.mapInArrow(_send(_ranges(left_bytes, range_bytes), chunk_shingles, _from_sets), _SENT)
+    sent = held.mapInArrow(_send(_ranges(left_bytes, range_bytes), chunk_shingles, _from_sets, True), _SENT)
     counted = sent.groupBy("part").applyInPandas(_count_range(True), _BACK)
     prefixes = cut(
         counted.groupBy("chunk").applyInPandas(_prefixes, "digest binary, n long, prefix array<long>"), "prefixes"
@@ -625,3 +656,31 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def op3_ngram_join(spark, sf_dir):
     return link_components(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(
+    CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS grams
+  FROM d
+), n AS (SELECT doc_id, len(grams) AS n, min(doc_id) OVER (PARTITION BY grams) AS same FROM s),
+g AS (SELECT doc_id, n, unnest(grams) AS gram FROM s JOIN n USING (doc_id) WHERE same = doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM n WHERE same = doc_id
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), low AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles,
+       CASE WHEN n.n = 0 THEN n.doc_id ELSE low.component_id END AS component_id
+FROM n JOIN low ON low.x = n.same
+"""

@@ -1,13 +1,13 @@
 """The queries of this folder and the SQL for those that SQL can express."""
 
-from .decontam import op5_decontamination
+from .decontam import OP5_SQL, op5_decontamination
 from .dedup import OP10_SQL, op10_exact_dedup
 from .fingerprints import op11_fingerprints
 from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .html_main import op2_html_main
 from .langid import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
-from .ngram_join import op3_ngram_join
+from .ngram_join import OP3_SQL, op3_ngram_join
 from .pii import op7_pii
 from .secrets import op6_secret_scan
 from .sharding import op9_sharding
@@ -32,4 +32,10 @@ QUERIES = {
         op13_hard_negatives,
     )
 }
-ORACLES = {"op8_mixing": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op13_hard_negatives": OP13_SQL}
+ORACLES = {
+    "op3_ngram_join": OP3_SQL,
+    "op5_decontamination": OP5_SQL,
+    "op8_mixing": OP8_SQL,
+    "op10_exact_dedup": OP10_SQL,
+    "op13_hard_negatives": OP13_SQL,
+}

@@ -73,6 +73,21 @@ def test_components_equal_brute_force(spark, limits):
     assert rows_of(got) == brute_components(rows)
 
 
+def test_a_shingle_of_all_documents_reaches_its_range_once_a_chunk(spark):
+    common = words(12, 7)
+    rows = [(i, " ".join(common + words(30, 1000 + i // 2))) for i in range(400)]
+    read = [(i, i, np.unique(np.array([hash_ * 2**40 + 1 for hash_ in (3, 5, 7, 1000 + i, 2000 + i, 3000 + i)], np.uint64))) for i in range(400)]
+    for keep in (False, True):
+        batches = list(ngram_join._send(3, 600, lambda b: b, keep)([read]))
+        sent = [r for b in batches for r in b.to_pylist()]
+        chunks = {r["chunk"] for r in sent}
+        entries = sum(len(r["owner"]) // 2 for r in sent)
+        assert len(chunks) == 4
+        assert entries == 400 * 3 + len(chunks) * 3  # not 400 * 6
+    got = ngram_join.link_components(documents(spark, rows).repartition(5), chunk_shingles=900, range_bytes=2048)
+    assert rows_of(got) == brute_components(rows)
+
+
 def test_divide_skip_equals_all_pairs():
     r = random.Random(3)
     for trial in range(30):
