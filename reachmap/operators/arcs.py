@@ -4,17 +4,19 @@ Edges of all features meet in one table with the features to the left and right.
 A vertex where other than two of these edges meet is a junction; between junctions
 edges form chains that have the same two neighbours all along. A chain is simplified
 once and used by both sides, so neighbours keep a common border, whatever the
-tolerance. Chains are ordered by pointer doubling, with joins alone.
+tolerance. Chains are ordered by pointer doubling, with joins alone, and thinned in
+batches of many chains.
 """
 
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import in_tasks
 from ..session import cut
 from .dissolve import EDGE
 
@@ -22,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Longer arcs are simplified in stretches of this many edges, whose ends stay.
 STRETCH = 8192
+# Edges that a task simplifies.
+TASK_EDGES = 100_000
 
 
 def border_edges(edges: DataFrame, key: str) -> DataFrame:
@@ -46,7 +50,8 @@ def arcs(borders: DataFrame) -> DataFrame:
     """The edges of `border_edges` with their arc and place on it: (arc, seq).
 
     An arc begins at a junction and is named by its first edge; one without a junction, a
-    closed ring, begins at its edge of the smallest number. Each round of doubling
+    closed ring, begins at its leftmost point, of several the lowest. The ring turns
+    there, so its beginning is never on a straight stretch. Each round of doubling
     ends in a written table.
     """
     ends = borders.select(
@@ -60,10 +65,10 @@ def arcs(borders: DataFrame) -> DataFrame:
     meets = ends.groupBy("x", "y").agg(F.count("*").alias("n"), F.max("come").alias("prv"), F.max("go").alias("edge"))
     links = meets.filter("n = 2 and prv is not null and edge is not null").select("edge", "prv")
     zero = F.lit(0).cast("bigint")
-    state = borders.select("edge").join(links, "edge", "left")
+    state = borders.select("edge", F.struct("x1", "y1", "edge").alias("low")).join(links, "edge", "left")
     # prv: the edge 2^i before, null past the beginning; head: the farthest edge known, dist edges before;
-    # low: the smallest edge of those, off edges before.
-    state = state.select("edge", "prv", F.col("edge").alias("head"), zero.alias("dist"), F.col("edge").alias("low"), zero.alias("off"))
+    # low: of those the edge that begins leftmost, then lowest, off edges before.
+    state = state.select("edge", "prv", F.col("edge").alias("head"), zero.alias("dist"), "low", zero.alias("off"))
     state, step = cut(state, "arcs"), 1
     while True:
         back = state.select(*[F.col(a).alias(b) for a, b in (("edge", "prv"), ("prv", "prv2"), ("head", "head2"), ("dist", "dist2"), ("low", "low2"), ("off", "off2"))])
@@ -86,7 +91,7 @@ def arcs(borders: DataFrame) -> DataFrame:
         state, step = state.drop("moved"), step * 2
     closed = F.col("prv").isNotNull()
     found = state.select(
-        "edge", F.when(closed, F.col("low")).otherwise(F.col("head")).alias("arc"), F.when(closed, F.col("off")).otherwise(F.col("dist")).alias("seq")
+        "edge", F.when(closed, F.col("low.edge")).otherwise(F.col("head")).alias("arc"), F.when(closed, F.col("off")).otherwise(F.col("dist")).alias("seq")
     )
     return borders.join(found, "edge")
 
@@ -119,23 +124,51 @@ def thin_line(points: np.ndarray, tolerance: float) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
+def thin_table(table: pa.Table, tolerance: float) -> pa.Table:
+    """Edges in order of (arc, part, seq), every part simplified."""
+    name = {c: table.column(c).to_numpy() for c in ("arc", "part", *EDGE)}
+    new = (name["arc"][1:] != name["arc"][:-1]) | (name["part"][1:] != name["part"][:-1])
+    bounds = [0, *(np.flatnonzero(new) + 1), len(table)]
+    begins, ends = np.column_stack([name["x1"], name["y1"]]), np.column_stack([name["x2"], name["y2"]])
+    first, last = [], []
+    for a, b in zip(bounds, bounds[1:]):
+        kept = thin_line(np.vstack([begins[a : a + 1], ends[a:b]]), tolerance)
+        first.append(a + kept[:-1])
+        last.append(a + kept[1:] - 1)
+    last = table.take(np.concatenate(last))
+    out = table.take(np.concatenate(first))
+    for c in ("x2", "y2"):
+        out = out.set_column(out.column_names.index(c), c, last.column(c))
+    return out
+
+
 def simplify_arcs(edges: DataFrame, key: str, tolerance: float, stretch: int = STRETCH) -> DataFrame:
     """(one, other, arc, seq, x1, y1, x2, y2): the features' borders simplified by a tolerance, each once.
 
     Junctions stay, and every `stretch`-th point of a longer arc, so no task holds
     more than a stretch at once. Arcs that shrink to nothing on a closed line keep two edges.
     """
-    chain = arcs(border_edges(edges, key)).withColumn("part", F.floor(F.col("seq") / stretch))
+    borders = border_edges(edges, key)
+    chain = arcs(borders).withColumn("part", F.floor(F.col("seq") / stretch))
     chain = chain.select("one", "other", "arc", "part", "seq", *EDGE)
-
-    def thin(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq", ignore_index=True)
-        ends = pdf[["x2", "y2"]].to_numpy()
-        kept = thin_line(np.vstack([pdf[["x1", "y1"]].to_numpy()[:1], ends]), tolerance)
-        first, last = pdf.iloc[kept[:-1]].reset_index(drop=True), pdf.iloc[kept[1:] - 1].reset_index(drop=True)
-        return first.assign(x2=last["x2"], y2=last["y2"])
-
-    return chain.groupBy("arc", "part").applyInPandas(thin, chain.schema).drop("part")
+    sorted_ = in_tasks(chain, borders.count(), TASK_EDGES, "arc", "part").sortWithinPartitions("arc", "part", "seq")
+
+    def thin(batches):
+        held = None  # the batch's last part, which may go on in the next
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held else table
+            arc, part = table.column("arc").to_numpy(), table.column("part").to_numpy()
+            done = int(np.argmax((arc == arc[-1]) & (part == part[-1])))
+            held = table.slice(done)
+            if done:
+                yield from thin_table(table.slice(0, done), tolerance).combine_chunks().to_batches()
+        if held:
+            yield from thin_table(held, tolerance).combine_chunks().to_batches()
+
+    return sorted_.mapInArrow(thin, chain.schema).drop("part")
 
 
 def sides_of(borders: DataFrame, key: str) -> DataFrame:

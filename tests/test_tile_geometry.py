@@ -303,6 +303,22 @@ def test_simplified_arcs_leave_no_gap_or_overlap(spark):
     assert list(arcs.thin_line(np.array([[0, 0], [1, 0], [2, 0], [2, 2]]), 0.1)) == [0, 2, 3]
 
 
+def test_closed_borders_begin_at_a_corner(spark):
+    """Squares apart from each other, of 12 unit edges: four sides are left, wherever their edges' numbers begin."""
+    from reachmap.operators import arcs
+
+    rows = []
+    for i in range(40):
+        x = 10 * i
+        path = [(x + a, 0) for a in range(4)] + [(x + 3, b) for b in (1, 2, 3)] + [(x + a, 3) for a in (2, 1, 0)] + [(x, b) for b in (2, 1)]
+        rows += [(f"s{i}", *p, *q) for p, q in zip(path, path[1:] + path[:1])]
+    edges = spark.createDataFrame(rows, "id string, x1 long, y1 long, x2 long, y2 long").repartition(7)
+    thin = arcs.simplify_arcs(edges, "id", 0.1)
+    want = {(f"s{i}", 10 * i + a, b, 10 * i + c, d) for i in range(40) for a, b, c, d in ((0, 0, 3, 0), (3, 0, 3, 3), (3, 3, 0, 3), (0, 3, 0, 0))}
+    got = [(r.one, r.x1, r.y1, r.x2, r.y2) for r in thin.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_tiers_join_without_an_exchange(spark):
     from reachmap.operators import geometry
 
