@@ -52,6 +52,24 @@ def test_group_totals_equal_a_window(many):
     assert rows(got) == rows(want)
 
 
+def test_tiles_of_providers_pass_no_shuffle(spark):
+    from reachmap.operators import tiles
+
+    prints = spark.range(60).selectExpr(
+        "cast(id % 6 as int) as hoconum", "lpad(cast(id as string), 5, '0') as county_fips",
+        "-100D + id / 7 as minx", "30D + id % 9 as miny", "-99.9D + id / 7 as maxx", "30.2D + id % 9 as maxy",
+    )
+    large = F.col("hoconum") < 2
+    shown = prints.withColumn("level", F.when(large, "prov_lg").otherwise("prov_other"))
+    shown = tiles.zoom_plan_features(shown, tiles.PROVIDER_BANDS)
+    cover = tiles.tile_cover(shown)
+    got = tiles.provider_tiles(prints, large)
+    assert "hashpartitioning(layer" not in got._jdf.queryExecution().executedPlan().toString()
+    assert tiles.cover_size(shown) == cover.count()
+    want = tiles.coalesce_tiles(cover.withColumn("layer", F.col("level")), ["hoconum"], "hoconum")
+    assert rows(got) == rows(want)
+
+
 def _hot_block(spark, n=20_000):
     """Filings of many providers, a third of them in one block."""
     f = spark.range(n).selectExpr(
