@@ -52,6 +52,22 @@ def test_group_totals_equal_a_window(many):
     assert rows(got) == rows(want)
 
 
+def test_tasks_of_the_counts_grow_with_their_rows(spark, monkeypatch):
+    """The adaptive reader must not merge the narrow rows that are widened in hash maps."""
+    from reachmap.operators import numprov
+
+    monkeypatch.setattr(numprov, "WIDE_ROWS", 500, raising=False)
+    monkeypatch.setattr(numprov, "NARROW_ROWS", 500, raising=False)
+    f, b = _hot_block(spark, 1000)
+    histogram = numprov.mask_histogram(f)
+    counts = numprov.counts_of(histogram, b)
+    n = histogram.count() + b.count() * 7
+    assert counts.rdd.getNumPartitions() == -(-n // 500)
+    got = {(r.geoid10, r.tier): r.f for r in counts.collect()}
+    assert len(got) == 7 * b.select("geoid10").union(f.select("block_code")).distinct().count()
+    assert got["010010000010001", "25_3"] == f.filter("block_code = '010010000010001'").count()
+
+
 def test_tiles_of_providers_pass_no_shuffle(spark):
     from reachmap.operators import tiles
 
