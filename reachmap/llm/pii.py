@@ -14,8 +14,10 @@ same forms (a wrong check digit, an octet above 255, an address without a domain
 dates and serial numbers) and the proposals that touch no base span, which are
 mostly not personal. Both classes weigh the same within a generator.
 
-Trained on a bounded sample: about TRAIN_ROWS base spans and TRAIN_ROWS proposals,
-those with the smallest hash of document and place.
+Trained and calibrated on every base span and every free proposal of the table. Rows
+alike in features, label and part are one, weighted by their number, so the trees
+see each distinct row once. (Of continuous features `pyspark.ml` itself picks the
+candidates of a split from quantiles of some of these rows.)
 
 Positions are sums over blocks of matches and overlaps are found by sorting, so the
 work grows evenly with a text's length and its matches. Every proposal of a text is
@@ -72,7 +74,6 @@ KEYWORDS = {
 }
 BEFORE, AFTER = 24, 8
 
-TRAIN_ROWS = 60_000
 TREES, DEPTH = 16, 4
 PRECISION = 0.95
 SEED = 7
@@ -288,30 +289,32 @@ def _tree(node) -> Column:
     return F.when(test, _tree(node.leftChild())).otherwise(_tree(node.rightChild()))
 
 
-def _sample(rows: DataFrame, keys) -> DataFrame:
-    """About TRAIN_ROWS rows, those with the smallest hash, all if there are no more."""
-    h = F.pmod(F.xxhash64(*keys), F.lit(1 << 30))
-    return rows.withColumn("h", h).filter(F.col("h") < int((1 << 30) * min(1.0, TRAIN_ROWS / max(1, rows.count()))))
+def _part(*keys) -> Column:
+    """One of four parts, by hash."""
+    return F.pmod(F.xxhash64(*keys), F.lit(4)).alias("part")
 
 
 def training_rows(spans: DataFrame, free: DataFrame) -> DataFrame:
-    """Features, label, weight and part (0: held out to set thresholds) of the sample."""
-    base = _sample(spans.select("doc_id", F.explode("base").alias("s")), ("doc_id", "s.start", "s.kind"))
-    forms = base.select("h", "s.before", "s.after", F.explode(rewritten(F.col("s.kind"), F.col("s.value"))).alias("f"))
+    """Distinct features with label, part (0: held out to set thresholds) and weight: their number, balanced by class."""
+    base = spans.select("doc_id", F.explode("base").alias("s")).select("s", _part("doc_id", "s.start", "s.kind"))
+    forms = base.select("part", "s.before", "s.after", F.explode(rewritten(F.col("s.kind"), F.col("s.value"))).alias("f"))
     fits = [F.when(F.rlike("f.value", F.lit(f"^(?:{p})$")), F.lit(i)) for i, p in enumerate(GENERATORS.values())]
     forms = forms.select(
-        "h", "before", "after", "f.*", F.explode(F.filter(F.array(*fits), lambda g: g.isNotNull())).alias("generator")
+        "part", "before", "after", "f.*", F.explode(F.filter(F.array(*fits), lambda g: g.isNotNull())).alias("generator")
+    )
+    plain = free.select(
+        _part("doc_id", "start", "generator"), "before", "after", "value", F.lit(0.0).alias("label"), "generator"
     )
-    plain = _sample(free, ("doc_id", "start", "generator")).select("h", "before", "after", "value", F.lit(0.0).alias("label"), "generator")
     every = forms.unionByName(plain)
     feats = features(*[F.col(c) for c in ("generator", "value", "before", "after")])
-    every = every.select((F.col("h") % 4).alias("part"), "label", *[feats[f].alias(f) for f in FEATURES])
-    rows = cut(every, "pii-training")
-    n = rows.groupBy("generator").agg(F.sum("label").alias("good"), F.count("*").alias("n"))
+    every = every.select("part", "label", *[feats[f].alias(f) for f in FEATURES])
+    alike = every.groupBy("part", "label", *FEATURES).agg(F.count("*").alias("alike"))
+    rows = cut(alike, "pii-training")
+    n = rows.groupBy("generator").agg(F.sum(F.col("label") * F.col("alike")).alias("good"), F.sum("alike").alias("n"))
     ratio = F.when(F.col("label") == 1, (F.col("n") - F.col("good")) / F.col("good")).otherwise(1.0)
     # Of a generator with one class only, which decides nothing, rows keep their weight.
-    weight = F.when((F.col("good") > 0) & (F.col("good") < F.col("n")), ratio).otherwise(1.0)
-    return rows.join(F.broadcast(n), "generator").withColumn("weight", weight).drop("good", "n")
+    weight = F.when((F.col("good") > 0) & (F.col("good") < F.col("n")), ratio).otherwise(1.0) * F.col("alike")
+    return rows.join(F.broadcast(n), "generator").withColumn("weight", weight).drop("good", "n", "alike")
 
 
 def train(spans: DataFrame, free: DataFrame):

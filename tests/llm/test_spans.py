@@ -238,6 +238,21 @@ def test_rewritten_spans_are_proposals_and_no_base_spans(spark):
     assert all(any(p.value == good[r.doc_id] for p in r.proposals) for r in got)
 
 
+def test_pii_learns_from_every_span_and_proposal(spark, monkeypatch):
+    """Twice the texts are twice the weight of the training rows, none is left out."""
+    monkeypatch.setattr(pii, "TRAIN_ROWS", 10, raising=False)
+    texts = [t for _, t in pii_rows(40)]
+
+    def weight(times):
+        docs = documents(spark, [(i, t) for i, t in enumerate(texts * times)])
+        spans = pii.spans_of(docs).persist()
+        rows = pii.training_rows(spans, pii.free_proposals(spans))
+        return rows.filter("label = 0").agg(F.sum("weight")).first()[0]
+
+    once = weight(1)
+    assert once > 40 and weight(3) == 3 * once
+
+
 def test_free_proposals_equal_all_pairs(spark):
     rows = pii_rows() + [(500, "+1 (555) 010-9999 " * 40 + "555 123-4567 " * 40), (501, None)]
     spans = pii.spans_of(documents(spark, rows)).persist()
