@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, tasks_for
 from . import words as wd
 from .common import fresh, in_small_batches, table
 from .graph import components
@@ -273,6 +273,17 @@ def _ranges(total: int, range_bytes: int) -> int:
     return min(30, max(0, (max(1, total) // range_bytes).bit_length()))
 
 
+def _flags(keys: DataFrame) -> np.ndarray:
+    """Which last FLAG_BITS bits the keys have, from bitmaps of 4 KB made in Spark: one job, whatever the partitions."""
+    place = F.col("key").bitwiseAND((1 << FLAG_BITS) - 1) + 1
+    maps = keys.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    flags = np.zeros(1 << FLAG_BITS, bool)
+    for r in maps.collect():
+        bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+        flags[(r["k"] - 1) * len(bits) :][: len(bits)] = bits
+    return flags
+
+
 def _sets_of(flags):
     def run(batches):
         wanted = flags.value
@@ -446,8 +457,9 @@ def _hot_edges(sets: DataFrame, most_sets: int, most_shingles: int) -> DataFrame
     found = []
     for k in range(PIVOT_ROUNDS):
         sizes = sets.groupBy("block").agg(F.count("*").alias("k"), F.sum("n").alias("t"))
-        hot = sizes.filter((F.col("k") > most_sets) | (F.col("t") > most_shingles))
-        if hot.isEmpty():
+        hot = (F.col("k") > most_sets) | (F.col("t") > most_shingles)
+        n_blocks, n_hot = sizes.agg(F.count("*"), F.count(F.when(hot, 1))).first()
+        if not n_hot:
             break
         pick = (
             sets.groupBy("block")
@@ -460,6 +472,7 @@ def _hot_edges(sets: DataFrame, most_sets: int, most_shingles: int) -> DataFrame
                 "pivot",
             ),
             "pivots",
+            tasks_for(n_blocks, 1000),
         )
         near = sets.join(pivots, "block").mapInArrow(
             _to_pivot, "block long, digest binary, n long, pivot binary, pivot_n long, inter long"
@@ -537,7 +550,9 @@ def _with_components(
     spark = in_small_batches(docs).sparkSession
     text = F.col("text").cast("string").alias("text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    total, n_docs = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    # Tables of narrow rows are written by as many tasks as their rows ask, not by one a shuffle partition.
+    per_docs = tasks_for(n_docs)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     sent = keyed.mapInArrow(_send(_ranges(total, range_bytes), chunk_shingles, _from_text, False), _SENT)
     counted = sent.groupBy("part").applyInPandas(_count_range(False), _BACK)
@@ -546,6 +561,7 @@ def _with_components(
             _documents, "doc_id long, key long, n long, digest binary, may_link boolean"
         ),
         "signatures",
+        max(per_docs, tasks_for(total, range_bytes)),
     )
     # One row per distinct set; the row `key` points at is where its text is read again.
     sets = cut(
@@ -557,26 +573,25 @@ def _with_components(
             F.max("may_link").alias("may_link"),
         ),
         "sets",
+        per_docs,
     )
     left = sets.filter("may_link")
-    slots = left.select((F.col("at.key").bitwiseAND((1 << FLAG_BITS) - 1)).alias("slot")).distinct()
-    flags = np.zeros(1 << FLAG_BITS, bool)
-    for r in slots.toLocalIterator():
-        flags[r["slot"]] = True
+    flags = _flags(left.select(F.col("at.key").alias("key")))
     shingles = keyed.mapInArrow(_sets_of(spark.sparkContext.broadcast(flags)), "digest binary, shingles binary")
     held = shingles.dropDuplicates(["digest"]).join(left.select("digest", "n"), "digest")
     held = cut(held, "held")
-    left_bytes = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * 8
+    left_bytes, n_held = held.agg(F.coalesce(F.sum("n"), F.lit(0)) * 8, F.count("*")).first()
+    per_bytes = tasks_for(left_bytes, range_bytes)
     sent = held.mapInArrow(_send(_ranges(left_bytes, range_bytes), chunk_shingles, _from_sets, True), _SENT)
     counted = sent.groupBy("part").applyInPandas(_count_range(True), _BACK)
     prefixes = cut(
-        counted.groupBy("chunk").applyInPandas(_prefixes, "digest binary, n long, prefix array<long>"), "prefixes"
+        counted.groupBy("chunk").applyInPandas(_prefixes, "digest binary, n long, prefix array<long>"), "prefixes", per_bytes
     )
     # 60 bits of the digest: equal numbers of different sets only make blocks larger.
     rid = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("rid")
     tokens = prefixes.select(rid, F.explode("prefix").alias("token"))
     # Lookup sides are written first: the adaptive join can then split a frequent key of the other side.
-    lead = cut(tokens.groupBy("token").agg(F.min("rid").alias("lead")), "leads")
+    lead = cut(tokens.groupBy("token").agg(F.min("rid").alias("lead")), "leads", per_bytes)
     edges = tokens.join(lead, "token").filter("rid != lead").select("rid", "lead")
     blocks = components(edges, "rid", "lead")
     members = cut(
@@ -584,11 +599,14 @@ def _with_components(
         .join(blocks.select(F.col("node").alias("rid"), F.col("root").alias("block")), "rid")
         .drop("rid"),
         "members",
+        tasks_for(n_held),
     )
     held = members.join(held.drop("n"), "digest")
     sizes = members.groupBy("block").agg(F.count("*").alias("k"), F.sum("n").alias("t"))
     hot = cut(
-        sizes.filter((F.col("k") > block_sets) | (F.col("t") > block_shingles)).select("block"), "hot-blocks"
+        sizes.filter((F.col("k") > block_sets) | (F.col("t") > block_shingles)).select("block"),
+        "hot-blocks",
+        tasks_for(n_held),
     )
     if hot.isEmpty():
         roots = _search(held.withColumn("side", F.lit(0)))
@@ -601,13 +619,14 @@ def _with_components(
     roots = cut(roots, "roots")
     roots = roots.union(roots.select("root", "root").distinct())
     of = sets.join(roots, "digest").select("digest", "root", "low_id")
-    low = cut(of.groupBy("root").agg(F.min("low_id").alias("component_id")), "low-ids")
+    low = cut(of.groupBy("root").agg(F.min("low_id").alias("component_id")), "low-ids", per_docs)
     joined = of.join(low, "root").select("digest", "component_id")
     groups = cut(
         sets.join(joined, "digest", "left")
         .filter("copies > 1 or component_id is not null")
         .select("digest", F.coalesce("component_id", "low_id").alias("component_id")),
         "groups",
+        per_docs,
     )
     # An empty set links with nothing; without a group a document stands alone.
     return (

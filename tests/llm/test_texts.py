@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from reachmap import session
 from reachmap.llm import decontam, langid, ngram_join, toxicity
 
 from .helpers import documents, odd_rows, rows_of, words
@@ -73,6 +74,36 @@ def test_components_equal_brute_force(spark, limits):
     assert rows_of(got) == brute_components(rows)
 
 
+def test_written_tables_do_not_grow_with_the_shuffle_partitions(spark, tmp_path, monkeypatch):
+    """A session with many partitions must not cost a file, or a job, for each of them."""
+    settings = {
+        "spark.sql.shuffle.partitions": "37",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    old = {k: spark.conf.get(k, None) for k in settings}
+    rows = near_rows()
+    docs = documents(spark, rows, extra=True).repartition(6)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert rows_of(ngram_join.link_components(docs, block_sets=4)) == brute_components(rows)
+        keys = spark.range(300).repartition(37, "id").selectExpr("xxhash64(id) as key")
+        spark.sparkContext.setJobGroup("flags", "")
+        flags = ngram_join._flags(keys)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("flags")) <= 3
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    low = (1 << ngram_join.FLAG_BITS) - 1
+    assert set(np.flatnonzero(flags).tolist()) == {r.key & low for r in keys.collect()}
+    for name in ("signatures", "sets", "leads", "low", "large", "members", "low-ids", "groups"):
+        tables = list(tmp_path.glob(f"reachmap-{name}-" + "?" * 32))
+        assert tables, name
+        assert all(len(list(t.glob("part-*"))) == 1 for t in tables), name
+
+
 def test_a_shingle_of_all_documents_reaches_its_range_once_a_chunk(spark):
     common = words(12, 7)
     rows = [(i, " ".join(common + words(30, 1000 + i // 2))) for i in range(400)]
