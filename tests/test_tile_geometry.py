@@ -238,6 +238,32 @@ def test_a_block_on_the_antimeridian_is_on_four_tiles_by_its_box_on_the_circle(s
     assert by_box == {(t.x, t.y) for t in TG.touched_tiles(f, ["id"]).collect()} and len(by_box) in (2, 4)
 
 
+def test_descent_has_as_many_tasks_as_its_tiles_ask(spark, tmp_path, monkeypatch):
+    """Small polygons, merged by their bytes, must not go down the tree in one task."""
+    from reachmap import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(TG, "DESCENT_ROWS", 60, raising=False)
+    rows = [(f"b{i}", square(-100 + 0.3 * (i % 20), 30 + 0.3 * (i // 20), 0.2, 0.2), 6, 8) for i in range(400)]
+    got = TG.touched_tiles(spark.createDataFrame(rows, SCHEMA).coalesce(1), ["id"])
+    assert "8" in {str(r.z) for r in got.select("z").distinct().collect()}
+    for name in ("tile-seeds", "tile-pieces-8"):
+        (table,) = tmp_path.glob(f"reachmap-{name}-" + "?" * 32)
+        assert len(list(table.glob("part-*"))) >= 4, name
+
+
+def test_touched_tiles_are_distinct_whatever_the_polygons(spark):
+    rows = shapes()
+    rows += [("again", rows[0][1], 2, 6), ("again", rows[1][1], 2, 6), ("again", rows[1][1], 2, 6)]
+    near = [ring((1, 1), (2, 1), (2, 2))], [ring((2.1, 1), (2.2, 1), (2.2, 2))]
+    rows += [("near", list(near), 3, 7), ("round", [[ring((170, 10), (-170, 10), (-170, 30), (170, 30))]], 0, 4)]
+    rows += [(None, rows[2][1], 2, 5), (None, rows[2][1], 2, 5)]
+    f = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(map(str, TG.touched_tiles(f, ["id"]).collect()))
+    want = TG.tile_pieces(f, ["id"], margin=0.0).select("id", "z", "x", "y").distinct()
+    assert got == sorted(map(str, want.collect()))
+
+
 def test_rings_of_the_whole_circle(spark):
     from reachmap.operators import geometry
 
