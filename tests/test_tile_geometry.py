@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -355,3 +356,31 @@ def test_tiers_join_without_an_exchange(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     got = {(r.k, r.tier): r.n1 for r in df.collect()}
     assert got == {(str(i), t): float(i) if i < 150 and t != "c" else None for i in range(200) for t in "abc"}
+
+
+def test_descent_clips_no_tile_outside_a_polygons_box(spark):
+    ring = "array(array(struct(1.1D as x, 1.2D as y), struct(1.3D as x, 1.2D as y), struct(1.3D as x, 1.6D as y), struct(1.1D as x, 1.2D as y)))"
+    row = spark.range(1).selectExpr(
+        "id", "true as alone", "3 as zmin", "9 as zmax", "0 as poly", "1 as ux", "1 as y", "false as whole",
+        "1.1D as low_x", "1.3D as high_x", "1.2D as low_y", "1.6D as high_y", f"{ring} as rings",
+    )
+    assert [(r.ux, r.y) for r in TG._children(row, ["id"], 4).orderBy("y").collect()] == [(2, 2), (2, 3)]
+    assert TG._children(row.withColumn("whole", F.lit(True)), ["id"], 4).count() == 4
+
+
+def test_statistics_of_speed_layers_meet_features_where_they_are_stored(spark):
+    f = spark.range(3).selectExpr(
+        "'block' as level", "'block' as stat_kind", "cast(id as string) as feature_id", "1L as size", "1L as cost",
+        "0D as minx", "0D as miny", "1D as maxx", "1D as maxy",
+    )
+    touched = f.selectExpr("level", "feature_id", "11 as z", "inline(array(struct(1 as x, 2 as y), struct(2 as x, 2 as y)))")
+    # Feature 0 has both tiers, 1 one of them, 2 none; one that is on no tile; a tier that is not asked for.
+    values = [("a", "0", 1.0), ("b", "0", 2.0), ("b", "1", 3.0), ("a", "9", 4.0), ("c", "0", 5.0)]
+    stats = spark.createDataFrame([(t, "block", i, v) for t, i, v in values], "tier string, kind string, feature_id string, n1 double")
+    bands = (T.Band("block", 11, 11),)
+    got = T.speed_layers(f, touched, stats, ["n1"], ["a", "b"], 10, bands)
+    want = {(t, i, x, v) for t, i, v in [*values[:3], ("a", "1", None), ("a", "2", None), ("b", "2", None)] for x in (1, 2)}
+    rows = got.collect()
+    assert len(rows) == 12 and {(r.layer, r.feature_id, r.x, r.n1) for r in rows} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "stat_kind" not in " ".join(re.findall(r"hashpartitioning\([^)]*\)", plan))
