@@ -1,6 +1,7 @@
 """Dissolve on shapes whose outline is known."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reachmap.functions import geom as G
 from reachmap.operators import dissolve as D
+from reachmap.operators import geometry
 from reachmap.sources.schemas import GEOM
 
 from .helpers import square
@@ -199,3 +201,20 @@ def test_nesting_of_islands_in_holes():
     ]
     got = {tuple(p[0][0]): sorted(tuple(h[0]) for h in p[1:]) for p in D.nest_rings(rings)}
     assert got == {(0, 0): [(10, 10)], (20, 20): [(30, 30)], (200, 20): [(210, 30)]}
+
+
+def test_no_row_of_a_provider_and_an_edge_passes_a_shuffle(spark):
+    # Blocks of two counties on a lattice of 12 by 12, and one that lies on another.
+    geoid = "concat('01', lpad(cast(id % 2 as string), 3, '0'), lpad(cast(id as string), 10, '0'))"
+    rows = [(i, square(i % 12, i // 12)) for i in range(144)] + [(144, square(4, 5))]
+    geom = spark.createDataFrame(rows, "id long, geom " + GEOM.simpleString()).selectExpr(f"{geoid} as geoid10", "1L as aland10", "geom")
+    filings = spark.range(145 * 8).selectExpr("id div 8 as id", "id % 8 as k").selectExpr(
+        f"{geoid} as block_code", "1 as consumer", "cast(if((id * 7 + k * k) % 5 < 3, k, null) as int) as hoconum"
+    )
+    filings = filings.unionByName(filings)
+    got = geometry.footprint_edges(filings, geom, grid=1)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*hoconum", plan) and "hashpartitioning(edge" not in plan
+    want = D.dissolve_edges(geometry.provider_blocks(filings, geom), "hoconum", "county_fips", grid=1)
+    assert "mult" in got.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+    assert got.agg({"mult": "max"}).first()[0] == 2
