@@ -384,3 +384,42 @@ def test_statistics_of_speed_layers_meet_features_where_they_are_stored(spark):
     assert len(rows) == 12 and {(r.layer, r.feature_id, r.x, r.n1) for r in rows} == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and "stat_kind" not in " ".join(re.findall(r"hashpartitioning\([^)]*\)", plan))
+
+
+def test_no_filter_moves_the_rings_of_a_polygon_again(spark, tmp_path):
+    """In a filter on the moved rings each of a polygon's rings would move all of them: quadratic in its holes."""
+    rows = shapes() + [("flat", [[ring((1, 1), (2, 1))]], 2, 4)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/shapes")
+    seeds = TG._seeds(spark.read.parquet(f"{tmp_path}/shapes"), ["id"])
+    plan = seeds._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not [line for line in plan if "Filter" in line and "transform(" in line]
+    got = {r.id for r in seeds.collect()}
+    assert got == {r[0] for r in rows} - {"flat"}
+
+
+def test_statistics_made_where_they_are_stored_pass_no_other_shuffle(spark, tmp_path, monkeypatch):
+    from reachmap import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(T, "STAT_ROWS", 20)
+    f = spark.range(40).selectExpr(
+        "if(id < 10, 'tract', 'block') as level", "if(id < 10, 'tract', 'block') as stat_kind", "cast(id as string) as feature_id",
+        "1L as size", "1L as cost", "0D as minx", "0D as miny", "1D as maxx", "1D as maxy",
+    )
+    touched = f.selectExpr("level", "feature_id", "if(level = 'tract', 6, 11) as z", "inline(array(struct(1 as x, 2 as y), struct(2 as x, 2 as y)))")
+    stats = spark.range(50).selectExpr(
+        "explode(array('a', 'b', 'c')) as tier", "if(id < 12, 'tract', 'block') as kind", "cast(id as string) as feature_id", "id + 0.5D as n1"
+    ).filter("(hash(tier, feature_id) & 3) > 0")
+    bands, dealt = (T.Band("tract", 6, 6, coalesce=True), T.Band("block", 11, 11)), []
+
+    def made(tasks):
+        dealt.append(tasks)
+        parts = [stats.filter(F.col("kind") == k).withColumn("stat", T.stat_key("kind", "feature_id")) for k in ("tract", "block")]
+        return T.tile_union(*[p.repartition(tasks, "stat").select("stat", "tier", "n1") for p in parts])
+
+    want = sorted(map(str, T.speed_layers(f, touched, stats, ["n1"], ["a", "b"], 10, bands).collect()))
+    got = T.speed_layers(f, touched, made, ["n1"], ["a", "b"], 10, bands)
+    assert sorted(map(str, got.collect())) == want and dealt == [4]
+    # A bucket has a file of each part at most: every row was made in its bucket's task.
+    files = [len(list(p.glob("part-*"))) for p in tmp_path.glob("reachmap-stats-by-key-*")]
+    assert len(files) == 2 and all(4 <= n <= 8 for n in files)

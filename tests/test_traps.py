@@ -259,3 +259,18 @@ def test_area_sum_ignores_missing_population(spark):
     b = blocks(spark, (B1, None), (B2, 2))
     row = area.area_table(f, b).filter("type = 'nation' and tech = 'f' and tier = '25_3'").first()
     assert (row.has_0, row.has_1) == (2, 0)
+
+
+def test_means_of_counties_from_the_weights_of_their_tracts(spark):
+    f = filings(
+        spark, (B1, 1, 50, 30.0, 5.0), (B2, 1, 50, 30.0, 5.0), (B2, 2, 10, 30.0, 5.0), (B3, 2, 10, 0.1, 0.1), (LOST, 3, 50, 30.0, 5.0)
+    )
+    b = blocks(spark, (B1, 5), (B2, 3), (B3, 0), ("010050000030001", 7))
+    histogram = numprov.mask_histogram(f)
+    weights = rollup.area_weights(histogram, b, 11, "area")
+    means = rollup.weighted_of(histogram, b, 5, "county_id", weights=weights)
+    want = rollup.weighted_numprov(f, b, 5, "county_id")
+    assert by(means, "county_id", "tier") == by(want, "county_id", "tier")
+    assert {r.county_id for r in means.collect()} == {"01001", "01003", "01005", "99001"}
+    assert by(means, "county_id", "tier")["01001", "25_3"]["a"] == pytest.approx(0.4)
+    assert means.count() == 4 * len(TIERS)
