@@ -218,3 +218,45 @@ def test_no_row_of_a_provider_and_an_edge_passes_a_shuffle(spark):
     want = D.dissolve_edges(geometry.provider_blocks(filings, geom), "hoconum", "county_fips", grid=1)
     assert "mult" in got.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
     assert got.agg({"mult": "max"}).first()[0] == 2
+
+
+@pytest.mark.parametrize("pack_edges", [4, 12, 60, 1000])
+def test_long_outlines_in_parts_are_the_whole_area(spark, pack_edges):
+    r = random.Random(4)
+    shapes = {k: [(x, y) for x in range(9) for y in range(9) if r.random() < 0.7] for k in "ab"}
+    # triangles with one first point, a ring around an island, a feature of more edges than the limit
+    fan = [((0, 0), (i, 40), (i + 1, 40)) for i in range(30)]
+    ring = [(x, y) for x in range(7) for y in range(7) if x in (0, 6) or y in (0, 6)] + [(3, 3)]
+    comb = [(0, 0), (41, 0), *[(x, 1 + x % 2) for x in range(41, -1, -1)]]
+    closed = lambda pts: [[[{"x": float(x), "y": float(y)} for x, y in [*pts, pts[0]]]]]
+    t = cells(spark, {**shapes, "ring": ring}).unionByName(
+        table(spark, *[("fan", closed(p)) for p in fan], ("comb", closed(comb)), ("comb", square(0, -1, 41)))
+    )
+    long = D.dissolve(t, "key", grid=1, pack_edges=3).long_outlines
+    rest = long.filter("key != 'b'")
+    parts = D.outline_parts(t, rest, "key", grid=1, pack_edges=pack_edges)
+    edges = lambda df: sorted(map(tuple, df.select("key", *D.EDGE, "mult").collect()))
+    assert edges(D.dissolve_edges(parts, "key", grid=1)) == edges(rest)
+    sizes = [(q.key, sum(len(x) - 1 for p in q.geom for x in p)) for q in parts.collect()]
+    one = {k: max(len(f) for f in fs) for k, fs in {"a": [range(4)], "ring": [range(4)], "fan": fan, "comb": [comb]}.items()}
+    assert all(n <= max(pack_edges, one[k]) for k, n in sizes)
+    assert len(sizes) > len(one) and (pack_edges < 1000 or len(sizes) <= 4 * len(one))
+
+
+def test_outlines_without_a_key_stay_beside_long_ones(spark):
+    t = table(spark, (None, square(9, 9)), ("s", square(5, 5)), *[("big", square(2 * i, 0)) for i in range(4)])
+    parts = D.dissolve(t, "key", grid=1, pack_edges=10)
+    assert {r.key for r in parts.features.collect()} == {None, "s"}
+    assert parts.long_outlines.count() == 16
+
+
+def test_speed_layers_have_features_whose_outlines_are_too_long_for_a_row(spark, sf_dir, monkeypatch):
+    from functools import partial
+
+    from reachmap.plans.catalog import QUERIES
+    from reachmap.plans.oracles import oracles
+
+    from .compare import connect, difference
+
+    monkeypatch.setattr(D, "dissolve", partial(D.dissolve, pack_edges=8))
+    assert difference(QUERIES["speed_layer_tiles"](spark, sf_dir), connect(sf_dir), oracles()["speed_layer_tiles"]) is None
